@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contigframe.llm import exact_dedup, mixing
+from contigframe.llm import exact_dedup, mixing, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pack": packing.op1_pack,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op10_mix": mixing.op10_mix,
     }
