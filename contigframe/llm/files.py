@@ -24,6 +24,17 @@ def put(uri: str, parts: list[bytes]) -> None:
     where.move(own, path)
 
 
+def exists(uri: str) -> bool:
+    where, path = opened(uri)
+    return where.get_file_info(path).type == fs.FileType.File
+
+
+def drop(uri: str) -> None:
+    where, path = opened(uri)
+    if where.get_file_info(path).type == fs.FileType.File:
+        where.delete_file(path)
+
+
 class Reader:
     """Range reads; keeps the last file open."""
 

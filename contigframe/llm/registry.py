@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contigframe.llm import exact_dedup, language_id, mixing, packing, token_store
+from contigframe.llm import exact_dedup, language_id, media, mixing, packing, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op4_language": language_id.op4_language,
         "op6_token_store": token_store.op6_token_store,
+        "op8_media": media.op8_media,
         "op10_mix": mixing.op10_mix,
     }
 
