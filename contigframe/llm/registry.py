@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contigframe.llm import exact_dedup, language_id, media, mixing, packing, token_store
+from contigframe.llm import exact_dedup, language_id, media, mixing, packing, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language": language_id.op4_language,
         "op6_token_store": token_store.op6_token_store,
         "op8_media": media.op8_media,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix": mixing.op10_mix,
     }
 
