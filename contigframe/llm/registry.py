@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contigframe.llm import exact_dedup, language_id, media, mixing, packing, token_store, toxicity
+from contigframe.llm import exact_dedup, language_id, licenses, media, mixing, packing, pii, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": packing.op1_pack,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_licenses": licenses.op3_licenses,
         "op4_language": language_id.op4_language,
         "op6_token_store": token_store.op6_token_store,
+        "op7_pii": pii.op7_pii,
         "op8_media": media.op8_media,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix": mixing.op10_mix,
