@@ -70,10 +70,12 @@ def _by_content(base: DataFrame, whole: DataFrame, winners: DataFrame) -> DataFr
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns. Ids are unique in a corpus; repeated rows are settled first."""
-    keep = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep"))
-    once = docs.dropDuplicates([id_col, text_col])
-    return once.join(keep, F.col(id_col).eqNullSafe(F.col("__keep"))).drop("__keep").select(*docs.columns)
+    """The rows of ``docs`` that stay, with their columns: of rows repeated with the same id and text, one."""
+    keep = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha"))
+    rows = docs.withColumn("__own", sha256(normalised(F.col(text_col))))
+    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__own") == F.col("__sha")), "left_semi")
+    once = F.row_number().over(Window.partitionBy(id_col, "__own").orderBy(id_col))
+    return rows.withColumn("__row", once).where("__row = 1").select(*docs.columns)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

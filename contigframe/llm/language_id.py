@@ -197,30 +197,33 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model(found, order)
 
 
+def _predictions(scorer: Scorer, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, bits per byte) of each text."""
+    langs = scorer.model.langs
+    letters = np.fromiter((has_letter(t) for t in texts.to_pylist()), bool, len(texts)) & bool(langs)
+    if not letters.any():
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    bits = scorer.bits(texts.fill_null(""))
+    best, least = bits.argmin(axis=1), bits.min(axis=1)
+    score = np.where(letters, 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1), 0.0)
+    rate = np.where(letters, least / (pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) + 1), 0.0)
+    return [langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist(), strict=True)], score, rate
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score, bits_per_byte.
 
     Defined cases: null texts and texts without a letter are ``und`` with score 0, as are all if nothing was learnt. Ties go to
     the first language in order. ``score`` is the posterior of the predicted language under equal priors.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # bounded by the sample: languages x texts x bytes
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample: languages x texts x bytes
     kept: dict[str, Scorer] = {}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kept.setdefault("scorer", Scorer(sent.value))
-        langs = scorer.model.langs
         for batch in batches:
             for part in tokens.slices(batch, "text"):
-                texts = part.column("text")
-                letters = np.fromiter((has_letter(t) for t in texts.to_pylist()), bool, len(texts)) & bool(langs)
-                pred, prob, rate = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-                if letters.any():
-                    bits = scorer.bits(texts.fill_null(""))
-                    best = bits.argmin(axis=1)
-                    prob = np.where(letters, 1 / np.exp2(np.minimum(0, bits.min(axis=1, keepdims=True) - bits)).sum(axis=1), 0.0)
-                    rate = np.where(letters, bits.min(axis=1) / (pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) + 1), 0.0)
-                    pred = [langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist(), strict=True)]
+                pred, prob, rate = _predictions(scorer, part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(pred), pa.array(prob), pa.array(rate)], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -228,6 +231,21 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return out.select("doc_id", util.held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def identified_documents(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` in a known language, with their columns. Nothing is shuffled: rows are dropped where they are read."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    kept: dict[str, Scorer] = {}
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = kept.setdefault("scorer", Scorer(sent.value))
+        for batch in batches:
+            for part in tokens.slices(batch, text_col):
+                pred, prob, _ = _predictions(scorer, part.column(text_col))
+                yield part.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, prob.tolist(), strict=True)]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = util.documents(spark, sf_dir)
     return identify(docs, learn(docs))

@@ -48,6 +48,7 @@ TEMPLATES = [
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("proprietary", "All rights reserved."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced or transmitted in any form without prior written permission."),
 ]
 

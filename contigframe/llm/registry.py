@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contigframe.llm import exact_dedup, language_id, licenses, media, mixing, packing, pii, token_store, toxicity
+import corpus_pipeline
+from contigframe.llm import exact_dedup, jaccard_join, language_id, licenses, media, mixing, packing, pii, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,13 +16,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_licenses": licenses.op3_licenses,
         "op4_language": language_id.op4_language,
+        "op5_near_duplicates": jaccard_join.op5_near_duplicates,
         "op6_token_store": token_store.op6_token_store,
         "op7_pii": pii.op7_pii,
         "op8_media": media.op8_media,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix": mixing.op10_mix,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
