@@ -6,16 +6,18 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces and stems a worker remembers at most; past that it forgets all and starts anew.
-MEMO = 600_000
+#: Pieces a worker remembers in each of its two generations; when the young one is full it becomes the old one.
+MEMO = 450_000
 #: Bytes of text that are handled at once in a worker.
 SLICE = 6_000_000
-_WIDE = re.compile("[^\x00-ɏ]")
+#: Beyond these characters, lower case isn't one simple mapping everywhere.
+_WIDE = "[^\\x00-\u012f\u0131-\u024f]"
 
 
 def default_path() -> str:
@@ -27,9 +29,9 @@ def default_path() -> str:
 class MemoTokenizer:
     """``encode`` equals the tokenizer's own ids, text by text.
 
-    The tokenizer drops white space and never looks across it, so ids of a text are the ids of its pieces between spaces,
-    one after the other. Pieces are further shared by case, where the lower-case mapping is simple (below U+0250), and by one
-    closing full stop or comma behind a letter, which the tokenizer always parts from the word.
+    The tokenizer lower-cases, drops white space and never looks across it, so ids of a text are the ids of its pieces between
+    spaces, one after the other. Before the split, line ends become spaces, and where the text has simple letters only, it is
+    lower-cased and a full stop or comma between a letter or digit and a space is set apart, as the tokenizer does.
     """
 
     def __init__(self, path: str):
@@ -37,52 +39,48 @@ class MemoTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def _stem(self, piece: str) -> tuple[str, str]:
-        if any(s in piece for s in self.special):
-            return piece, ""
-        if not _WIDE.search(piece):
-            piece = piece.lower()
-        if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
-            return piece[:-1], piece[-1]
-        return piece, ""
-
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.pieces) + len(missing) > MEMO:
-            self.pieces.clear()
-        if len(self.stems) > MEMO:
-            self.stems.clear()
-        split = [self._stem(p) for p in missing]
-        new = list(dict.fromkeys(s for pair in split for s in pair if s and s not in self.stems))
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.plain = "|".join([_WIDE, *(re.escape(s) for s in special)])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, names: list[str]) -> list[bytes]:
+        """Ids (as bytes) of each of these different pieces."""
+        young, old = self.young, self.old
+        for w in names:
+            if w not in young and w in old:
+                young[w] = old[w]
+        new = [w for w in names if w not in young]
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            for stem, enc in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.stems[stem] = np.array(enc.ids, dtype=np.uint32).tobytes()
-        for piece, (stem, end) in zip(missing, split, strict=True):
-            self.pieces[piece] = self.stems.get(stem, b"") + self.stems[end] if end else self.stems.get(stem, b"")
+            ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32).tobytes()
+            end = 0
+            for w, i in zip(part, ids, strict=True):
+                start, end = end, end + 4 * len(i)
+                young[w] = flat[start:end]
+        out = [young[w] for w in names]
+        if len(young) > MEMO:
+            self.young, self.old = {}, young
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts in them)."""
-        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        texts = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        simple = pc.invert(pc.match_substring_regex(texts, self.plain))
+        low = pc.replace_substring_regex(pc.utf8_lower(texts), r"([\p{L}\p{N}])([.,]) ", r"\1 \2 ")
+        lists = pc.split_pattern(pc.if_else(simple, low, texts), " ")
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        at, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        missing = [w for w in names if w not in self.pieces]
-        if missing:
-            known = {w: self.pieces[w] for w in names if w in self.pieces} if len(self.pieces) + len(missing) > MEMO else None
-            self._learn(missing)
-            if known:
-                self.pieces.update(known)
-        blobs = [self.pieces[w] for w in names]
+        at = coded.indices.to_numpy()
+        blobs = self._learn(coded.dictionary.to_pylist())
         pool = np.frombuffer(b"".join(blobs), dtype=np.uint32)
         sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
         starts = np.cumsum(sizes) - sizes
         n = sizes[at]
         ends = np.concatenate([[0], np.cumsum(n)])
-        take = np.arange(ends[-1], dtype=np.int64) + np.repeat(starts[at] - ends[:-1], n)
+        kind = np.int32 if max(ends[-1], len(pool)) < 2**31 else np.int64
+        take = np.arange(ends[-1], dtype=kind) + np.repeat((starts[at] - ends[:-1]).astype(kind), n)
         return pool[take], ends[bounds]
 
 
