@@ -5,8 +5,9 @@ embedded as ``PLACES`` pairs (place, value): the value is that of the set's smal
 space (empty shares borrow from others), so two sets agree at a place with their Jaccard similarity as probability.
 
 Chosen path: a node of the recursion samples ``BRANCH`` places and hands each set to the children (place, value). Nodes of at
-most ``BUCKET`` sets are compared by brute force over the embeddings; larger ones go on to be split, and what is still larger
-after ``DEPTH`` splits is compared in tiles of bounded size. All is repeated in ``runs_for`` independent runs, as many as the
+most ``BUCKET`` sets are compared by brute force over one byte of each value; larger ones go on to be split. A node that keeps
+``DENSE`` of its parent's sets holds near copies, which no split parts: it is compared at once, and so is what is left after
+``DEPTH`` splits, in tiles of bounded size. All is repeated in ``runs_for`` independent runs, as many as the
 target recall needs. Sets that seem similar form candidate components; in these every pair is then compared exactly, again
 in tiles of bounded size. Neither step emits pairs: a tile gives for each set its links and the smallest set it hangs
 together with, so the rows made stay in proportion to the sets.
@@ -35,8 +36,9 @@ BRANCH = 2
 BUCKET = 100
 DEPTH = 4
 RECALL = 0.9995
-#: Sets and shingles of a tile's side.
-TILE_SETS, TILE_SHINGLES = 500, 1_000_000
+DENSE = 0.5
+#: Sets and shingles of a tile's side when sets are compared, and sets when embeddings are.
+TILE_SETS, TILE_SHINGLES, TILE_BRIEF = 500, 1_000_000, 2_000
 MEMO = 400_000
 NO_ID = -(2**63)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -101,7 +103,7 @@ class Shingler:
             n = len(h)
             roll = np.zeros(n, np.uint64)
             for k in range(WORDS):
-                roll[: n - k] = roll[: n - k] * _ODD[2] + h[k:]
+                roll[: max(n - k, 0)] = roll[: max(n - k, 0)] * _ODD[2] + h[k:]
             roll = scrambled(roll)
         out = []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -116,7 +118,7 @@ class Shingler:
 
 
 def embedding(s: np.ndarray) -> np.ndarray:
-    """``PLACES`` 16-bit values of a sorted set that isn't empty."""
+    """``PLACES`` 32-bit values of a sorted set that isn't empty."""
     place = (s >> np.uint64(57)).astype(np.int64)
     first = np.concatenate([[True], place[1:] != place[:-1]])
     have = np.zeros(PLACES, bool)
@@ -126,11 +128,11 @@ def embedding(s: np.ndarray) -> np.ndarray:
     if not have.all():
         empty = np.flatnonzero(~have)
         value[empty] = value[_BORROW[empty, have[_BORROW[empty]].argmax(axis=1)]]
-    return (scrambled(value) >> np.uint64(48)).astype(np.uint16)
+    return (scrambled(value) >> np.uint64(32)).astype(np.uint32)
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, digest of the set, its size, its embedding) of every row."""
+    """(doc_id, digest of the set, its size, its embedding, one byte of each value) of every row."""
     kept: dict[str, Shingler] = {}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,16 +140,17 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for part in tokens.slices(batch, "text"):
                 sets = shingler.sets(part.column("text").fill_null(""))
+                places = [embedding(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                        pa.array([len(s) for s in sets], pa.int64()), pa.array([embedding(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([None if p is None else p.tobytes() for p in places], pa.binary()), pa.array([None if p is None else p.astype(np.uint8).tobytes() for p in places], pa.binary()),
                     ],
-                    names=["doc_id", "digest", "size", "places"],
+                    names=["doc_id", "digest", "size", "places", "brief"],
                 )
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, digest binary, size long, places binary")
+    return rows.mapInArrow(work, "doc_id long, digest binary, size long, places binary, brief binary")
 
 
 def _children(keys: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
@@ -159,24 +162,24 @@ def _children(keys: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
             yield scrambled(draw ^ (places[np.arange(len(keys)), at.astype(np.int64)].astype(np.uint64) * _ODD[2] + at))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, PLACES)
+def _matrix(column: pa.Array, kind: type = np.uint32) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, PLACES)
 
 
 def _split(nodes: DataFrame, seeds: list[int] | None = None) -> DataFrame:
-    """(key, rep) rows, with embeddings, of the children of all nodes. ``seeds``: the roots of the runs, for rows without a key."""
+    """(key, rep, up) rows of the children of all nodes, with the size of the node above. ``seeds``: the roots of the runs, for rows without a key."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             places = _matrix(batch.column("places"))
-            starts = [np.full(len(places), s, np.uint64) for s in seeds] if seeds else [batch.column("key").to_numpy().astype(np.uint64)]
+            starts = [np.full(len(places), s, np.uint64) for s in seeds] if seeds else [batch.column("key").to_numpy().view(np.uint64)]
             for keys in starts:
                 for child in _children(keys, places):
-                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("rep")], names=["key", "rep"])
+                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("rep"), batch.column("n")], names=["key", "rep", "up"])
 
-    return nodes.mapInArrow(work, "key long, rep long")
+    return nodes.mapInArrow(work, "key long, rep long, up long")
 
 
 def _hang_together(near: np.ndarray) -> np.ndarray:
@@ -216,10 +219,10 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def in_tiles(rows: DataFrame, group: str, weight: str, sets: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def in_tiles(rows: DataFrame, group: str, weight: str, sets: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, most: int = TILE_SETS) -> DataFrame:
     """Runs ``work`` over tiles of the groups of ``rows``. A group of many sets or much weight (both are given on each row) is cut
     into blocks by a hash of ``rep``, and each pair of blocks is a tile. Rows get ``tile``, ``side`` (0, 1) and ``whole`` (a tile of one block)."""
-    blocks = F.greatest(F.ceil(F.col(sets) / TILE_SETS), F.ceil(F.col(weight) / TILE_SHINGLES), F.lit(1)).cast("int")
+    blocks = F.greatest(F.ceil(F.col(sets) / most), F.ceil(F.col(weight) / TILE_SHINGLES), F.lit(1)).cast("int")
     cut = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
@@ -234,36 +237,37 @@ def _candidate_edges(leaves: DataFrame, similarity: float) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, "tile"):
-            reps, places = t.column("rep").to_numpy(), _matrix(t.column("places").combine_chunks())
+            reps, places = t.column("rep").to_numpy(), _matrix(t.column("brief").combine_chunks(), np.uint8)
             n = len(reps)
             if n < 2:
                 continue
             near = np.zeros((n, n), bool)
             for i in range(n - 1):
-                near[i, i + 1 :] = (places[i + 1 :] == places[i]).sum(axis=1) >= least
+                near[i, i + 1 :] = np.count_nonzero(places[i + 1 :] == places[i], axis=1) >= least
             near |= near.T
             label = _hang_together(near)
             linked = np.flatnonzero(label != np.arange(n))
             if len(linked):
                 yield pa.RecordBatch.from_arrays([pa.array(reps[linked]), pa.array(reps[label[linked]])], names=["a", "b"])
 
-    return in_tiles(leaves, "key", "weight", "n", work, "a long, b long")
+    return in_tiles(leaves, "key", "weight", "n", work, "a long, b long", TILE_BRIEF)
 
 
 def candidates(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
     """(a, b) edges between sets (rep, places) that the chosen paths bring together and that look similar."""
     seeds = scrambled(np.arange(1, runs_for(recall, similarity) + 1, dtype=np.uint64) * np.uint64(1_000_003)).tolist()
-    found, nodes = [], util.written(_split(reps.select("rep", "places"), seeds), "paths")
+    reps = reps.select("rep", "places", "brief")
+    found, nodes = [], util.written(_split(reps.select("rep", "places", F.lit(0).cast("long").alias("n")), seeds), "paths")
     for depth in range(DEPTH):
         counts = nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         nodes = util.written(nodes.join(counts, "key"), "buckets")
-        last = depth == DEPTH - 1
-        small = nodes if last else nodes.where(F.col("n") <= BUCKET)
-        found.append(util.written(_candidate_edges(small.join(reps.select("rep", "places"), "rep").withColumn("weight", F.col("n")), similarity), "candidates"))
-        big = nodes.where(F.col("n") > BUCKET)
-        if last or big.limit(1).count() == 0:
+        done = (F.col("n") <= BUCKET) | ((F.col("up") > 0) & (F.col("n") >= DENSE * F.col("up"))) | F.lit(depth == DEPTH - 1)
+        leaves = nodes.where(done).select("key", "rep", "n").join(reps.select("rep", "brief"), "rep").withColumn("weight", F.lit(0).cast("long"))
+        found.append(util.written(_candidate_edges(leaves, similarity), "candidates"))
+        big = nodes.where(~done)
+        if big.limit(1).count() == 0:
             break
-        nodes = util.written(_split(big.join(reps.select("rep", "places"), "rep").select("key", "rep", "places")), "paths")
+        nodes = util.written(_split(big.join(reps.select("rep", "places"), "rep").select("key", "rep", "places", "n")), "paths")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
@@ -334,7 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text; rows repeated with the same id and text stay rows. A null id stays null and orders first. Other columns are not read.
     """
     described = util.written(describe(docs, id_col, text_col), "sets")
-    classes = util.written(described.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"), F.first("size").alias("size"), F.first("places").alias("places")), "classes")
+    classes = util.written(described.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"), F.first("size").alias("size"), F.first("places").alias("places"), F.first("brief").alias("brief")), "classes")
     edges = candidates(classes.where(F.col("places").isNotNull()), similarity, recall)
     linked = components(edges)
     sized = linked.join(classes.select(F.col("rep").alias("node"), "size"), "node")
