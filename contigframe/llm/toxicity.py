@@ -29,7 +29,7 @@ CHAIN = 128
 PREFIXES = (4, 5, 6, 7, 8)
 #: A feature marks tokens of toxic texts from this log ratio of shares on, and from this share of the toxic texts on.
 MARK_RATIO, MARK_SHARE, MARK_LEAST = 2.0, 0.01, 3
-STEPS, RATE, RIDGE = 60, 0.5, 1e-4
+STEPS, RATE, RIDGE = 60, 0.5, 1e-6
 MEMO = 400_000
 CLIP = 30.0
 _WORDS = re.compile(r"[^\W_]+")
@@ -157,12 +157,13 @@ def _different(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return out
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """The field's weights from (text, label) by gradient ascent of the chains' likelihood, then the texts' logistic function."""
+def fit(rows: list[tuple[str, int]], share: float | None = None) -> Model:
+    """The field's weights from (text, label) by gradient ascent of the chains' likelihood, then the texts' logistic function, for
+    a corpus in which ``share`` of the texts have label 1 (default: as in ``rows``)."""
     rows = _different(rows)
     moves, document = np.zeros((2, 2)), np.zeros(3)
     if len({y for _, y in rows}) < 2:
-        share = (sum(y for _, y in rows) + 0.5) / (len(rows) + 1) if rows else 0.0
+        share = (sum(y for _, y in rows) + 0.5) / (len(rows) + 1) if rows else 0.0  # nothing to tell apart
         document[0] = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
         return Model({}, 0.0, moves, document)
     marks = _marks(rows)
@@ -201,8 +202,10 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     e = bias + np.bincount(owner, w[column], len(names))[at]
     x = model.summary(np.add(*passes(e, starts, sizes, moves)), bounds)
     target = np.array([k for _, k in rows], float)
-    for _ in range(400):  # few and well-scaled columns: plain gradient steps
-        document = document + 2.0 * ((x * (target - sigmoid((x * document).sum(axis=1)))[:, None]).mean(axis=0) - 1e-3 * document * [0, 1, 1])
+    share = target.mean() if share is None else share
+    weigh = np.where(target == 1, share / target.mean(), (1 - share) / (1 - target.mean()))
+    for _ in range(600):  # few and well-scaled columns: plain gradient steps
+        document = document + 2.0 * ((x * (weigh * (target - sigmoid((x * document).sum(axis=1))))[:, None]).mean(axis=0) - 1e-4 * document * [0, 1, 1])
     model.document = document
     return model
 
@@ -223,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     for r in sorted(texts.where(F.col("doc_id").isin(ids)).toLocalIterator(), key=lambda r: (y[r["doc_id"]][0], r["doc_id"], r["text"])) if ids else ():
         if len(own := kept[y[r["doc_id"]][1]]) < sample:
             own.append((r["text"], y[r["doc_id"]][1]))
-    return fit(kept[0] + kept[1])
+    return fit(kept[0] + kept[1], have.get(1, 0) / sum(have.values()) if have else None)
 
 
 def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
