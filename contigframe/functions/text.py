@@ -148,7 +148,7 @@ def cog_letters(mask: Column | str) -> Column:
 
 def hmm_inference_db(source: Column | str) -> Column:
     """Evidence database of a profile search's source label ("search:db"), else null."""
-    db = F.regexp_extract(col(source), "^rustyhmmer:(.+)$", 1)
+    db = F.regexp_extract(col(source), "^hmm:(.+)$", 1)
     return F.when(db == "ncbifams", "NCBIfam").when(db == "pfam", "Pfam").when(db != "", F.concat(F.upper(F.substring(db, 1, 1)), F.substring(db, 2, 1000)))
 
 

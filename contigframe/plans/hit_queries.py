@@ -36,7 +36,7 @@ over("best_per_contig_type", HITS, lambda h: H.best_by(h.withColumn("type", F.co
 over("best_overall", HITS, lambda h: H.best_overall(h).select("q", "t", "bits"), "select q, t, bits from {hits} order by bits desc, ex desc, q, t limit 1")
 over("primary_target", HITS, lambda h: H.primary_target(h).select("q", "t", "ex"), "select q, t, ex from {hits} qualify row_number() over (partition by q order by ex desc, bits desc, t) = 1")
 over("best_annotation", ANN, lambda a: H.best_annotation(a).select("fid", "accession", "ord"), "select fid, accession, ord from {annotations} qualify row_number() over (partition by fid order by score desc, ord desc) = 1")
-over("best_anchor", ANN, lambda a: H.best_by(a.where("source = 'rustyhmmer:ncbifams'"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "accession"), "select fid, accession from {annotations} where source = 'rustyhmmer:ncbifams' qualify row_number() over (partition by fid order by score desc, ord) = 1")
+over("best_anchor", ANN, lambda a: H.best_by(a.where("source = 'hmm:ncbifams'"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "accession"), "select fid, accession from {annotations} where source = 'hmm:ncbifams' qualify row_number() over (partition by fid order by score desc, ord) = 1")
 over("rank_annotations", ANN, lambda a: a.select("fid", "ord", F.expr("row_number() over (partition by fid order by score desc, ord)").alias("rank")), "select fid, ord, cast(row_number() over (partition by fid order by score desc, ord) as int) as rank from {annotations}")
 over("species_ranks", HITS, lambda h: h.select("q", "t", "ex", F.when(F.col("pident") + 0.5 >= C.SPECIES_IDENTITY, "species").when(F.col("pident") + 0.5 >= C.GENUS_IDENTITY, "genus").otherwise("family").alias("rank")), "select q, t, ex, case when pident + 0.5 >= 98.7 then 'species' when pident + 0.5 >= 94.5 then 'genus' else 'family' end as rank from {hits}")
 over("relaxase_gate", HITS, lambda h: h.where((F.col("t") % 3 == 0) | (F.col("evalue") <= C.RELAXASE_MAX_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where t % 3 = 0 or ex >= 6")
@@ -119,11 +119,11 @@ def amr_catalog_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.join(R.relation(spark, sf_dir, "proteins").withColumnRenamed("pid", "t"), "t").select("q", "t", F.col("p_size").alias("pos"))
 
 
-@query("rfam_reclass", R.duck("""with f as (select fid, split_part(accession, '.', 1) as acc from {annotations} where source = 'infernox' qualify row_number() over (partition by fid order by ord) = 1),
+@query("rfam_reclass", R.duck("""with f as (select fid, split_part(accession, '.', 1) as acc from {annotations} where source = 'cm' qualify row_number() over (partition by fid order by ord) = 1),
 t as (select acc, min(p_type) as type from {proteins} group by 1)
 select fid, case when p % 3 = 0 then 'Rrna' when p % 3 = 1 then 'Trna' when type is not null then 'RegulatoryRegion' else 'Ncrna' end as kind from (select f.fid, type, cast(substr(f.acc, 3) as int) as p from f left join t on t.acc = f.acc)"""))
 def rfam_reclass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = H.best_by(R.relation(spark, sf_dir, "annotations").where("source = 'infernox'"), ["fid"], F.col("ord")).select("fid", T.bare_accession("accession").alias("acc"))
+    first = H.best_by(R.relation(spark, sf_dir, "annotations").where("source = 'cm'"), ["fid"], F.col("ord")).select("fid", T.bare_accession("accession").alias("acc"))
     types = R.relation(spark, sf_dir, "proteins").groupBy("acc").agg(F.min("p_type").alias("type"))
     p = F.substring("acc", 3, 10).cast("int")
     return first.join(types, "acc", "left").select("fid", F.when(p % 3 == 0, "Rrna").when(p % 3 == 1, "Trna").when(F.col("type").isNotNull(), "RegulatoryRegion").otherwise("Ncrna").alias("kind"))

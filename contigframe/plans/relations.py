@@ -32,7 +32,7 @@ RELATIONS = {
     # annotations: several of each feature, in order
     "annotations": """select cast(l_orderkey as bigint) fid, 'PF'||lpad(cast(l_partkey%500 as varchar(10)),5,'0')||'.'||cast(l_linenumber as varchar(3)) accession,
         l_extendedprice score, cast(row_number() over (partition by l_orderkey order by l_linenumber,l_partkey,l_suppkey,l_extendedprice,l_quantity,l_shipdate) as int) ord,
-        case when l_suppkey%3=0 then 'rustyhmmer:pfam' when l_suppkey%3=1 then 'rustyhmmer:ncbifams' else 'infernox' end source from lineitem""",
+        case when l_suppkey%3=0 then 'hmm:pfam' when l_suppkey%3=1 then 'hmm:ncbifams' else 'cm' end source from lineitem""",
     # reference proteins: names, genes and identifiers by accession
     "proteins": """select cast(p_partkey as bigint) pid, 'PF'||lpad(cast(p_partkey%500 as varchar(10)),5,'0') acc,
         case when p_size%5=0 then null when p_size%7=0 then 'Hypothetical protein' when p_size%11=0 then 'DUF'||cast(p_size as varchar(5))||' domain-containing protein'

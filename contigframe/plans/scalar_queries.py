@@ -85,7 +85,7 @@ def mutation_note(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("a", T.mutation_note(F.lit("QUINOLONE"), F.lit("gyrA"), T.mutation_spec("a")).alias("note"))
 
 
-scalar("inference_db", "(select distinct source a from {annotations} union all select 'rustyhmmer:amr')", lambda: T.hmm_inference_db("a"), "case a when 'rustyhmmer:ncbifams' then 'NCBIfam' when 'rustyhmmer:pfam' then 'Pfam' when 'rustyhmmer:amr' then 'Amr' end")
+scalar("inference_db", "(select distinct source a from {annotations} union all select 'hmm:amr')", lambda: T.hmm_inference_db("a"), "case a when 'hmm:ncbifams' then 'NCBIfam' when 'hmm:pfam' then 'Pfam' when 'hmm:amr' then 'Amr' end")
 
 
 def _b(c: str) -> Column:

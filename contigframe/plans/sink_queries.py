@@ -84,7 +84,7 @@ def gbff_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.gbff_origin(R.relation(spark, sf_dir, "contigs"))
 
 
-@query("fasta_lines", R.duck("select contig, sum(length(seq)) as bases from {contigs} group by 1"))
+@query("fasta_lines", R.duck("select contig, cast(sum(length(seq)) as bigint) as bases from {contigs} group by 1"))
 def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = K.fasta_lines(R.relation(spark, sf_dir, "contigs"), 70)
     return lines.groupBy("contig").agg(F.sum(F.when(F.col("ord") > 0, F.length("line")).otherwise(0)).alias("bases"))
