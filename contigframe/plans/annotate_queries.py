@@ -34,9 +34,12 @@ detector("crispr_arrays", lambda c: D.crispr(c.dropDuplicates(["contig", "s", "e
 detector("oric_detect", lambda c: D.oric(c.where("period = 7").dropDuplicates(["contig", "s", "e"])), f"with d as (select distinct on (contig, s, e) contig, s, e, hint_gene from {CALLS} c where period = 7) select contig, contig||'_oriC'||case when count(*) over (partition by contig) > 1 then '_'||row_number() over (partition by contig order by s, e) else '' end as id, 'OriC' as kind, s, e, coalesce(hint_gene, 'prod') as name from d")
 
 
-@query("orit_relaxase", R.duck("select fid, 'MOBP' as family, ord from (select * from {annotations} where ord % 2 = 0 or score > 50000) qualify row_number() over (partition by fid order by score desc, ord) = 1"))
+_MOB = "(select fid, ord, score, case cast(substr(accession,3,5) as int)%4 when 0 then 'PF03389.22' when 1 then 'PF01076' when 2 then 'PF13814.1' else accession end accession from {annotations})"
+
+
+@query("orit_relaxase", R.duck(f"select fid, case accession when 'PF03389.22' then 'MOBQ' when 'PF01076' then 'MOBV' when 'PF13814.1' then 'relaxase (Replic_Relax)' else 'MOBP' end as family, ord from {_MOB} where ord % 2 = 0 or score > 50000 qualify row_number() over (partition by fid order by score desc, ord) = 1"))
 def orit_relaxase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = R.relation(spark, sf_dir, "annotations").withColumns({"name": F.lit("T4SS_MOBP"), "has_ga": F.col("ord") % 2 == 0, "evalue": F.when(F.col("score") > 50000, 1e-9).otherwise(1e-2)})
+    hits = R.select(spark, sf_dir, f"select * from {_MOB} m").withColumns({"name": F.lit("T4SS_MOBP"), "has_ga": F.col("ord") % 2 == 0, "evalue": F.when(F.col("score") > 50000, 1e-9).otherwise(1e-2)})
     return D.relaxases(hits).select("fid", "family", "ord")
 
 

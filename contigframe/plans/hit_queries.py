@@ -41,8 +41,11 @@ over("rank_annotations", ANN, lambda a: a.select("fid", "ord", F.expr("row_numbe
 over("species_ranks", HITS, lambda h: h.select("q", "t", "ex", F.when(F.col("pident") + 0.5 >= C.SPECIES_IDENTITY, "species").when(F.col("pident") + 0.5 >= C.GENUS_IDENTITY, "genus").otherwise("family").alias("rank")), "select q, t, ex, case when pident + 0.5 >= 98.7 then 'species' when pident + 0.5 >= 94.5 then 'genus' else 'family' end as rank from {hits}")
 over("relaxase_gate", HITS, lambda h: h.where((F.col("t") % 3 == 0) | (F.col("evalue") <= C.RELAXASE_MAX_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where t % 3 = 0 or ex >= 6")
 over("attc_search", HITS, lambda h: h.where(F.col("evalue") <= C.ATTC_MAX_EVALUE).select("q", "t", "ex"), "select q, t, ex from {hits} where ex >= 3")
-over("best_hallmark", ANN, lambda a: H.best_by(a.withColumn("cls", T.hallmark_class(F.lit(""), "accession")).where("cls is not null"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "cls"),
-     "select fid, cls from (select *, case " + " ".join(f"when split_part(accession, '.', 1) in ({', '.join(repr(x) for x in v.split())}) then '{k}'" for k, v in C.HALLMARK_ACCESSIONS.items()) + " end as cls from {annotations}) where cls is not null qualify row_number() over (partition by fid order by score desc, ord) = 1")
+#: Annotations whose accessions are those of hallmark families, and others.
+PHAGE = "(select fid, score, ord, case cast(substr(accession,3,5) as int)%9 when 0 then 'PF03354.2' when 1 then 'PF05136' when 2 then 'PF05065.1' when 3 then 'PF04586' when 4 then 'PF04865.7' when 5 then 'PF00589' when 6 then 'PF00959.3' else accession end accession from {annotations})"
+_PHAGE_CLASS = "case split_part(accession, '.', 1) when 'PF03354' then 'terminase' when 'PF05136' then 'portal' when 'PF05065' then 'capsid' when 'PF04586' then 'protease' when 'PF04865' then 'tail' when 'PF00589' then 'integrase' when 'PF00959' then 'lysis' end"
+over("best_hallmark", PHAGE, lambda a: H.best_by(a.withColumn("cls", T.hallmark_class(F.lit(""), "accession")).where("cls is not null"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "cls"),
+     f"select fid, cls from (select *, {_PHAGE_CLASS} as cls from {PHAGE}) where cls is not null qualify row_number() over (partition by fid order by score desc, ord) = 1")
 over("min_opt", HITS, lambda h: h.groupBy("t").agg(F.min(F.when(F.col("ex") % 4 == 0, F.col("bits"))).alias("least")), "select t, min(bits) filter (ex % 4 = 0) as least from {hits} group by t")
 
 
