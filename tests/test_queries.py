@@ -8,14 +8,19 @@ from contigframe.plans import catalog
 QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
+#: Contigs of the smallest table are so crowded that RNAs mask every CDS.
+LARGER = {"rna_masks_cds": "sf0.01"}
+
+
 @pytest.fixture(scope="module")
 def con(duck):
-    return duck("sf0.001")
+    return {sf: duck(sf) for sf in ("sf0.001", "sf0.01")}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, con, name):
-    assert compare(QUERIES[name](spark, "/root/testdata/sf0.001"), con, ORACLES[name]) > 0
+    sf = LARGER.get(name, "sf0.001")
+    assert compare(QUERIES[name](spark, f"/root/testdata/{sf}"), con[sf], ORACLES[name]) > 0
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
