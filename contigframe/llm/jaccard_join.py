@@ -39,7 +39,7 @@ RECALL = 0.9995
 DENSE = 0.5
 #: Sets and shingles of a tile's side when sets are compared, and sets when embeddings are.
 TILE_SETS, TILE_SHINGLES, TILE_BRIEF = 500, 1_000_000, 2_000
-MEMO = 400_000
+MEMO = 250_000
 NO_ID = -(2**63)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -150,7 +150,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 )
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, digest binary, size long, places binary, brief binary")
+    return rows.mapInArrow(tokens.tidy(work), "doc_id long, digest binary, size long, places binary, brief binary")
 
 
 def _children(keys: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
@@ -228,7 +228,7 @@ def in_tiles(rows: DataFrame, group: str, weight: str, sets: str, work: Callable
     low, high = F.least("block", "other"), F.greatest("block", "other")
     tiles = cut.withColumns({"tile": F.xxhash64(F.col(group), low, high), "side": (F.col("block") == high).cast("int"), "whole": F.col("block") == F.col("other")})
     tiles = tiles.withColumn("whole", low == high).drop("blocks", "block", "other", weight, sets, group)
-    return tiles.repartition("tile").sortWithinPartitions("tile", "rep").mapInArrow(work, schema)
+    return tiles.repartition("tile").sortWithinPartitions("tile", "rep").mapInArrow(tokens.tidy(work), schema)
 
 
 def _candidate_edges(leaves: DataFrame, similarity: float) -> DataFrame:
@@ -299,7 +299,7 @@ def _verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, s
             yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(reps[label]), pa.array(near.sum(axis=1).astype(np.int64))], names=["rep", "root", "links"])
 
     text = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    sets = text.join(members, "rep").select("rep", "component", "n", "weight", "text").mapInArrow(shingles, "rep long, component long, n long, weight long, shingles binary")
+    sets = text.join(members, "rep").select("rep", "component", "n", "weight", "text").mapInArrow(tokens.tidy(shingles), "rep long, component long, n long, weight long, shingles binary")
     return in_tiles(sets, "component", "weight", "n", compare, "rep long, root long, links long")
 
 

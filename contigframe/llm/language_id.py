@@ -27,7 +27,7 @@ SAMPLE = 300
 SAMPLE_BYTES = (100, 32_768)
 LANGUAGES = 200
 UNKNOWN = "und"
-MEMO = 400_000
+MEMO = 120_000
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -227,7 +227,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(pred), pa.array(prob), pa.array(rate)], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(score, "doc_id long, lang_pred string, score double, bits_per_byte double")
+    out = rows.mapInArrow(tokens.tidy(score), "doc_id long, lang_pred string, score double, bits_per_byte double")
     return out.select("doc_id", util.held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
@@ -243,7 +243,7 @@ def identified_documents(docs: DataFrame, model: Model, text_col: str = "text",
                 pred, prob, _ = _predictions(scorer, part.column(text_col))
                 yield part.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, prob.tolist(), strict=True)]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tokens.tidy(keep), docs.schema)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

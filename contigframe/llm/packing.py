@@ -134,7 +134,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length:
                         rows.append((doc, s - a, e - s, tokens.crc(ids[s:e]), b - a))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tokens.tidy(cut), PIECES)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, length: int = LENGTH, unit: int = UNIT, end: int = END) -> DataFrame:

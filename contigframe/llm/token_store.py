@@ -191,7 +191,7 @@ def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         source.close()
 
     encoded = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        encode, "doc_id long, digests array<binary>, n_tokens long, chunks array<struct<digest: binary, pack: string, offset: long, ids: int>>"
+        tokens.tidy(encode), "doc_id long, digests array<binary>, n_tokens long, chunks array<struct<digest: binary, pack: string, offset: long, ids: int>>"
     )
     encoded = util.written(encoded, "ids-encoded")
     places = encoded.select(F.explode("chunks").alias("c")).select("c.*").groupBy("digest").agg(F.min(F.struct("pack", "offset", "ids")).alias("place"))

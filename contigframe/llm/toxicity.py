@@ -30,7 +30,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 #: A feature marks tokens of toxic texts from this log ratio of shares on, and from this share of the toxic texts on.
 MARK_RATIO, MARK_SHARE, MARK_LEAST = 2.0, 0.01, 3
 STEPS, RATE, RIDGE = 60, 0.5, 1e-6
-MEMO = 400_000
+MEMO = 200_000
 CLIP = 30.0
 _WORDS = re.compile(r"[^\W_]+")
 SPANS = "array<struct<start: int, end: int>>"
@@ -271,7 +271,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(score, f"doc_id long, score double, predicted int, expected_tokens double, spans {SPANS}")
+    out = rows.mapInArrow(tokens.tidy(score), f"doc_id long, score double, predicted int, expected_tokens double, spans {SPANS}")
     return out.select("doc_id", util.held_out("doc_id").alias("held_out"), "score", "predicted", "expected_tokens", "spans")
 
 
