@@ -27,6 +27,8 @@ SAMPLE = 300
 SAMPLE_BYTES = (100, 32_768)
 LANGUAGES = 200
 UNKNOWN = "und"
+#: A text of at least so many bytes is foreign if its code is longer than plain bytes and than so many times the learnt texts'.
+JUDGED, FOREIGN = 64, 4.0
 MEMO = 120_000
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -100,6 +102,7 @@ class Model:
         self.order, self.langs = order, sorted(samples)
         streams = {k: _stream([p for t in samples[k] for p in t.encode().split(b" ")]) for k in self.langs}
         n_lang = len(self.langs)
+        learnt, size = np.zeros(n_lang), np.zeros(n_lang)
         self.first: list[Table] = []
         self.cost: list[np.ndarray] = []
         self.contexts: list[Table] = []
@@ -121,10 +124,17 @@ class Model:
                 escape[known, j] = -np.log2(q[known] / (n[known] + q[known]))
                 cost[:, j] = shorter[:, j] + escape[head_of, j]
                 cost[at, j] = -np.log2(counts / (n + q)[head_of[at]])
+                if reach:  # a byte is coded in its longest context: of ORDER bytes, or from the space before its piece on
+                    coded = counts * (reach == order or (keys >> np.uint64(8 * reach) & np.uint64(255)) == 32)
+                    learnt[j] += coded @ cost[at, j].astype(float)
+                    size[j] += coded.sum()
             self.first.append(Table(grams))
             self.cost.append(cost)
             self.contexts.append(Table(heads))
             self.escape.append(escape)
+        #: bits per byte of the learnt texts, and those from which a text isn't in the language
+        self.rate = learnt / np.maximum(size, 1)
+        self.foreign = np.maximum(8.0, FOREIGN * self.rate)
 
     def _resolve(self, keys: np.ndarray, reach: int) -> np.ndarray:
         """Costs (rows by languages) of bytes whose context of ``reach`` bytes is in the keys; -1: the uniform code."""
@@ -231,17 +241,23 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return out.select("doc_id", util.held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-def identified_documents(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` in a known language, with their columns. Nothing is shuffled: rows are dropped where they are read."""
+def identified_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in a known language, with their columns. Nothing is shuffled: rows are dropped where they are read.
+
+    Texts without a letter go, and those of ``JUDGED`` bytes or more that the best language codes worse than ``Model.foreign``.
+    How far other languages lie behind doesn't count: a short text may be good in several.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept: dict[str, Scorer] = {}
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kept.setdefault("scorer", Scorer(sent.value))
+        limit = dict(zip(scorer.model.langs, scorer.model.foreign.tolist(), strict=True))
         for batch in batches:
             for part in tokens.slices(batch, text_col):
-                pred, prob, _ = _predictions(scorer, part.column(text_col))
-                yield part.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, prob.tolist(), strict=True)]))
+                pred, _, rate = _predictions(scorer, part.column(text_col))
+                size = pc.fill_null(pc.binary_length(part.column(text_col)), 0).to_pylist()
+                yield part.filter(pa.array([p != UNKNOWN and (n < JUDGED or r <= limit[p]) for p, n, r in zip(pred, size, rate.tolist(), strict=True)], pa.bool_()))
 
     return docs.mapInArrow(tokens.tidy(keep), docs.schema)
 
