@@ -12,7 +12,8 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -196,11 +197,50 @@ def email(s: str, key: bytes, back: bool) -> str | None:
     return f"{_permute_letters(local, key, 'local', back)}@{_permute_letters(host, key, 'host', back)}.{top}"
 
 
+#: Lengths of account numbers by country; others are tried from the longest on.
+IBAN_LENGTHS = {
+    c: n
+    for n, cs in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in cs.split()
+}
+
+
+def _borders(s: str, longest: int) -> Iterator[list[tuple[int, int]]]:
+    """For each start of a group of ``s``, (how many signs, end) up to each end of a group, as far as ``longest``."""
+    groups = [(m.start(), m.end()) for m in re.finditer(r"[^ -]+", s)]
+    for i, (a, _) in enumerate(groups):
+        n, ends = 0, []
+        for x, y in groups[i:]:
+            n += y - x
+            if n > longest:
+                break
+            ends.append((n, y))
+        yield [(0, a), *ends]
+
+
+def card_windows(s: str) -> Iterator[tuple[int, int]]:
+    """What may be a card in a run of digits: from each group on, the longest first."""
+    for (_, a), *ends in _borders(s, 19):
+        yield from ((a, b) for n, b in reversed(ends) if n >= 13)
+
+
+def iban_windows(s: str) -> Iterator[tuple[int, int]]:
+    """What may be an account number at the start of a run: the length of its country, then the longest first."""
+    ends = [(n, b) for n, b in next(_borders(s, 34))[1:] if n >= 15]
+    yield from ((0, b) for n, b in sorted(ends, key=lambda e: (e[0] != IBAN_LENGTHS.get(s[:2]), -e[0])))
+
+
+#: Kinds whose pattern matches a run that may hold more than the value: what to try in it.
+WINDOWS = {"iban": iban_windows, "card": card_windows}
 #: (kind, pattern, pseudonym). The first pattern that matches at a place and whose value is valid wins.
 KINDS = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9.-]{0,250}\.[A-Za-z]{2,24}(?![A-Za-z0-9])", email),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){2,7}(?: ?\d{1,4})?(?![A-Za-z0-9])", iban),
-    ("card", r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])", card),
+    ("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d{2,34}(?![A-Za-z0-9])(?: \d{1,34}(?![A-Za-z0-9])){0,34}))[A-Z]{2}\d\d", iban),
+    ("card", r"(?<![\d.-])\d+(?:[ -]\d+)*(?![\d-])", card),
     ("number16", r"(?<![\d.-])(?:\d{16}|\d{4}(?:[ -]\d{4}){3})(?![\d-])", long_number),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])", phone),
     ("national", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", national),
@@ -216,29 +256,62 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[t
     """(text with pseudonyms, (kind, start, end) of each in the result)."""
     if not _MAYBE.search(text):
         return text, []
-    found: list[tuple[int, int, str, str]] = []
+    found: list[tuple[int, int, str, Callable]] = []
+    refused: list[tuple[int, int, Callable]] = []
     taken: list[tuple[int, int]] = []
     for kind, pattern, change in _PATTERNS:
         if kind == "email" and "@" not in text:
             continue
+        last = 0
         for m in pattern.finditer(text):
-            new = change(m[0], key, back)
-            if new is not None and not _overlaps(taken, m.start(), m.end()):
-                found.append((m.start(), m.end(), kind, new))
+            if kind not in WINDOWS:
+                if not _overlaps(taken, m.start(), m.end()) and change(m[0], key, back) is not None:
+                    found.append((m.start(), m.end(), kind, change))
+                continue
+            run = m[m.lastindex or 0]
+            for a, b in WINDOWS[kind](run) if len(run) >= 13 else ():
+                a, b = m.start() + a, m.start() + b
+                if a < last or _overlaps(taken, a, b):
+                    continue
+                if change(text[a:b], key, back) is None:
+                    refused.append((a, b, change))
+                else:
+                    found.append((a, b, kind, change))
+                    last = b
+                    if kind == "iban":
+                        break
         taken = sorted((a, b) for a, b, _, _ in found)
+    new = _changed(text, found, refused, key, back)
     out, spans, last, size = [], [], 0, 0
-    for a, b, kind, new in sorted(found):
-        out += [text[last:a], new]
+    for (a, b, kind, _), value in sorted(zip(found, new, strict=True), key=lambda f: f[0][:2]):
+        out += [text[last:a], value]
         size += a - last
-        spans.append((kind, size, size + len(new)))
-        size += len(new)
+        spans.append((kind, size, size + len(value)))
+        size += len(value)
         last = b
     return "".join([*out, text[last:]]), spans
 
 
-def _overlaps(taken: list[tuple[int, int]], a: int, b: int) -> bool:
-    from bisect import bisect_left
+def _changed(text: str, found: list[tuple[int, int, str, Callable]], refused: list[tuple[int, int, Callable]], key: bytes, back: bool) -> list[str]:
+    """The pseudonym of each value. What was refused near a value has to be refused beside its pseudonym too, or the way back would
+    read other values: a value walks on in its cycle until that holds. The way back goes through the values in reverse order."""
+    refused = sorted(refused, key=lambda r: r[:2])
+    starts, longest = [a for a, _, _ in refused], max((b - a for a, b, _ in refused), default=0)
+    chars, new = list(text) if refused else [], [""] * len(found)
+    for i in reversed(range(len(found))) if back else range(len(found)):
+        a, b, _, change = found[i]
+        near = [r for r in refused[bisect_left(starts, a - longest) : bisect_left(starts, b)] if r[1] > a]
+        value = change(text[a:b], key, back)
+        if near and len(value) == b - a:
+            chars[a:b] = value
+            while any(f("".join(chars[x:y]), key, back) is not None for x, y, f in near):
+                value = change(value, key, back)
+                chars[a:b] = value
+        new[i] = value
+    return new
 
+
+def _overlaps(taken: list[tuple[int, int]], a: int, b: int) -> bool:
     k = bisect_left(taken, (a, a))
     return (k < len(taken) and taken[k][0] < b) or (k > 0 and taken[k - 1][1] > a)
 

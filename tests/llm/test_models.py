@@ -152,6 +152,28 @@ def test_pseudonyms_keep_the_format_and_go_back(value):
     assert pii.pseudonymise(f"x {value} y", KEY)[0] == f"x {new} y" or "mail" in value
 
 
+CARD, IBAN = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+BESIDE = [f"{CARD} 12/27", "4111111111111111 123", f"12 {CARD}", f"{CARD} 12 27 123", f"5555 12 27 {CARD}", f"12/27 {CARD} 123", f"{CARD} 1234567812345678", f"{CARD} 2027-01-31", f"{CARD} {CARD}"]
+BESIDE += [f"{IBAN} 12", f"77 {IBAN} 1234", "NO93 8601 1117 947 12", "BE68 5390 0754 7034 1234"]
+
+
+@pytest.mark.parametrize("text", BESIDE)
+def test_values_beside_numbers_are_found_and_go_back(text):
+    for k in range(40):
+        new, spans = pii.pseudonymise(text, b"%d" % k)
+        kinds = [x[0] for x in spans]
+        assert ("card" if "4111" in text else "iban") in kinds and len(kinds) >= (2 if text.count(CARD) == 2 else 1)
+        assert not any(v in new for v in (CARD, CARD.replace(" ", ""), IBAN, "8601 1117 947", "5390 0754 7034"))
+        assert pii.pseudonymise(new, b"%d" % k, back=True)[0] == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("0123456789  -"), min_size=14, max_size=60))
+def test_runs_of_numbers_go_back(text):
+    new, spans = pii.pseudonymise(text, KEY)
+    assert pii.pseudonymise(new, KEY, back=True)[0] == text
+
+
 def test_invalid_values_stay():
     for v in ("12345", "999.1.2.3", "2001-02-30", "666-12-3456", "DE00 3704 0044 0532 0130 00"[:15], "1.2.3.4.5", "", "1.5"):
         assert pii.pseudonymise(v, KEY) == (v, [])
