@@ -2,7 +2,7 @@
 
 Values that a validator accepts are replaced by a keyed permutation of themselves within their own format: the same value gets
 the same pseudonym in every document, two values never share one, and the holder of the key can go back. Card numbers keep
-their length, separators and a valid check digit (Luhn), account numbers (IBAN) their country and valid check digits, dates stay
+their length, separators and a valid check digit (Luhn), account numbers (IBAN) their country, letters where letters were and valid check digits, dates stay
 dates of the same format, phone numbers, national identifiers and network addresses keep their grouping, and e-mail addresses their
 shape and top-level domain.
 """
@@ -101,9 +101,10 @@ def _iban_value(s: str) -> int:
 
 def iban(s: str, key: bytes, back: bool) -> str | None:
     flat = s.replace(" ", "")
-    if not 15 <= len(flat) <= 34 or _iban_value(flat[4:] + flat[:4]) % 97 != 1 or not flat[4:].isdigit():
+    if not 15 <= len(flat) <= 34 or _iban_value(flat[4:] + flat[:4]) % 97 != 1:
         return None
-    body = _permute_digits(flat[4:], key, f"iban{flat[:2]}", back)
+    permute = _permute_digits if flat[4:].isdigit() else _permute_letters
+    body = permute(flat[4:], key, f"iban{flat[:2]}", back)
     check = 98 - _iban_value(body + flat[:2] + "00") % 97
     it = iter(f"{flat[:2]}{check:02d}{body}")
     return "".join(c if c == " " else next(it) for c in s)
@@ -239,7 +240,7 @@ WINDOWS = {"iban": iban_windows, "card": card_windows}
 #: (kind, pattern, pseudonym). The first pattern that matches at a place and whose value is valid wins.
 KINDS = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9.-]{0,250}\.[A-Za-z]{2,24}(?![A-Za-z0-9])", email),
-    ("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d{2,34}(?![A-Za-z0-9])(?: \d{1,34}(?![A-Za-z0-9])){0,34}))[A-Z]{2}\d\d", iban),
+    ("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d\d[A-Z0-9]{0,30}(?![A-Za-z0-9])(?: [A-Z0-9]{1,30}(?![A-Za-z0-9])){0,30}))[A-Z]{2}\d\d", iban),
     ("card", r"(?<![\d.-])\d+(?:[ -]\d+)*(?![\d-])", card),
     ("number16", r"(?<![\d.-])(?:\d{16}|\d{4}(?:[ -]\d{4}){3})(?![\d-])", long_number),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])", phone),
@@ -247,8 +248,8 @@ KINDS = [
     ("address", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", address),
     ("date", r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)", date),
 ]
-#: Any match has an at sign or two digits within a few characters; texts without are left at once.
-_MAYBE = re.compile(r"@|\d[\d ./()-]{4}")
+#: Any match has an at sign, a digit among five signs of numbers, or the head of an account number; texts without are left at once.
+_MAYBE = re.compile(r"@|\d[\d ./()-]{4}|[A-Z]{2}\d\d ?[A-Z]")
 _PATTERNS = [(kind, re.compile(p), f) for kind, p, f in KINDS]
 
 

@@ -167,6 +167,17 @@ def test_values_beside_numbers_are_found_and_go_back(text):
         assert pii.pseudonymise(new, b"%d" % k, back=True)[0] == text
 
 
+@pytest.mark.parametrize("value", ["GB82 WEST 1234 5698 7654 32", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606", "IT60 X054 2811 1010 0000 0123 456", "IE29 AIBK 9311 5212 3456 78", "MT84MALT011000012345MTLCAST001S"])
+def test_account_numbers_with_letters_are_found_and_go_back(value):
+    for text in (value, f"IBAN {value}.", f"{value} AND {IBAN} 12", f"AB12 {value} 1234", f"{value} {CARD}"):
+        new, spans = pii.pseudonymise(text, KEY)
+        a, b = next((a, b) for kind, a, b in spans if kind == "iban")
+        flat = new[a:b].replace(" ", "")
+        assert value not in new and IBAN not in new and CARD not in new and pii.pseudonymise(new, KEY, back=True)[0] == text
+        assert flat[:2] == value[:2] and pii._iban_value(flat[4:] + flat[:4]) % 97 == 1
+        assert [(c.isalpha(), c == " ") for c in new[a:b]] == [(c.isalpha(), c == " ") for c in value]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("0123456789  -"), min_size=14, max_size=60))
 def test_runs_of_numbers_go_back(text):
