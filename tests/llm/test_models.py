@@ -241,6 +241,32 @@ def test_licences_of_odd_rows(spark):
     assert got == {1: (None, 0), 2: (None, 0), 3: ("MIT", 1), 4: ("proprietary", 1), None: (None, 0)}
 
 
+GNU = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+SIBLINGS = [
+    ("AGPL-3.0", GNU.format(":", "Affero General Public License", ",", "3")),
+    ("GPL-3.0", GNU.format(":", "General Public License", ",", "3")),
+    ("LGPL-2.1", GNU.format(";", "Lesser General Public License", ";", "2.1")),
+    ("GPL-2.0", GNU.format(";", "General Public License", ";", "2")),
+    ("Apache-1.1", "Apache License, Version 1.1"),
+    ("BSD-2-Clause", BSD),
+    ("BSD-3-Clause", BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("EPL-2.0", "are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/. This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+]
+
+
+def test_sibling_licences_have_their_own_names(spark):
+    docs = spark.createDataFrame([(i, f"Copyright 2001 someone. All rights reserved.\n{t}\nint main") for i, (_, t) in enumerate(SIBLINGS)], "doc_id long, text string")
+    got = {r.doc_id: (r.license, {f.license for f in r.found} - {"proprietary"}) for r in licenses.license_scan(docs).collect()}
+    assert got == {i: (name, {name}) for i, (name, _) in enumerate(SIBLINGS)}
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES:
+        assert max(scanner.scan(f"see {text} then"), key=lambda f: f[3] - f[2])[0] == name
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.binary(min_size=1, max_size=2).map(lambda b: (b * 192)[:384] if len(b) == 2 else b * 192))
 def test_png_round_trip(payload):
