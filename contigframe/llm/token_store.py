@@ -6,11 +6,11 @@ wherever they stand. The store has three parts below its folder:
 - ``packs/<name>.pack``: magic, item size, then the payloads of unique chunks (little-endian ids) one after the other;
 - ``index``: Parquet, one row per unique chunk: digest, pack, offset, ids;
 - ``recipes``: Parquet in ascending doc_id, one row per document: part, doc_id, digests, n_tokens, root. ``manifest`` holds
-  the Merkle root over the document roots of each part.
+  documents, tokens and the Merkle root over the document roots of each part, and how many parts there are.
 
 Writing encodes each text once: tasks write the chunks that are new to them to staging packs; the index then names one
-place for each digest, and a second pass copies just these to the final packs. Reading checks every chunk against its digest
-and every recipe against its root.
+place for each digest, and a second pass copies just these to the final packs. Reading checks every chunk against its digest,
+every recipe against its root and the recipes of every part against the manifest.
 """
 
 from __future__ import annotations
@@ -201,10 +201,31 @@ def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     recipes = encoded.select("doc_id", "digests", "n_tokens").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens")
     recipes = recipes.mapInArrow(roots, "doc_id long, digests array<binary>, n_tokens long, root binary").withColumn("part", F.spark_partition_id())
     recipes.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/recipes")
-    written = spark.read.parquet(f"{folder}/recipes")
-    written.groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("part_tokens"), F.sort_array(F.collect_list(F.struct("row", "root"))).alias("r")).select(
-        "part", "documents", "part_tokens", F.sha2(F.concat_ws("", F.transform("r", lambda x: F.hex(x["root"]))), 256).alias("root")
-    ).write.parquet(f"{folder}/manifest")
+    part_facts(spark, folder).withColumn("parts", F.count("*").over(Window.partitionBy())).write.parquet(f"{folder}/manifest")
+
+
+def part_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """(part, documents, part_tokens, root) of every part, from its recipes."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            joined = [merkle([x["root"] for x in r]) for r in batch.column("r").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("part", "documents", "part_tokens")), pa.array(joined, pa.binary())], names=["part", "documents", "part_tokens", "root"])
+
+    parts = spark.read.parquet(f"{folder}/recipes").groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("part_tokens"), F.sort_array(F.collect_list(F.struct("row", "root"))).alias("r"))
+    return parts.mapInArrow(join, "part int, documents long, part_tokens long, root binary")
+
+
+def check_parts(spark: SparkSession, folder: str) -> None:
+    """An error unless the parts are those of the manifest, whole and as written."""
+    want, names = spark.read.parquet(f"{folder}/manifest"), ["documents", "part_tokens", "root"]
+    listed = want.agg(F.count("*").alias("n"), F.max("parts").alias("parts")).first()
+    if listed["n"] != (listed["parts"] or 0):
+        raise ValueError(f"the manifest of {folder} has {listed['n']} of {listed['parts']} parts")
+    got = part_facts(spark, folder).select("part", F.struct(*names).alias("got"))
+    bad = got.join(want.select("part", F.struct(*names).alias("want")), "part", "full_outer").where(~F.col("got").eqNullSafe(F.col("want"))).select("part").orderBy("part").limit(5).collect()
+    if bad:
+        raise ValueError(f"recipes of {folder} don't match the manifest: parts {', '.join(str(r['part']) for r in bad)}")
 
 
 def chunk_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,6 +255,7 @@ def chunk_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the store's files."""
+    check_parts(spark, folder)
     recipes = spark.read.parquet(f"{folder}/recipes")
     facts = util.written(chunk_facts(spark, folder), "chunk-facts")
     used = recipes.select("part", "row", F.posexplode("digests").alias("pos", "digest")).join(facts, "digest")
@@ -273,6 +295,7 @@ def document_ids(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.list_(pa.int64()))], names=["digest", "chunk"])
         source.close()
 
+    check_parts(spark, folder)
     chunks = spark.read.parquet(f"{folder}/index").mapInArrow(payloads, "digest binary, chunk array<long>")
     used = spark.read.parquet(f"{folder}/recipes").select("part", "row", "doc_id", F.posexplode("digests").alias("pos", "digest")).join(chunks, "digest")
     return used.groupBy("part", "row", "doc_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "chunk"))), lambda x: x["chunk"])).alias("ids")).select("doc_id", "ids")

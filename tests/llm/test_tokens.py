@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from contigframe.llm import packing, token_store, tokens, util
 
@@ -129,6 +130,35 @@ def test_store_notices_damage(spark):
         token_store.read_store(spark, folder).collect()
 
 
+@pytest.mark.parametrize("lost", ["row", "part", "part and its line", "nothing"])
+def test_lost_recipes_are_noticed(spark, lost):
+    folder = util.new_folder(spark, "store")
+    docs = spark.createDataFrame([(i, f"text {i} of some") for i in range(200)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_store.write_store(docs, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    manifest = spark.read.parquet(f"{folder}/manifest")
+    recipes = spark.read.parquet(f"{folder}/recipes")
+    one = recipes.orderBy("row").first()
+    assert manifest.count() > 1
+    for part in manifest.collect():
+        roots = [bytes(r.root) for r in recipes.where(F.col("part") == part.part).orderBy("row").collect()]
+        assert (bytes(part.root), part.documents) == (token_store.merkle(roots), len(roots))
+    gone = {"row": F.col("row") == one.row, "part": F.col("part") == one.part, "part and its line": F.col("part") == one.part, "nothing": F.lit(False)}[lost]
+    kept, lines = recipes.where(~gone).collect(), manifest.collect()
+    schema = spark.read.parquet(f"{folder}/recipes").schema
+    spark.createDataFrame([tuple(r[c] for c in schema.names) for r in kept], schema).write.mode("overwrite").parquet(f"{folder}/recipes")
+    if lost == "part and its line":
+        spark.createDataFrame([r for r in lines if r.part != one.part], manifest.schema).write.mode("overwrite").parquet(f"{folder}/manifest")
+    if lost == "nothing":
+        assert token_store.read_store(spark, folder).count() == 200
+    else:
+        with pytest.raises(Exception, match="manifest"):
+            token_store.read_store(spark, folder).collect()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.binary(max_size=60), st.binary(max_size=60))
 def test_crc_of_joined(a, b):
