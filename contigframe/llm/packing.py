@@ -125,7 +125,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokens.loaded(path)
         for batch in batches:
-            for part in tokens.slices(batch, "text"):
+            for part in tokens.slices(batch, "text", tokens.TOKEN_SLICE):
                 ids, offsets = tokens.with_end(*tok.encode(part.column("text").fill_null("")), end)
                 rows: list[tuple] = []
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):

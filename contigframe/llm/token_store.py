@@ -143,7 +143,7 @@ def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
         recipes: list[tuple] = []
         for batch in batches:
-            for part in tokens.slices(batch, "text"):
+            for part in tokens.slices(batch, "text", tokens.TOKEN_SLICE):
                 ids, offsets = tokens.with_end(*tok.encode(part.column("text").fill_null("")), end)
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                     own, last, digests, new = ids[a:b], 0, [], []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
 import os
 import re
 import sys
@@ -15,12 +16,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces a worker remembers in each of its two generations; when the young one is full it becomes the old one.
-MEMO = 300_000
+#: Bytes that each of the memo's two generations may hold; when the young one is full it becomes the old one.
+MEMO_BYTES = 40_000_000
 #: Bytes of text that are handled at once in a worker.
 SLICE = 6_000_000
+#: Texts go to the tokenizer's memo in larger parts, in which more pieces repeat.
+TOKEN_SLICE = 16_000_000
 #: Beyond these characters, lower case isn't one simple mapping everywhere.
 _WIDE = "[^\\x00-\u012f\u0131-\u024f]"
+#: What the memo takes for granted of a tokenizer file: white space separates and is dropped, and words, digits and other signs are
+#: tokens of their own. Others encode text by text.
+_NORMALIZER = ["NFC", ("Replace", r"\s+", " "), "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def default_path() -> str:
@@ -29,12 +36,50 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def separable(spec: dict) -> bool:
+    """Whether ids of a text are the ids of its pieces between spaces, by the normaliser and the splits that ``spec`` (a tokenizer file) names."""
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    rules = [(s["type"], s["pattern"].get("Regex"), s["content"]) if s["type"] == "Replace" else s["type"] for s in steps]
+    first, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = (first.get("type"), first.get("pattern", {}).get("Regex"), first.get("behavior"), first.get("invert"))
+    return rules == _NORMALIZER and split == ("Split", _SPLIT, "Removed", True) and all(r["type"] == "ByteLevel" and not r["add_prefix_space"] and not r["use_regex"] for r in rest)
+
+
+def _gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(pool)) < 2**31 else np.int64
+    return pool[np.arange(total, dtype=kind) + np.repeat((starts - (ends - sizes)).astype(kind), sizes)]
+
+
+class _Generation:
+    """Pieces with their ids, in arrays."""
+
+    def __init__(self):
+        self.names = pa.array([], pa.large_string())
+        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """Row of each piece, -1 where it isn't known."""
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy(zero_copy_only=False).copy()
+
+    def add(self, names: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.names = pa.concat_arrays([self.names, names])
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes, self.pool = np.concatenate([self.sizes, sizes]), np.concatenate([self.pool, ids])
+
+    def bytes(self) -> int:
+        return self.names.nbytes + self.starts.nbytes + self.sizes.nbytes + self.pool.nbytes
+
+
 class MemoTokenizer:
     """``encode`` equals the tokenizer's own ids, text by text.
 
-    The tokenizer lower-cases, drops white space and never looks across it, so ids of a text are the ids of its pieces between
-    spaces, one after the other. Before the split, line ends become spaces, and where the text has simple letters only, it is
-    lower-cased and a full stop or comma between a letter or digit and a space is set apart, as the tokenizer does.
+    A ``separable`` tokenizer lower-cases, drops white space and never looks across it, so ids of a text are the ids of its pieces
+    between spaces, one after the other. Before the split, line ends become spaces, and where the text has simple letters only, it
+    is lower-cased and a full stop or comma between a letter or digit and a space is set apart, as the tokenizer does. Any other
+    tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -42,49 +87,61 @@ class MemoTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        with open(path, encoding="utf-8") as f:
+            self.memoised = separable(json.load(f))
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.plain = "|".join([_WIDE, *(re.escape(s) for s in special)])
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, names: list[str]) -> list[bytes]:
-        """Ids (as bytes) of each of these different pieces."""
-        young, old = self.young, self.old
-        for w in names:
-            if w not in young and w in old:
-                young[w] = old[w]
-        new = [w for w in names if w not in young]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        self.young, self.old = _Generation(), _Generation()
+
+    def _plain(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all strings, how many each has) from the tokenizer itself."""
+        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(names), 20_000):
+            part = names.slice(at, 20_000).to_numpy(zero_copy_only=False).tolist()
             ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32).tobytes()
-            end = 0
-            for w, i in zip(part, ids, strict=True):
-                start, end = end, end + 4 * len(i)
-                young[w] = flat[start:end]
-        out = [young[w] for w in names]
-        if len(young) > MEMO:
-            self.young, self.old = {}, young
-        return out
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _rows(self, names: pa.Array) -> np.ndarray:
+        """Rows of the young generation for these different pieces, which it learns where it has to."""
+        if self.young.bytes() > MEMO_BYTES:
+            self.young, self.old = _Generation(), self.young
+        row = self.young.find(names)
+        missing = np.flatnonzero(row < 0)
+        if len(missing):
+            wanted = names.take(pa.array(missing))
+            before = self.old.find(wanted)
+            for at in (np.flatnonzero(before >= 0), np.flatnonzero(before < 0)):
+                part, base = wanted.take(pa.array(at)), len(self.young.names)
+                if len(at) and before[at[0]] >= 0:
+                    sizes = self.old.sizes[before[at]]
+                    ids = _gathered(self.old.pool, self.old.starts[before[at]], sizes)
+                else:
+                    ids, sizes = self._plain(part)
+                self.young.add(part, ids, sizes)
+                row[missing[at]] = base + np.arange(len(at))
+        return row
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts in them)."""
-        texts = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        texts = texts.cast(pa.large_string())
+        if not self.memoised:
+            ids, n = self._plain(texts)
+            return ids, np.concatenate([[0], np.cumsum(n)])
+        texts = pc.replace_substring(texts, "\n", " ")
         simple = pc.invert(pc.match_substring_regex(texts, self.plain))
         low = pc.replace_substring_regex(pc.utf8_lower(texts), r"([\p{L}\p{N}])([.,]) ", r"\1 \2 ")
         lists = pc.split_pattern(pc.if_else(simple, low, texts), " ")
+        del texts, low
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        at = coded.indices.to_numpy()
-        blobs = self._learn(coded.dictionary.to_pylist())
-        pool = np.frombuffer(b"".join(blobs), dtype=np.uint32)
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        kind = np.int32 if max(ends[-1], len(pool)) < 2**31 else np.int64
-        take = np.arange(ends[-1], dtype=kind) + np.repeat((starts[at] - ends[:-1]).astype(kind), n)
-        return pool[take], ends[bounds]
+        del lists
+        rows = self._rows(coded.dictionary)[coded.indices.to_numpy()]
+        n = self.young.sizes[rows]
+        return _gathered(self.young.pool, self.young.starts[rows], n), np.concatenate([[0], np.cumsum(n)])[bounds]
 
 
 _LOADED: dict[str, MemoTokenizer] = {}

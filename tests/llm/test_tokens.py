@@ -1,5 +1,6 @@
 """Tokenization, packing and the token store against plain, literal forms."""
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -34,11 +35,29 @@ def test_memo_equals_the_tokenizer(texts):
 
 
 def test_memo_survives_its_bound(tok, monkeypatch):
-    monkeypatch.setattr(tokens, "MEMO", 3)
-    for _ in range(3):
-        texts = ["one two three four", "five one, two.", ""]
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 100)
+    for k in range(4):
+        texts = ["one two three four", "five one, two.", "", f"one {k} six{k % 2}", "x" * 500]
         ids, offsets = tok.encode(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [plain(tok, x) for x in texts]
+        assert len(tok.young.names) <= 11
+
+
+@pytest.mark.parametrize("name", ["wordpiece", "whole"])
+def test_other_tokenizers_encode_whole_texts(tok, tmp_path, name):
+    spec = json.loads(open(tokens.default_path(), encoding="utf-8").read())
+    assert tokens.separable(spec)
+    if name == "whole":  # white space then belongs to tokens, and case counts
+        spec["pre_tokenizer"], spec["normalizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}, None
+    else:
+        spec["normalizer"]["normalizers"] = spec["normalizer"]["normalizers"][:2]
+    assert not tokens.separable(spec)
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    other = tokens.loaded(str(path))
+    texts = ["Hello, World. x", "", "a  b\nC", "É İ ß"]
+    ids, offsets = other.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [other.tok.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def check_pack(rows, got, tok, length):
