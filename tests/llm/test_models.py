@@ -27,26 +27,23 @@ def literal_bits(model_samples, order, text):
     for lang, texts in model_samples.items():
         counts = {}
         for t in texts:
-            for piece in t.encode().split(b" "):
-                s = b" " + piece + b" "
-                for i in range(1, len(s)):
-                    for k in range(min(order, i) + 1):
-                        counts.setdefault(s[i - k : i], Counter())[s[i]] += 1
-        bits = 0.0
-        for piece in text.encode().split(b" "):
-            s = b" " + piece + b" "
-            for i in range(1, len(s)):
-                for k in range(min(order, i), -1, -1):
-                    c = counts.get(s[i - k : i])
-                    if not c:
-                        continue
-                    n, q = sum(c.values()), len(c)
-                    if s[i] in c:
-                        bits -= math.log2(c[s[i]] / (n + q))
-                        break
-                    bits -= math.log2(q / (n + q))
-                else:
-                    bits += 8
+            s = t.encode()
+            for i in range(len(s)):
+                for k in range(min(order, i) + 1):
+                    counts.setdefault(s[i - k : i], Counter())[s[i]] += 1
+        bits, s = 0.0, text.encode()
+        for i in range(len(s)):
+            for k in range(min(order, i), -1, -1):
+                c = counts.get(s[i - k : i])
+                if not c:
+                    continue
+                n, q = sum(c.values()), len(c)
+                if s[i] in c:
+                    bits -= math.log2(c[s[i]] / (n + q))
+                    break
+                bits -= math.log2(q / (n + q))
+            else:
+                bits += 8
         out[lang] = bits
     return out
 
@@ -55,9 +52,53 @@ def literal_bits(model_samples, order, text):
 @given(st.text(st.sampled_from("ab thec é\n猫"), max_size=40))
 def test_code_lengths_are_exact(text):
     samples = {"en": ["the cat", "a bath the"], "x": ["abc ébab", "ccc"]}
-    got = language_id.Scorer(language_id.Model(samples, 3)).bits(pa.array([text]))[0]
-    want = literal_bits(samples, 3, text)
-    assert np.allclose(got, [want["en"], want["x"]], atol=1e-3)
+    scorer = language_id.Scorer(language_id.Model(samples, 3))
+    for texts in (["", text, "", "a bath", text[:1]], [text]):
+        got = scorer.bits(pa.array(["x", *texts])[1:])
+        for row, t in zip(got, texts, strict=True):
+            want = literal_bits(samples, 3, t)
+            assert np.allclose(row, [want["en"], want["x"]], atol=1e-3)
+
+
+def test_code_lengths_in_parts_and_with_a_full_memo(monkeypatch):
+    samples = {f"l{k}": [f"{'ab' * k} cab {k}", "x" * k] for k in range(40)}
+    model = language_id.Model(samples)
+    texts = pa.array(["abc cab " * 300, "", "é" * 50, "5 ab"])
+    whole = language_id.Scorer(model).bits(texts)
+    want = literal_bits(samples, language_id.ORDER, texts[0].as_py())
+    assert np.allclose(whole[0], [want[k] for k in model.langs], rtol=1e-4)
+    monkeypatch.setattr(language_id, "MEMO_BYTES", 0)
+    monkeypatch.setattr("builtins.min", lambda *a, f=min, **k: f(97, *a) if a[0] == 2_000_000 else f(*a, **k))
+    scorer = language_id.Scorer(model)
+    assert np.allclose(scorer.bits(texts), whole) and len(scorer.table) < 100
+
+
+def test_every_labelled_language_is_learnt(spark):
+    """Short texts, long texts and very many languages: none is left out."""
+    rows = [(5 * i + 2, "kurzer Text", "de", None, 1) for i in range(40)] + [(1000 + i, "a much longer text in another language " * 5, "en", None, 1) for i in range(40)]
+    rows += [(2000 + i, "abcde fghij " * 4000, "long", None, 1) for i in range(5)]
+    model = language_id.learn(spark.createDataFrame(rows, SCHEMA))
+    assert model.langs == ["de", "en", "long"]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.lang == r.lang_pred for r in got)
+    many = spark.createDataFrame([(10 * k + i, f"l{k} wort{k}x{k} und so weiter {k}", f"l{k}", None, 1) for k in range(300) for i in range(6)], SCHEMA)
+    model = language_id.learn(many)
+    assert len(model.langs) == 300
+    assert sum(len(x.value) for x in model.seen) <= sum(sum(len(t) for t in (f"l{k} wort{k}x{k} und so weiter {k}" * 6,)) for k in range(300)) * 5
+
+
+def test_nothing_learnt_keeps_texts_with_letters(spark):
+    docs = spark.createDataFrame([(1, "the cat", None, None, 1), (2, "12", None, None, 1), (3, None, None, None, 1)], SCHEMA)
+    assert [r.doc_id for r in language_id.identified_documents(docs, language_id.learn(docs)).collect()] == [1]
+
+
+def test_table_grows():
+    rng = np.random.default_rng(3)
+    table, keys = language_id.Table(8), np.unique(rng.integers(1, 2**40, 5000).astype(np.uint64))
+    for part in np.array_split(rng.permutation(keys), 9):
+        table.add(part)
+    assert (table.order[table.find(keys)] == keys).all() and (table.find(keys + np.uint64(2**41)) == -1).all()
 
 
 def test_language_of_odd_rows(spark):
@@ -100,7 +141,7 @@ def test_rate_of_the_learnt_texts():
         model = language_id.Model(samples, order)
         for j, lang in enumerate(model.langs):
             bits = sum(literal_bits(samples, order, t)[lang] for t in samples[lang])
-            assert abs(model.rate[j] - bits / sum(len(t.encode()) + 1 for t in samples[lang])) < 1e-4
+            assert abs(model.rate[j] - bits / sum(len(t.encode()) for t in samples[lang])) < 1e-4
 
 
 def test_chain_marginals_are_exact():
