@@ -18,6 +18,8 @@ from contigframe.llm import util
 BLOCK = 64
 SHARD = 65_536
 CELLS = 4_096
+#: Parts that each source's stream is ordered in; fixed, as the order of the stream must not depend on the session.
+LOTS = 4_096
 EPOCHS = 3
 ROUNDS = 12
 SEED = 20_240
@@ -67,26 +69,29 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: doc_id, size, source_size, target, taken.
 
     Defined cases: null text has size 0 and takes 0. A null source is a source, ordered last. If no text has a word, all
-    targets are 0. Rows repeated with the same id are separate rows of the stream. Reruns agree, as all draws are hashes.
-    Other columns of ``docs`` are not read.
+    targets are 0. Rows repeated with the same id are separate rows of the stream. Reruns agree whatever the session's settings
+    and the rows' order, as all draws are hashes. An empty table gives an empty result. Other columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
-    lots = util.salt_count(spark) * 4
-    sizes = util.written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes")
-    targets = source_targets(sizes)
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    per_block = F.col("source_size") / F.col("blocks")
-    targets = (
-        targets.withColumn("blocks", blocks)
-        .withColumn("quota", F.when(F.col("blocks") > 0, F.least(F.round(F.col("target") / per_block).cast("long"), F.col("blocks") * EPOCHS)).otherwise(F.lit(0)))
-        .withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")))
-    )
-    targets = util.written(targets, "mix-targets")
-    taken_blocks = _block_takes(_slots(spark, targets, shard), targets)
-    return _document_takes(sizes, targets, taken_blocks, block, lots)
-
-
-def _slots(spark: SparkSession, targets: DataFrame, shard: int) -> DataFrame:
+    with util.Scratch(spark) as tmp:
+        key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
+        sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+        sizes = tmp.written(sizes.withColumn("source_key", key), "sizes")
+        targets = source_targets(sizes)
+        blocks = F.ceil(F.col("source_size") / block).cast("long")
+        per_block = F.col("source_size") / F.col("blocks")
+        targets = (
+            targets.withColumn("blocks", blocks)
+            .withColumn("quota", F.when(F.col("blocks") > 0, F.least(F.round(F.col("target") / per_block).cast("long"), F.col("blocks") * EPOCHS)).otherwise(F.lit(0)))
+            .withColumn("source_key", key)
+        )
+        targets = tmp.written(targets, "targets")
+        taken = tmp.written(_document_takes(sizes, _block_takes(_slots(spark, targets, shard, tmp)), block), "taken")
+        out = util.join_heavy(taken, targets.select("source_key", "source_size", "target"), ["source_key"], tmp)
+        return util.written(out.select("doc_id", "size", "source_size", "target", "taken"), "mix")
+
+
+def _slots(spark: SparkSession, targets: DataFrame, shard: int, tmp: util.Scratch) -> DataFrame:
     """(source_key, blocks, i): the slots of each source, numbered from 0 without a gap."""
     n = targets.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
     upto = Window.orderBy("source_key")
@@ -106,45 +111,47 @@ def _slots(spark: SparkSession, targets: DataFrame, shard: int) -> DataFrame:
     counts = drawn.groupBy("source_key", "shard").agg(F.count("*").alias("c"))
     before = Window.partitionBy("source_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("c").over(before), F.lit(0)))
-    counts = util.written(counts, "mix-shards")
+    counts = tmp.written(counts, "shards")
     kept = counts.join(targets.select("source_key", "blocks", "quota"), "source_key").withColumn("last", F.least(F.col("first") + F.col("c"), F.col("quota")))
-    inner = kept.where("last > first").select("source_key", "blocks", F.explode(F.sequence("first", F.col("last") - 1)).alias("i"))
+    # a row becomes up to ``shard`` slots, so the few rows are spread before
+    spread = kept.where("last > first").repartition(util.salt_count(spark), "source_key", "shard")
+    inner = spread.select("source_key", "blocks", F.explode(F.sequence("first", F.col("last") - 1)).alias("i"))
     had = counts.groupBy("source_key").agg(F.sum("c").alias("had"))
     short = targets.join(had, "source_key", "left").withColumn("had", F.coalesce("had", F.lit(0))).where("quota > had")
     return inner.unionByName(short.select("source_key", "blocks", F.explode(F.sequence("had", F.col("quota") - 1)).alias("i")))
 
 
-def _block_takes(slots: DataFrame, targets: DataFrame) -> DataFrame:
+def _block_takes(slots: DataFrame) -> DataFrame:
     """(source_key, block, times): slots are joined to blocks by index."""
     epoch = F.floor(F.col("i") / F.col("blocks")).cast("long")
     at = permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.col("source_key"), epoch)
     return slots.select("source_key", at.alias("block")).groupBy("source_key", "block").agg(F.count("*").alias("times"))
 
 
-def _document_takes(sizes: DataFrame, targets: DataFrame, takes: DataFrame, block: int, lots: int) -> DataFrame:
-    """Documents in stream order (hashed lot, then id), cut at the block borders and joined to the blocks' takes."""
-    placed = sizes.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))).withColumn("lot", F.pmod(util.mix(SEED + 3, F.col("doc_id")), F.lit(lots)).cast("int"))
-    per_lot = placed.groupBy("source_key", "lot").agg(F.sum("size").alias("lot_size"))
-    before = Window.partitionBy("source_key").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
+def _document_takes(sizes: DataFrame, takes: DataFrame, block: int) -> DataFrame:
+    """(source_key, doc_id, size, taken): documents in stream order (hashed lot, then id), cut at the block borders and joined to the blocks' takes."""
+    worded = sizes.where("size > 0").withColumn("lot", F.pmod(util.mix(SEED + 3, F.col("doc_id")), F.lit(LOTS)).cast("int"))
+    per_lot = worded.groupBy("source_key", "lot").agg(F.sum("size").alias("lot_size"))
+    before = Window.partitionBy("source_key").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)  # at most LOTS rows
     per_lot = per_lot.withColumn("lot_start", F.coalesce(F.sum("lot_size").over(before), F.lit(0))).drop("lot_size")
     inside = Window.partitionBy("source_key", "lot").orderBy("doc_id", "size")
     placed = (
-        placed.withColumn("row", F.row_number().over(inside))
+        worded.withColumn("row", F.row_number().over(inside))
         .withColumn("in_lot", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .join(per_lot, ["source_key", "lot"]).withColumn("start", F.col("lot_start") + F.col("in_lot"))
     )
-    cut = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / block).cast("long"))))
+    cut = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / block).cast("long"))))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
     cut = cut.withColumn("overlap", overlap).join(takes, ["source_key", "block"], "left")
-    rest = placed.where("size = 0").withColumns({"overlap": F.lit(0).cast("long"), "times": F.lit(0).cast("long")})
-    cols = ["source_key", "lot", "row", "doc_id", "size", "overlap", "times"]
-    taken = cut.select(*cols).unionByName(rest.select(*cols)).groupBy("source_key", "lot", "row", "doc_id", "size").agg(F.coalesce(F.sum(F.col("overlap") * F.col("times")), F.lit(0)).alias("taken"))
-    return taken.join(targets.select("source_key", "source_size", "target"), "source_key").select("doc_id", "size", "source_size", "target", "taken")
+    taken = cut.groupBy("source_key", "lot", "row", "doc_id", "size").agg(F.coalesce(F.sum(F.col("overlap") * F.col("times")), F.lit(0)).alias("taken"))
+    columns = ["source_key", "doc_id", "size", "taken"]
+    return taken.select(*columns).unionByName(sizes.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix in whole documents, with the columns of ``docs``: a document is repeated as often as its words were taken; a
-    fraction of a repeat is rounded by a hash of its id, in proportion. Texts without a word stay once."""
+    fraction of a repeat is rounded by a hash of its id, in proportion. Texts without a word stay once. Rows repeated with one id
+    are repeated alike, as often as the one of them that is taken most. A null id is an id; an empty table gives an empty result."""
     taken = mix_sources(docs, id_col, text_col, source_col).groupBy("doc_id").agg(F.max(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1.0)).alias("__times"))
     times = taken.withColumnRenamed("doc_id", "__id")
     draw = F.pmod(util.mix(SEED + 4, F.col(id_col)), F.lit(1 << 40)) / float(1 << 40)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,9 +19,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a fresh local one only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, a fresh local one if all run on one
+    machine; on a cluster that is an error, as executors wouldn't see each other's files."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
         found = f"file://{tempfile.mkdtemp(prefix='contigframe-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -30,13 +35,50 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: its lineage ends here, and a lost executor loses none of it."""
-    spark = df.sparkSession
-    path = new_folder(spark, what)
-    schema = df.schema
+def saved(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: its lineage ends here, and a lost executor loses none of it. The table stays."""
+    return saved(df, new_folder(df.sparkSession, what))
+
+
+class Scratch:
+    """Tables and folders of one run, which go when the ``with`` block ends; what is returned is ``written`` before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.n = spark, new_folder(spark, "scratch"), 0
+
+    def path(self, what: str) -> str:
+        self.n += 1
+        return f"{self.folder}/{self.n}-{what}"
+
+    def written(self, df: DataFrame, what: str) -> DataFrame:
+        return saved(df, self.path(what))
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove_folder(self.spark, self.folder)
+
+
+#: A key is heavy if it has more than this part of all rows; so there are fewer heavy keys than this.
+HEAVY = 512
+
+
+def join_heavy(rows: DataFrame, values: DataFrame, keys: list[str], tmp: Scratch, how: str = "inner") -> DataFrame:
+    """``rows`` (a written table) joined, inner or left, to ``values``, which has each key once. Keys may be as unequal as they like: rows
+    of the fewer than ``HEAVY`` heavy ones meet their values by broadcast, where they are, and only the others are dealt by key."""
+    total = rows.count()
+    heavy = tmp.written(rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") * HEAVY > total).select(*keys), "heavy")
+    if not heavy.limit(1).count():
+        return rows.join(values, keys, how)
+    known = F.broadcast(heavy)  # fewer than HEAVY rows, and so is what is broadcast next
+    hot = rows.join(known, keys, "left_semi").join(F.broadcast(values.join(known, keys, "left_semi")), keys, how)
+    return hot.unionByName(rows.join(known, keys, "left_anti").join(values, keys, how))
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -54,10 +55,74 @@ def test_kept_documents_keep_their_columns(spark):
     assert kept.columns == docs.columns and kept.count() == len({norm(r[1]) for r in ODD})
 
 
-def test_no_python_in_native_plans(spark):
-    docs = util.documents(spark, "/root/testdata/sf0.001")
+def test_no_python_in_native_plans(spark, monkeypatch):
+    docs, plans, save = util.documents(spark, "/root/testdata/sf0.001"), [], util.saved
+
+    def saved(df, path):
+        plans.append(df._jdf.queryExecution().toString())
+        return save(df, path)
+
+    monkeypatch.setattr(util, "saved", saved)
     for df in (exact_dedup.exact_dedup(docs), mixing.mix_sources(docs)):
-        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
+        plans.append(df._jdf.queryExecution().toString())
+    assert len(plans) > 6 and not any(re.search("Python|Pandas|Arrow", p) for p in plans)
+
+
+def test_heavy_keys_join_as_others(spark):
+    rows = spark.createDataFrame([(1, i) for i in range(900)] + [(2 + i % 50, i) for i in range(600)] + [(None, 7)], "k long, v long")
+    values = spark.createDataFrame([(1, "one"), (3, "three"), (999, "none")], "k long, x string")
+    for how in ("inner", "left"):
+        with util.Scratch(spark) as tmp:
+            got = util.join_heavy(tmp.written(rows, "rows"), values, ["k"], tmp, how)
+            assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(values, ["k"], how).collect()))
+            assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    before = set(os.listdir(util.shared_dir(spark).removeprefix("file://")))
+    mixing.mix_sources(util.documents(spark, "/root/testdata/sf0.001"))
+    after = set(os.listdir(util.shared_dir(spark).removeprefix("file://"))) - before
+    assert [x.split("-")[0] for x in after] == ["mix"]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        util.shared_dir(Session())
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        util.shared_dir(Session())
+    Session.sparkContext.master = "local[8]"
+    assert util.shared_dir(Session()) == Session.conf["spark.checkpoint.dir"]
+
+
+def test_mix_does_not_depend_on_the_session(spark):
+    docs = util.documents(spark, "/root/testdata/sf0.001")
+    want = sorted(map(str, mixing.mix_sources(docs).collect()))
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert sorted(map(str, mixing.mix_sources(docs.repartition(5)).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
+def test_mixed_documents_of_odd_rows(spark):
+    docs = spark.createDataFrame(ODD, SCHEMA)
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    rows, got = {str(r) for r in docs.collect()}, [str(r) for r in out.collect()]
+    assert set(got) <= rows and sum("doc_id=4," in r for r in got) == sum("doc_id=3," in r for r in got) == 1
+    assert mixing.mixed_documents(docs.limit(0)).collect() == []
 
 
 def levels(sizes):
