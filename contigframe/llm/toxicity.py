@@ -1,6 +1,6 @@
 """Toxicity by a linear-chain conditional random field.
 
-A text is a row of tokens between white space; a chain ends with a sentence or after ``CHAIN`` tokens. Each token is toxic or
+A text is a row of tokens between white space; a chain ends with a sentence or with the text. Each token is toxic or
 not; its emission is a sum of weights of its words and their prefixes, and neighbours are tied by transition weights. Labels
 of tokens come from the labelled texts: in a toxic text, a token is toxic whose word or prefix is much more frequent in
 toxic than in clean texts. Forward and backward passes give each token's marginal; a text's score is a logistic function of
@@ -9,6 +9,7 @@ its largest marginal and of its expected number of toxic tokens, and tokens abov
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,12 +26,14 @@ from contigframe.llm import tokens, util
 #: Bounds of what is learnt from: texts of each label, bytes of a text.
 SAMPLE = 1_500
 SAMPLE_BYTES = 32_768
-CHAIN = 128
 PREFIXES = (4, 5, 6, 7, 8)
 #: A feature marks tokens of toxic texts from this log ratio of shares on, and from this share of the toxic texts on.
 MARK_RATIO, MARK_SHARE, MARK_LEAST = 2.0, 0.01, 3
 STEPS, RATE, RIDGE = 60, 0.5, 1e-6
-MEMO = 200_000
+#: Bytes of tokens that a worker remembers.
+MEMO_BYTES = 16_000_000
+#: Up to so many chains at a time are passed through number by number.
+FEW = 8
 CLIP = 30.0
 _WORDS = re.compile(r"[^\W_]+")
 SPANS = "array<struct<start: int, end: int>>"
@@ -40,7 +43,7 @@ def features(token: str) -> list[str]:
     """Words of a token, whole ("=word") and their prefixes ("4:word")."""
     out = []
     for w in _WORDS.findall(token.lower()):
-        out.append("=" + w[:40])
+        out.append("=" + w)
         out += [f"{n}:{w[:n]}" for n in PREFIXES if len(w) >= n]
     return out
 
@@ -54,11 +57,11 @@ def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     lists = pc.utf8_split_whitespace(texts.cast(pa.large_string()))
     bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     coded = lists.flatten().dictionary_encode()
-    return coded.indices.to_numpy(), bounds, coded.dictionary.to_pylist()
+    return coded.indices.to_numpy(), bounds, coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def chains(bounds: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, lengths) of the chains of a token stream; none crosses a text, a sentence end or ``CHAIN`` tokens."""
+    """(starts, lengths) of the chains of a token stream, the longest first; none crosses a text or a sentence end."""
     n = len(closing)
     first = np.zeros(n + 1, bool)
     first[bounds] = True
@@ -66,32 +69,43 @@ def chains(bounds: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndar
     first[n] = True
     starts = np.flatnonzero(first)
     sizes = np.diff(starts)
-    starts = starts[:-1]
-    parts = -(-sizes // CHAIN)
-    if len(parts) and parts.max() > 1:
-        inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        rest = np.repeat(sizes, parts) - inner * CHAIN
-        starts, sizes = np.repeat(starts, parts) + inner * CHAIN, np.minimum(rest, CHAIN)
     order = np.argsort(-sizes, kind="stable")
-    return starts[order], sizes[order]
+    return starts[:-1][order], sizes[order]
 
 
 def passes(emission: np.ndarray, starts: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log ratios (toxic to not) of the forward messages with emissions, and of the backward messages, at each token.
 
-    ``moves[i, j]`` is the weight of going from i to j. All chains advance together, the longest first.
+    ``moves[i, j]`` is the weight of going from i to j. All chains advance together, the longest first; the rests of the last
+    ``FEW`` go one after the other.
     """
     ahead, back = np.zeros(len(emission)), np.zeros(len(emission))
     if not len(starts):
         return ahead, back
     t = np.exp(moves)
-    live = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")  # chains of more than k tokens
+    together = int(sizes[FEW]) if len(sizes) > FEW else 1  # steps with more than FEW chains
+    live = np.searchsorted(-sizes, -np.arange(1, together + 1), side="right")  # chains of more than k tokens
+    rests = [(int(a), int(n)) for a, n in zip(starts[:FEW], sizes[:FEW], strict=True) if n > together]
     ahead[starts] = emission[starts]
-    for k in range(1, sizes[0]):
+    for k in range(1, together):
         at = starts[: live[k]] + k
         x = np.exp(np.clip(ahead[at - 1], -CLIP, CLIP))
         ahead[at] = emission[at] + np.log((t[0, 1] + t[1, 1] * x) / (t[0, 0] + t[1, 0] * x))
-    for k in range(sizes[0] - 2, -1, -1):
+    (t00, t01), (t10, t11) = t.tolist()
+    for a, n in rests:
+        message, own, out = float(ahead[a + together - 1]), emission[a + together : a + n].tolist(), []
+        for e in own:
+            x = math.exp(min(max(message, -CLIP), CLIP))
+            message = e + math.log((t01 + t11 * x) / (t00 + t10 * x))
+            out.append(message)
+        ahead[a + together : a + n] = out
+        message, out = 0.0, []
+        for e in reversed(own):
+            x = math.exp(min(max(e + message, -CLIP), CLIP))
+            message = math.log((t10 + t11 * x) / (t00 + t01 * x))
+            out.append(message)
+        back[a + together - 1 : a + n - 1] = out[::-1]
+    for k in range(together - 2, -1, -1):
         at = starts[: live[k + 1]] + k
         x = np.exp(np.clip(emission[at + 1] + back[at + 1], -CLIP, CLIP))
         back[at] = np.log((t[1, 0] + t[1, 1] * x) / (t[0, 0] + t[0, 1] * x))
@@ -106,14 +120,17 @@ class Model:
     def __init__(self, weights: dict[str, float], bias: float, moves: np.ndarray, document: np.ndarray):
         self.weights, self.bias, self.moves, self.document = weights, bias, moves, document
         self.memo: dict[str, tuple[float, bool]] = {}
+        self.held = 0
 
     def marginals(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """(log odds of each token, offsets of the texts, token numbers, tokens)."""
         at, bounds, names = split(texts)
-        if len(self.memo) > MEMO:
+        if self.held > MEMO_BYTES:
             self.memo.clear()
+            self.held = 0
         for w in names:
             if w not in self.memo:
+                self.held += 100 + 4 * len(w)
                 self.memo[w] = (self.bias + sum(self.weights.get(f, 0.0) for f in set(features(w))), ends(w))
         table = np.array([self.memo[w] for w in names]).reshape(-1, 2)
         emission = table[at, 0]
@@ -220,12 +237,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = marked.withColumn("u", draw).where(F.col("u") < rate)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.octet_length("text").between(1, SAMPLE_BYTES))
     texts = texts.where(~util.held_out("doc_id"))
-    ids = [r["doc_id"] for r in chosen.select("doc_id").toLocalIterator()]  # about 4 x sample at most, so the ids go with the scan
-    y = {r["doc_id"]: (r["u"], r["y"]) for r in chosen.toLocalIterator()}
     kept: dict[int, list] = {0: [], 1: []}
-    for r in sorted(texts.where(F.col("doc_id").isin(ids)).toLocalIterator(), key=lambda r: (y[r["doc_id"]][0], r["doc_id"], r["text"])) if ids else ():
-        if len(own := kept[y[r["doc_id"]][1]]) < sample:
-            own.append((r["text"], y[r["doc_id"]][1]))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("u", "doc_id", "text", "y")  # about 4 x sample rows at most are broadcast
+    for r in sorted(rows.toLocalIterator(), key=lambda r: (r["u"], r["doc_id"], r["text"])):
+        if len(own := kept[r["y"]]) < sample:
+            own.append((r["text"], r["y"]))
     return fit(kept[0] + kept[1], have.get(1, 0) / sum(have.values()) if have else None)
 
 
@@ -233,7 +249,8 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """One row per row of ``docs``: doc_id, held_out, score, predicted, expected_tokens, spans (character offsets).
 
     Defined cases: null texts are empty; texts without a token get the score of a text with none toxic. If nothing could be
-    learnt, all scores are the share of toxic labels seen. Repeated rows are scored alike.
+    learnt, all scores are the share of toxic labels seen. Repeated rows are scored alike; an empty table gives an empty result.
+    Other columns are not read, whatever their names.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 

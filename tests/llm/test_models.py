@@ -162,7 +162,90 @@ def test_chains_cover_and_end():
     bounds, closing = np.array([0, 3, 3, 400]), np.zeros(400, bool)
     closing[[1, 10]] = True
     starts, sizes = toxicity.chains(bounds, closing)
-    assert sorted(zip(starts.tolist(), sizes.tolist())) == [(0, 2), (2, 1), (3, 8), (11, 128), (139, 128), (267, 128), (395, 5)] and (np.diff(sizes) <= 0).all()
+    assert sorted(zip(starts.tolist(), sizes.tolist())) == [(0, 2), (2, 1), (3, 8), (11, 389)] and (np.diff(sizes) <= 0).all()
+
+
+@pytest.mark.parametrize("few", [0, 1, 3, 50])
+def test_chains_of_any_length_are_passed_alike(monkeypatch, few):
+    rng = np.random.default_rng(4)
+    sizes = np.array(sorted([1, 1, 2, 5, 5, 9, 30, 300], reverse=True))
+    starts, e, moves = np.cumsum(sizes) - sizes, rng.normal(size=sizes.sum()), rng.normal(size=(2, 2))
+    monkeypatch.setattr(toxicity, "FEW", few)
+    ahead, back = toxicity.passes(e, starts, sizes, moves)
+    for a, n in zip(starts, sizes):
+        f, b = np.zeros((n, 2)), np.ones((n, 2))
+        for i in range(n):
+            own = np.array([1, math.exp(e[a + i])])
+            f[i] = own * (f[i - 1] @ np.exp(moves) if i else 1)
+            f[i] /= f[i].sum()
+        for i in range(n - 2, -1, -1):
+            b[i] = np.exp(moves) @ (b[i + 1] * np.array([1, math.exp(e[a + i + 1])]))
+            b[i] /= b[i].sum()
+        p = f * b
+        assert np.allclose(toxicity.sigmoid(ahead + back)[a : a + n], p[:, 1] / p.sum(axis=1))
+
+
+def test_long_words_that_begin_alike_are_features_of_their_own():
+    one, two = "a" * 60 + "b", "a" * 60 + "c"
+    assert toxicity.features(one) != toxicity.features(two)
+
+
+def literal_toxicity(model, text):
+    """(score, toxic spans) from the field's definition, one token after the other."""
+    tokens_, at = [], 0
+    for w in text.split():
+        at = text.index(w, at)
+        tokens_.append((w, at))
+        at += len(w)
+    odds, chain = [], []
+    t = np.exp(model.moves)
+    for k, (w, _) in enumerate(tokens_):
+        chain.append(model.bias + sum(model.weights.get(f, 0.0) for f in set(toxicity.features(w))))
+        if w[-1] in ".!?" or k == len(tokens_) - 1:
+            n = len(chain)
+            own = [np.array([1.0, math.exp(x)]) for x in chain]
+            f, b = [own[0] / own[0].sum()], [np.ones(2)]
+            for i in range(1, n):
+                f.append(own[i] * (f[-1] @ t))
+                f[-1] /= f[-1].sum()
+            for i in range(n - 2, -1, -1):
+                b.append(t @ (b[-1] * own[i + 1]))
+                b[-1] /= b[-1].sum()
+            for x, y in zip(f, reversed(b)):
+                p = x * y
+                odds.append(math.log(p[1] / p[0]))
+            chain = []
+    p = [1 / (1 + math.exp(-x)) for x in odds]
+    x = np.array([1.0, max([min(max(o, -30.0), 30.0) for o in odds], default=-30.0) / 10, math.log1p(sum(p))])
+    spans = []
+    for k, (w, a) in enumerate(tokens_):
+        if p[k] >= 0.5:
+            if spans and k and p[k - 1] >= 0.5:
+                spans[-1][1] = a + len(w)
+            else:
+                spans.append([a, a + len(w)])
+    return 1 / (1 + math.exp(-float(x @ model.document))), [tuple(s) for s in spans]
+
+
+def test_scores_and_spans_equal_the_definition(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = util.documents(spark, d).select("doc_id", "text"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = toxicity.learn(util.documents(spark, "/root/testdata/sf0.1"), labels)
+    rows = docs.where("length(text) < 20000").collect()
+    got = {r.doc_id: r for r in toxicity.toxicity(spark.createDataFrame(rows, docs.schema), model).collect()}
+    toxic = 0
+    for r in rows:
+        score, spans = literal_toxicity(model, r.text)
+        assert abs(got[r.doc_id].score - score) < 1e-6 and [(s.start, s.end) for s in got[r.doc_id].spans] == spans
+        toxic += bool(spans)
+    assert toxic > 0
+
+
+def test_toxicity_of_no_rows_and_clashing_names(spark):
+    model = toxicity.fit([("you idiot", 1), ("good day", 0)])
+    odd = spark.createDataFrame([(1, "you idiot", 0.5, 7)], "doc_id long, text string, score double, predicted int")
+    got = toxicity.toxicity(odd, model).collect()
+    assert len(got) == 1 and got[0].predicted in (0, 1) and toxicity.toxicity(odd.limit(0), model).collect() == []
 
 
 def test_toxicity_held_out_and_spans(spark):
