@@ -39,8 +39,6 @@ RECALL = 0.9995
 DENSE = 0.5
 #: Sets and shingles of a tile's side when sets are compared, and sets when embeddings are.
 TILE_SETS, TILE_SHINGLES, TILE_BRIEF = 500, 1_000_000, 2_000
-MEMO = 250_000
-NO_ID = -(2**63)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -71,17 +69,7 @@ def least_seen(similarity: float = THRESHOLD) -> float:
 
 
 class Shingler:
-    """Sets of shingle hashes of whole texts, with a memo of words."""
-
-    def __init__(self):
-        self.memo: dict[str, int] = {}
-
-    def _word(self, w: str) -> int:
-        while w and not w[0].isalnum():
-            w = w[1:]
-        while w and not w[-1].isalnum():
-            w = w[:-1]
-        return (xxhash.xxh64_intdigest(w) | 1) if w else 0
+    """Sets of shingle hashes of whole texts."""
 
     def sets(self, texts: pa.Array) -> list[np.ndarray]:
         """Sorted different shingle hashes of each text. Words are lower-cased, without punctuation around them; a text of fewer
@@ -89,13 +77,10 @@ class Shingler:
         lists = pc.utf8_split_whitespace(pc.utf8_lower(texts.cast(pa.large_string())))
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        for w in names:
-            if w not in self.memo:
-                self.memo[w] = self._word(w)
-        h = np.array([self.memo[w] for w in names], dtype=np.uint64)[coded.indices.to_numpy()]
+        bare = pc.replace_substring_regex(coded.dictionary, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+        words = bare.to_numpy(zero_copy_only=False).tolist()
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w) | 1 if w else 0 for w in words), np.uint64, len(words))
+        h = hashes[coded.indices.to_numpy()]
         full = h != 0
         bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
         h = h[full]
@@ -131,26 +116,37 @@ def embedding(s: np.ndarray) -> np.ndarray:
     return (scrambled(value) >> np.uint64(32)).astype(np.uint32)
 
 
+#: What names a row's text next to its id: ids may be null or repeated.
+MARK = "mark"
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias(MARK), text.alias("text"))
+
+
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, digest of the set, its size, its embedding, one byte of each value) of every row."""
-    kept: dict[str, Shingler] = {}
+    """(doc_id, mark, digest of the set, its size, its embedding, one byte of each value) of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = kept.setdefault("shingler", Shingler())
+        shingler = Shingler()
         for batch in batches:
             for part in tokens.slices(batch, "text"):
-                sets = shingler.sets(part.column("text").fill_null(""))
+                sets = shingler.sets(part.column("text"))
                 places = [embedding(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                        part.column("doc_id"), part.column(MARK), pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([None if p is None else p.tobytes() for p in places], pa.binary()), pa.array([None if p is None else p.astype(np.uint8).tobytes() for p in places], pa.binary()),
                     ],
-                    names=["doc_id", "digest", "size", "places", "brief"],
+                    names=["doc_id", MARK, "digest", "size", "places", "brief"],
                 )
 
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(tokens.tidy(work), "doc_id long, digest binary, size long, places binary, brief binary")
+    return _texts(docs, id_col, text_col).mapInArrow(tokens.tidy(work), f"doc_id long, {MARK} long, digest binary, size long, places binary, brief binary")
 
 
 def _children(keys: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
@@ -253,21 +249,21 @@ def _candidate_edges(leaves: DataFrame, similarity: float) -> DataFrame:
     return in_tiles(leaves, "key", "weight", "n", work, "a long, b long", TILE_BRIEF)
 
 
-def candidates(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
+def candidates(reps: DataFrame, similarity: float, recall: float, tmp: util.Scratch) -> DataFrame:
     """(a, b) edges between sets (rep, places) that the chosen paths bring together and that look similar."""
     seeds = scrambled(np.arange(1, runs_for(recall, similarity) + 1, dtype=np.uint64) * np.uint64(1_000_003)).tolist()
     reps = reps.select("rep", "places", "brief")
-    found, nodes = [], util.written(_split(reps.select("rep", "places", F.lit(0).cast("long").alias("n")), seeds), "paths")
+    found, nodes = [], tmp.written(_split(reps.select("rep", "places", F.lit(0).cast("long").alias("n")), seeds), "paths")
     for depth in range(DEPTH):
-        counts = nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        nodes = util.written(nodes.join(counts, "key"), "buckets")
+        counts = tmp.written(nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+        nodes = tmp.written(util.join_heavy(nodes, counts, ["key"], tmp), "buckets")
         done = (F.col("n") <= BUCKET) | ((F.col("up") > 0) & (F.col("n") >= DENSE * F.col("up"))) | F.lit(depth == DEPTH - 1)
         leaves = nodes.where(done).select("key", "rep", "n").join(reps.select("rep", "brief"), "rep").withColumn("weight", F.lit(0).cast("long"))
-        found.append(util.written(_candidate_edges(leaves, similarity), "candidates"))
+        found.append(tmp.written(_candidate_edges(leaves, similarity), "candidates"))
         big = nodes.where(~done)
         if big.limit(1).count() == 0:
             break
-        nodes = util.written(_split(big.join(reps.select("rep", "places"), "rep").select("key", "rep", "places", "n")), "paths")
+        nodes = tmp.written(_split(big.join(reps.select("rep", "places"), "rep").select("key", "rep", "places", "n")), "paths")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
@@ -275,15 +271,17 @@ def candidates(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
 
 
 def _verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
-    """(rep, root, links): exact comparison of all pairs of each candidate component, in tiles."""
-    kept: dict[str, Shingler] = {}
+    """(rep, root, links): exact comparison of all pairs of each candidate component, in tiles. ``members`` names a row for each set by its
+    id (twice, as null ids are ids) and mark; a row that has them but another set isn't taken."""
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = kept.setdefault("shingler", Shingler())
+        shingler, names = Shingler(), ["rep", "component", "n", "weight"]
         for batch in batches:
             for part in tokens.slices(batch, "text"):
-                sets = shingler.sets(part.column("text").fill_null(""))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("rep", "component", "n", "weight")), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], names=["rep", "component", "n", "weight", "shingles"])
+                sets = shingler.sets(part.column("text"))
+                own = pa.array([_digest(s) == d for s, d in zip(sets, part.column("digest").to_pylist(), strict=True)], pa.bool_())
+                rows = pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], names=[*names, "shingles"])
+                yield rows.filter(own)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, "tile"):
@@ -298,8 +296,10 @@ def _verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, s
             label = _hang_together(near)
             yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(reps[label]), pa.array(near.sum(axis=1).astype(np.int64))], names=["rep", "root", "links"])
 
-    text = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    sets = text.join(members, "rep").select("rep", "component", "n", "weight", "text").mapInArrow(tokens.tidy(shingles), "rep long, component long, n long, weight long, shingles binary")
+    named = members.select(F.col("row.doc_id").alias("__id"), F.col(f"row.{MARK}").alias(MARK), "digest", "rep", "component", "n", "weight")
+    texts = _texts(docs, id_col, text_col)
+    text = texts.join(named, (texts[MARK] == named[MARK]) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    sets = text.select("rep", "component", "n", "weight", "digest", "text").mapInArrow(tokens.tidy(shingles), "rep long, component long, n long, weight long, shingles binary")
     return in_tiles(sets, "component", "weight", "n", compare, "rep long, root long, links long")
 
 
@@ -329,35 +329,64 @@ def similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return near
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, recall: float, tmp: util.Scratch) -> tuple[DataFrame, DataFrame]:
+    """(rows, ends): every row with its set's digest, and for each digest its class. Sets are told apart by digest alone and numbered
+    (``rep``) when they are written, so ids may be null or repeated."""
+    described = tmp.written(describe(docs, id_col, text_col), "sets")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", MARK))
+    classes = described.groupBy("digest").agg(least.alias("row"), F.count("*").alias("class_size"), F.first("size").alias("size"), F.first("places").alias("places"), F.first("brief").alias("brief"))
+    classes = tmp.written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    linked = components(candidates(classes.where(F.col("places").isNotNull()), similarity, recall, tmp), tmp)
+    sized = tmp.written(linked.join(classes.select(F.col("rep").alias("node"), "size"), "node"), "sized")
+    per = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight"))
+    members = util.join_heavy(sized, per, ["root"], tmp).select(F.col("node").alias("rep"), F.col("root").alias("component"), "n", "weight")
+    members = tmp.written(members.join(classes.select("rep", "digest", "row"), "rep"), "members")
+    found = tmp.written(_verified(docs, members, id_col, text_col, similarity), "verified")
+    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), tmp)
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    ends = classes.select("digest", "rep", "row", "class_size").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    ends = tmp.written(ends.select("digest", "row", "class_size", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("root")), "ends")
+    first = ends.groupBy("root").agg(F.min("row").alias("first"), F.hex(F.min("digest")).alias("class_key"))
+    return described, tmp.written(util.join_heavy(ends, first, ["root"], tmp), "named")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, text_class, class_size, n_links, size.
+    """One row per row of ``docs``: doc_id, class_id, text_class, class_size, n_links, size, class_key.
 
     ``text_class`` is the smallest id among texts with the same set, ``class_size`` their number; ``n_links`` counts the other
-    text classes with a Jaccard similarity of at least ``similarity``; ``class_id`` is the smallest id of all texts that links join.
-    Defined cases: null text is empty; empty texts (no word) share a text class and have no links. Ids are taken to name one
-    text; rows repeated with the same id and text stay rows. A null id stays null and orders first. Other columns are not read.
+    text classes with a Jaccard similarity of at least ``similarity``; ``class_id`` is the smallest id of all texts that links join,
+    and ``class_key`` names their class even where ids don't.
+    Defined cases: null text is empty; empty texts (no word) share a text class and have no links. Rows are told apart by their
+    texts, so different texts under one id, or under null ids, keep links of their own; a null id comes last, so a class or text class
+    has a null id only if all its ids are null. Repeated rows stay rows. An empty table gives an empty result. Other columns are not read.
     """
-    described = util.written(describe(docs, id_col, text_col), "sets")
-    classes = util.written(described.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"), F.first("size").alias("size"), F.first("places").alias("places"), F.first("brief").alias("brief")), "classes")
-    edges = candidates(classes.where(F.col("places").isNotNull()), similarity, recall)
-    linked = components(edges)
-    sized = linked.join(classes.select(F.col("rep").alias("node"), "size"), "node")
-    per = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight"))
-    members = util.written(sized.join(per, "root").select(F.col("node").alias("rep"), F.col("root").alias("component"), "n", "weight"), "members")
-    found = util.written(_verified(docs, members, id_col, text_col, similarity), "verified")
-    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    ends = classes.select("digest", "rep", "class_size").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    ends = ends.select("digest", "rep", "class_size", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("class_id"))
-    out = described.select("doc_id", "digest", "size").join(ends, "digest")
-    known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(known("doc_id").alias("doc_id"), known("class_id").alias("class_id"), known("rep").alias("text_class"), "class_size", "n_links", "size")
+    with util.Scratch(docs.sparkSession) as tmp:
+        described, ends = _classes(docs, id_col, text_col, similarity, recall, tmp)
+        out = util.join_heavy(described.select("doc_id", "digest", "size"), ends, ["digest"], tmp)
+        out = out.select("doc_id", F.col("first.doc_id").alias("class_id"), F.col("row.doc_id").alias("text_class"), "class_size", "n_links", "size", "class_key")
+        return util.written(out, "near-duplicates")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each class, with the columns of ``docs``. Texts without a word are no duplicates."""
-    found = near_duplicates(docs, id_col, text_col).where("doc_id is null or size = 0 or doc_id = class_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
+    """One row of each class, with the columns of ``docs``: that of the smallest id; of rows repeated with its id and text, one.
+    Texts without a word are no duplicates: all their rows stay."""
+    spark = docs.sparkSession
+    with util.Scratch(spark) as tmp:
+        described, ends = _classes(docs, id_col, text_col, THRESHOLD, RECALL, tmp)
+        firsts = ends.select("first").distinct().select(F.col("first.doc_id").alias("doc_id"), F.col(f"first.{MARK}").alias(MARK))
+        words = described.where("size > 0").select("doc_id", MARK)
+        same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a[MARK] == b[MARK])
+        keep = words.alias("w").join(firsts.alias("f"), same({c: F.col(f"w.{c}") for c in ("doc_id", MARK)}, {c: F.col(f"f.{c}") for c in ("doc_id", MARK)}), "left_semi")
+        keep = keep.groupBy("doc_id", MARK).agg(F.count("*").alias("times")).unionByName(described.where("size = 0").select("doc_id", MARK).distinct().withColumn("times", F.lit(1).cast("long")))
+        keep = util.written(keep.select(F.col("doc_id").alias("__id"), F.col(MARK).alias("__mark"), "times"), "near-kept")
+    mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    named = F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
+    once = docs.join(keep.where("times = 1"), named, "left_semi")
+    again = keep.where("times > 1")
+    if not again.limit(1).count():
+        return once
+    repeated = docs.withColumn("__text", mark).join(again, named, "left_semi").dropDuplicates([id_col, "__text"]).drop("__text")
+    return once.unionByName(repeated)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,14 +65,17 @@ class Scratch:
         remove_folder(self.spark, self.folder)
 
 
-#: A key is heavy if it has more than this part of all rows; so there are fewer heavy keys than this.
-HEAVY = 512
+#: A key is heavy if it has more than this part of all rows; so there are fewer heavy keys than this. In a table of fewer rows than
+#: ``LIGHT`` no key weighs anything.
+HEAVY, LIGHT = 512, 5_000
 
 
 def join_heavy(rows: DataFrame, values: DataFrame, keys: list[str], tmp: Scratch, how: str = "inner") -> DataFrame:
     """``rows`` (a written table) joined, inner or left, to ``values``, which has each key once. Keys may be as unequal as they like: rows
     of the fewer than ``HEAVY`` heavy ones meet their values by broadcast, where they are, and only the others are dealt by key."""
     total = rows.count()
+    if total < LIGHT:
+        return rows.join(values, keys, how)
     heavy = tmp.written(rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") * HEAVY > total).select(*keys), "heavy")
     if not heavy.limit(1).count():
         return rows.join(values, keys, how)

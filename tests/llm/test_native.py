@@ -68,7 +68,8 @@ def test_no_python_in_native_plans(spark, monkeypatch):
     assert len(plans) > 6 and not any(re.search("Python|Pandas|Arrow", p) for p in plans)
 
 
-def test_heavy_keys_join_as_others(spark):
+def test_heavy_keys_join_as_others(spark, monkeypatch):
+    monkeypatch.setattr(util, "LIGHT", 10)
     rows = spark.createDataFrame([(1, i) for i in range(900)] + [(2 + i % 50, i) for i in range(600)] + [(None, 7)], "k long, v long")
     values = spark.createDataFrame([(1, "one"), (3, "three"), (999, "none")], "k long, x string")
     for how in ("inner", "left"):
