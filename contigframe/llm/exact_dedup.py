@@ -35,30 +35,32 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     salts = salts or util.salt_count(spark)
-    base = (
-        docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
-        .withColumn("text_sha256", digest(F.col("norm")))
-        .withColumn("salt", F.pmod(util.mix(F.col("doc_id")), F.lit(salts)).cast("int"))
-    )
-    salted = base.groupBy("text_sha256", "salt", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
-    whole = salted.groupBy("text_sha256", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
-    winners = util.written(
-        whole.groupBy("text_sha256").agg(F.count("*").alias("variants"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")), "winners"
-    )
-    keys = util.written(base.select("doc_id", "text_sha256", "salt"), "dedup-keys")
-    joined = _by_digest(keys, winners.where("variants = 1"))
-    if winners.where("variants > 1").limit(1).count():
-        joined = joined.unionByName(_by_content(base, whole, winners))
-    again = F.row_number().over(Window.partitionBy("text_sha256", "salt", "doc_id", "keep_id").orderBy("doc_id"))
-    return joined.withColumn("again", again).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)).alias("kept"), "text_sha256"
-    )
-
-
-def _by_digest(keys: DataFrame, winners: DataFrame) -> DataFrame:
-    """Rows meet their winner by (digest, salt), so no task gets all rows of a hot digest."""
-    spread = keys.select("text_sha256", "salt").distinct().join(winners.select("text_sha256", "keep_id", "group_size"), "text_sha256")
-    return keys.join(spread, ["text_sha256", "salt"]).select("doc_id", "keep_id", "group_size", "text_sha256", "salt")
+    with util.Scratch(spark) as tmp:
+        base = (
+            docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
+            .withColumn("text_sha256", digest(F.col("norm")))
+            .withColumn("salt", F.pmod(util.mix(F.col("doc_id")), F.lit(salts)).cast("int"))
+        )
+        salted = base.groupBy("text_sha256", "salt", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
+        whole = salted.groupBy("text_sha256", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
+        winners = tmp.written(
+            whole.groupBy("text_sha256").agg(F.count("*").alias("variants"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")), "winners"
+        )
+        keys = tmp.written(base.select("doc_id", "text_sha256").withColumn("row", F.monotonically_increasing_id()), "keys")
+        alone = winners.where("variants = 1").select("text_sha256", "keep_id", "group_size")
+        joined = util.join_heavy(keys, alone, ["text_sha256"], tmp)
+        own = F.struct("doc_id").alias("own")  # a null id is an id too
+        repeated = keys.groupBy(own, "text_sha256").agg(F.count("*").alias("times"), F.min("row").alias("first")).where("times > 1")
+        repeated = tmp.written(repeated.select("own", "text_sha256", "first"), "repeated")
+        first = F.lit(True)
+        if repeated.limit(1).count():  # of rows with the same id and text one is kept
+            joined = util.join_heavy(tmp.written(joined.withColumn("own", own), "joined"), repeated, ["own", "text_sha256"], tmp, "left")
+            first = F.coalesce(F.col("row") == F.col("first"), F.lit(True))
+        columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+        out = joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).select(*columns)
+        if winners.where("variants > 1").limit(1).count():
+            out = out.unionByName(_by_content(base, whole, winners).select(*columns))
+        return util.written(out, "exact-dedup")
 
 
 def _by_content(base: DataFrame, whole: DataFrame, winners: DataFrame) -> DataFrame:
@@ -66,16 +68,22 @@ def _by_content(base: DataFrame, whole: DataFrame, winners: DataFrame) -> DataFr
     collided = winners.where("variants > 1").select("text_sha256")
     rows = base.join(collided, "text_sha256", "left_semi")
     spread = rows.select("text_sha256", "salt", "norm").distinct().join(whole, ["text_sha256", "norm"])
-    return rows.join(spread, ["text_sha256", "salt", "norm"]).select("doc_id", "keep_id", "group_size", "text_sha256", "salt")
+    again = F.row_number().over(Window.partitionBy("text_sha256", "norm", "salt", "doc_id").orderBy("doc_id"))
+    return rows.join(spread, ["text_sha256", "salt", "norm"]).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (again == 1))
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of rows repeated with the same id and text, one."""
-    keep = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha"))
+    found = exact_dedup(docs, id_col, text_col)
+    keep = found.where("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha"))
+    twice = found.groupBy(F.struct("doc_id").alias("own"), "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
+    twice = util.written(twice.select(F.col("own.doc_id").alias("__keep"), F.col("text_sha256").alias("__sha")), "repeated-rows")
+    named = F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__own") == F.col("__sha"))
     rows = docs.withColumn("__own", sha256(normalised(F.col(text_col))))
-    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__own") == F.col("__sha")), "left_semi")
-    once = F.row_number().over(Window.partitionBy(id_col, "__own").orderBy(id_col))
-    return rows.withColumn("__row", once).where("__row = 1").select(*docs.columns)
+    rows = rows.join(keep, named, "left_semi")
+    if twice.limit(1).count():
+        rows = rows.join(twice, named, "left_anti").unionByName(rows.join(twice, named, "left_semi").dropDuplicates([id_col, "__own"]))
+    return rows.select(*docs.columns)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
