@@ -30,6 +30,8 @@ HEADER = 33
 #: Bytes of a shard before a task starts its next one.
 SHARD = 32_000_000
 SEEN = 200_000
+#: Bytes of images that a task reads.
+WORK = 8_000_000
 INDEX = "digest binary, shard string, offset long, length long"
 INDEX_NAMES = ["digest", "shard", "offset", "length"]
 TAIL = 16
@@ -93,7 +95,7 @@ def _tar_header(name: str, size: int) -> bytes:
 
 
 def write_shards(docs: DataFrame, folder: str, text_col: str = "text") -> DataFrame:
-    """Stores each different text of ``docs`` once below ``folder``; the index as a table: digest, shard, offset, length."""
+    """Stores each different text of ``docs`` once below ``folder``; the index as a table there: digest, shard, offset, length."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, rows, size = set(), [], [], 0
@@ -158,14 +160,25 @@ def write_shards(docs: DataFrame, folder: str, text_col: str = "text") -> DataFr
             yield shard(name, rows)
 
     payloads = docs.select(samples(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("payload"))
-    staged = util.written(payloads.mapInArrow(encode, INDEX), "media-staged")
-    places = staged.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("place")).select("digest", "place.*")
-    shards = places.repartition("shard").sortWithinPartitions("shard", "offset").select(*INDEX_NAMES).mapInArrow(compact, INDEX)
-    index = util.written(shards, "media-index")
+    with util.Scratch(docs.sparkSession) as tmp:
+        staged = tmp.written(payloads.mapInArrow(encode, INDEX), "staged")
+        places = staged.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("place")).select("digest", "place.*")
+        places = places.repartition(_tasks(staged), "shard").sortWithinPartitions("shard", "offset").select(*INDEX_NAMES)
+        index = util.saved(places.mapInArrow(compact, INDEX), f"{folder}/index")
     util.remove_folder(docs.sparkSession, f"{folder}/staging")
     return index
 
 
+def _tasks(index: DataFrame) -> int:
+    """Tasks to read the images of ``index`` with, by their bytes: those of the index itself say nothing of them."""
+    return max(1, (index.agg(F.sum("length")).first()[0] or 0) // WORK + 1)
+
+
+def _dealt(index: DataFrame) -> DataFrame:
+    """``index`` dealt to tasks by stretches of its shards, in order of place."""
+    return index.repartition(_tasks(index), "shard", F.floor(F.col("offset") / WORK)).sortWithinPartitions("shard", "offset")
+
+
 def media_metadata(index: DataFrame, folder: str) -> DataFrame:
     """digest, width, height, depth of every payload, from range reads of the headers alone."""
 
@@ -177,7 +190,7 @@ def media_metadata(index: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(w, pa.int32()), pa.array(h, pa.int64()), pa.array(d, pa.int32())], names=["digest", "width", "height", "depth"])
         source.close()
 
-    return index.mapInArrow(read, "digest binary, width int, height long, depth int")
+    return _dealt(index).mapInArrow(read, "digest binary, width int, height long, depth int")
 
 
 MEDIA = "digest binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, shard string, offset long, width int, height long"
@@ -203,7 +216,7 @@ def media_features(index: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in MEDIA.split(", ")])
         source.close()
 
-    return index.mapInArrow(read, MEDIA)
+    return _dealt(index).mapInArrow(read, MEDIA)
 
 
 def media_columns(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,13 +224,16 @@ def media_columns(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
     feature, shard, offset, width, height.
 
     Defined cases: null text is empty, and an empty text is one row of spaces. Equal texts share one stored payload, as do
-    texts that differ in closing spaces only and fill up alike. Repeated rows stay rows. Other columns are not read.
+    texts that differ in closing spaces only and fill up alike. Repeated rows stay rows; an empty table gives an empty result. Other
+    columns are not read, whatever their names.
     """
     index = write_shards(docs, folder, text_col)
-    found = util.written(media_features(index, folder), "media-features")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(samples(text), 256)).alias("digest"))
-    return rows.join(found, "digest").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "shard", "offset", "width", "height")
+    with util.Scratch(docs.sparkSession) as tmp:
+        found = tmp.written(media_features(index, folder), "features")
+        rows = tmp.written(docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(samples(text), 256)).alias("digest")), "rows")
+        out = util.join_heavy(rows, found, ["digest"], tmp)
+        return util.written(out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "shard", "offset", "width", "height"), "media-columns")
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
