@@ -25,6 +25,8 @@ END = 1
 #: Column generation ends when the bound on what is left to gain is below this share.
 GAP = 5e-4
 STEPS = 4_000
+#: Parts that a class is ranked in; fixed, so that sequences don't depend on the session.
+LOTS = 1_024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -143,10 +145,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     Defined cases: a null or empty text is the end id alone. Rows repeated with the same id are packed each. An empty table
     gives an empty result. A text of any length is cut into sequences of its own and one remainder. Other columns are not read.
     """
-    spark = docs.sparkSession
-    lots = util.salt_count(spark) * 2
-    pieces = util.written(token_pieces(docs, id_col, text_col, tokenizer or tokens.default_path(), length, end), "pieces")
-    pieces = pieces.withColumn("class", F.ceil(F.col("length") / unit).cast("int")).withColumn("lot", F.pmod(F.xxhash64("doc_id", "start"), F.lit(lots)).cast("int"))
+    with util.Scratch(docs.sparkSession) as tmp:
+        return util.written(_packed(tmp.written(token_pieces(docs, id_col, text_col, tokenizer or tokens.default_path(), length, end), "pieces"), length, unit), "packed")
+
+
+def _packed(pieces: DataFrame, length: int, unit: int) -> DataFrame:
+    pieces = pieces.withColumn("class", F.ceil(F.col("length") / unit).cast("int")).withColumn("lot", F.pmod(F.xxhash64("doc_id", "start"), F.lit(LOTS)).cast("int"))
     per_lot = pieces.groupBy("class", "lot").agg(F.count("*").alias("n"))
     room = -(-length // unit)
     histogram = {r["class"]: r["n"] for r in per_lot.groupBy("class").agg(F.sum("n").alias("n")).collect()}  # at most ``room`` rows
