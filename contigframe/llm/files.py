@@ -36,20 +36,25 @@ def drop(uri: str) -> None:
 
 
 class Reader:
-    """Range reads; keeps the last file open."""
+    """Range reads; keeps the ``MOST`` files open that were read last."""
+
+    MOST = 16
 
     def __init__(self):
-        self.uri, self.file = "", None
+        self.files: dict[str, object] = {}
 
     def read(self, uri: str, offset: int, length: int) -> bytes:
-        if uri != self.uri:
-            self.close()
+        file = self.files.pop(uri, None)
+        if file is None:
+            if len(self.files) >= self.MOST:
+                self.files.pop(next(iter(self.files))).close()
             where, path = opened(uri)
-            self.uri, self.file = uri, where.open_input_file(path)
-        self.file.seek(offset)
-        return self.file.read(length)
+            file = where.open_input_file(path)
+        self.files[uri] = file
+        file.seek(offset)
+        return file.read(length)
 
     def close(self) -> None:
-        if self.file is not None:
-            self.file.close()
-        self.uri, self.file = "", None
+        for file in self.files.values():
+            file.close()
+        self.files.clear()

@@ -5,24 +5,27 @@ wherever they stand. The store has three parts below its folder:
 
 - ``packs/<name>.pack``: magic, item size, then the payloads of unique chunks (little-endian ids) one after the other;
 - ``index``: Parquet, one row per unique chunk: digest, pack, offset, ids;
-- ``recipes``: Parquet in ascending doc_id, one row per document: part, doc_id, digests, n_tokens, root. ``manifest`` holds
-  documents, tokens and the Merkle root over the document roots of each part, and how many parts there are.
+- ``recipes``: Parquet in ascending doc_id, one row per document: part, row, doc_id, digests, n_tokens, root;
+- ``manifest``: Parquet, the nodes of a Merkle tree over the recipes: each covers up to ``FAN`` recipes or nodes of a part, further ones
+  the parts, and the row of level 0 the whole store; all with documents, tokens and root.
 
 Writing encodes each text once: tasks write the chunks that are new to them to staging packs; the index then names one
-place for each digest, and a second pass copies just these to the final packs. Reading checks every chunk against its digest,
-every recipe against its root and the recipes of every part against the manifest.
+place for each digest, and a second pass copies just these to the final packs. Reading works the tree out again from the recipes and
+holds it against the manifest, then rebuilds each document from its recipe: every chunk is read from its pack and held against its
+digest, all of them against the recipe's root.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from contigframe.llm import files, tokens, util
@@ -36,6 +39,10 @@ MAGIC = b"IDPK"
 HEADER = 8
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 PACK = 32_000_000
+#: Children of a node of the manifest's tree: 2 to the power of this.
+FAN = 12
+#: ``monotonically_increasing_id`` numbers rows within a task by its lower bits.
+LOCAL = (1 << 33) - 1
 #: Digests a task remembers as written; when full it forgets them, and the index settles what is written twice.
 SEEN = 200_000
 
@@ -83,40 +90,13 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-_STEP: dict[int, list[list[int]]] = {}
-
-
-def _times(m: list[int], v: int) -> int:
-    out, i = 0, 0
-    while v:
-        if v & 1:
-            out ^= m[i]
-        v >>= 1
-        i += 1
-    return out
-
-
-def crc_joined(first: int, second: int, length: int) -> int:
-    """CRC-32 of two byte strings joined, from their own CRCs and the second's length."""
-    if not _STEP:
-        one = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
-        _STEP[0] = [one]
-        for _ in range(66):
-            one = [_times(one, x) for x in one]
-            _STEP[0].append(one)
-    k, bits = 0, length * 8
-    while bits:
-        if bits & 1:
-            first = _times(_STEP[0][k], first)
-        bits >>= 1
-        k += 1
-    return first ^ second
-
-
-
-
 def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end: int = END) -> None:
-    """Writes the store of ``docs`` to ``folder``. Null text is empty; every document ends with the id ``end``."""
+    """Writes the store of ``docs`` to ``folder``.
+
+    Defined cases: a null or empty text is the id ``end`` alone, with which every document ends. Rows repeated with one id are documents each,
+    the shorter first; null ids come first. An empty table gives a store of no documents. Other columns are not read, whatever their
+    names.
+    """
     spark, path = docs.sparkSession, tokenizer or tokens.default_path()
     staging = f"{folder}/staging"
 
@@ -124,7 +104,6 @@ def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         tok, seen, held = tokens.loaded(path), set(), []
         width = "<u2" if tok.tok.get_vocab_size() <= 65_536 and end <= 65_535 else "<u4"
         size = HEADER
-        import uuid
 
         def flush(recipes: list[tuple]) -> pa.RecordBatch:
             nonlocal held, size
@@ -190,115 +169,156 @@ def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.binary()), pa.array([name] * len(d)), pa.array(o, pa.int64()), pa.array(n, pa.int32())], names=["digest", "pack", "offset", "ids"])
         source.close()
 
-    encoded = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        tokens.tidy(encode), "doc_id long, digests array<binary>, n_tokens long, chunks array<struct<digest: binary, pack: string, offset: long, ids: int>>"
-    )
-    encoded = util.written(encoded, "ids-encoded")
-    places = encoded.select(F.explode("chunks").alias("c")).select("c.*").groupBy("digest").agg(F.min(F.struct("pack", "offset", "ids")).alias("place"))
-    unique = places.select("digest", "place.*").repartition("pack").sortWithinPartitions("pack", "offset")
-    unique.mapInArrow(compact, "digest binary, pack string, offset long, ids int").write.parquet(f"{folder}/index")
-    util.remove_folder(spark, staging)
-    recipes = encoded.select("doc_id", "digests", "n_tokens").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens")
-    recipes = recipes.mapInArrow(roots, "doc_id long, digests array<binary>, n_tokens long, root binary").withColumn("part", F.spark_partition_id())
-    recipes.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/recipes")
-    part_facts(spark, folder).withColumn("parts", F.count("*").over(Window.partitionBy())).write.parquet(f"{folder}/manifest")
+    schema = "doc_id long, digests array<binary>, n_tokens long, chunks array<struct<digest: binary, pack: string, offset: long, ids: int>>"
+    with util.Scratch(spark) as tmp:
+        encoded = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tokens.tidy(encode), schema)
+        encoded = tmp.written(encoded.withColumn("tie", F.monotonically_increasing_id()), "encoded")
+        places = encoded.select(F.explode("chunks").alias("c")).select("c.*").groupBy("digest").agg(F.min(F.struct("pack", "offset", "ids")).alias("place"))
+        unique = tmp.written(places.select("digest", "place.*"), "places")
+        packs = max(1, (unique.agg(F.sum("ids")).first()[0] or 0) * 4 // PACK + 1)
+        unique = unique.repartition(packs, "pack").sortWithinPartitions("pack", "offset")
+        unique.mapInArrow(compact, "digest binary, pack string, offset long, ids int").write.parquet(f"{folder}/index")
+        util.remove_folder(spark, staging)
+        order = [F.col("doc_id").asc_nulls_first(), F.col("n_tokens"), F.xxhash64("digests"), F.col("tie")]  # so no id is too much for a task
+        recipes = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "digests", "n_tokens")
+        recipes = recipes.mapInArrow(roots, "doc_id long, digests array<binary>, n_tokens long, root binary").withColumn("part", F.spark_partition_id())
+        util.saved(recipes.withColumn("row", F.monotonically_increasing_id()), f"{folder}/recipes")
+        _tree(_recipes(spark, folder), tmp).write.parquet(f"{folder}/manifest")
+
+
+RECIPES = "doc_id long, digests array<binary>, n_tokens long, root binary, part int, row long"
+NODES = "part long, at long, documents long, n_tokens long, root binary"
+
 
+def _recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(RECIPES).parquet(f"{folder}/recipes")
 
-def part_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """(part, documents, part_tokens, root) of every part, from its recipes."""
+
+def _above(nodes: DataFrame) -> DataFrame:
+    """The nodes over up to 2 ** ``FAN`` neighbours each."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             joined = [merkle([x["root"] for x in r]) for r in batch.column("r").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("part", "documents", "part_tokens")), pa.array(joined, pa.binary())], names=["part", "documents", "part_tokens", "root"])
-
-    parts = spark.read.parquet(f"{folder}/recipes").groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("part_tokens"), F.sort_array(F.collect_list(F.struct("row", "root"))).alias("r"))
-    return parts.mapInArrow(join, "part int, documents long, part_tokens long, root binary")
+            names = ["part", "at", "documents", "n_tokens"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(joined, pa.binary())], names=[*names, "root"])
+
+    up = nodes.groupBy("part", F.shiftright("at", FAN).alias("up")).agg(F.sum("documents").alias("documents"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("at", "root"))).alias("r"))
+    return up.withColumnRenamed("up", "at").mapInArrow(join, NODES)
+
+
+def _tree(recipes: DataFrame, tmp: util.Scratch) -> DataFrame:
+    """(level, part, at, documents, n_tokens, root): the nodes over the recipes of each part, then (part -1) those over the parts, and as
+    level 0 the whole store, which is there for a store of no documents too."""
+    nodes = recipes.select(F.col("part").cast("long").alias("part"), F.col("row").bitwiseAND(F.lit(LOCAL)).alias("at"), F.lit(1).cast("long").alias("documents"), "n_tokens", "root")
+    last = nodes.agg(F.max("at").alias("at"), F.max("part").alias("part")).first()
+    found = []
+
+    def climb(nodes: DataFrame, most: int) -> DataFrame:
+        while True:
+            nodes, most = tmp.written(_above(nodes), "nodes"), most >> FAN
+            found.append(nodes.withColumn("level", F.lit(len(found) + 1)))
+            if not most:
+                return nodes
+
+    if last["at"] is not None:
+        nodes = climb(nodes, last["at"])
+        nodes = climb(nodes.withColumn("at", F.col("part")).withColumn("part", F.lit(-1).cast("long")), last["part"])
+    whole = nodes.agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"), F.coalesce(F.max("root"), F.lit(digest(b""))).alias("root"))
+    out = whole.select(F.lit(0).alias("level"), F.lit(-1).cast("long").alias("part"), F.lit(0).cast("long").alias("at"), "documents", "n_tokens", "root")
+    for level in found:
+        out = out.unionByName(level)
+    return out
 
 
-def check_parts(spark: SparkSession, folder: str) -> None:
-    """An error unless the parts are those of the manifest, whole and as written."""
-    want, names = spark.read.parquet(f"{folder}/manifest"), ["documents", "part_tokens", "root"]
-    listed = want.agg(F.count("*").alias("n"), F.max("parts").alias("parts")).first()
-    if listed["n"] != (listed["parts"] or 0):
-        raise ValueError(f"the manifest of {folder} has {listed['n']} of {listed['parts']} parts")
-    got = part_facts(spark, folder).select("part", F.struct(*names).alias("got"))
-    bad = got.join(want.select("part", F.struct(*names).alias("want")), "part", "full_outer").where(~F.col("got").eqNullSafe(F.col("want"))).select("part").orderBy("part").limit(5).collect()
+def check_recipes(spark: SparkSession, folder: str, tmp: util.Scratch) -> DataFrame:
+    """The manifest's tree as the recipes give it; an error unless it is the one that was written."""
+    facts, key = ["documents", "n_tokens", "root"], ["level", "part", "at"]
+    got = tmp.written(_tree(_recipes(spark, folder), tmp), "tree")
+    want = spark.read.schema(got.schema).parquet(f"{folder}/manifest")
+    both = got.select(*key, F.struct(*facts).alias("got")).join(want.select(*key, F.struct(*facts).alias("want")), key, "full_outer")
+    bad = both.where(~F.col("got").eqNullSafe(F.col("want"))).select(*key).orderBy(*key).limit(5).collect()
     if bad:
-        raise ValueError(f"recipes of {folder} don't match the manifest: parts {', '.join(str(r['part']) for r in bad)}")
+        raise ValueError(f"recipes of {folder} don't match the manifest: (level, part, node) {', '.join(str(tuple(r)) for r in bad)}")
+    return got
 
 
-def chunk_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """(digest, ids, crc) of every unique chunk, from its payload as read back; a payload that isn't its digest's is an error."""
+def _placed(spark: SparkSession, folder: str, tmp: util.Scratch) -> DataFrame:
+    """The checked recipes with ``start``, from sums over blocks of recipes, over the blocks of a part and over the parts."""
+    tree = check_recipes(spark, folder, tmp)
+    before = lambda *keys: Window.partitionBy(*[k for k in keys[:-1]]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = tree.where("level = 1").select("part", "at", "n_tokens")
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("part_start", F.coalesce(F.sum("n").over(before("part")), F.lit(0)))  # a row for each part
+    blocks = blocks.withColumn("in_part", F.coalesce(F.sum("n_tokens").over(before("part", "at")), F.lit(0))).join(parts, "part")
+    blocks = blocks.select(F.col("part").cast("int").alias("part"), F.col("at").alias("block"), (F.col("part_start") + F.col("in_part")).alias("block_start"))
+    recipes = _recipes(spark, folder).withColumn("block", F.shiftright(F.col("row").bitwiseAND(F.lit(LOCAL)), FAN))
+    inside = F.coalesce(F.sum("n_tokens").over(before("part", "block", "row")), F.lit(0))
+    return recipes.withColumn("in_block", inside).join(blocks, ["part", "block"]).withColumn("start", F.col("block_start") + F.col("in_block")).drop("in_block", "block_start")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, width, last = files.Reader(), 0, ""
-        for batch in batches:
-            crcs = []
-            for d, pack, offset, n in zip(*(batch.column(c).to_pylist() for c in ("digest", "pack", "offset", "ids")), strict=True):
-                uri = f"{folder}/packs/{pack}.pack"
-                if pack != last:
-                    head, last = source.read(uri, 0, HEADER), pack
-                    if head[:4] != MAGIC:
-                        raise ValueError(f"{uri} is not a pack")
-                    width = int.from_bytes(head[4:], "little")
-                payload = source.read(uri, offset, n * width)
-                if digest(payload) != d:
-                    raise ValueError(f"chunk {d.hex()} in {uri} is damaged")
-                crcs.append(tokens.crc(np.frombuffer(payload, f"<u{width}")))
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("ids"), pa.array(crcs, pa.int64())], names=["digest", "ids", "crc"])
-        source.close()
-
-    index = spark.read.parquet(f"{folder}/index")
-    return index.mapInArrow(read, "digest binary, ids int, crc long")
 
+def _rebuilt(spark: SparkSession, folder: str, tmp: util.Scratch, give: Callable[[np.ndarray], object], kind: pa.DataType) -> DataFrame:
+    """doc_id, start, n_tokens and what ``give`` makes of the ids of each document, rebuilt from its recipe. Chunks that lie one after the
+    other are read at once; a chunk that isn't its digest's or a document that isn't its root's is an error."""
 
-def read_store(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the store's files."""
-    check_parts(spark, folder)
-    recipes = spark.read.parquet(f"{folder}/recipes")
-    facts = util.written(chunk_facts(spark, folder), "chunk-facts")
-    used = recipes.select("part", "row", F.posexplode("digests").alias("pos", "digest")).join(facts, "digest")
-    lists = used.groupBy("part", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "digest", "ids", "crc"))).alias("chunks"))
-    parts = spark.read.parquet(f"{folder}/manifest").withColumn("part_start", F.coalesce(F.sum("part_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    placed = recipes.withColumn("in_part", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(F.broadcast(parts.select("part", "part_start")), "part")
-    rows = placed.select("part", "row", "doc_id", "n_tokens", "root", (F.col("part_start") + F.col("in_part")).alias("start")).join(lists, ["part", "row"], "left")
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, widths = files.Reader(), {}
         for batch in batches:
-            crcs = []
+            out = []
             for doc, n, root, chunks in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "root", "chunks")), strict=True):
-                chunks = chunks or []
-                if merkle([c["digest"] for c in chunks]) != root or sum(c["ids"] for c in chunks) != n:
+                own, k, chunks = [], 0, chunks or []
+                while k < len(chunks):
+                    first, last, end = chunks[k], k, 0
+                    uri = f"{folder}/packs/{first['pack']}.pack"
+                    if uri not in widths:
+                        if len(widths) > 10_000:
+                            widths.clear()
+                        head = source.read(uri, 0, HEADER)
+                        if head[:4] != MAGIC:
+                            raise ValueError(f"{uri} is not a pack")
+                        widths[uri] = int.from_bytes(head[4:], "little")
+                    width = widths[uri]
+                    while last < len(chunks) and chunks[last]["pack"] == first["pack"] and chunks[last]["offset"] == first["offset"] + end:
+                        end += chunks[last]["ids"] * width
+                        last += 1
+                    data, at = source.read(uri, first["offset"], end), 0
+                    for c in chunks[k:last]:
+                        if digest(data[at : at + c["ids"] * width]) != c["digest"]:
+                            raise ValueError(f"chunk {c['digest'].hex()} in {uri} is damaged")
+                        at += c["ids"] * width
+                    own.append(np.frombuffer(data, f"<u{width}").astype("<u4"))
+                    k = last
+                ids = np.concatenate(own) if own else np.zeros(0, "<u4")
+                if merkle([c["digest"] for c in chunks]) != root or len(ids) != n:
                     raise ValueError(f"the recipe of document {doc} doesn't match its root")
-                crc = zlib.crc32(b"")
-                for c in chunks:
-                    crc = crc_joined(crc, c["crc"], 4 * c["ids"])
-                crcs.append(crc)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                out.append(give(ids))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(out, kind)], names=["doc_id", "start", "n_tokens", "given"])
+        source.close()
 
-    return rows.mapInArrow(join, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    placed = tmp.written(_placed(spark, folder, tmp), "placed")
+    index = spark.read.schema("digest binary, pack string, offset long, ids int").parquet(f"{folder}/index")
+    uses = tmp.written(placed.select("part", "row", F.posexplode("digests").alias("pos", "digest")), "uses")
+    found = util.join_heavy(uses, index, ["digest"], tmp)
+    lists = found.groupBy("part", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "pack", "offset", "ids", "digest"))).alias("chunks"))
+    rows = placed.select("part", "row", "block", "doc_id", "n_tokens", "root", "start").join(lists, ["part", "row"], "left")
+    first = F.get("chunks", F.lit(0))
+    tasks = max(util.salt_count(spark), (placed.agg(F.sum("n_tokens")).first()[0] or 0) * 4 // PACK + 1)
+    rows = rows.repartition(tasks, "part", "block", F.pmod("row", F.lit(16))).sortWithinPartitions(first["pack"], first["offset"])
+    spark_kind = {pa.int64(): T.LongType(), pa.list_(pa.int64()): T.ArrayType(T.LongType())}[kind]
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start", "n_tokens")] + [T.StructField("given", spark_kind)])
+    return rows.mapInArrow(tokens.tidy(rebuild), schema)
 
 
-def document_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, ids): the documents themselves, rebuilt from recipes and packs."""
+def read_store(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the ids rebuilt from the store's files. A store of no documents gives
+    an empty result; any difference from what was written is an error."""
+    with util.Scratch(spark) as tmp:
+        return util.written(_rebuilt(spark, folder, tmp, tokens.crc, pa.int64()).withColumnRenamed("given", "ids_crc32"), "store-read")
 
-    def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = files.Reader()
-        for batch in batches:
-            out = []
-            for pack, offset, n in zip(*(batch.column(c).to_pylist() for c in ("pack", "offset", "ids")), strict=True):
-                uri = f"{folder}/packs/{pack}.pack"
-                width = int.from_bytes(source.read(uri, 4, 4), "little")
-                out.append(np.frombuffer(source.read(uri, offset, n * width), f"<u{width}").tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.list_(pa.int64()))], names=["digest", "chunk"])
-        source.close()
 
-    check_parts(spark, folder)
-    chunks = spark.read.parquet(f"{folder}/index").mapInArrow(payloads, "digest binary, chunk array<long>")
-    used = spark.read.parquet(f"{folder}/recipes").select("part", "row", "doc_id", F.posexplode("digests").alias("pos", "digest")).join(chunks, "digest")
-    return used.groupBy("part", "row", "doc_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "chunk"))), lambda x: x["chunk"])).alias("ids")).select("doc_id", "ids")
+def document_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, ids): the documents themselves, rebuilt from recipes and packs."""
+    with util.Scratch(spark) as tmp:
+        return util.written(_rebuilt(spark, folder, tmp, lambda ids: ids.tolist(), pa.list_(pa.int64())).select("doc_id", F.col("given").alias("ids")), "store-ids")
 
 
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

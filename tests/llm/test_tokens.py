@@ -149,28 +149,69 @@ def test_store_notices_damage(spark):
         token_store.read_store(spark, folder).collect()
 
 
-@pytest.mark.parametrize("lost", ["row", "part", "part and its line", "nothing"])
-def test_lost_recipes_are_noticed(spark, lost):
-    folder = util.new_folder(spark, "store")
+def rewritten(spark, rows, schema, path):
+    spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema).write.mode("overwrite").parquet(path)
+
+
+@pytest.fixture(scope="module")
+def small_store(spark):
+    """A store of several parts, with blocks of 8 recipes."""
     docs = spark.createDataFrame([(i, f"text {i} of some") for i in range(200)], "doc_id long, text string")
+    held, token_store.FAN = token_store.FAN, 3
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        token_store.write_store(docs, folder)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    manifest = spark.read.parquet(f"{folder}/manifest")
-    recipes = spark.read.parquet(f"{folder}/recipes")
-    one = recipes.orderBy("row").first()
-    assert manifest.count() > 1
-    for part in manifest.collect():
-        roots = [bytes(r.root) for r in recipes.where(F.col("part") == part.part).orderBy("row").collect()]
-        assert (bytes(part.root), part.documents) == (token_store.merkle(roots), len(roots))
-    gone = {"row": F.col("row") == one.row, "part": F.col("part") == one.part, "part and its line": F.col("part") == one.part, "nothing": F.lit(False)}[lost]
-    kept, lines = recipes.where(~gone).collect(), manifest.collect()
-    schema = spark.read.parquet(f"{folder}/recipes").schema
-    spark.createDataFrame([tuple(r[c] for c in schema.names) for r in kept], schema).write.mode("overwrite").parquet(f"{folder}/recipes")
-    if lost == "part and its line":
-        spark.createDataFrame([r for r in lines if r.part != one.part], manifest.schema).write.mode("overwrite").parquet(f"{folder}/manifest")
+    folder = util.new_folder(spark, "store")
+    token_store.write_store(docs, folder)
+    yield folder
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    token_store.FAN = held
+
+
+def test_manifest_is_a_merkle_tree(spark, small_store):
+    recipes = spark.read.parquet(f"{small_store}/recipes").collect()
+    nodes = {(m.level, m.part, m.at): m for m in spark.read.parquet(f"{small_store}/manifest").collect()}
+    parts = {}
+    for r in sorted(recipes, key=lambda r: r.row):
+        parts.setdefault(r.part, []).append(bytes(r.root))
+    tops = []
+    for part, roots in sorted(parts.items()):
+        level, here = 1, roots
+        while True:
+            above = [token_store.merkle(here[i : i + 8]) for i in range(0, len(here), 8)]
+            for at, root in enumerate(above):
+                assert bytes(nodes[level, part, at].root) == root
+            here, level = above, level + 1
+            if level > max(k for k, p, _ in nodes if p >= 0):
+                break
+        tops.append(here[0])
+    while len(tops) > 1:
+        tops = [token_store.merkle(tops[i : i + 8]) for i in range(0, len(tops), 8)]
+    whole = nodes[0, -1, 0]
+    assert len(parts) > 1 and bytes(whole.root) == tops[0] and whole.documents == 200
+
+
+@pytest.mark.parametrize("lost", ["row", "part", "part and its lines", "all", "swapped", "line", "nothing"])
+def test_changed_recipes_are_noticed(spark, small_store, lost):
+    import shutil
+
+    folder = util.new_folder(spark, "store")
+    shutil.copytree(small_store.removeprefix("file://"), folder.removeprefix("file://"))
+    recipes, manifest = spark.read.parquet(f"{folder}/recipes"), spark.read.parquet(f"{folder}/manifest")
+    rows, lines = recipes.collect(), manifest.collect()
+    one, two = sorted(rows, key=lambda r: r.row)[:2]
+    if lost == "row":
+        rows = [r for r in rows if r.row != one.row]
+    elif lost.startswith("part"):
+        rows = [r for r in rows if r.part != one.part]
+    elif lost == "all":
+        rows = []
+    elif lost == "swapped":  # a whole recipe, root and all, in the place of another
+        rows = [r if r.row != one.row else two.__class__(**{**one.asDict(), "digests": two.digests, "root": two.root, "n_tokens": two.n_tokens}) for r in rows]
+    if lost == "part and its lines":
+        lines = [r for r in lines if r.part != one.part]
+    if lost == "line":
+        lines = [r for r in lines if r.level]
+    rewritten(spark, rows, recipes.schema, f"{folder}/recipes")
+    rewritten(spark, lines, manifest.schema, f"{folder}/manifest")
     if lost == "nothing":
         assert token_store.read_store(spark, folder).count() == 200
     else:
@@ -178,10 +219,12 @@ def test_lost_recipes_are_noticed(spark, lost):
             token_store.read_store(spark, folder).collect()
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.binary(max_size=60), st.binary(max_size=60))
-def test_crc_of_joined(a, b):
-    assert token_store.crc_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+def test_store_of_no_rows_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", 3, "x")], "doc_id long, text string, part int, digests string")
+    for rows, n in ((docs, 1), (docs.limit(0), 0)):
+        folder = util.new_folder(spark, "store")
+        token_store.write_store(rows, folder)
+        assert token_store.read_store(spark, folder).count() == token_store.document_ids(spark, folder).count() == n
 
 
 @settings(max_examples=50, deadline=None)
