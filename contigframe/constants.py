@@ -28,7 +28,7 @@ LOCALIZATION_MIN, GENE_SCORE_NOTE = 0.7, 0.1
 START_OVERHANG, START_SCORE, START_TAIL, START_COVERAGE, START_MIN_AA = (12, 60), 25.0, 5, 0.70, 40
 QUERY_UP, QUERY_DOWN, QUERY_MIN = 60, 450, 30
 LEGACY_GAP, LEGACY_OVERLAP, LEGACY_RATIO, LEGACY_SHORTFALL, LEGACY_MIN_REF, LEGACY_SHORT = 60, 30, 0.8, 25, 50, 150
-FRAMESHIFT_OVERLAP, READTHROUGH_CODONS = (1, 8), 80
+FRAMESHIFT_OVERLAP, READTHROUGH_CODONS, READTHROUGH_CAP = (1, 8), 80, 5000
 
 # sequence
 STARTS, STOPS = ("ATG", "GTG", "TTG"), ("TAA", "TAG", "TGA")

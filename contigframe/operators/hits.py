@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contigframe import constants as C
+from contigframe.functions import sequence as S
 from contigframe.functions import text as T
+from contigframe.operators import intervals as I
 
 
 def best_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -20,18 +22,23 @@ def best_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return rows.groupBy(*keys).agg(best).select(*keys, "m.row.*").select(*rows.columns)
 
 
+def _arrival(hits: DataFrame) -> Column:
+    """What settles full ties: the first hit wins, by ``ord`` where hits carry it."""
+    return F.col("ord" if "ord" in hits.columns else "t")
+
+
 def best_hits(hits: DataFrame, *keys: str) -> DataFrame:
-    """Per query the hit with most bits, then the lower E-value, then the smallest target."""
-    return best_by(hits, list(keys) or ["q"], -F.col("bits"), F.col("evalue"), F.col("t"))
+    """Per query the hit with most bits, then the lower E-value, then the first one."""
+    return best_by(hits, list(keys) or ["q"], -F.col("bits"), F.col("evalue"), _arrival(hits))
 
 
 def best_overall(hits: DataFrame) -> DataFrame:
-    return hits.orderBy(F.col("bits").desc(), "evalue", "q", "t").limit(1)
+    return hits.orderBy(F.col("bits").desc(), "evalue", "q", _arrival(hits)).limit(1)
 
 
 def primary_target(hits: DataFrame) -> DataFrame:
-    """Per query the hit with the lowest E-value, then most bits, then the smallest target."""
-    return best_by(hits, ["q"], F.col("evalue"), -F.col("bits"), F.col("t"))
+    """Per query the hit with the lowest E-value, the first of equal ones."""
+    return best_by(hits, ["q"], F.col("evalue"), _arrival(hits))
 
 
 def psc_gate() -> Column:
@@ -93,36 +100,51 @@ def union_hits(*passes: DataFrame) -> DataFrame:
     return best_hits(out)
 
 
-def split_pairs(hits: DataFrame) -> DataFrame:
-    """(q, a_ord, kind) of queries whose reading frame is broken: two hits (q, ord, qs, qe, ts, te, tlen, strand, phase) of one target and strand that
-    follow each other on both sides; "frameshift" if their phases differ, else "internal_stop". The first pair by order counts."""
-    a = hits.select(*[F.col(c).alias(f"a_{c}") for c in hits.columns])
-    b = hits.select(*[F.col(c).alias(f"b_{c}") for c in hits.columns])
-    length = lambda p: F.col(f"{p}_te") - F.col(f"{p}_ts") + 1
-    lap = F.greatest(F.least("a_te", "b_te") - F.greatest("a_ts", "b_ts") + 1, F.lit(0))
-    tlen = F.col("a_tlen")
+def primary_hits(hits: DataFrame) -> DataFrame:
+    """The significant hits (q, t, ord, evalue, qs, qe, ts, te, tlen) of each query to its primary target, with that hit's ``tlen``; targets that are
+    too short are left out."""
+    good = hits.where(F.col("evalue") <= C.PSEUDO_MAX_EVALUE)
+    first = primary_target(good).where(F.col("tlen") >= C.PSEUDO_MIN_TLEN).select("q", "t", "tlen")
+    return good.drop("tlen").join(first, ["q", "t"])
+
+
+def split_pairs(primary: DataFrame) -> DataFrame:
+    """(q, a_ord, b_ord, kind) of queries that ``primary_hits`` show as broken: a first piece and one behind it, in the target as in the query, on one
+    strand, that make up one target between them; "frameshift" if they read in different phases, else "internal_stop". The first pair by order
+    counts."""
+    strand, phase = S.frame_of("qs", "qe")
+    rows = primary.withColumns({"lo": F.least("qs", "qe"), "hi": F.greatest("qs", "qe"), "strand": strand, "phase": phase, "len": F.col("te") - F.col("ts") + 1}).where(F.col("len") >= C.SPLIT_PIECE_AA)
+    cols = ["ord", "ts", "te", "lo", "hi", "phase", "len"]
+    a = rows.select("q", "strand", "tlen", *[F.col(c).alias(f"a_{c}") for c in cols])
+    b = rows.select("q", "strand", *[F.col(c).alias(f"b_{c}") for c in cols])
     ok = (
-        (F.col("a_q") == F.col("b_q")) & (F.col("a_strand") == F.col("b_strand")) & (F.col("b_qs") > F.col("a_qs")) & (tlen >= C.PSEUDO_MIN_TLEN)
-        & (length("a") >= C.SPLIT_PIECE_AA) & (length("b") >= C.SPLIT_PIECE_AA) & (length("a") + length("b") - lap >= C.SPLIT_UNION * tlen) & (length("a") + length("b") <= C.SPLIT_SUM * tlen)
-        & (F.col("b_qs") - F.col("a_qe") <= C.SPLIT_QGAP) & (F.greatest("a_qe", "b_qe") - F.col("a_qs") <= C.SPLIT_SPAN * 3 * tlen) & (lap <= C.SPLIT_OVERLAP) & (F.col("b_ts") - F.col("a_te") <= C.SPLIT_TGAP)
+        (F.col("a_ts") <= F.col("b_ts")) & (F.col("a_te") <= F.col("b_te")) & (F.col("a_te") - F.col("b_ts") + 1 <= C.SPLIT_OVERLAP) & (F.col("b_ts") - F.col("a_te") - 1 <= C.SPLIT_TGAP)
+        & (F.col("b_te") - F.col("a_ts") + 1 >= C.SPLIT_UNION * F.col("tlen")) & (F.col("a_len") + F.col("b_len") <= C.SPLIT_SUM * F.col("tlen"))
+        & (F.col("b_lo") > F.col("a_lo")) & (F.col("b_lo") - F.col("a_hi") - 1 <= C.SPLIT_QGAP) & (F.col("b_hi") - F.col("a_lo") + 1 <= C.SPLIT_SPAN * F.col("tlen") * 3)
     )
     kind = F.when(F.col("a_phase") != F.col("b_phase"), "frameshift").otherwise("internal_stop")
-    pairs = a.join(b, ok).select(F.col("a_q").alias("q"), "a_ord", "b_ord", kind.alias("kind"))
+    pairs = a.join(b, ["q", "strand"]).where(ok).select("q", "a_ord", "b_ord", kind.alias("kind"))
     return best_by(pairs, ["q"], F.col("a_ord"), F.col("b_ord"))
 
 
-def truncations(hits: DataFrame) -> DataFrame:
-    """(q) of genes of transposases (q, ts, te, tlen, aa_len, transpos) that cover a part of the reference with one intact end."""
-    tcov = (F.col("te") - F.col("ts") + 1) / F.col("tlen")
-    left, right = F.col("ts") - 1 <= C.TRUNC_END, F.col("tlen") - F.col("te") <= C.TRUNC_END
-    return hits.where("transpos").where(F.col("tlen") >= C.PSEUDO_MIN_TLEN).where(tcov.between(C.TRUNC_MIN, C.TRUNC_MAX) & (left != right) & (F.col("aa_len") < C.TRUNC_RATIO * F.col("tlen"))).select("q").distinct()
+def truncations(primary: DataFrame, genes: DataFrame) -> DataFrame:
+    """(q, lost) of transposases among ``genes`` (q, aa_len, transpos) whose longest hit (the last of equal ones) covers a part of the target with an
+    intact end, and which are short themselves."""
+    longest = best_by(primary, ["q"], -(F.col("te") - F.col("ts")), -F.col("ord")).withColumn("len", F.col("te") - F.col("ts") + 1)
+    tlen = F.col("tlen")
+    n_end, c_end = F.col("ts") <= 1 + C.TRUNC_END, F.col("te") >= tlen - C.TRUNC_END
+    part = (F.col("len") >= C.SPLIT_PIECE_AA) & (F.col("len") / tlen).between(C.TRUNC_MIN, C.TRUNC_MAX) & (n_end | c_end)
+    lost = F.when(n_end & ~c_end, "C-terminal").when(c_end & ~n_end, "N-terminal").otherwise("internal")
+    return genes.where("transpos").join(longest.where(part), "q").where(F.col("aa_len") < F.floor(C.TRUNC_RATIO * tlen)).select("q", lost.alias("lost"))
 
 
-def disruption_flags(queries: DataFrame, pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """(q, kind) of queries (q, edge) away from contig edges: a split, else a truncation."""
-    cut = cut.withColumn("t", F.lit("truncation"))
-    flagged = queries.where("not edge").join(pairs.select("q", "kind"), "q", "left").join(cut, "q", "left")
-    return flagged.select("q", F.coalesce("kind", "t").alias("kind")).where("kind is not null")
+def disruption_flags(queries: DataFrame, hits: DataFrame) -> DataFrame:
+    """(q, t, kind) of ``queries`` (q, edge, aa_len, transpos) away from contig edges: a split of the primary target, else a truncation."""
+    primary = primary_hits(hits.join(queries.where("not edge").select("q"), "q", "left_semi"))
+    pairs = split_pairs(primary).select("q", "kind")
+    cut = truncations(primary, queries).select("q", F.lit("truncation").alias("cut"))
+    flagged = primary.select("q", "t").distinct().join(pairs, "q", "left").join(cut, "q", "left")
+    return flagged.select("q", "t", F.coalesce("kind", "cut").alias("kind")).where("kind is not null")
 
 
 def reflen_truncation(cds: DataFrame) -> DataFrame:
@@ -132,8 +154,8 @@ def reflen_truncation(cds: DataFrame) -> DataFrame:
 
 
 def qc_report(products: DataFrame, markers: DataFrame) -> DataFrame:
-    """One row: expected, present, completeness, contamination, duplicated, disrupted, missing, from (product, pseudogene) rows."""
-    counted = products.withColumn("marker", T.marker_key("product")).where("marker is not null").groupBy("marker").agg(F.sum((~F.col("pseudogene")).cast("int")).alias("intact"), F.sum(F.col("pseudogene").cast("int")).alias("pseudo"))
+    """One row: expected, present, completeness, contamination, duplicated, disrupted, missing, from (kind, product, pseudogene) rows; only CDS count."""
+    counted = products.where("kind = 'Cds'").withColumn("marker", T.marker_key("product")).where("marker is not null").groupBy("marker").agg(F.sum((~F.col("pseudogene")).cast("int")).alias("intact"), F.sum(F.col("pseudogene").cast("int")).alias("pseudo"))
     m = markers.join(counted, "marker", "left").na.fill(0, ["intact", "pseudo"])
     listed = lambda cond: F.array_join(F.sort_array(F.collect_list(F.when(cond, F.col("marker")))), ",")
     intact, pseudo = F.col("intact"), F.col("pseudo")
@@ -170,12 +192,16 @@ def fragment_runs(cds: DataFrame) -> DataFrame:
     return runs.groupBy("contig", "strand", "run").agg(F.min("ref").alias("ref"), F.min_by("id", F.struct("s", "e", "id")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("run")
 
 
-def frameshift_pairs(cds: DataFrame) -> DataFrame:
-    """(id, next_id): neighbours on a strand that overlap by 1 to 8 bases in another frame, of one reference."""
-    w = Window.partitionBy("contig", "strand").orderBy("s", "e", "id")
-    lap = F.col("e") - F.lead("s").over(w) + 1
-    shift = F.pmod(F.lead("s").over(w) - F.col("s"), F.lit(3)) != 0
-    return cds.select("id", F.lead("id").over(w).alias("next_id"), lap.alias("lap"), shift.alias("shift"), (F.lead("ref").over(w) == F.col("ref")).alias("same")).where(F.col("lap").between(*C.FRAMESHIFT_OVERLAP) & F.col("shift") & F.col("same")).select("id", "next_id")
+def frameshift_fragments(cds: DataFrame) -> DataFrame:
+    """(id) of both of two neighbours on a strand (contig, id, s, e, strand, aa_len, acc) that overlap by 1 to 8 bases in another frame, are both
+    short, and have either no accession or the same one."""
+    w = Window.partitionBy("contig", "strand").orderBy("s", "id")
+    nxt = lambda c: F.lead(c).over(w)
+    acc, other = F.coalesce("acc", F.lit("")), F.coalesce(nxt("acc"), F.lit(""))
+    shift = F.when(F.col("strand") >= 0, nxt("s") - F.col("s")).otherwise(F.col("e") - nxt("e"))
+    rows = cds.select("id", nxt("id").alias("next_id"), (F.col("e") - nxt("s") + 1).alias("lap"), F.pmod(shift, F.lit(3)).alias("shift"), ((F.col("aa_len") <= C.LEGACY_SHORT) & (nxt("aa_len") <= C.LEGACY_SHORT) & (acc == other)).alias("ok"))
+    pairs = rows.where(F.col("lap").between(*C.FRAMESHIFT_OVERLAP) & (F.col("shift") != 0) & F.col("ok"))
+    return pairs.select(F.explode(F.array("id", "next_id")).alias("id")).distinct()
 
 
 def truncated_genes(cds: DataFrame) -> DataFrame:
@@ -183,9 +209,31 @@ def truncated_genes(cds: DataFrame) -> DataFrame:
     return cds.where((F.col("ref_len") >= C.LEGACY_MIN_REF) & (F.col("aa_len") < C.LEGACY_RATIO * F.col("ref_len")) & (F.col("ref_len") - F.col("aa_len") >= C.LEGACY_SHORTFALL)).select("id")
 
 
-def internal_stop_readthrough(stops: DataFrame) -> DataFrame:
-    """(id): the stop is followed by at least 80 more codons in frame before the next one."""
-    return stops.where((F.col("next_stop") - F.col("stop")) / 3 - 1 >= C.READTHROUGH_CODONS).select("id")
+def uncovered_downstream_orf(cds: DataFrame, covering: DataFrame, contigs: DataFrame) -> DataFrame:
+    """(id, codons): how many sense codons follow each of ``cds`` (contig, id, s, e, strand) in its frame, up to a stop, an N, a base that one of
+    ``covering`` on its strand covers, the contig's end, or ``READTHROUGH_CAP``."""
+    cap = 3 * C.READTHROUGH_CAP
+    fwd = F.col("strand") >= 0
+    ahead = cds.select("contig", "id", "strand", F.when(fwd, F.col("e") + 1).otherwise(F.col("s") - cap).alias("s"), F.when(fwd, F.col("e") + cap).otherwise(F.col("s") - 1).alias("e"))
+    same = F.col("a_strand") == F.col("b_strand")
+    free = F.when(F.col("a_strand") >= 0, F.greatest("b_s", "a_s") - F.col("a_s")).otherwise(F.col("a_e") - F.least("b_e", "a_e"))
+    room = I.overlap_join(ahead, covering.select("contig", "id", "s", "e", "strand"), same).groupBy(F.col("a_id").alias("id")).agg(F.min(free).alias("free"))
+    rows = ahead.join(room, "id", "left").join(contigs.select("contig", "seq"), "contig")
+    low = F.greatest(F.col("s"), F.lit(1))
+    piece = F.substring(F.upper("seq"), low, F.greatest(F.col("e") - low + 1, F.lit(0)))
+    reading = F.when(fwd, piece).otherwise(S.revcomp_n(piece))
+    cut = F.substring(reading, F.lit(1), F.least(F.coalesce("free", F.lit(cap)), F.lit(cap)).cast("int"))
+    words = F.transform(S.codons(cut), lambda c: c.isin(*C.STOPS) | c.contains("N"))
+    end = F.array_position(words, True)
+    return rows.select("id", F.when(end > 0, end - 1).otherwise(F.size(words)).cast("long").alias("codons"))
+
+
+def internal_stop_readthrough(cds: DataFrame, contigs: DataFrame, least: int = C.READTHROUGH_CODONS) -> DataFrame:
+    """(id, codons) of short CDS (contig, id, s, e, strand, aa_len, ref_len) away from contig ends and without a reference length that are followed by at
+    least ``least`` uncovered codons in frame."""
+    inner = (F.col("aa_len") > 0) & (F.col("aa_len") <= C.LEGACY_SHORT) & F.col("ref_len").isNull()
+    placed = cds.where(inner).join(contigs.select("contig", F.length("seq").alias("__n")), "contig").where((F.col("s") > C.EDGE) & (F.col("e") < F.col("__n") - C.EDGE))
+    return uncovered_downstream_orf(placed.select("contig", "id", "s", "e", "strand"), cds, contigs).where(F.col("codons") >= least)
 
 
 def run_counts(features: DataFrame) -> DataFrame:

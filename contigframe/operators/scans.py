@@ -22,13 +22,11 @@ def assembly_gaps(contigs: DataFrame, size: int = 1_000_000) -> DataFrame:
     touch a chunk's border meet again, in a window over the few border pieces."""
     chunks = chunk_contigs(contigs, size)
     # runs of a chunk: pieces between runs and runs alternate, so lengths add up to positions
-    pieces = F.regexp_extract_all(F.upper("seq"), F.lit("(N+|[^N]+)"), 1)
-    sized = F.transform(pieces, lambda x: F.struct(x.startswith("N").alias("gap"), F.length(x).alias("n")))
-    placed = F.aggregate(
-        sized, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out")),
-        lambda acc, x: F.struct((acc["at"] + x["n"]).alias("at"), F.when(x["gap"], F.concat(acc["out"], F.array(F.struct((acc["at"] + 1).alias("s"), (acc["at"] + x["n"]).alias("e"))))).otherwise(acc["out"]).alias("out")),
-    )["out"]
-    runs = chunks.where(F.upper("seq").contains("N")).withColumn("len", F.length("seq")).withColumn("g", F.explode(placed))
+    pieces = chunks.where(F.upper("seq").contains("N")).select("contig", "offset", F.length("seq").alias("len"), F.posexplode(F.regexp_extract_all(F.upper("seq"), F.lit("(N+|[^N]+)"), 1)).alias("k", "piece"))
+    pieces = pieces.select("contig", "offset", "len", "k", F.length("piece").alias("n"), F.col("piece").startswith("N").alias("gap"))
+    upto = Window.partitionBy("contig", "offset").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    placed = pieces.withColumn("e", F.sum("n").over(upto)).where("gap")
+    runs = placed.select("contig", "offset", "len", F.struct((F.col("e") - F.col("n") + 1).alias("s"), "e").alias("g"))
     runs = runs.select("contig", (F.col("g.s") + F.col("offset")).cast("long").alias("start"), (F.col("g.e") + F.col("offset")).cast("long").alias("end"), ((F.col("g.s") == 1) & (F.col("offset") > 0) | (F.col("g.e") == F.col("len"))).alias("border"))
     inside = runs.where(~F.col("border")).select("contig", "start", "end")
     order = Window.partitionBy("contig").orderBy("start")

@@ -40,6 +40,8 @@ def annotate(config: Config, contigs: DataFrame, calls: dict[str, DataFrame], ta
     for df in calls.values():
         part = shaped(df, pseudogene=False)
         features = part if features is None else features.unionByName(part)
+    if features is None:  # a run without calls has no features but gaps and short reading frames
+        features = shaped(contigs.select("contig").limit(0))
     if "annotations" in tables and "xref" in tables:
         try:
             known = H.xref_enrich(tables["annotations"], tables["xref"]).select(F.col("fid").alias("id"), F.col("product").alias("xp"), F.col("gene").alias("xg"))
@@ -57,7 +59,7 @@ def annotate(config: Config, contigs: DataFrame, calls: dict[str, DataFrame], ta
         gaps = scans.assembly_gaps(contigs).withColumns({"s": F.col("start"), "e": F.col("end"), "kind": F.lit("AssemblyGap"), "strand": F.lit(1)})
         gaps = I.split_numbered(gaps, "s").withColumn("id", F.concat("contig", F.lit("_gap"), F.col("num").cast("string")))
         features = features.unionByName(shaped(gaps, pseudogene=False))
-    qc = H.qc_report(features.select("product", F.coalesce("pseudogene", F.lit(False)).alias("pseudogene")), tables["markers"])
+    qc = H.qc_report(features.select("kind", "product", F.coalesce("pseudogene", F.lit(False)).alias("pseudogene")), tables["markers"])
     plasmids = H.best_by(tables["plasmid_hits"].where(H.plasmid_gate()), ["contig", "type"], -F.col("bits"), F.col("t")) if "plasmid_hits" in tables else None
     species = H.best_overall(tables["species_hits"]) if "species_hits" in tables else None
     lowest = F.coalesce("score", F.lit(-3.4028235e38))

@@ -31,7 +31,7 @@ detector("is_elements", D.is_elements, f"select contig, contig||'_is'||ord as id
 detector("tandem_repeats", D.tandem_repeats, f"select contig, contig||'_trf'||ord as id, 'TandemRepeat' as kind, s, e, 'tandem repeat period='||period||' copies='||(tenths // 10)||'.'||(tenths % 10) as name from {CALLS} c")
 detector("ncrna_scan", D.ncrna, f"select contig, contig||'_ncrna'||row_number() over (partition by contig order by model_ord, hit_ord) as id, case s%3 when 0 then 'Rrna' when 1 then 'Tmrna' else 'Ncrna' end as kind, s, e, name from {CALLS} c where case when s%3=0 then (e - s + 1) / 500 >= 0.3 else s%9 >= 4 end")
 detector("crispr_arrays", lambda c: D.crispr(c.dropDuplicates(["contig", "s", "e"])), f"select contig, 'CRISPR'||row_number() over (order by contig, s, e) as id, 'Crispr' as kind, s, e, 'CRISPR' as name from (select distinct contig, s, e from {CALLS} c)")
-detector("oric_detect", lambda c: D.oric(c.where("period = 7").dropDuplicates(["contig", "s", "e"])), f"with d as (select distinct on (contig, s, e) contig, s, e, hint_gene from {CALLS} c where period = 7) select contig, contig||'_oriC'||case when count(*) over (partition by contig) > 1 then '_'||row_number() over (partition by contig order by s, e) else '' end as id, 'OriC' as kind, s, e, coalesce(hint_gene, 'prod') as name from d")
+detector("oric_detect", lambda c: D.oric(c.dropDuplicates(["contig", "s", "e"])), f"with d as (select distinct on (contig, s, e) contig, s, e, hint_gene from {CALLS} c) select contig, contig||'_oriC'||case when count(*) over (partition by contig) > 1 then '_'||row_number() over (partition by contig order by s, e) else '' end as id, 'OriC' as kind, s, e, coalesce(hint_gene, 'prod') as name from d")
 
 
 _MOB = "(select fid, ord, score, case cast(substr(accession,3,5) as int)%4 when 0 then 'PF03389.22' when 1 then 'PF01076' when 2 then 'PF13814.1' else accession end accession from {annotations})"

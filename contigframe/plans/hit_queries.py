@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contigframe import constants as C
 from contigframe.functions import text as T
 from contigframe.operators import hits as H
+from contigframe.operators import landing as L
 from contigframe.plans import relations as R
 from contigframe.plans.registry import query
 from contigframe.plans.scalar_queries import MARKS, QC_PRODUCTS, cases
@@ -31,10 +32,11 @@ over("vfdb_gate", HITS, lambda h: h.where(H.vf_gate()).select("q", "t", "ex"), "
 over("plasmid_gate", HITS, lambda h: h.where(H.plasmid_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where pident >= 80 and tcov >= 0.6")
 over("amr_gate", HITS, lambda h: h.where(F.col("pident") >= C.AMR_MIN_IDENTITY).select("q", "t", "ex"), "select q, t, ex from {hits} where pident >= 90")
 over("ncrna_gate", HITS, lambda h: h.where(F.when(F.col("t") % 4 == 0, F.col("qcov") >= C.RRNA_MIN_COVERAGE).otherwise(F.col("evalue") <= C.NCRNA_MAX_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where (t % 4 = 0 and qcov >= 0.3) or (t % 4 <> 0 and ex >= 4)")
-over("best_hit_per_query", HITS, lambda h: H.best_hits(h.where("pident >= 70 and ex >= 2")).select("q", "t", "bits", "ex"), "select q, t, bits, ex from {hits} where pident >= 70 and ex >= 2 qualify row_number() over (partition by q order by bits desc, ex desc, t) = 1")
+over("best_hit_per_query", HITS, lambda h: H.best_hits(h.where("pident >= 70 and ex >= 2")).select("q", "t", "bits", "ex"), "select q, t, bits, ex from {hits} where pident >= 70 and ex >= 2 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1")
+over("best_hit_ties", HITS, lambda h: H.best_hits(h.withColumns({"bits": F.floor(F.col("bits") / 50000), "evalue": F.lit(1.0)})).select("q", "t", "ord"), "select q, t, ord from {hits} qualify row_number() over (partition by q order by floor(bits / 50000) desc, ord) = 1")
 over("best_per_contig_type", HITS, lambda h: H.best_by(h.withColumn("type", F.col("t") % 7), ["q", "type"], -F.col("bits"), F.col("t"), F.col("ex")).select("q", "type", "t", "bits"), "select q, t % 7 as type, t, bits from {hits} qualify row_number() over (partition by q, t % 7 order by bits desc, t, ex) = 1")
-over("best_overall", HITS, lambda h: H.best_overall(h).select("q", "t", "bits"), "select q, t, bits from {hits} order by bits desc, ex desc, q, t limit 1")
-over("primary_target", HITS, lambda h: H.primary_target(h).select("q", "t", "ex"), "select q, t, ex from {hits} qualify row_number() over (partition by q order by ex desc, bits desc, t) = 1")
+over("best_overall", HITS, lambda h: H.best_overall(h).select("q", "t", "bits"), "select q, t, bits from {hits} order by bits desc, ex desc, q, ord limit 1")
+over("primary_target", HITS, lambda h: H.primary_target(h).select("q", "t", "ex"), "select q, t, ex from {hits} qualify row_number() over (partition by q order by ex desc, ord) = 1")
 over("best_annotation", ANN, lambda a: H.best_annotation(a).select("fid", "accession", "ord"), "select fid, accession, ord from {annotations} qualify row_number() over (partition by fid order by score desc, ord desc) = 1")
 over("best_anchor", ANN, lambda a: H.best_by(a.where("source = 'hmm:ncbifams'"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "accession"), "select fid, accession from {annotations} where source = 'hmm:ncbifams' qualify row_number() over (partition by fid order by score desc, ord) = 1")
 over("rank_annotations", ANN, lambda a: a.select("fid", "ord", F.expr("row_number() over (partition by fid order by score desc, ord)").alias("rank")), "select fid, ord, cast(row_number() over (partition by fid order by score desc, ord) as int) as rank from {annotations}")
@@ -77,7 +79,7 @@ def pfam_go_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _KOHITS = "(select cast(l_orderkey as bigint) fid, 'K'||lpad(cast(l_partkey%300 as varchar(10)),5,'0') ko, l_quantity*10 seq_score, l_quantity*9 dom_score, cast(row_number() over (partition by l_orderkey order by l_linenumber,l_partkey,l_suppkey,l_extendedprice,l_shipdate) as int) ord from lineitem)"
-_KOLIST = "(select 'K'||lpad(cast(p_partkey as varchar(10)),5,'0') ko, case when p_size%9=0 then null else cast(p_size*8 as double) end threshold, case p_size%4 when 0 then 'full' when 1 then 'domain' when 2 then 'full' else 'none' end score_type from part where p_partkey<300)"
+_KOLIST = "(select 'K'||lpad(cast(p_partkey as varchar(10)),5,'0') ko, case when p_size%9=0 then null else cast(p_size*8 as double) end threshold, case p_size%4 when 0 then 'full' when 1 then 'domain' when 2 then 'full' else 'none' end score_type from part)"
 
 
 @query("kofam_assign", f"""with j as (select h.*, threshold, case when score_type = 'full' then seq_score else dom_score end as score from {_KOHITS} h join {_KOLIST} k on k.ko = h.ko where threshold is not null and score_type <> 'none')
@@ -102,14 +104,14 @@ def names_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.names_for(R.relation(spark, sf_dir, "proteins").select(F.col("pid").alias("id"), "product"), wanted)
 
 
-@query("psc_annotate", R.duck("""with b as (select q, t from {hits} where pident >= 50 and ex >= 6 qualify row_number() over (partition by q order by bits desc, ex desc, t) = 1)
+@query("psc_annotate", R.duck("""with b as (select q, t from {hits} where pident >= 50 and ex >= 6 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1)
 select q, t, case when product is null or lower(trim(product)) = 'hypothetical protein' then 'hypothetical protein' else trim(product) end as product from b join {proteins} on pid = t"""))
 def psc_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = H.best_hits(R.relation(spark, sf_dir, "hits").where(H.psc_gate()))
     return best.join(R.relation(spark, sf_dir, "proteins").select(F.col("pid").alias("t"), "product"), "t").select("q", "t", T.clean_product(F.coalesce("product", F.lit(""))).alias("product"))
 
 
-@query("vf_join", R.duck("""with b as (select q, t from {hits} where ex >= 10 and qcov >= 0.8 and tcov >= 0.7 and pident >= 90 qualify row_number() over (partition by q order by bits desc, ex desc, t) = 1)
+@query("vf_join", R.duck("""with b as (select q, t from {hits} where ex >= 10 and qcov >= 0.8 and tcov >= 0.7 and pident >= 90 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1)
 select q, 'virulence factor: ' || coalesce(product, acc) as note from b join {proteins} on pid = t"""))
 def vf_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = H.best_hits(R.relation(spark, sf_dir, "hits").where(H.vf_gate()))
@@ -122,14 +124,88 @@ def amr_catalog_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.join(R.relation(spark, sf_dir, "proteins").withColumnRenamed("pid", "t"), "t").select("q", "t", F.col("p_size").alias("pos"))
 
 
-@query("rfam_reclass", R.duck("""with f as (select fid, split_part(accession, '.', 1) as acc from {annotations} where source = 'cm' qualify row_number() over (partition by fid order by ord) = 1),
-t as (select acc, min(p_type) as type from {proteins} group by 1)
-select fid, case when p % 3 = 0 then 'Rrna' when p % 3 = 1 then 'Trna' when type is not null then 'RegulatoryRegion' else 'Ncrna' end as kind from (select f.fid, type, cast(substr(f.acc, 3) as int) as p from f left join t on t.acc = f.acc)"""))
+_RFAM = "(select distinct 'PF'||lpad(cast(p_partkey%500 as varchar(10)),5,'0') acc, case p_partkey%500%6 when 0 then 'Gene; rRNA;' when 1 then 'Gene; tRNA;' when 2 then 'Cis-reg; riboswitch;' when 3 then 'Cis-reg; leader;' when 4 then 'Cis-reg;' else 'Gene; sRNA;' end rfam_type, case p_partkey%500%6 when 0 then 'rRNA' when 1 then ' tRNA' when 2 then 'regulatory_region' when 3 then 'regulatory_region ' when 4 then 'regulatory_region' else 'ncRNA' end so_type from part where p_partkey%500 < 400)"
+
+
+def annotated(spark: SparkSession, sf_dir: str, kind: str = "'Cds'") -> DataFrame:
+    """Orders as features, with the annotations that landed on them."""
+    a = R.relation(spark, sf_dir, "annotations").groupBy("fid").agg(F.array_sort(F.collect_list(F.struct("ord", F.struct("source", "accession", F.concat(F.lit("name of "), F.col("accession")).alias("name"), F.col("score").cast("double").alias("score")).alias("a")))).alias("l"))
+    base = R.select(spark, sf_dir, f"select cast(o_orderkey as bigint) id, {kind} kind, case when o_custkey%4=0 then o_orderpriority end product, case when o_custkey%3=0 then 'gen'||cast(o_custkey%100 as varchar(5)) when o_custkey%3=1 then '' end gene from orders")
+    joined = base.join(a.withColumnRenamed("fid", "id"), "id", "left")
+    return L.functional(joined.withColumn("annotations", F.coalesce(F.transform("l", lambda x: x["a"]), F.array().cast(f"array<{L.ANNOTATION}>"))).drop("l"))
+
+
+_NC = "case when o_custkey%5=0 then 'Cds' else 'Ncrna' end"
+
+
+@query("rfam_reclass", R.duck(f"""with f as (select o_orderkey as id, {_NC} as kind from orders), c as (select fid, split_part(accession, '.', 1) as acc from {{annotations}} where source = 'cm' qualify row_number() over (partition by fid order by ord) = 1)
+select id, case when kind = 'Ncrna' and trim(so_type) = 'rRNA' then 'Rrna' when kind = 'Ncrna' and trim(so_type) = 'tRNA' then 'Trna' when kind = 'Ncrna' and trim(so_type) = 'regulatory_region' then 'RegulatoryRegion' else kind end as kind,
+case when kind = 'Ncrna' and trim(so_type) = 'regulatory_region' then case when contains(rfam_type, 'riboswitch') then 'riboswitch' when contains(rfam_type, 'leader') then 'attenuator' else 'other' end end as regulatory_class
+from f left join c on c.fid = f.id left join {_RFAM} r on r.acc = c.acc"""))
 def rfam_reclass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = H.best_by(R.relation(spark, sf_dir, "annotations").where("source = 'cm'"), ["fid"], F.col("ord")).select("fid", T.bare_accession("accession").alias("acc"))
-    types = R.relation(spark, sf_dir, "proteins").groupBy("acc").agg(F.min("p_type").alias("type"))
-    p = F.substring("acc", 3, 10).cast("int")
-    return first.join(types, "acc", "left").select("fid", F.when(p % 3 == 0, "Rrna").when(p % 3 == 1, "Trna").when(F.col("type").isNotNull(), "RegulatoryRegion").otherwise("Ncrna").alias("kind"))
+    return L.reclassify_ncrna(annotated(spark, sf_dir, _NC), R.select(spark, sf_dir, f"select * from {_RFAM} r")).select("id", "kind", "regulatory_class")
+
+
+_BEST = "b as (select fid, accession, source, score from {annotations} qualify row_number() over (partition by fid order by score desc, ord desc) = 1)"
+
+
+@query("output_values", R.duck(f"""with {_BEST}, f as (select o_orderkey as id, case o_custkey%4 when 1 then 'Rrna' when 2 then 'Trna' when 3 then 'Ncrna' else 'Cds' end as kind, case when o_custkey%4=0 then o_orderpriority end as product, case when o_custkey%3=0 then 'gen'||cast(o_custkey%100 as varchar) end as gene from orders),
+j as (select f.*, b.accession, source, coalesce(product, 'name of '||b.accession) as shown from f left join b on b.fid = f.id)
+select id, case when kind = 'Trna' and shown is not null then 'tRNA-Xxx' when kind = 'Cds' then coalesce(shown, 'hypothetical protein') else shown end as product, case when kind = 'Cds' and shown is null then null else gene end as gene,
+case when source = 'hmm:pfam' then 'protein motif:HMM:Pfam:'||accession when source = 'hmm:ncbifams' then 'protein motif:HMM:NCBIfam:'||accession else '' end as inference, '' as dbxref from j"""))
+def output_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = annotated(spark, sf_dir, "case o_custkey%4 when 1 then 'Rrna' when 2 then 'Trna' when 3 then 'Ncrna' else 'Cds' end")
+    return rows.select("id", L.output_product().alias("product"), L.output_gene().alias("gene"), F.array_join(L.inference_values(), "|").alias("inference"), F.array_join(L.dbxref_values(), "|").alias("dbxref"))
+
+
+@query("psc_landing", R.duck("""with h as (select q, t, bits from {hits} where pident >= 50 and ex >= 6 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1),
+n as (select q, bits, acc, case when lower(trim(coalesce(product, ''))) in ('', 'hypothetical protein') then 'hypothetical protein' else trim(product) end as name from h join {proteins} on pid = t)
+select o_orderkey as id, coalesce(case when o_custkey%4=0 then o_orderpriority end, name) as product, (select count(*) from {annotations} a where a.fid = o_orderkey) + case when name is null then 0 else 1 end as n, coalesce(acc, '') as last from orders left join n on n.q = o_orderkey"""))
+def psc_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = H.best_hits(R.relation(spark, sf_dir, "hits").where(H.psc_gate())).join(R.relation(spark, sf_dir, "proteins").withColumnRenamed("pid", "t"), "t")
+    found = best.select(F.col("q").alias("id"), F.col("acc").alias("accession"), F.coalesce("product", F.lit("")).alias("name"), F.col("bits").alias("score"))
+    landed = L.land_annotation(annotated(spark, sf_dir), found, "psc")
+    last = F.filter("annotations", lambda a: a["source"] == "psc")
+    return landed.select("id", "product", F.size("annotations").cast("long").alias("n"), F.coalesce(F.get(last, F.lit(0))["accession"], F.lit("")).alias("last"))
+
+
+_KO = "(select 'K'||cast(n_nationkey as varchar(5)) ko, n_regionkey r, n_nationkey k from nation where n_nationkey < 20)"
+
+
+@query("kofam_landing", f"""select o_orderkey as id, case when k.ko is not null and o_custkey%4<>0 then k.ko end as ko, case when k.ko is not null and o_custkey%4<>0 then '1.1.1.'||cast(r as varchar)||' 2.7' else '' end as ec,
+case when k.ko is not null and o_custkey%4<>0 then 'COG_category:'||substr('JAKLBDYVTMNZWUOXCGEFHIPQRS', cast(k%8 as int) + 1, 1)||'|KEGG_pathway:map'||cast(k as varchar)||'|KEGG:'||k.ko else '' end as notes from orders left join {_KO} k on k.ko = 'K'||cast(o_custkey%25 as varchar)""")
+def kofam_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = L.functional(R.select(spark, sf_dir, "select cast(o_orderkey as bigint) id, case when o_custkey%4=0 then 'Trna' else 'Cds' end kind from orders"))
+    assigned = R.select(spark, sf_dir, "select cast(o_orderkey as bigint) id, 'K'||cast(o_custkey%25 as varchar(5)) ko from orders")
+    table = R.select(spark, sf_dir, f"select ko, array('1.1.1.'||cast(r as varchar(5)), '2.7', '2.7') ec, array('map'||cast(k as varchar(5))) pathway, cast(shiftleft(1, cast(k%8 as int)) as int) cog from {_KO} k")
+    return L.land_kofam(features, assigned, table).select("id", "ko", F.array_join("ec", " ").alias("ec"), F.array_join(L.note_values(), "|").alias("notes"))
+
+
+@query("virulence_landing", R.duck("""with b as (select distinct q, t from {hits} where qcov >= 0.8), e as (select b.q, acc, min(ord) as ord, min_by(product, ord) as product from b join (select q, t, min(ord) as ord from {hits} where qcov >= 0.8 group by 1, 2) h using (q, t) join {proteins} on pid = t group by 1, 2)
+select o_orderkey as id, coalesce(string_agg('virulence factor: '||coalesce(product, acc), '|' order by ord), '') as notes, coalesce(string_agg('similar to AA sequence:VFDB:'||acc, '|' order by ord), '') as inference from orders left join e on e.q = o_orderkey group by 1"""))
+def virulence_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = R.relation(spark, sf_dir, "hits").where("qcov >= 0.8").select(F.col("q").alias("id"), "ord", "t")
+    entries = R.relation(spark, sf_dir, "proteins").select(F.col("pid").alias("t"), F.col("acc").alias("accession"), F.col("product").alias("description"))
+    features = L.functional(R.select(spark, sf_dir, "select cast(o_orderkey as bigint) id, 'Cds' kind from orders"))
+    landed = L.land_virulence(L.land_virulence(features, hits, entries), hits, entries)  # a second pass lands nothing
+    return landed.select("id", F.array_join("notes", "|").alias("notes"), F.array_join(L.inference_values(), "|").alias("inference"))
+
+
+_CALLED = "(select cast(l_orderkey as bigint) id, l_linenumber ord, 'sym'||cast(l_partkey%3 as varchar(3)) symbol, 'QUINOLONE' class, 'gyrA' gene, case l_partkey%3 when 0 then 'S83L' when 1 then 'R64Ter' else 'bad' end spec from lineitem)"
+
+
+@query("amr_landing", f"""with f as (select id, symbol, min(ord) as ord, min(spec) as spec from {_CALLED} c where spec <> 'bad' group by 1, 2)
+select o_orderkey as id, coalesce(string_agg('QUINOLONE resistance: '||case spec when 'S83L' then 'point mutation gyrA S83L' when 'R64Ter' then 'nonsense gyrA R64Ter' end, '|' order by ord, symbol), '') as notes, coalesce(string_agg('protein motif:AMRFinderPlus:'||symbol, '|' order by ord, symbol), '') as inference from orders left join f on f.id = o_orderkey group by 1""")
+def amr_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = L.functional(R.select(spark, sf_dir, "select cast(o_orderkey as bigint) id, 'Cds' kind from orders"))
+    landed = L.land_mutations(features, R.select(spark, sf_dir, f"select * from {_CALLED} c"))
+    return landed.select("id", F.array_join("notes", "|").alias("notes"), F.array_join(L.inference_values(), "|").alias("inference"))
+
+
+@query("inti_intersect", R.duck("select distinct q as id from {hits} where (t % 3 = 0 or t % 5 = 0) and q in (select q from {hits} where t % 7 = 0)"))
+def inti_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = R.relation(spark, sf_dir, "hits").withColumnRenamed("q", "id")
+    return L.integrase_ids([h.where("t % 3 = 0"), h.where("t % 5 = 0")], h.where("t % 7 = 0"))
 
 
 @query("psc_unresolved_anti", R.duck("select distinct q from {hits} where q not in (select fid from {annotations} where score > 50000)"))
@@ -138,7 +214,7 @@ def psc_unresolved_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.relation(spark, sf_dir, "hits").select("q").distinct().join(strong, "q", "left_anti")
 
 
-@query("union_hits", R.duck("select q, t from {hits} where ex >= 10 or bits > 30000 qualify row_number() over (partition by q order by bits desc, ex desc, t) = 1"))
+@query("union_hits", R.duck("select q, t from {hits} where ex >= 10 or bits > 30000 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1"))
 def union_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = R.relation(spark, sf_dir, "hits")
     return H.union_hits(h.where("ex >= 10"), h.where("bits > 30000")).select("q", "t")
@@ -156,35 +232,38 @@ def union_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.where("kind = 'Rrna'").unionByName(f.where("kind <> 'Rrna'"), allowMissingColumns=True)
 
 
-_FRAMES = "(select cast(l_orderkey as bigint) q, cast(row_number() over (partition by l_orderkey order by l_linenumber,l_partkey,l_suppkey,l_extendedprice,l_shipdate) as int) ord, cast(l_partkey%900 as bigint) qs, cast(l_partkey%900+l_quantity*6 as bigint) qe, cast(l_partkey%80+1 as bigint) ts, cast(l_partkey%80+l_quantity*2 as bigint) te, cast(l_orderkey%80+60 as bigint) tlen, 1 strand, cast(l_partkey%3 as int) phase from lineitem)"
+#: Alignments of a query to few targets, in both directions, some of them insignificant.
+_FRAMES = """(select q, t, cast(row_number() over (partition by q order by k desc, t, hi, te) as int) ord, case when k % 7 = 0 then 1e-5 else 1e-20 end evalue, case when q % 3 = 0 then hi else lo end qs, case when q % 3 = 0 then lo else hi end qe, ts, te, cast(t * 10 + 60 as bigint) tlen
+ from (select cast(l_orderkey as bigint) q, cast(l_orderkey % 3 + floor(l_suppkey % 20 / 16) as bigint) t, l_partkey * 10 + l_linenumber k, cast(l_partkey % 400 as bigint) lo, cast(l_partkey % 400 + l_quantity * 6 as bigint) hi,
+ cast(l_partkey % 40 + 1 as bigint) ts, cast(l_partkey % 40 + l_quantity as bigint) te from lineitem) x)"""
+_GENES = "(select cast(o_orderkey as bigint) q, o_custkey % 10 = 0 edge, cast(o_custkey % 80 as bigint) aa_len, o_custkey % 2 = 0 transpos from orders)"
+# From the rules as published: significant hits to the target of the first lowest E-value, pairs in order, then the longest hit.
+_PRIMARY = f"""good as (select * from {_FRAMES} f where evalue <= 1e-10), prim as (select q, t, tlen as mlen from (select *, row_number() over (partition by q order by evalue, ord) as n from good) where n = 1 and tlen >= 60),
+own as (select g.*, mlen, least(qs, qe) as lo, greatest(qs, qe) as hi, qe >= qs as fwd, (least(qs, qe) - 1 + 3000000) % 3 as phase from good g join prim p on p.q = g.q and p.t = g.t)"""
+_SPLITS = """splits as (select a.q, a.ord as a_ord, b.ord as b_ord, case when a.phase <> b.phase then 'frameshift' else 'internal_stop' end as kind from own a join own b on a.q = b.q and a.fwd = b.fwd
+where a.ts <= b.ts and a.te <= b.te and a.te - a.ts + 1 >= 15 and b.te - b.ts + 1 >= 15 and a.te - b.ts + 1 <= 20 and b.ts - a.te - 1 <= 60 and b.te - a.ts + 1 >= 0.5 * a.mlen and (a.te - a.ts + 1) + (b.te - b.ts + 1) <= 1.25 * a.mlen
+and b.lo > a.lo and b.lo - a.hi - 1 <= 300 and b.hi - a.lo + 1 <= 1.5 * a.mlen * 3 qualify row_number() over (partition by a.q order by a.ord, b.ord) = 1)"""
+_CUTS = f"""cuts as (select l.q, case when ts <= 11 and te < mlen - 10 then 'C-terminal' when te >= mlen - 10 and ts > 11 then 'N-terminal' else 'internal' end as lost from (select * from own qualify row_number() over (partition by q order by te - ts desc, ord desc) = 1) l join {_GENES} g on g.q = l.q
+where transpos and te - ts + 1 >= 15 and (te - ts + 1) / mlen >= 0.2 and (te - ts + 1) / mlen <= 0.85 and (ts <= 11 or te >= mlen - 10) and aa_len < floor(0.85 * mlen))"""
 
 
-@query("split_pair_join", f"""
-select a.q, a.ord as a_ord, b.ord as b_ord, case when a.phase <> b.phase then 'frameshift' else 'internal_stop' end as kind from {_FRAMES} a join {_FRAMES} b on a.q = b.q
-where b.qs > a.qs and a.te - a.ts >= 14 and b.te - b.ts >= 14 and (a.te - a.ts + 1) + (b.te - b.ts + 1) - greatest(least(a.te, b.te) - greatest(a.ts, b.ts) + 1, 0) >= 0.5 * a.tlen and (a.te - a.ts + 1) + (b.te - b.ts + 1) <= 1.25 * a.tlen
-and b.qs - a.qe <= 300 and greatest(a.qe, b.qe) - a.qs <= 4.5 * a.tlen and greatest(least(a.te, b.te) - greatest(a.ts, b.ts) + 1, 0) <= 20 and b.ts - a.te <= 60
-qualify row_number() over (partition by a.q order by a.ord, b.ord) = 1""")
-def split_pair_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.split_pairs(R.select(spark, sf_dir, f"select * from {_FRAMES} x"))
+def _primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.primary_hits(R.select(spark, sf_dir, f"select * from {_FRAMES} x"))
 
 
-_CUT = "(select cast(l_orderkey as bigint) q, cast(l_partkey%40+1 as bigint) ts, cast(l_partkey%40+l_quantity*2 as bigint) te, cast(l_partkey%90+50 as bigint) tlen, cast(l_quantity+20 as bigint) aa_len, l_suppkey%2=0 transpos from lineitem)"
-_CUT_WHERE = "transpos and tlen >= 60 and (te - ts + 1) / tlen between 0.2 and 0.85 and (ts - 1 <= 10) <> (tlen - te <= 10) and aa_len < 0.85 * tlen"
+@query("split_pair_join", f"with {_PRIMARY}, {_SPLITS} select * from splits")
+def split_pair_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.split_pairs(_primary(spark, sf_dir))
 
 
-@query("truncation_flags", f"select distinct q from {_CUT} c where {_CUT_WHERE}")
+@query("truncation_flags", f"with {_PRIMARY}, {_CUTS} select * from cuts")
 def truncation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.truncations(R.select(spark, sf_dir, f"select * from {_CUT} c"))
+    return H.truncations(_primary(spark, sf_dir), R.select(spark, sf_dir, f"select * from {_GENES} g"))
 
 
-@query("disruption_flags", f"""
-with p as (select distinct a.q, first_value(case when a.phase <> b.phase then 'frameshift' else 'internal_stop' end) over (partition by a.q order by a.ord, b.ord) as kind from {_FRAMES} a join {_FRAMES} b on a.q = b.q
-where b.qs > a.qs and a.te - a.ts >= 14 and b.te - b.ts >= 14 and (a.te - a.ts + 1) + (b.te - b.ts + 1) - greatest(least(a.te, b.te) - greatest(a.ts, b.ts) + 1, 0) >= 0.5 * a.tlen and (a.te - a.ts + 1) + (b.te - b.ts + 1) <= 1.25 * a.tlen
-and b.qs - a.qe <= 300 and greatest(a.qe, b.qe) - a.qs <= 4.5 * a.tlen and greatest(least(a.te, b.te) - greatest(a.ts, b.ts) + 1, 0) <= 20 and b.ts - a.te <= 60), c as (select distinct q from {_CUT} c where {_CUT_WHERE})
-select o_orderkey as q, coalesce(p.kind, 'truncation') as kind from orders left join p on p.q = o_orderkey left join c on c.q = o_orderkey where o_custkey % 10 <> 0 and (p.q is not null or c.q is not null)""")
+@query("disruption_flags", f"with {_PRIMARY}, {_SPLITS}, {_CUTS} select p.q, p.t, coalesce(s.kind, 'truncation') as kind from prim p join {_GENES} g on g.q = p.q left join splits s on s.q = p.q left join cuts c on c.q = p.q where not edge and (s.q is not null or c.q is not null)")
 def disruption_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queries = R.select(spark, sf_dir, "select cast(o_orderkey as bigint) q, o_custkey%10=0 edge from orders")
-    return H.disruption_flags(queries, H.split_pairs(R.select(spark, sf_dir, f"select * from {_FRAMES} x")), H.truncations(R.select(spark, sf_dir, f"select * from {_CUT} c")))
+    return H.disruption_flags(R.select(spark, sf_dir, f"select * from {_GENES} g"), R.select(spark, sf_dir, f"select * from {_FRAMES} x"))
 
 
 _REFS = "select cast(l_orderkey as bigint) fid, cast(max(l_quantity)+20 as bigint) aa_len, max(l_partkey%200) longest, max(l_suppkey)%5=0 partial, max(l_suppkey)%7=0 pseudo from lineitem group by 1"
@@ -200,8 +279,8 @@ over("intergenic_pseudogenes", HITS, lambda h: H.best_by(h.where((F.col("evalue"
 over("sorf_psc_gate", HITS, lambda h: h.where((F.col("qcov") >= C.SORF_QCOV) & (F.col("tcov") >= C.SORF_TCOV) & (F.col("evalue") <= C.SORF_PSC_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where qcov >= 0.8 and tcov >= 0.7 and ex >= 6")
 
 
-@query("sorf_detect", R.duck("""with hmm as (select q, t, 'hmm' as by from {hits} where ex >= 10 qualify row_number() over (partition by q order by bits desc, ex desc, t) = 1),
-psc as (select q, t, 'psc' as by from {hits} join {proteins} on pid = t where q not in (select q from hmm) and qcov >= 0.8 and tcov >= 0.7 and ex >= 6 and product is not null and not regexp_matches(lower(product), 'hypothetical|uncharacter|domain-containing|duf[0-9]') qualify row_number() over (partition by q order by bits desc, ex desc, t) = 1)
+@query("sorf_detect", R.duck("""with hmm as (select q, t, 'hmm' as by from {hits} where ex >= 10 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1),
+psc as (select q, t, 'psc' as by from {hits} join {proteins} on pid = t where q not in (select q from hmm) and qcov >= 0.8 and tcov >= 0.7 and ex >= 6 and product is not null and not regexp_matches(lower(product), 'hypothetical|uncharacter|domain-containing|duf[0-9]') qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1)
 select * from hmm union all select * from psc"""))
 def sorf_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile hits first; what has none goes to the protein gate with an informative product."""
@@ -218,13 +297,13 @@ def neural_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("qc_report", f"""
-with c as (select upper(split_part(regexp_extract(lower(product), 'ribosomal protein (.*)$', 1), ',', 1)) as marker, pseudogene from {QC_PRODUCTS} p), n as (select marker, count(*) filter (not pseudogene) as intact, count(*) filter (pseudogene) as pseudo from c group by 1),
+with c as (select upper(split_part(regexp_extract(lower(product), 'ribosomal protein (.*)$', 1), ',', 1)) as marker, pseudogene from {QC_PRODUCTS} p where a % 6 <> 0), n as (select marker, count(*) filter (not pseudogene) as intact, count(*) filter (pseudogene) as pseudo from c group by 1),
 m as (select m.marker, coalesce(intact, 0) as intact, coalesce(pseudo, 0) as pseudo from (select unnest(['{MARKS.replace(chr(39) + ', ' + chr(39), chr(39) + ',' + chr(39))}']) as marker) m left join n using (marker))
 select count(*) as expected, count(*) filter (intact + pseudo > 0) as present, coalesce(string_agg(marker, ',' order by marker) filter (intact >= 2), '') as duplicated, coalesce(string_agg(marker, ',' order by marker) filter (intact = 0 and pseudo >= 1), '') as disrupted,
 coalesce(string_agg(marker, ',' order by marker) filter (intact + pseudo = 0), '') as missing, round(100.0 * count(*) filter (intact + pseudo > 0) / count(*), 4) as completeness, round(100.0 * count(*) filter (intact >= 2) / count(*), 4) as contamination from m""")
 def qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     markers = spark.createDataFrame([(m,) for m in C.MARKERS], "marker string")
-    return H.qc_report(R.select(spark, sf_dir, f"select * from {QC_PRODUCTS} p"), markers)
+    return H.qc_report(R.select(spark, sf_dir, f"select p.*, case when a % 6 = 0 then 'Rrna' else 'Cds' end kind from {QC_PRODUCTS} p"), markers)
 
 
 _TREE = "(select cast(p_partkey as bigint) child, cast(case when p_partkey<10 then 0 else floor(p_partkey/3)*1 end as bigint) parent from part union all select cast(100000+s_suppkey as bigint), cast(s_suppkey*7 as bigint) from supplier)"
@@ -239,24 +318,56 @@ def tree_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.merged_ids(tree, R.select(spark, sf_dir, f"select * from {_MERGED.replace(chr(34), '`')} m"))
 
 
-over("taxonomy_lookup", "(select n_nationkey as id, 'd__'||r_name||';s__'||n_name lineage from nation join region on n_regionkey=r_regionkey)", lambda d: d, "select n_nationkey as id, 'd__'||r_name||';s__'||n_name as lineage from nation join region on n_regionkey = r_regionkey")
+_LINEAGES = "(select cast(p_partkey as bigint) id, 'd__Bacteria;p__P'||cast(p_size as varchar(5))||';f__F'||cast(p_size%7 as varchar(5))||';g__G'||cast(p_size%9 as varchar(5))||case when p_size%4=0 then ';s__' else ';s__S '||cast(p_partkey as varchar(10)) end lineage from part where p_partkey%5<>0)"
+
 
+@query("taxonomy_lookup", R.duck(f"select q, t, lineage from {{hits}} h join {_LINEAGES} l on l.id = h.t"))
+def taxonomy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.relation(spark, sf_dir, "hits").join(R.select(spark, sf_dir, f"select id t, lineage from {_LINEAGES} l"), "t").select("q", "t", "lineage")
 
-@query("species_identify", R.duck("with b as (select q, t, pident from {hits} order by bits desc, ex desc, q, t limit 1) select q, t, case when pident >= 98.7 then 's' when pident >= 94.5 then 'g' else 'f' end as rank from b"))
+
+@query("species_identify", R.duck(f"""with b as (select q, t, pident from {{hits}} h where t in (select id from {_LINEAGES} l) order by bits desc, ex desc, q, ord limit 1)
+select q, t, lineage, pident as identity, coalesce(case when pident >= 98.7 then nullif(regexp_extract(lineage, 's__([^;]*)', 1), '') end, case when pident >= 94.5 then regexp_extract(lineage, 'g__([^;]*)', 1)||' (genus)' end, regexp_extract(lineage, 'f__([^;]*)', 1)||' (family)') as species from b join {_LINEAGES} l on l.id = b.t"""))
 def species_identify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = H.best_overall(R.relation(spark, sf_dir, "hits"))
-    return best.select("q", "t", F.when(F.col("pident") >= C.SPECIES_IDENTITY, "s").when(F.col("pident") >= C.GENUS_IDENTITY, "g").otherwise("f").alias("rank"))
+    lineages = R.select(spark, sf_dir, f"select * from {_LINEAGES} l")
+    known = R.relation(spark, sf_dir, "hits").join(lineages.select(F.col("id").alias("t")), "t", "left_semi")
+    return L.identify_species(known, lineages)
 
 
 over("plasmid_detect", HITS, lambda h: H.best_by(h.where(H.plasmid_gate()).withColumn("type", F.concat(F.lit("Inc"), (F.col("t") % 5).cast("string"))), ["q", "type"], -F.col("bits"), F.col("t"), F.col("ex")).select("q", "type", "t").orderBy("q", "type"), "select q, 'Inc'||cast(t % 5 as varchar) as type, t from {hits} where pident >= 80 and tcov >= 0.6 qualify row_number() over (partition by q, t % 5 order by bits desc, t, ex) = 1")
-over("is_16s", cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc"), lambda d: d.select("label", ((F.col("kind") == "Rrna") & (F.lower("label").contains("16s") | F.lower("label").contains("ssu") | T.bare_accession("acc").isin(*C.SSU_FAMILIES))).alias("is16s")),
+over("is_16s", cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc"), lambda d: d.select("label", L.is_16s("kind", "label", "acc").alias("is16s")),
      "select label, kind = 'Rrna' and (contains(lower(label), '16s') or contains(lower(label), 'ssu') or split_part(acc, '.', 1) in ('RF00177', 'RF01959', 'RF01960', 'RF02542')) as is16s from " + cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc") + " x")
 
 _LEGACY = "(select distinct contig, id, s, e, strand, cast(s%4 as int) as ref, cast(e-s as bigint) aa_len, cast(s%400 as bigint) ref_len from {features} where kind in ('Cds', 'Trna'))"
 over("fragment_runs", _LEGACY, lambda d: H.fragment_runs(d), f"""with a as (select *, lag(ref) over w = ref and s - lag(e) over w - 1 between -30 and 60 as same from {_LEGACY} x window w as (partition by contig, strand order by s, e, id)),
 b as (select *, sum(case when coalesce(same, false) then 0 else 1 end) over (partition by contig, strand order by s, e, id rows unbounded preceding) as run from a) select contig, strand, min(ref) as ref, arg_min(id, (s, e, id)) as first, count(*) as n from b group by contig, strand, run having count(*) > 1""")
-over("frameshift_fragments", _LEGACY, lambda d: H.frameshift_pairs(d), f"with a as (select id, e, s, ref, lead(id) over w as next_id, lead(s) over w as ns, lead(ref) over w as nref from {_LEGACY} x window w as (partition by contig, strand order by s, e, id)) select id, next_id from a where e - ns + 1 between 1 and 8 and (ns - s) % 3 <> 0 and nref = ref")
+over("frameshift_fragments", _LEGACY, lambda d: H.frameshift_fragments(d.withColumn("aa_len", F.floor((F.col("e") - F.col("s") + 1) / 3)).withColumn("acc", F.when(F.col("ref") > 1, F.col("ref").cast("string")))), f"""with a as (select *, case when ref > 1 then cast(ref as varchar) else '' end as acc from {_LEGACY} x),
+b as (select id, s, e, strand, (e - s + 1) // 3 as aa_len, acc, lead(id) over w as ni, lead(s) over w as ns, lead(e) over w as ne, (lead(e) over w - lead(s) over w + 1) // 3 as nl, lead(acc) over w as na from a window w as (partition by contig, strand order by s, id)),
+p as (select id, ni from b where e - ns + 1 >= 1 and e - ns + 1 <= 8 and aa_len <= 150 and nl <= 150 and ((case when strand >= 0 then ns - s else e - ne end) % 3) <> 0 and (acc = na)) select id from p union select ni from p""")
 over("truncated_genes", _LEGACY, lambda d: H.truncated_genes(d), f"select id from {_LEGACY} x where ref_len >= 50 and aa_len < 0.8 * ref_len and ref_len - aa_len >= 25")
-over("internal_stop_readthrough", "(select id, s as stop, s+e%400*3 next_stop from {features})", lambda d: H.internal_stop_readthrough(d), "select id from {features} where e % 400 - 1 >= 80")
+#: Genes on the contigs: the same text's letters, at places and of lengths by their number.
+_ON_CONTIGS = "(select contig, contig||'_'||cast(k as varchar(3)) id, cast(k*97+5 as bigint) s, cast(k*97+5+(k%5)*30+58 as bigint) e, case when k%3=0 then -1 else 1 end strand, cast((k%5)*10+19 as bigint) aa_len, case when k%11=0 then 300 end ref_len from {contigs} c cross join (select distinct cast(l_linenumber*3 as bigint) k from lineitem) k where length(seq) > 3000)"
+
+
+_WALK = f"""g as (select * from {_ON_CONTIGS} x), f as (select g.*, seq, length(seq) as n from g join {{contigs}} c on c.contig = g.contig),
+cod as (select id, contig, strand, unnest(generate_series(0, 4999)) as j, s, e, seq, n from f),
+pos as (select *, case when strand >= 0 then e + 1 + 3 * j else s - 3 - 3 * j end as p from cod),
+ok as (select id, j, p >= 1 and p + 2 <= n and not contains(substr(seq, p, 3), 'N') and (case when strand >= 0 then substr(seq, p, 3) not in ('TAA', 'TAG', 'TGA') else substr(seq, p, 3) not in ('TTA', 'CTA', 'TCA') end)
+ and not exists (select 1 from g o where o.contig = pos.contig and o.strand = pos.strand and o.s <= p + 2 and o.e >= p) as good from pos),
+r as (select id, coalesce(min(j) filter (not good), 5000) as codons from ok group by id)"""
+
+
+@query("uncovered_downstream_orf", R.duck(f"with {_WALK} select id, codons from r"))
+def uncovered_orf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cds = R.select(spark, sf_dir, f"select * from {_ON_CONTIGS} x")
+    return H.uncovered_downstream_orf(cds, cds, R.relation(spark, sf_dir, "contigs"))
+
+
+@query("internal_stop_readthrough", R.duck(f"with {_WALK} select id, codons from r join f using (id) where aa_len <= 150 and ref_len is null and s > 3 and e < n - 3 and codons >= 2"))
+def internal_stop_readthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts have stops and other letters everywhere, so two codons count as long here."""
+    return H.internal_stop_readthrough(R.select(spark, sf_dir, f"select * from {_ON_CONTIGS} x"), R.relation(spark, sf_dir, "contigs"), least=2)
+
+
 over("run_counts", "(select pid, case when p_size%3=0 then null else 'MK' end aa, p_size%4 n_annotations, case when p_size%5=0 then 'virulence factor: x' else 'other' end note from {proteins})", lambda d: H.run_counts(d.withColumn("notes", F.array("note"))), "select count(*) as total, count(*) filter (p_size % 3 <> 0) as cds, count(*) filter (p_size % 4 > 0) as annotated, count(*) filter (p_size % 5 = 0) as virulence from {proteins}")
 over("distinct_flags", ANN, lambda a: a.groupBy("fid").agg(F.array_join(F.array_sort(F.array_distinct(F.collect_list("source"))), ",").alias("notes"), F.max(F.col("score") > 90000).alias("pseudogene")), "select fid, string_agg(distinct source, ',' order by source) as notes, bool_or(score > 90000) as pseudogene from {annotations} group by 1")

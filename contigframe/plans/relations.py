@@ -18,7 +18,7 @@ RELATIONS = {
     "contigs": f"select 'ctg_'||cast(doc_id as varchar(20)) contig, {_LETTERS} seq from documents",
     # located features with classes 1..7
     "intervals": f"""select distinct {_CTG} contig, cast(l_partkey*100+l_linenumber*7 as bigint) s,
-        cast(l_partkey*100+l_linenumber*7+l_quantity*30-1 as bigint) e, l_linenumber cls from lineitem where l_returnflag='R'""",
+        cast(l_partkey*100+l_linenumber*7+l_quantity*30-1 as bigint) e, l_linenumber cls from lineitem""",
     # features of all kinds on short contigs, with many overlaps; id is unique
     "features": f"""select {_CTG} contig, {_CTG}||'_'||cast(l_linenumber*1000000+l_partkey as varchar(20)) id,
         case l_linenumber when 1 then 'Rrna' when 2 then 'Trna' when 3 then 'Tmrna' when 4 then 'Ncrna' when 5 then 'IsElement' else 'Cds' end kind,
@@ -26,9 +26,10 @@ RELATIONS = {
         max(l_extendedprice) score, cast(case when (l_partkey+l_linenumber)%2=0 then -1 else 1 end as int) strand,
         l_partkey%3=0 low_open, l_partkey%5=0 high_open from lineitem group by l_suppkey,l_linenumber,l_partkey""",
     # similarity hits
-    "hits": """select distinct cast(l_orderkey as bigint) q, cast(l_partkey as bigint) t, 50+l_quantity pident, l_extendedprice bits, l_linenumber*2 ex,
+    # ord: hits of a query as they come, the largest target first
+    "hits": """select *, cast(row_number() over (partition by q order by t desc, ex, bits, pident, qcov, tcov) as int) ord from (select distinct cast(l_orderkey as bigint) q, cast(l_partkey as bigint) t, 50+l_quantity pident, l_extendedprice bits, l_linenumber*2 ex,
         cast('1e-'||cast(l_linenumber*2 as varchar(5)) as double) evalue, round(1-l_tax*3,2) qcov, round(1-l_discount*4,2) tcov,
-        cast(l_partkey%400+40 as bigint) tlen from lineitem""",
+        cast(l_partkey%400+40 as bigint) tlen from lineitem) h""",
     # annotations: several of each feature, in order
     "annotations": """select cast(l_orderkey as bigint) fid, 'PF'||lpad(cast(l_partkey%500 as varchar(10)),5,'0')||'.'||cast(l_linenumber as varchar(3)) accession,
         l_extendedprice score, cast(row_number() over (partition by l_orderkey order by l_linenumber,l_partkey,l_suppkey,l_extendedprice,l_quantity,l_shipdate) as int) ord,

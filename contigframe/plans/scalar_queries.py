@@ -95,7 +95,6 @@ def _b(c: str) -> Column:
 scalar("render_inference", cases(("COORDINATES", "similar to AA sequence", 1, "VFDB", "VFG1"), ("", "protein motif", 0, "HMM", ""), ("", "ab initio", 0, "", "x"), cols="a, kind, same, db, acc"),
        lambda: T.render_inference(_b("a"), _b("kind"), _b("same") == 1, _b("db"), _b("acc")),
        "concat_ws(': ', nullif(a, ''), concat(kind, case when same = 1 then ' (same species)' else '' end, case when db <> '' then concat_ws('', ':', db, case when acc <> '' then concat(':', acc) end) else '' end))", keep="a, kind")
-scalar("display_product", "(select a, product, gene from " + PRODUCTS + " x)", lambda: F.coalesce(T.nonempty("product"), T.nonempty("gene"), F.lit("hypothetical protein")), "coalesce(nullif(trim(product), ''), nullif(trim(gene), ''), 'hypothetical protein')", keep="a, product")
 scalar("output_gene", "(select a, coalesce(product, 'hypothetical protein') product, gene from " + PRODUCTS + " x)", lambda: F.when(F.lower("product") != "hypothetical protein", T.nonempty("gene")), "case when lower(product) = 'hypothetical protein' then null else nullif(trim(gene), '') end", keep="a, product")
 
 

@@ -9,7 +9,7 @@ QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 #: Contigs of the smallest table are so crowded that RNAs mask every CDS.
-LARGER = {"rna_masks_cds": "sf0.01"}
+LARGER = {"rna_masks_cds": "sf0.01", "frameshift_fragments": "sf0.01"}
 
 
 @pytest.fixture(scope="module")
