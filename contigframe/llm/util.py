@@ -72,16 +72,17 @@ HEAVY, LIGHT = 512, 5_000
 
 def join_heavy(rows: DataFrame, values: DataFrame, keys: list[str], tmp: Scratch, how: str = "inner") -> DataFrame:
     """``rows`` (a written table) joined, inner or left, to ``values``, which has each key once. Keys may be as unequal as they like: rows
-    of the fewer than ``HEAVY`` heavy ones meet their values by broadcast, where they are, and only the others are dealt by key."""
+    of the fewer than ``HEAVY`` heavy ones are salted by a hash of the row, and their values repeated for each salt."""
     total = rows.count()
     if total < LIGHT:
         return rows.join(values, keys, how)
-    heavy = tmp.written(rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") * HEAVY > total).select(*keys), "heavy")
-    if not heavy.limit(1).count():
-        return rows.join(values, keys, how)
-    known = F.broadcast(heavy)  # fewer than HEAVY rows, and so is what is broadcast next
-    hot = rows.join(known, keys, "left_semi").join(F.broadcast(values.join(known, keys, "left_semi")), keys, how)
-    return hot.unionByName(rows.join(known, keys, "left_anti").join(values, keys, how))
+    heavy = rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") * HEAVY > total).select(*keys, F.lit(True).alias("__heavy"))
+    known = F.broadcast(tmp.written(heavy, "heavy"))  # fewer than HEAVY rows
+    salts = salt_count(rows.sparkSession)
+    salted = rows.join(known, keys, "left").withColumn("__salt", F.when(F.col("__heavy"), F.pmod(mix(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")).otherwise(0)).drop("__heavy")
+    each = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = values.join(known, keys, "left").withColumn("__salt", F.explode(each)).drop("__heavy")
+    return salted.join(spread, [*keys, "__salt"], how).drop("__salt")
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
