@@ -350,11 +350,9 @@ _ON_CONTIGS = "(select contig, contig||'_'||cast(k as varchar(3)) id, cast(k*97+
 
 
 _WALK = f"""g as (select * from {_ON_CONTIGS} x), f as (select g.*, seq, length(seq) as n from g join {{contigs}} c on c.contig = g.contig),
-cod as (select id, contig, strand, unnest(generate_series(0, 4999)) as j, s, e, seq, n from f),
-pos as (select *, case when strand >= 0 then e + 1 + 3 * j else s - 3 - 3 * j end as p from cod),
-ok as (select id, j, p >= 1 and p + 2 <= n and not contains(substr(seq, p, 3), 'N') and (case when strand >= 0 then substr(seq, p, 3) not in ('TAA', 'TAG', 'TGA') else substr(seq, p, 3) not in ('TTA', 'CTA', 'TCA') end)
- and not exists (select 1 from g o where o.contig = pos.contig and o.strand = pos.strand and o.s <= p + 2 and o.e >= p) as good from pos),
-r as (select id, coalesce(min(j) filter (not good), 5000) as codons from ok group by id)"""
+cod as (select *, regexp_extract_all(case when strand >= 0 then substr(seq, e + 1, 15000) else reverse(translate(substr(seq, greatest(s - 15000, 1), s - greatest(s - 15000, 1)), 'ACGT', 'TGCA')) end, '...') as codons from f),
+free as (select f.id, min(case when f.strand >= 0 then greatest(o.s - f.e - 1, 0) else greatest(f.s - o.e - 1, 0) end) as room from f join g o on o.contig = f.contig and o.strand = f.strand and (case when f.strand >= 0 then o.e > f.e else o.s < f.s end) group by 1),
+r as (select cod.id, cast(least(5000, len(codons), coalesce(room // 3, 5000), coalesce(nullif(list_position(list_transform(codons, lambda x: x in ('TAA', 'TAG', 'TGA') or contains(x, 'N')), true), 0) - 1, 5000)) as bigint) as codons from cod left join free on free.id = cod.id)"""
 
 
 @query("uncovered_downstream_orf", R.duck(f"with {_WALK} select id, codons from r"))
