@@ -25,14 +25,14 @@ def components(edges: DataFrame, tmp: util.Scratch, a: str = "a", b: str = "b")
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.min(rank("b")).alias("m"))
         move = tmp.written(first.select("a", F.least(rank("a"), F.col("m"))["n"].alias("to")), "moves")
-        roots = util.join_heavy(roots, move.withColumnRenamed("a", "root"), ["root"], tmp, "left").select("node", F.coalesce("to", "root").alias("root"))
+        roots = util.join_heavy(roots, move.withColumnRenamed("a", "root"), ["root"], "left").select("node", F.coalesce("to", "root").alias("root"))
         roots = tmp.written(roots, "roots")
-        moved = tmp.written(util.join_heavy(pairs, move, ["a"], tmp).select(F.col("to").alias("a"), "b"), "moved")
-        moved = util.join_heavy(moved, move.select(F.col("a").alias("b"), F.col("to").alias("to_b")), ["b"], tmp).select("a", F.col("to_b").alias("b"))
+        moved = tmp.written(util.join_heavy(pairs, move, ["a"]).select(F.col("to").alias("a"), "b"), "moved")
+        moved = util.join_heavy(moved, move.select(F.col("a").alias("b"), F.col("to").alias("to_b")), ["b"]).select("a", F.col("to_b").alias("b"))
         pairs, k = tmp.written(_directed(moved.where("a <> b")), "edges"), k + 1
     if k > 2:  # roots are then any node: name components by their smallest
         least = roots.groupBy("root").agg(F.min("node").alias("least"))
-        roots = tmp.written(util.join_heavy(roots, least, ["root"], tmp).select("node", F.col("least").alias("root")), "roots")
+        roots = tmp.written(util.join_heavy(roots, least, ["root"]).select("node", F.col("least").alias("root")), "roots")
     return roots
 
 

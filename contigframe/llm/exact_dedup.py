@@ -48,13 +48,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
         keys = tmp.written(base.select("doc_id", "text_sha256").withColumn("row", F.monotonically_increasing_id()), "keys")
         alone = winners.where("variants = 1").select("text_sha256", "keep_id", "group_size")
-        joined = util.join_heavy(keys, alone, ["text_sha256"], tmp)
+        joined = util.join_heavy(keys, alone, ["text_sha256"])
         own = F.struct("doc_id").alias("own")  # a null id is an id too
         repeated = keys.groupBy(own, "text_sha256").agg(F.count("*").alias("times"), F.min("row").alias("first")).where("times > 1")
         repeated = tmp.written(repeated.select("own", "text_sha256", "first"), "repeated")
         first = F.lit(True)
         if repeated.limit(1).count():  # of rows with the same id and text one is kept
-            joined = util.join_heavy(tmp.written(joined.withColumn("own", own), "joined"), repeated, ["own", "text_sha256"], tmp, "left")
+            joined = util.join_heavy(tmp.written(joined.withColumn("own", own), "joined"), repeated, ["own", "text_sha256"], "left")
             first = F.coalesce(F.col("row") == F.col("first"), F.lit(True))
         columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
         out = joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).select(*columns)

@@ -118,6 +118,8 @@ def embedding(s: np.ndarray) -> np.ndarray:
 
 #: What names a row's text next to its id: ids may be null or repeated.
 MARK = "mark"
+#: Buckets of marks: what is broadcast of the candidates has at most so many numbers (4 MB).
+BUCKETS = 1 << 20
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -256,7 +258,9 @@ def candidates(reps: DataFrame, similarity: float, recall: float, tmp: util.Scra
     found, nodes = [], tmp.written(_split(reps.select("rep", "places", F.lit(0).cast("long").alias("n")), seeds), "paths")
     for depth in range(DEPTH):
         counts = tmp.written(nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-        nodes = tmp.written(util.join_heavy(nodes, counts, ["key"], tmp), "buckets")
+        heavy = counts.where(F.col("n") * util.HEAVY > nodes.count()).select(F.xxhash64("key").alias("h"))  # fewer than HEAVY
+        # dealt by key at any size, so that what is moved grows in proportion
+        nodes = tmp.written(util.join_heavy(nodes, counts.hint("merge"), ["key"], heavy=[r["h"] for r in heavy.collect()]), "buckets")
         done = (F.col("n") <= BUCKET) | ((F.col("up") > 0) & (F.col("n") >= DENSE * F.col("up"))) | F.lit(depth == DEPTH - 1)
         leaves = nodes.where(done).select("key", "rep", "n").join(reps.select("rep", "brief"), "rep").withColumn("weight", F.lit(0).cast("long"))
         found.append(tmp.written(_candidate_edges(leaves, similarity), "candidates"))
@@ -297,7 +301,10 @@ def _verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, s
             yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(reps[label]), pa.array(near.sum(axis=1).astype(np.int64))], names=["rep", "root", "links"])
 
     named = members.select(F.col("row.doc_id").alias("__id"), F.col(f"row.{MARK}").alias(MARK), "digest", "rep", "component", "n", "weight")
-    texts = _texts(docs, id_col, text_col)
+    # texts of which nothing is a candidate stay where they are: their mark's bucket is in no row of a table of at most BUCKETS rows
+    bucket = F.pmod(F.col(MARK), F.lit(BUCKETS)).cast("int").alias("__bucket")
+    texts = _texts(docs, id_col, text_col).select("*", bucket).join(F.broadcast(named.select(bucket).distinct()), "__bucket", "left_semi").drop("__bucket")
+    named = named.hint("merge")  # dealt by key at any size, so that what is moved grows in proportion
     text = texts.join(named, (texts[MARK] == named[MARK]) & F.col("doc_id").eqNullSafe(F.col("__id")))
     sets = text.select("rep", "component", "n", "weight", "digest", "text").mapInArrow(tokens.tidy(shingles), "rep long, component long, n long, weight long, shingles binary")
     return in_tiles(sets, "component", "weight", "n", compare, "rep long, root long, links long")
@@ -339,7 +346,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, rec
     linked = components(candidates(classes.where(F.col("places").isNotNull()), similarity, recall, tmp), tmp)
     sized = tmp.written(linked.join(classes.select(F.col("rep").alias("node"), "size"), "node"), "sized")
     per = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("weight"))
-    members = util.join_heavy(sized, per, ["root"], tmp).select(F.col("node").alias("rep"), F.col("root").alias("component"), "n", "weight")
+    members = util.join_heavy(sized, per, ["root"]).select(F.col("node").alias("rep"), F.col("root").alias("component"), "n", "weight")
     members = tmp.written(members.join(classes.select("rep", "digest", "row"), "rep"), "members")
     found = tmp.written(_verified(docs, members, id_col, text_col, similarity), "verified")
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), tmp)
@@ -347,7 +354,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, rec
     ends = classes.select("digest", "rep", "row", "class_size").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     ends = tmp.written(ends.select("digest", "row", "class_size", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("root")), "ends")
     first = ends.groupBy("root").agg(F.min("row").alias("first"), F.hex(F.min("digest")).alias("class_key"))
-    return described, tmp.written(util.join_heavy(ends, first, ["root"], tmp), "named")
+    return described, tmp.written(util.join_heavy(ends, first, ["root"]), "named")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -362,7 +369,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     with util.Scratch(docs.sparkSession) as tmp:
         described, ends = _classes(docs, id_col, text_col, similarity, recall, tmp)
-        out = util.join_heavy(described.select("doc_id", "digest", "size"), ends, ["digest"], tmp)
+        out = util.join_heavy(described.select("doc_id", "digest", "size"), ends, ["digest"])
         out = out.select("doc_id", F.col("first.doc_id").alias("class_id"), F.col("row.doc_id").alias("text_class"), "class_size", "n_links", "size", "class_key")
         return util.written(out, "near-duplicates")
 

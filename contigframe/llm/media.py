@@ -232,7 +232,7 @@ def media_columns(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
     with util.Scratch(docs.sparkSession) as tmp:
         found = tmp.written(media_features(index, folder), "features")
         rows = tmp.written(docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(samples(text), 256)).alias("digest")), "rows")
-        out = util.join_heavy(rows, found, ["digest"], tmp)
+        out = util.join_heavy(rows, found, ["digest"])
         return util.written(out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "shard", "offset", "width", "height"), "media-columns")
 
 

@@ -87,7 +87,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
         targets = tmp.written(targets, "targets")
         taken = tmp.written(_document_takes(sizes, _block_takes(_slots(spark, targets, shard, tmp)), block), "taken")
-        out = util.join_heavy(taken, targets.select("source_key", "source_size", "target"), ["source_key"], tmp)
+        out = util.join_heavy(taken, targets.select("source_key", "source_size", "target"), ["source_key"])
         return util.written(out.select("doc_id", "size", "source_size", "target", "taken"), "mix")
 
 

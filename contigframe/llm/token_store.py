@@ -297,7 +297,7 @@ def _rebuilt(spark: SparkSession, folder: str, tmp: util.Scratch, give: Callable
     placed = tmp.written(_placed(spark, folder, tmp), "placed")
     index = spark.read.schema("digest binary, pack string, offset long, ids int").parquet(f"{folder}/index")
     uses = tmp.written(placed.select("part", "row", F.posexplode("digests").alias("pos", "digest")), "uses")
-    found = util.join_heavy(uses, index, ["digest"], tmp)
+    found = util.join_heavy(uses, index, ["digest"])
     lists = found.groupBy("part", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "pack", "offset", "ids", "digest"))).alias("chunks"))
     rows = placed.select("part", "row", "block", "doc_id", "n_tokens", "root", "start").join(lists, ["part", "row"], "left")
     first = F.get("chunks", F.lit(0))

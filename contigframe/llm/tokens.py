@@ -21,7 +21,7 @@ MEMO_BYTES = 40_000_000
 #: Bytes of text that are handled at once in a worker.
 SLICE = 6_000_000
 #: Texts go to the tokenizer's memo in larger parts, in which more pieces repeat.
-TOKEN_SLICE = 16_000_000
+TOKEN_SLICE = 8_000_000
 #: Beyond these characters, lower case isn't one simple mapping everywhere.
 _WIDE = "[^\\x00-\u012f\u0131-\u024f]"
 #: What the memo takes for granted of a tokenizer file: white space separates and is dropped, and words, digits and other signs are

@@ -65,24 +65,29 @@ class Scratch:
         remove_folder(self.spark, self.folder)
 
 
-#: A key is heavy if it has more than this part of all rows; so there are fewer heavy keys than this. In a table of fewer rows than
-#: ``LIGHT`` no key weighs anything.
-HEAVY, LIGHT = 512, 5_000
+#: A key is heavy if it has more than this part of all rows; so there are fewer heavy keys than this. Their rows are dealt to so many places.
+HEAVY, SALTS = 512, 32
+#: In a table of fewer rows no key weighs anything.
+LIGHT = 5_000
 
 
-def join_heavy(rows: DataFrame, values: DataFrame, keys: list[str], tmp: Scratch, how: str = "inner") -> DataFrame:
-    """``rows`` (a written table) joined, inner or left, to ``values``, which has each key once. Keys may be as unequal as they like: rows
-    of the fewer than ``HEAVY`` heavy ones are salted by a hash of the row, and their values repeated for each salt."""
+def heavy_keys(rows: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the heavy keys of ``rows`` (a written table): fewer than ``HEAVY`` numbers."""
     total = rows.count()
     if total < LIGHT:
-        return rows.join(values, keys, how)
-    heavy = rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") * HEAVY > total).select(*keys, F.lit(True).alias("__heavy"))
-    known = F.broadcast(tmp.written(heavy, "heavy"))  # fewer than HEAVY rows
-    salts = salt_count(rows.sparkSession)
-    salted = rows.join(known, keys, "left").withColumn("__salt", F.when(F.col("__heavy"), F.pmod(mix(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")).otherwise(0)).drop("__heavy")
-    each = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = values.join(known, keys, "left").withColumn("__salt", F.explode(each)).drop("__heavy")
-    return salted.join(spread, [*keys, "__salt"], how).drop("__salt")
+        return []
+    counts = rows.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n")).where(F.col("n") * HEAVY > total)
+    return sorted(r["h"] for r in counts.select("h").collect())
+
+
+def join_heavy(rows: DataFrame, values: DataFrame, keys: list[str], how: str = "inner", heavy: list[int] | None = None) -> DataFrame:
+    """``rows`` (a written table) joined, inner or left, to ``values``, which has each key once. Keys may be as unequal as they like: rows
+    of ``heavy`` ones (by default those of ``heavy_keys``) are salted by a hash of the row, and their values repeated for each salt."""
+    heavy = heavy_keys(rows, keys) if heavy is None else heavy
+    weighs = F.xxhash64(*keys).isin(heavy) if heavy else F.lit(False)
+    salted = rows.withColumn("__salt", F.when(weighs, F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(0))
+    each = F.when(weighs, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(values.withColumn("__salt", F.explode(each)), [*keys, "__salt"], how).drop("__salt")
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
