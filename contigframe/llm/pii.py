@@ -167,9 +167,9 @@ def date(s: str, key: bytes, back: bool) -> str | None:
         return order == "mdy" or got.day > 12
 
     n, size = day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1
-    n = feistel(n, size, key, f"date{order if sep == '/' else ''}", back)
+    n = feistel(n, size, key, "date", back)  # one permutation for all forms, so equal days stay linked
     while not readable(n):
-        n = feistel(n, size, key, f"date{order}", back)
+        n = feistel(n, size, key, "date", back)
     new = datetime.date.fromordinal(n + FIRST_DAY)
     value = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
     return sep.join(value[k] for k in order)

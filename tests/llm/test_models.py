@@ -309,6 +309,18 @@ def test_runs_of_numbers_go_back(text):
     assert pii.pseudonymise(new, KEY, back=True)[0] == text
 
 
+def test_days_stay_linked_whatever_their_form():
+    for day in range(0, 73_000, 997):
+        d = pii.datetime.date.fromordinal(pii.FIRST_DAY + day)
+        new = {pii.pseudonymise(d.strftime(f), KEY)[0] for f in ("%Y-%m-%d", "%Y/%m/%d")}
+        assert len({x.replace("/", "-") for x in new}) == 1
+        year, month, dom = next(iter(new)).replace("/", "-").split("-")
+        assert pii.pseudonymise(d.strftime("%d.%m.%Y"), KEY)[0] == f"{dom}.{month}.{year}"
+        assert pii.pseudonymise(d.strftime("%m/%d/%Y"), KEY)[0] == f"{month}/{dom}/{year}"
+        for f in ("%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y"):
+            assert pii.pseudonymise(pii.pseudonymise(d.strftime(f), KEY)[0], KEY, back=True)[0] == d.strftime(f)
+
+
 def test_invalid_values_stay():
     for v in ("12345", "999.1.2.3", "2001-02-30", "666-12-3456", "DE00 3704 0044 0532 0130 00"[:15], "1.2.3.4.5", "", "1.5"):
         assert pii.pseudonymise(v, KEY) == (v, [])
