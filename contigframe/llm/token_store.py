@@ -35,6 +35,8 @@ WINDOW = 16
 #: A cut where the hash has these bits zero: chunks of 1,024 ids on average; at most ``LONGEST`` ids.
 MASK = (1 << 10) - 1
 LONGEST = 8192
+#: Windows hashed at once, so that what is at work stays in a core's cache.
+MARKED = 1 << 14
 MAGIC = b"IDPK"
 HEADER = 8
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -47,21 +49,27 @@ LOCAL = (1 << 33) - 1
 SEEN = 200_000
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """End positions of the chunks of one id stream, the last one included. A cut depends on the ``WINDOW`` ids before it."""
-    n = len(ids)
-    if not n:
-        return []
-    with np.errstate(over="ignore"):
-        x = (ids.astype(np.uint64) + np.uint64(1)) * FACTOR
-        x ^= x >> np.uint64(29)
-        h = x.copy()  # a sum of the window's items, each turned by its distance from the end
-        for d in range(1, min(WINDOW, n)):
-            h[d:] += (x[:-d] << np.uint64(d)) | (x[:-d] >> np.uint64(64 - d))
-        h = (h * FACTOR) >> np.uint64(40)
+def marks(ids: np.ndarray) -> np.ndarray:
+    """Ends of all windows of ``WINDOW`` ids whose hash meets the mask, ascending: where chunks may end. The hash is the exclusive or of
+    the window's items, each turned by its distance from the end, so that of twice as many items comes from two of half as many."""
+    found = [np.zeros(0, np.int64)]
+    for first in range(0, len(ids) - WINDOW + 1, MARKED):
+        with np.errstate(over="ignore"):
+            h = (ids[first : first + MARKED + WINDOW - 1].astype(np.uint64) + np.uint64(1)) * FACTOR
+            h ^= h >> np.uint64(29)
+            k = 1
+            while k < WINDOW:
+                h, k = h[k:] ^ (h[:-k] << np.uint64(k)) ^ (h[:-k] >> np.uint64(64 - k)), 2 * k
+            h = (h * FACTOR) >> np.uint64(40)
+        found.append(np.flatnonzero((h & np.uint64(MASK)) == 0) + (first + WINDOW))
+    return np.concatenate(found)
+
+
+def chunk_ends(marked: list[int], n: int) -> list[int]:
+    """End positions of the chunks of ``n`` ids with these marks, the last one included; chunks but the last have ``WINDOW`` ids at least."""
     ends, last = [], 0
-    for at in (np.flatnonzero((h & np.uint64(MASK)) == 0) + 1).tolist():
-        if at - last < WINDOW or at < WINDOW:
+    for at in marked:
+        if at - last < WINDOW:
             continue
         while at - last > LONGEST:
             last += LONGEST
@@ -77,6 +85,11 @@ def cuts(ids: np.ndarray) -> list[int]:
     return ends
 
 
+def cuts(ids: np.ndarray) -> list[int]:
+    """End positions of the chunks of one id stream, the last one included. A cut depends on the ``WINDOW`` ids before it."""
+    return chunk_ends(marks(ids).tolist(), len(ids))
+
+
 def digest(payload: bytes) -> bytes:
     return hashlib.blake2b(payload, digest_size=16).digest()
 
@@ -124,11 +137,12 @@ def write_store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             for part in tokens.slices(batch, "text", tokens.TOKEN_SLICE):
                 ids, offsets = tokens.with_end(*tok.encode(part.column("text").fill_null("")), end)
-                for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    own, last, digests, new = ids[a:b], 0, [], []
-                    narrow = own.astype(width)
-                    for e in cuts(own):
-                        payload = narrow[last:e].tobytes()
+                marked, narrow = marks(ids), ids.astype(width)  # of all documents at once; a document's are the windows that lie in it
+                low, high = np.searchsorted(marked, offsets[:-1] + WINDOW), np.searchsorted(marked, offsets[1:], "right")
+                for doc, a, b, lo, hi in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), low.tolist(), high.tolist(), strict=True):
+                    last, digests, new = 0, [], []
+                    for e in chunk_ends((marked[lo:hi] - a).tolist() if lo < hi else [], b - a):
+                        payload = narrow[a + last : a + e].tobytes()
                         digests.append(digest(payload))
                         if digests[-1] not in seen:
                             if len(seen) >= SEEN:

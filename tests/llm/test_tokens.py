@@ -239,3 +239,24 @@ def test_cuts_follow_content():
     body = rng.integers(0, 49408, 40_000).astype(np.uint32)
     one, two = token_store.cuts(body), token_store.cuts(np.concatenate([rng.integers(0, 49408, 777).astype(np.uint32), body]))
     assert len({e + 777 for e in one} & set(two)) > 0.9 * len(one)
+
+
+def test_marks_are_those_of_a_literal_hash(monkeypatch):
+    monkeypatch.setattr(token_store, "MASK", 15)
+    monkeypatch.setattr(token_store, "MARKED", 50)
+    ids, whole = np.random.default_rng(3).integers(0, 49408, 1000).astype(np.uint32), (1 << 64) - 1
+
+    def met(window: list[int]) -> bool:
+        h = 0
+        for d, i in enumerate(reversed(window)):
+            x = (i + 1) * int(token_store.FACTOR) & whole
+            x ^= x >> 29
+            h ^= (x << d | x >> (64 - d)) & whole
+        return (h * int(token_store.FACTOR) & whole) >> 40 & 15 == 0
+
+    want = [e for e in range(token_store.WINDOW, len(ids) + 1) if met(ids[e - token_store.WINDOW : e].tolist())]
+    assert len(want) > 20 and token_store.marks(ids).tolist() == want
+    for n in (0, 1, token_store.WINDOW - 1, token_store.WINDOW):  # shorter than a window, and just one
+        assert token_store.marks(ids[:n]).tolist() == [e for e in want if e <= n]
+    for a, b in ((0, 300), (300, 309), (309, 1000)):  # marks of a stretch are those of the whole that lie in it
+        assert token_store.marks(ids[a:b]).tolist() == [e - a for e in want if a + token_store.WINDOW <= e <= b]
