@@ -53,6 +53,74 @@ def plasmid_gate() -> Column:
     return (F.col("pident") >= C.PLASMID_MIN_IDENTITY) & (F.col("tcov") >= C.PLASMID_MIN_TCOV)
 
 
+def amr_gate() -> Column:
+    return F.col("pident") >= C.AMR_MIN_IDENTITY
+
+
+def attc_gate() -> Column:
+    return F.col("evalue") <= C.ATTC_MAX_EVALUE
+
+
+def sorf_gate() -> Column:
+    return (F.col("qcov") >= C.SORF_QCOV) & (F.col("tcov") >= C.SORF_TCOV) & (F.col("evalue") <= C.SORF_PSC_EVALUE)
+
+
+def supported_rank(identity: Column | str) -> Column:
+    """The rank that an identity to a 16S reference supports."""
+    i = T.col(identity)
+    return F.when(i >= C.SPECIES_IDENTITY, "species").when(i >= C.GENUS_IDENTITY, "genus").otherwise("family")
+
+
+def attach_hits(cds: DataFrame, annotations: DataFrame) -> DataFrame:
+    """``cds`` (fid, ...) with its ``annotations`` (fid, ord, ...) as an array in order; empty where it has none."""
+    rest = [c for c in annotations.columns if c not in ("fid", "ord")]
+    lists = annotations.groupBy("fid").agg(F.array_sort(F.collect_list(F.struct("ord", *rest))).alias("annotations"))
+    kind = lists.schema["annotations"].dataType
+    return cds.join(lists, "fid", "left").withColumn("annotations", F.coalesce("annotations", F.array().cast(kind)))
+
+
+def rank_annotations(annotations: DataFrame) -> DataFrame:
+    """With ``rank``: 1 for the highest score of a feature, the first of equal ones."""
+    return annotations.withColumn("rank", F.row_number().over(Window.partitionBy("fid").orderBy(F.col("score").desc(), "ord")))
+
+
+def amr_sites(hits: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Hits that are close enough, with each mutation that ``catalog`` (t, ...) has of their target."""
+    return hits.where(amr_gate()).join(catalog, "t")
+
+
+def unresolved(hits: DataFrame, resolved: DataFrame) -> DataFrame:
+    """(q) of the queries that aren't among ``resolved`` (q)."""
+    return hits.select("q").distinct().join(resolved.select("q").distinct(), "q", "left_anti")
+
+
+def plasmid_replicons(hits: DataFrame) -> DataFrame:
+    """The hit with most bits of each contig (q) and replicon type among those that pass the gate, the first of equal ones."""
+    return best_by(hits.where(plasmid_gate()), ["q", "type"], -F.col("bits"), _arrival(hits))
+
+
+def sorf_support(profiles: DataFrame, proteins: DataFrame, names: DataFrame) -> DataFrame:
+    """(q, t, by) of short reading frames that are genes: by their best profile hit, else by the best protein hit that passes the gate and whose
+    target has an informative product in ``names`` (t, product)."""
+    hmm = best_hits(profiles).select("q", "t", F.lit("hmm").alias("by"))
+    rest = proteins.join(hmm.select("q"), "q", "left_anti").join(names, "t").where(sorf_gate() & T.informative_product("product"))
+    return hmm.unionByName(best_hits(rest).select("q", "t", F.lit("psc").alias("by")))
+
+
+def intergenic_pseudogenes(hits: DataFrame) -> DataFrame:
+    """One pseudogene without a protein for each region (q) between genes with homology to a family: ``hits`` (q, contig, region_s, t, ord, evalue, qs,
+    qe, ts, te, tlen) are translated, qs above qe on the minus strand; the lowest E-value counts, the first of equal ones."""
+    tcov = (F.abs(F.col("te") - F.col("ts")) + 1) / F.col("tlen")
+    good = hits.where((F.col("evalue") <= C.PSEUDO_MAX_EVALUE) & (F.col("tlen") >= C.PSEUDO_MIN_TLEN) & (tcov >= C.INTERGENIC_TCOV))
+    best = primary_target(good).withColumn("s", F.col("region_s") + F.least("qs", "qe") - 1)
+    percent = F.bround(tcov * 100, 0).cast("int").cast("string")
+    note = F.concat(F.lit("intergenic homology to family "), F.col("t").cast("string"), F.lit(" ("), percent, F.lit("% of reference, translated) — degraded/uncalled gene"))
+    return best.select(
+        "contig", F.concat_ws("_", F.lit("igpseudo"), "contig", F.col("s").cast("string")).alias("id"), F.lit("Cds").alias("kind"), "s", (F.col("region_s") + F.greatest("qs", "qe") - 1).alias("e"),
+        S.frame_of("qs", "qe")[0].alias("strand"), F.lit(True).alias("pseudogene"), F.lit(None).cast("string").alias("aa"), F.array(note).alias("notes"),
+    )
+
+
 def best_annotation(annotations: DataFrame) -> DataFrame:
     """Per feature the annotation with the highest score; of equal ones the last."""
     return best_by(annotations, ["fid"], -F.col("score"), -F.col("ord"))

@@ -194,3 +194,15 @@ def gate_orit(hits: DataFrame) -> DataFrame:
 
     passing = hits.where(bar(C.ORIT_BASE) & (F.col("near") | bar(C.ORIT_ALONE)))
     return greedy_keep(passing, [F.col("bits").desc(), F.col("s"), F.col("id")], fraction=None)
+
+
+def adjacent_pairs(features: DataFrame) -> DataFrame:
+    """With the next feature of the strand: ``next_id`` and the ``gap`` to it, negative where they overlap; null for the last one."""
+    w = Window.partitionBy("contig", "strand").orderBy("s", "e", "id")
+    return features.withColumns({"next_id": F.lead("id").over(w), "gap": F.lead("s").over(w) - F.col("e") - 1})
+
+
+def running_cursor(features: DataFrame) -> DataFrame:
+    """With ``cursor``: the first position of the contig that no earlier feature reaches."""
+    w = Window.partitionBy("contig").orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, -1)
+    return features.withColumn("cursor", F.greatest(F.coalesce(F.max("e").over(w) + 1, F.lit(1)), F.lit(1)))

@@ -15,7 +15,7 @@ from contigframe.operators import hits as H
 
 INFERENCE = "struct<category: string, kind: string, same_species: boolean, db: string, accession: string>"
 ANNOTATION = "struct<source: string, accession: string, name: string, score: double>"
-FIELDS = {"kind": "string", "product": "string", "gene": "string", "ko": "string", "ec": "array<string>", "pathway": "array<string>", "cog": "int", "notes": "array<string>", "inferences": f"array<{INFERENCE}>", "annotations": f"array<{ANNOTATION}>", "signal": "string", "regulatory_class": "string"}
+FIELDS = {"kind": "string", "product": "string", "gene": "string", "ko": "string", "ec": "array<string>", "pathway": "array<string>", "cog": "int", "notes": "array<string>", "inferences": f"array<{INFERENCE}>", "annotations": f"array<{ANNOTATION}>", "signal": "string", "localization": "string", "gene_score": "double", "regulatory_class": "string"}
 
 
 def functional(features: DataFrame) -> DataFrame:
@@ -69,6 +69,39 @@ def land_mutations(features: DataFrame, calls: DataFrame) -> DataFrame:
     return _land_notes(features, found, "protein motif", "AMRFinderPlus")
 
 
+def _land_prediction(features: DataFrame, found: DataFrame, land: dict[str, tuple[Column, Column]], notes: list[Column]) -> DataFrame:
+    """Predictions (id, ...) of translated CDS: each column of ``land`` takes its value where its condition holds, and notes that aren't null follow."""
+    own = found.select("id", F.struct(*[c for c in found.columns if c != "id"]).alias("__m"))
+    joined = features.join(own, "id", "left")
+    usable = (F.col("kind") == "Cds") & F.col("aa").isNotNull() & F.col("__m").isNotNull()
+    kept = F.filter(F.array(*[F.when(usable, n) for n in notes]), lambda n: n.isNotNull())
+    return joined.withColumns({"notes": F.concat("notes", kept), **{c: F.when(usable & ok, value).otherwise(F.col(c)) for c, (ok, value) in land.items()}}).drop("__m")
+
+
+def _by(model: str, p: str) -> Column:
+    return F.concat(F.lit(f"({model}p="), F.format_string("%.2f", F.col(p).cast("double")), F.lit(")"))
+
+
+def land_signal_peptides(features: DataFrame, found: DataFrame, model: str = "") -> DataFrame:
+    """``found`` (id, signal, p, helices) of a neural model: helices land on any CDS (with aa, partial5), a signal peptide only where the start is real."""
+    n, ok = F.col("__m.helices"), ~F.coalesce("partial5", F.lit(False)) & F.coalesce(F.col("__m.signal").isin("sec", "lipoprotein", "tat"), F.lit(False))
+    spans = F.when(n > 0, F.concat(F.lit("predicted transmembrane protein ("), n.cast("string"), F.when(n == 1, " TM helix)").otherwise(" TM helices)")))
+    peptide = F.when(ok, F.concat(F.lit("predicted "), "__m.signal", F.lit(" signal peptide "), _by(model, "__m.p")))
+    return _land_prediction(features, found, {"signal": (ok, F.col("__m.signal"))}, [spans, peptide])
+
+
+def land_localization(features: DataFrame, found: DataFrame, model: str = "") -> DataFrame:
+    """``found`` (id, label, p): where a protein goes, if the model is sure enough."""
+    ok = F.col("__m.p") >= C.LOCALIZATION_MIN
+    return _land_prediction(features, found, {"localization": (ok, F.col("__m.label"))}, [F.when(ok, F.concat(F.lit("predicted subcellular localization: "), "__m.label", F.lit(" "), _by(model, "__m.p")))])
+
+
+def land_gene_score(features: DataFrame, found: DataFrame, model: str = "") -> DataFrame:
+    """``found`` (id, p): how likely a CDS is a gene; a low score is noted, and the CDS stays."""
+    low = F.when(F.col("__m.p") < C.GENE_SCORE_NOTE, F.concat(F.lit("low gene-model score, possible spurious ORF "), _by(model, "__m.p")))
+    return _land_prediction(features, found, {"gene_score": (F.lit(True), F.col("__m.p").cast("double"))}, [low])
+
+
 def reclassify_ncrna(features: DataFrame, types: DataFrame) -> DataFrame:
     """``types`` (acc, rfam_type, so_type): a non-coding RNA becomes what the family of its first covariance hit is, a regulatory region with
     its class; families that aren't listed, or listed as plain RNA, change nothing."""

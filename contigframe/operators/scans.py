@@ -71,6 +71,11 @@ def feature_seq(features: DataFrame, contigs: DataFrame) -> DataFrame:
     return got.withColumn("sub", F.when(ok, F.when(F.col("strand") == -1, S.revcomp_keep(sub)).otherwise(sub))).drop("__seq")
 
 
+def genetic_code(candidates: DataFrame) -> DataFrame:
+    """(contig, code) of ``candidates`` (contig, code, score), codes 11 and 4: the one with the strictly higher score of the gene model; a tie keeps 11."""
+    return candidates.groupBy("contig").agg(F.max_by("code", F.struct("score", "code")).alias("code"))
+
+
 def cds_regime(contigs: DataFrame) -> DataFrame:
     """(contig, length, regime): trained on the genome itself if its largest contig is long enough, else by metagenomic models."""
     sized = contigs.select("contig", F.length("seq").cast("long").alias("length"))

@@ -60,7 +60,7 @@ def annotate(config: Config, contigs: DataFrame, calls: dict[str, DataFrame], ta
         gaps = I.split_numbered(gaps, "s").withColumn("id", F.concat("contig", F.lit("_gap"), F.col("num").cast("string")))
         features = features.unionByName(shaped(gaps, pseudogene=False))
     qc = H.qc_report(features.select("kind", "product", F.coalesce("pseudogene", F.lit(False)).alias("pseudogene")), tables["markers"])
-    plasmids = H.best_by(tables["plasmid_hits"].where(H.plasmid_gate()), ["contig", "type"], -F.col("bits"), F.col("t")) if "plasmid_hits" in tables else None
+    plasmids = H.plasmid_replicons(tables["plasmid_hits"].withColumnRenamed("contig", "q")).withColumnRenamed("q", "contig") if "plasmid_hits" in tables else None
     species = H.best_overall(tables["species_hits"]) if "species_hits" in tables else None
     lowest = F.coalesce("score", F.lit(-3.4028235e38))
     resolved = I.resolve(features.withColumn("score", lowest), kinds)

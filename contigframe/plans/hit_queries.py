@@ -30,19 +30,19 @@ HITS, ANN = "{hits}", "{annotations}"
 over("psc_gate", HITS, lambda h: h.where(H.psc_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where pident >= 50 and ex >= 6")
 over("vfdb_gate", HITS, lambda h: h.where(H.vf_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where ex >= 10 and qcov >= 0.8 and tcov >= 0.7 and pident >= 90")
 over("plasmid_gate", HITS, lambda h: h.where(H.plasmid_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where pident >= 80 and tcov >= 0.6")
-over("amr_gate", HITS, lambda h: h.where(F.col("pident") >= C.AMR_MIN_IDENTITY).select("q", "t", "ex"), "select q, t, ex from {hits} where pident >= 90")
+over("amr_gate", HITS, lambda h: h.where(H.amr_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where pident >= 90")
 over("ncrna_gate", HITS, lambda h: h.where(F.when(F.col("t") % 4 == 0, F.col("qcov") >= C.RRNA_MIN_COVERAGE).otherwise(F.col("evalue") <= C.NCRNA_MAX_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where (t % 4 = 0 and qcov >= 0.3) or (t % 4 <> 0 and ex >= 4)")
 over("best_hit_per_query", HITS, lambda h: H.best_hits(h.where("pident >= 70 and ex >= 2")).select("q", "t", "bits", "ex"), "select q, t, bits, ex from {hits} where pident >= 70 and ex >= 2 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1")
 over("best_hit_ties", HITS, lambda h: H.best_hits(h.withColumns({"bits": F.floor(F.col("bits") / 50000), "evalue": F.lit(1.0)})).select("q", "t", "ord"), "select q, t, ord from {hits} qualify row_number() over (partition by q order by floor(bits / 50000) desc, ord) = 1")
-over("best_per_contig_type", HITS, lambda h: H.best_by(h.withColumn("type", F.col("t") % 7), ["q", "type"], -F.col("bits"), F.col("t"), F.col("ex")).select("q", "type", "t", "bits"), "select q, t % 7 as type, t, bits from {hits} qualify row_number() over (partition by q, t % 7 order by bits desc, t, ex) = 1")
+over("best_per_contig_type", HITS, lambda h: H.best_by(h.withColumn("type", F.col("t") % 7), ["q", "type"], -F.col("bits"), F.col("ord")).select("q", "type", "t", "bits"), "select q, t % 7 as type, t, bits from {hits} qualify row_number() over (partition by q, t % 7 order by bits desc, ord) = 1")
 over("best_overall", HITS, lambda h: H.best_overall(h).select("q", "t", "bits"), "select q, t, bits from {hits} order by bits desc, ex desc, q, ord limit 1")
 over("primary_target", HITS, lambda h: H.primary_target(h).select("q", "t", "ex"), "select q, t, ex from {hits} qualify row_number() over (partition by q order by ex desc, ord) = 1")
 over("best_annotation", ANN, lambda a: H.best_annotation(a).select("fid", "accession", "ord"), "select fid, accession, ord from {annotations} qualify row_number() over (partition by fid order by score desc, ord desc) = 1")
 over("best_anchor", ANN, lambda a: H.best_by(a.where("source = 'hmm:ncbifams'"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "accession"), "select fid, accession from {annotations} where source = 'hmm:ncbifams' qualify row_number() over (partition by fid order by score desc, ord) = 1")
-over("rank_annotations", ANN, lambda a: a.select("fid", "ord", F.expr("row_number() over (partition by fid order by score desc, ord)").alias("rank")), "select fid, ord, cast(row_number() over (partition by fid order by score desc, ord) as int) as rank from {annotations}")
-over("species_ranks", HITS, lambda h: h.select("q", "t", "ex", F.when(F.col("pident") + 0.5 >= C.SPECIES_IDENTITY, "species").when(F.col("pident") + 0.5 >= C.GENUS_IDENTITY, "genus").otherwise("family").alias("rank")), "select q, t, ex, case when pident + 0.5 >= 98.7 then 'species' when pident + 0.5 >= 94.5 then 'genus' else 'family' end as rank from {hits}")
+over("rank_annotations", ANN, lambda a: H.rank_annotations(a).select("fid", "ord", "rank"), "select fid, ord, cast(row_number() over (partition by fid order by score desc, ord) as int) as rank from {annotations}")
+over("species_ranks", HITS, lambda h: h.select("q", "t", "ex", H.supported_rank(F.col("pident") + 0.5).alias("rank")), "select q, t, ex, case when pident + 0.5 >= 98.7 then 'species' when pident + 0.5 >= 94.5 then 'genus' else 'family' end as rank from {hits}")
 over("relaxase_gate", HITS, lambda h: h.where((F.col("t") % 3 == 0) | (F.col("evalue") <= C.RELAXASE_MAX_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where t % 3 = 0 or ex >= 6")
-over("attc_search", HITS, lambda h: h.where(F.col("evalue") <= C.ATTC_MAX_EVALUE).select("q", "t", "ex"), "select q, t, ex from {hits} where ex >= 3")
+over("attc_search", HITS, lambda h: h.where(H.attc_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where ex >= 3")
 #: Annotations whose accessions are those of hallmark families, and others.
 PHAGE = "(select fid, score, ord, case cast(substr(accession,3,5) as int)%9 when 0 then 'PF03354.2' when 1 then 'PF05136' when 2 then 'PF05065.1' when 3 then 'PF04586' when 4 then 'PF04865.7' when 5 then 'PF00589' when 6 then 'PF00959.3' else accession end accession from {annotations})"
 _PHAGE_CLASS = "case split_part(accession, '.', 1) when 'PF03354' then 'terminase' when 'PF05136' then 'portal' when 'PF05065' then 'capsid' when 'PF04586' then 'protease' when 'PF04865' then 'tail' when 'PF00589' then 'integrase' when 'PF00959' then 'lysis' end"
@@ -54,9 +54,8 @@ over("min_opt", HITS, lambda h: h.groupBy("t").agg(F.min(F.when(F.col("ex") % 4
 @query("attach_hits", R.duck("select o.o_orderkey as fid, count(a.fid) as n, string_agg(a.accession, ',' order by a.ord) as accessions from orders o left join {annotations} a on a.fid = o.o_orderkey group by 1"))
 def attach_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     cds = R.select(spark, sf_dir, "select o_orderkey fid from orders")
-    nested = R.relation(spark, sf_dir, "annotations").groupBy("fid").agg(F.array_sort(F.collect_list(F.struct("ord", "accession"))).alias("a"))
-    joined = cds.join(nested, "fid", "left")
-    return joined.select("fid", F.coalesce(F.size("a"), F.lit(0)).cast("long").alias("n"), F.when(F.col("a").isNotNull(), F.array_join(F.col("a.accession"), ",")).alias("accessions"))
+    joined = H.attach_hits(cds, R.relation(spark, sf_dir, "annotations").select("fid", "ord", "accession"))
+    return joined.select("fid", F.size("annotations").cast("long").alias("n"), F.nullif(F.array_join(F.col("annotations.accession"), ","), F.lit("")).alias("accessions"))
 
 
 _XREF = "select 'PF'||lpad(cast(p_partkey%500 as varchar(10)),5,'0')||case when p_partkey%3=0 then '.'||cast(p_partkey%7+1 as varchar(3)) else '' end acc, case when min(p_size)%5=0 then null else min(p_name) end product, case when min(p_size)%3=0 then ' ' else min(p_brand) end gene from part group by 1"
@@ -120,8 +119,8 @@ def vf_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("amr_catalog_join", R.duck("select q, t, p_size as pos from {hits} join {proteins} on pid = t where pident >= 90"))
 def amr_catalog_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = R.relation(spark, sf_dir, "hits").where(F.col("pident") >= C.AMR_MIN_IDENTITY)
-    return hits.join(R.relation(spark, sf_dir, "proteins").withColumnRenamed("pid", "t"), "t").select("q", "t", F.col("p_size").alias("pos"))
+    catalog = R.relation(spark, sf_dir, "proteins").select(F.col("pid").alias("t"), F.col("p_size").alias("pos"))
+    return H.amr_sites(R.relation(spark, sf_dir, "hits"), catalog).select("q", "t", "pos")
 
 
 _RFAM = "(select distinct 'PF'||lpad(cast(p_partkey%500 as varchar(10)),5,'0') acc, case p_partkey%500%6 when 0 then 'Gene; rRNA;' when 1 then 'Gene; tRNA;' when 2 then 'Cis-reg; riboswitch;' when 3 then 'Cis-reg; leader;' when 4 then 'Cis-reg;' else 'Gene; sRNA;' end rfam_type, case p_partkey%500%6 when 0 then 'rRNA' when 1 then ' tRNA' when 2 then 'regulatory_region' when 3 then 'regulatory_region ' when 4 then 'regulatory_region' else 'ncRNA' end so_type from part where p_partkey%500 < 400)"
@@ -210,8 +209,7 @@ def inti_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("psc_unresolved_anti", R.duck("select distinct q from {hits} where q not in (select fid from {annotations} where score > 50000)"))
 def psc_unresolved_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    strong = R.relation(spark, sf_dir, "annotations").where("score > 50000").select(F.col("fid").alias("q")).distinct()
-    return R.relation(spark, sf_dir, "hits").select("q").distinct().join(strong, "q", "left_anti")
+    return H.unresolved(R.relation(spark, sf_dir, "hits"), R.relation(spark, sf_dir, "annotations").where("score > 50000").select(F.col("fid").alias("q")))
 
 
 @query("union_hits", R.duck("select q, t from {hits} where ex >= 10 or bits > 30000 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1"))
@@ -275,25 +273,42 @@ def reflen_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.reflen_truncation(rows)
 
 
-over("intergenic_pseudogenes", HITS, lambda h: H.best_by(h.where((F.col("evalue") <= C.PSEUDO_MAX_EVALUE) & (F.col("tlen") >= C.PSEUDO_MIN_TLEN) & (F.col("tcov") >= C.INTERGENIC_TCOV)), ["q"], F.col("evalue"), -F.col("bits"), F.col("t")).select("q", "t", F.lit(True).alias("pseudogene")), "select q, t, true as pseudogene from {hits} where ex >= 10 and tlen >= 60 and tcov >= 0.4 qualify row_number() over (partition by q order by ex desc, bits desc, t) = 1")
-over("sorf_psc_gate", HITS, lambda h: h.where((F.col("qcov") >= C.SORF_QCOV) & (F.col("tcov") >= C.SORF_TCOV) & (F.col("evalue") <= C.SORF_PSC_EVALUE)).select("q", "t", "ex"), "select q, t, ex from {hits} where qcov >= 0.8 and tcov >= 0.7 and ex >= 6")
+_REGIONS = f"(select f.*, 'ctg_'||cast(q % 50 as varchar(5)) contig, q * 10 + 1 region_s from {_FRAMES} f)"
+
+
+@query("intergenic_pseudogenes", f"""with b as (select * from {_REGIONS} r where evalue <= 1e-10 and tlen >= 60 and (te - ts + 1) / tlen >= 0.4 qualify row_number() over (partition by q order by evalue, ord) = 1)
+select contig, 'igpseudo_'||contig||'_'||cast(region_s + least(qs, qe) - 1 as varchar) as id, 'Cds' as kind, region_s + least(qs, qe) - 1 as s, region_s + greatest(qs, qe) - 1 as e, case when qe >= qs then 1 else -1 end as strand, true as pseudogene,
+'intergenic homology to family '||t||' ('||cast(round_even((te - ts + 1) / tlen * 100, 0) as int)||'% of reference, translated) — degraded/uncalled gene' as note from b""")
+def intergenic_pseudogenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = H.intergenic_pseudogenes(R.select(spark, sf_dir, f"select * from {_REGIONS} r"))
+    return found.select("contig", "id", "kind", "s", "e", "strand", "pseudogene", F.array_join("notes", "|").alias("note"))
+
+
+over("sorf_psc_gate", HITS, lambda h: h.where(H.sorf_gate()).select("q", "t", "ex"), "select q, t, ex from {hits} where qcov >= 0.8 and tcov >= 0.7 and ex >= 6")
 
 
 @query("sorf_detect", R.duck("""with hmm as (select q, t, 'hmm' as by from {hits} where ex >= 10 qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1),
 psc as (select q, t, 'psc' as by from {hits} join {proteins} on pid = t where q not in (select q from hmm) and qcov >= 0.8 and tcov >= 0.7 and ex >= 6 and product is not null and not regexp_matches(lower(product), 'hypothetical|uncharacter|domain-containing|duf[0-9]') qualify row_number() over (partition by q order by bits desc, ex desc, ord) = 1)
 select * from hmm union all select * from psc"""))
 def sorf_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile hits first; what has none goes to the protein gate with an informative product."""
     h = R.relation(spark, sf_dir, "hits")
-    hmm = H.best_hits(h.where("ex >= 10")).select("q", "t", F.lit("hmm").alias("by"))
-    gate = (F.col("qcov") >= C.SORF_QCOV) & (F.col("tcov") >= C.SORF_TCOV) & (F.col("evalue") <= C.SORF_PSC_EVALUE) & T.informative_product("product")
-    rest = h.join(hmm.select("q"), "q", "left_anti").join(R.relation(spark, sf_dir, "proteins").select(F.col("pid").alias("t"), "product"), "t").where(gate)
-    return hmm.unionByName(H.best_hits(rest).select("q", "t", F.lit("psc").alias("by")))
+    return H.sorf_support(h.where("ex >= 10"), h, R.relation(spark, sf_dir, "proteins").select(F.col("pid").alias("t"), "product"))
+
+
+_NEURAL = "(select cast(o_orderkey as bigint) id, case when o_custkey%5=0 then 'Trna' else 'Cds' end kind, case when o_custkey%6=0 then null else 'MK' end aa, o_custkey%7=0 partial5, case cast(o_orderkey%5 as int) when 0 then 'sec' when 1 then 'tat' when 2 then 'lipoprotein' when 3 then 'none' end signal, cast(o_orderkey%4 as int) helices, cast(o_orderkey%101 as double)/100 p, 'site '||cast(o_orderkey%3 as varchar(3)) label from orders where o_custkey%11<>0)"
+_SURE = "format('(p={:.2f})', p)"
 
 
-@query("neural_gates", R.duck("select q, t, ex, qcov >= 0.7 as localised, tcov < 0.1 as doubtful, t % 5 <> 0 as signal from {hits}"))
+@query("neural_gates", f"""with n as (select *, kind = 'Cds' and aa is not null as ok, kind = 'Cds' and aa is not null and not partial5 and signal in ('sec', 'tat', 'lipoprotein') as sp from {_NEURAL} x)
+select id, case when sp then signal end as signal, case when ok and p >= 0.7 then label end as localization, case when ok then p end as gene_score, concat_ws('|',
+case when ok and helices > 0 then 'predicted transmembrane protein ('||helices||case when helices = 1 then ' TM helix)' else ' TM helices)' end end, case when sp then 'predicted '||signal||' signal peptide '||{_SURE} end,
+case when ok and p >= 0.7 then 'predicted subcellular localization: '||label||' '||{_SURE} end, case when ok and p < 0.1 then 'low gene-model score, possible spurious ORF '||{_SURE} end) as notes from n""")
 def neural_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.relation(spark, sf_dir, "hits").select("q", "t", "ex", (F.col("qcov") >= C.LOCALIZATION_MIN).alias("localised"), (F.col("tcov") < C.GENE_SCORE_NOTE).alias("doubtful"), (F.col("t") % 5 != 0).alias("signal"))
+    """Predictions are a table; a feature without one stays as it is."""
+    rows = R.select(spark, sf_dir, f"select * from {_NEURAL} x")
+    landed = L.land_signal_peptides(L.functional(rows.select("id", "kind", "aa", "partial5")), rows.select("id", "signal", "p", "helices"))
+    landed = L.land_gene_score(L.land_localization(landed, rows.select("id", "label", "p")), rows.select("id", "p"))
+    return landed.select("id", "signal", "localization", "gene_score", F.array_join("notes", "|").alias("notes"))
 
 
 @query("qc_report", f"""
@@ -334,7 +349,7 @@ def species_identify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.identify_species(known, lineages)
 
 
-over("plasmid_detect", HITS, lambda h: H.best_by(h.where(H.plasmid_gate()).withColumn("type", F.concat(F.lit("Inc"), (F.col("t") % 5).cast("string"))), ["q", "type"], -F.col("bits"), F.col("t"), F.col("ex")).select("q", "type", "t").orderBy("q", "type"), "select q, 'Inc'||cast(t % 5 as varchar) as type, t from {hits} where pident >= 80 and tcov >= 0.6 qualify row_number() over (partition by q, t % 5 order by bits desc, t, ex) = 1")
+over("plasmid_detect", HITS, lambda h: H.plasmid_replicons(h.withColumn("type", F.concat(F.lit("Inc"), (F.col("t") % 5).cast("string")))).select("q", "type", "t").orderBy("q", "type"), "select q, 'Inc'||cast(t % 5 as varchar) as type, t from {hits} where pident >= 80 and tcov >= 0.6 qualify row_number() over (partition by q, t % 5 order by bits desc, ord) = 1")
 over("is_16s", cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc"), lambda d: d.select("label", L.is_16s("kind", "label", "acc").alias("is16s")),
      "select label, kind = 'Rrna' and (contains(lower(label), '16s') or contains(lower(label), 'ssu') or split_part(acc, '.', 1) in ('RF00177', 'RF01959', 'RF01960', 'RF02542')) as is16s from " + cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc") + " x")
 

@@ -153,14 +153,12 @@ def crispr_renumber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("adjacent_pairs", R.duck("select id, lead(id) over w as next_id, lead(s) over w - e - 1 as gap from {features} where kind = 'Cds' window w as (partition by contig, strand order by s, e, id)"))
 def adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("contig", "strand").orderBy("s", "e", "id")
-    return features(spark, sf_dir).where("kind = 'Cds'").select("id", F.lead("id").over(w).alias("next_id"), (F.lead("s").over(w) - F.col("e") - 1).alias("gap"))
+    return I.adjacent_pairs(features(spark, sf_dir).where("kind = 'Cds'")).select("id", "next_id", "gap")
 
 
 @query("running_cursor", R.duck("select id, greatest(coalesce(max(e) over (partition by contig order by s, e, id rows between unbounded preceding and 1 preceding) + 1, 1), 1) as cursor from {features}"))
 def running_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("contig").orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, -1)
-    return features(spark, sf_dir).select("id", F.greatest(F.coalesce(F.max("e").over(w) + 1, F.lit(1)), F.lit(1)).alias("cursor"))
+    return I.running_cursor(features(spark, sf_dir)).select("id", "cursor")
 
 
 @query("contig_edge", R.duck("select id, s <= 3 or e >= max(e) over (partition by contig) - 3 as edge from {features}"))

@@ -96,11 +96,11 @@ def cds_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("genetic_code_pick", R.duck("select contig, case when length(replace(seq, 'TGA', '')) < length(replace(seq, 'TAG', '')) then 4 else 11 end as code from {contigs}"))
 def genetic_code_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates 11 and 4 with a score each; the strictly higher one wins, so a tie keeps 11."""
+    """The score is the model's; here, fewer stop codons are better."""
     each = R.relation(spark, sf_dir, "contigs")
     score = lambda stop: -F.length(F.replace(F.col("seq"), F.lit(stop), F.lit("")))
     candidates = each.select("contig", F.explode(F.array(F.struct(F.lit(11).alias("code"), score("TAG").alias("score")), F.struct(F.lit(4).alias("code"), score("TGA").alias("score")))).alias("c")).select("contig", "c.*")
-    return candidates.groupBy("contig").agg(F.max_by("code", F.struct("score", "code")).alias("code"))
+    return scans.genetic_code(candidates)
 
 
 _ALN = cases((1, 10, "ACD-FG", "ACDEFG"), (2, 1, "AC--FG", "A-DEFG"), (3, 5, "MKV", "MKV"), (4, 3, "A---E", "ACDFE"), cols="hit, tstart, qaln, taln")

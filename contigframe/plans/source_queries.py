@@ -64,7 +64,7 @@ over("scan_ko_list", f"(select p_partkey line_no, {tabbed(chr(39) + 'K' + chr(39
 _BRITE = "(select 'f'||cast(p_size%5 as varchar(2)) as file, p_partkey line_no, case when p_partkey%13=0 then 'C    00010 x [PATH:ko'||lpad(cast(p_partkey%90 as varchar(5)),5,'0')||']' when p_partkey%17=0 then 'C    99 y [BR:ko1]' when p_partkey%7=0 then 'B  z' else 'D      K'||lpad(cast(p_partkey%400 as varchar(5)),5,'0')||'  gene' end line from part)"
 over("scan_brite", _BRITE, P.brite, f"""with t as (select file, line_no, line, case when line_no%13=0 or line_no%17=0 then line_no end as c from {_BRITE} b), l as (select *, last_value(c ignore nulls) over (partition by file order by line_no rows unbounded preceding) as head from t)
 select distinct substr(line, 8, 6) as ko, 'ko'||lpad(cast(head%90 as varchar),5,'0') as pathway from l where starts_with(line, 'D') and head%13=0""")
-over("carry_forward", _BRITE, lambda d: d.select("file", "line_no", F.expr("last_value(case when line_no%13=0 then line_no end) ignore nulls over (partition by file order by line_no)").alias("head")), f"select file, line_no, last_value(case when line_no%13=0 then line_no end ignore nulls) over (partition by file order by line_no) as head from {_BRITE} b")
+over("carry_forward", _BRITE, lambda d: P.carry_forward(d, F.when(F.col("line").startswith("C ") & F.col("line").contains("[PATH"), F.col("line_no")), "head").select("file", "line_no", "head"), f"select file, line_no, (select max(h.p_partkey) from part h where h.p_partkey % 13 = 0 and h.p_partkey <= b.line_no and 'f'||cast(h.p_size % 5 as varchar) = b.file) as head from {_BRITE} b")
 over("scan_ko_cog", f"(select p_partkey line_no, {tabbed('p_partkey', 'upper(substr(p_brand,1,3)||substr(p_type,1,4))')} line from part)", lambda d: P.ko_cog(d).select("ko", F.col("mask").cast("long").alias("mask")), f"select * from (select cast(p_partkey as varchar) as ko, cast({_MASK} as bigint) as mask from (select p_partkey, upper(substr(p_brand,1,3)||substr(p_type,1,4)) as a from part)) where mask <> 0")
 over("scan_rfam_type", f"(select p_partkey line_no, {tabbed('p_partkey', 'p_type', 'case p_size%4 when 0 then ' + chr(39) + 'rRNA' + chr(39) + ' when 1 then ' + chr(39) + 'regulatory_region' + chr(39) + ' when 2 then ' + chr(39) + 'tRNA' + chr(39) + ' else ' + chr(39) + 'snoRNA' + chr(39) + ' end')} line from part)", P.rfam_types, "select cast(p_partkey as varchar) as acc, p_type as rfam_type, case p_size%4 when 0 then 'rRNA' when 1 then 'regulatory_region' else 'tRNA' end as so_type from part where p_size%4 <> 3")
 over("scan_names", f"(select p_partkey line_no, {tabbed('p_partkey', 'p_name', 'p_type')} line from part)", P.names_table, "select cast(p_partkey as varchar) as id, p_name||chr(9)||p_type as product from part")

@@ -227,3 +227,9 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
 def discover_models(files: DataFrame) -> DataFrame:
     """(path, has_ga) of profile files (path, content), by path: whether the model brings its own gathering threshold."""
     return files.where(F.col("path").endswith(".hmm")).select("path", F.col("content").rlike(r"(?m)^GA ").alias("has_ga")).orderBy("path")
+
+
+def carry_forward(lines: DataFrame, head: Column, name: str) -> DataFrame:
+    """``lines`` (file, line_no, ...) with the latest value of ``head`` up to each line of its file as ``name``; null before the first one."""
+    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return lines.withColumn(name, F.last(head, ignorenulls=True).over(w))
