@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from contigframe.llm import exact_dedup, jaccard_join, language_id, licenses, media, mixing, packing, pii, token_store, toxicity, vector_codes
+from contigframe.llm import exact_dedup, jaccard_join, language_id, licenses, media, mixing, packing, pii, source_divergence, token_store, toxicity, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,10 +22,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_media": media.op8_media,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix": mixing.op10_mix,
+        "op11_source_divergence": source_divergence.op11_source_divergence,
         "op12_vector_codes": vector_codes.op12_vector_codes,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op12_vector_codes": vector_codes.ORACLE} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op11_source_divergence": source_divergence.ORACLE, "op12_vector_codes": vector_codes.ORACLE} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
