@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from contigframe.llm import exact_dedup, jaccard_join, language_id, licenses, media, mixing, packing, pii, source_divergence, token_store, toxicity, vector_codes
+from contigframe.llm import exact_dedup, html_extract, jaccard_join, language_id, licenses, media, mixing, packing, pii, source_divergence, token_store, toxicity, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mix": mixing.op10_mix,
         "op11_source_divergence": source_divergence.op11_source_divergence,
         "op12_vector_codes": vector_codes.op12_vector_codes,
+        "op13_main_text": html_extract.op13_main_text,
         "pipeline": corpus_pipeline.run,
     }
 
