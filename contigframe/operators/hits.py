@@ -10,6 +10,8 @@ from contigframe import constants as C
 from contigframe.functions import sequence as S
 from contigframe.functions import text as T
 from contigframe.operators import intervals as I
+from contigframe.operators import sequences as Q
+from contigframe.operators import tables
 
 
 def best_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -233,17 +235,32 @@ def qc_report(products: DataFrame, markers: DataFrame) -> DataFrame:
     )
 
 
-def tree_closure(nodes: DataFrame, roots: DataFrame, rounds: int = 64) -> DataFrame:
-    """(id) of all descendants of ``roots`` (id) in ``nodes`` (child, parent), by semi joins level by level; the driver sees only whether
-    a level is empty. Cycles end, as known ids are not taken again."""
-    known, level = roots.select("id").distinct(), roots.select("id").distinct()
-    for _ in range(rounds):
-        level = nodes.where("child <> parent").join(level.withColumnRenamed("id", "parent"), "parent", "left_semi").select(F.col("child").alias("id")).distinct().join(known, "id", "left_anti")
-        level = level.checkpoint() if level.sparkSession.conf.get("spark.checkpoint.dir", None) else level.cache()
-        if level.limit(1).count() == 0:
-            return known
-        known = known.unionByName(level)
-    raise RuntimeError("the tree is deeper than expected")
+def tree_closure(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id) of ``roots`` (id) and all their descendants in ``nodes`` (child, parent), by pointer doubling.
+
+    Each node points up and knows whether a root lies on the way there; each round it takes over its target's pointer, so a chain of n nodes takes
+    about log2 n rounds. Many nodes come to point to few, which a salted join evens out. Where a node has several parents, the
+    pointers are its own edges, each followed alike. Cycles end, as no way is longer than the count of edges.
+    """
+    edges = nodes.where("child <> parent").select(F.col("child").alias("id"), F.col("parent").alias("up")).distinct()
+    with tables.Rounds(nodes.sparkSession, "closure") as tmp:
+        known = roots.select("id").distinct()
+        count = (edges := tmp.written(edges)).count()
+        first = tmp.written(edges.join(known.withColumn("hit", F.lit(True)).withColumnRenamed("id", "up"), "up", "left").select("id", "up", F.coalesce("hit", F.lit(False)).alias("hit")))
+        found, open_, jumps = first.where("hit").select("id"), first.where("not hit").select("id", "up"), first
+        for _ in range(tables.doublings(count)):
+            ahead = jumps.select(F.col("id").alias("up"), F.col("up").alias("further"), "hit")
+            moved = tmp.written(tables.salted_join(open_, ahead, ["up"]).groupBy("id", "further").agg(F.max("hit").alias("hit")))
+            if not moved.limit(1).count():
+                break
+            got = tmp.written(moved.where("hit").select("id").distinct())
+            found = found.unionByName(got)
+            jumps = moved.select("id", F.col("further").alias("up"), "hit")
+            open_ = jumps.where("not hit").select("id", "up").join(got, "id", "left_anti")
+            # a node on whose way a root was found answers for whoever points to it
+            settled = found.select("id", F.col("id").alias("up"), F.lit(True).alias("hit")).distinct()
+            jumps = tmp.written(jumps.join(settled.select("id"), "id", "left_anti").unionByName(settled))
+        return tables.written(known.unionByName(found).distinct(), "closure")
 
 
 def merged_ids(accepted: DataFrame, merged: DataFrame) -> DataFrame:
@@ -286,9 +303,9 @@ def uncovered_downstream_orf(cds: DataFrame, covering: DataFrame, contigs: DataF
     same = F.col("a_strand") == F.col("b_strand")
     free = F.when(F.col("a_strand") >= 0, F.greatest("b_s", "a_s") - F.col("a_s")).otherwise(F.col("a_e") - F.least("b_e", "a_e"))
     room = I.overlap_join(ahead, covering.select("contig", "id", "s", "e", "strand"), same).groupBy(F.col("a_id").alias("id")).agg(F.min(free).alias("free"))
-    rows = ahead.join(room, "id", "left").join(contigs.select("contig", "seq"), "contig")
-    low = F.greatest(F.col("s"), F.lit(1))
-    piece = F.substring(F.upper("seq"), low, F.greatest(F.col("e") - low + 1, F.lit(0)))
+    known = ahead.join(contigs.select("contig").distinct(), "contig", "left_semi")
+    rows = Q.slices(known.join(room, "id", "left"), Q.sequence_chunks(contigs), "piece")  # never longer than a chunk's halo
+    piece = F.coalesce(F.upper("piece"), F.lit(""))
     reading = F.when(fwd, piece).otherwise(S.revcomp_n(piece))
     cut = F.substring(reading, F.lit(1), F.least(F.coalesce("free", F.lit(cap)), F.lit(cap)).cast("int"))
     words = F.transform(S.codons(cut), lambda c: c.isin(*C.STOPS) | c.contains("N"))

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contigframe import constants as C
+from contigframe.operators import tables
 
 BIN = 10_000
+#: Positions of a block in running values along a contig.
+BLOCK = 100_000
 
 
 def overlap(a_s: Column, a_e: Column, b_s: Column, b_e: Column) -> Column:
@@ -51,12 +50,36 @@ def conflict(fraction: float = C.OVERLAP_FRACTION) -> Column:
     return pair_overlap() >= fraction * shorter
 
 
+def running(rows: DataFrame, keys: list[str], position: str, order: list[str], value: Column, how: str, name: str, before: bool = False, block: int = BLOCK) -> DataFrame:
+    """``rows`` with the running ``how`` ("max", "sum" or "last", which skips nulls) of ``value`` along ``order``, which begins with ``position``, as ``name``; with
+    ``before``, of the rows before.
+
+    In two levels, so that one long group isn't one task: within blocks of positions, then over a row for each block, whose result the
+    next block's rows take up.
+    """
+    fold = {"max": F.max, "sum": F.sum, "last": lambda c: F.last(c, ignorenulls=True)}[how]
+    both = {"max": F.greatest, "sum": lambda a, b: F.when(a.isNotNull() | b.isNotNull(), F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))), "last": lambda a, b: F.coalesce(b, a)}[how]
+    at = F.floor(F.col(position) / block).cast("long")
+    own = rows.withColumns({"__block": at, "__value": value})
+    inner = Window.partitionBy(*keys, "__block").orderBy(*order)
+    placed = own.withColumn("__own", fold("__value").over(inner.rowsBetween(Window.unboundedPreceding, -1 if before else 0)))
+    total = F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(*order))) if how == "last" else fold("__value")
+    blocks = own.groupBy(*keys, "__block").agg(total.alias("__total"))
+    carried = blocks.withColumn("__carry", fold("__total").over(Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))).drop("__total")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "__block")]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    joined = placed.alias("r").join(carried.alias("c"), condition)
+    return joined.select(*[F.col(f"r.{c}").alias(c) for c in rows.columns], both(F.col("c.__carry"), F.col("r.__own")).alias(name))
+
+
 def sessions(rows: DataFrame, gap: int, *extra: str, order: str = "s") -> DataFrame:
     """``rows`` (contig, s, e, ...) with ``run``: a new run begins where a start lies more than ``gap`` beyond all ends before."""
     keys = ["contig", *extra]
-    before = Window.partitionBy(*keys).orderBy(order, "e").rowsBetween(Window.unboundedPreceding, -1)
-    marked = rows.withColumn("__hi", F.max("e").over(before)).withColumn("__new", F.when(F.col("__hi").isNull() | (F.col("s") - F.col("__hi") > gap), 1).otherwise(0))
-    return marked.withColumn("run", F.sum("__new").over(Window.partitionBy(*keys).orderBy(order, "e").rowsBetween(Window.unboundedPreceding, 0))).drop("__hi", "__new")
+    marked = running(rows, keys, order, [order, "e"], F.col("e"), "max", "__hi", before=True)
+    marked = marked.withColumn("__new", F.when(F.col("__hi").isNull() | (F.col("s") - F.col("__hi") > gap), 1).otherwise(0))
+    return running(marked, keys, order, [order, "e"], F.col("__new"), "sum", "run").drop("__hi", "__new")
 
 
 def region_agg(runs: DataFrame, *extra: str) -> DataFrame:
@@ -74,10 +97,9 @@ def prophage_regions(genes: DataFrame, core: tuple, gap: int = C.PROPHAGE_GAP, l
 def intergenic_regions(features: DataFrame, contigs: DataFrame, least: int = C.INTERGENIC_MIN) -> DataFrame:
     """(contig, s, e): gaps of at least ``least`` between all features of a contig (contig, length), before the first and after the last too."""
     marks = features.select("contig", "s", "e").unionByName(contigs.select("contig", (F.col("length") + 1).alias("s"), (F.col("length") + 1).alias("e")))
-    before = Window.partitionBy("contig").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-    cursor = F.greatest(F.coalesce(F.max("e").over(before) + 1, F.lit(1)), F.lit(1))
-    known = marks.join(contigs.select("contig", "length"), "contig")
-    return known.withColumn("from", cursor).where((F.col("s") <= F.col("length") + 1) & (F.col("s") - F.col("from") >= least)).select("contig", F.col("from").alias("s"), (F.col("s") - 1).alias("e"))
+    known = running(marks, ["contig"], "s", ["s", "e"], F.col("e"), "max", "__hi", before=True).join(contigs.select("contig", "length"), "contig")
+    known = known.withColumn("from", F.greatest(F.coalesce(F.col("__hi") + 1, F.lit(1)), F.lit(1)))
+    return known.where((F.col("s") <= F.col("length") + 1) & (F.col("s") - F.col("from") >= least)).select("contig", F.col("from").alias("s"), (F.col("s") - 1).alias("e"))
 
 
 def integrase_attc(integrases: DataFrame, sites: DataFrame, window: int = C.ATTC_WINDOW) -> DataFrame:
@@ -103,57 +125,48 @@ def integrons(integrases: DataFrame, sites: DataFrame, window: int = C.ATTC_WIND
 
 
 def greedy_keep(rows: DataFrame, order: list[Column], fraction: float | None = C.OVERLAP_FRACTION) -> DataFrame:
-    """The rows (contig, id, s, e, ...) that stay when, in ``order``, each one that conflicts with a kept one goes.
+    """The rows (contig, id, s, e, ...; ``id`` is unique) that stay when, in ``order`` (ascending, then by id), each one that conflicts with a kept one goes.
 
-    Only rows of one cluster of overlapping intervals can touch, so clusters, not contigs, are the units of work; a
-    genome on a single contig is many of them. ``fraction`` None: any overlap is a conflict.
+    Conflicts are pairs from a binned join, each from the earlier row to the later one. In each round all rows that no earlier undecided one
+    conflicts with stay, and those that they conflict with go, with their pairs; so places far apart are decided together, and
+    rounds are as many as the longest chain of decisions that depend on each other. The driver sees only whether pairs are left.
+    ``fraction`` None: any overlap is a conflict.
     """
-    runs = sessions(rows, 0)
-    members = Window.partitionBy("contig", "run")
-    ranked = runs.withColumn("rank", F.row_number().over(members.orderBy(*order))).withColumn("members", F.count("*").over(members))
-    alone = ranked.where("members = 1").select(*rows.columns)
-    crowded = ranked.where("members > 1").repartition("contig", "run").sortWithinPartitions("contig", "run", "rank")
-    return alone.unionByName(crowded.mapInPandas(lambda batches: _sweep(batches, fraction), crowded.schema).select(*rows.columns))
-
-
-def _sweep(batches: Iterator[pd.DataFrame], fraction: float | None) -> Iterator[pd.DataFrame]:
-    """Clusters come one after the other, each in its order; the kept intervals of the current one are held."""
-    now, n = None, 0
-    ks, ke = np.zeros(64, np.int64), np.zeros(64, np.int64)
-    for pdf in batches:
-        keep = np.zeros(len(pdf), bool)
-        for i, (contig, run, s, e) in enumerate(zip(pdf["contig"], pdf["run"], pdf["s"], pdf["e"], strict=True)):
-            if (contig, run) != now:
-                now, n = (contig, run), 0
-            shared = np.minimum(ke[:n], e) - np.maximum(ks[:n], s) + 1
-            hit = shared > 0
-            if fraction is not None:
-                hit &= shared >= fraction * (np.minimum(ke[:n] - ks[:n], e - s) + 1)
-            if not hit.any():
-                keep[i] = True
-                if n == len(ks):
-                    ks, ke = np.concatenate([ks, ks]), np.concatenate([ke, ke])
-                ks[n], ke[n] = s, e
-                n += 1
-        yield pdf[keep]
+    with tables.Rounds(rows.sparkSession, "conflicts") as tmp:
+        ranked = rows.select("contig", "id", "s", "e", F.struct(*[o.alias(f"o{k}") for k, o in enumerate(order)], F.col("id").alias("last")).alias("rank"))
+        rule = F.col("a_rank") < F.col("b_rank")
+        pairs = overlap_join(ranked, ranked, rule if fraction is None else rule & conflict(fraction))
+        pairs = tmp.written(pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
+        gone = None
+        while pairs.limit(1).count():
+            first = pairs.select("a").distinct().join(pairs.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+            lost = tmp.written(pairs.join(first, "a", "left_semi").select("b").distinct())
+            gone = lost if gone is None else gone.unionByName(lost)
+            pairs = tmp.written(pairs.join(lost, "b", "left_anti").join(lost.withColumnRenamed("b", "a"), "a", "left_anti").select("a", "b"))
+        return tables.written(rows if gone is None else rows.join(gone.withColumnRenamed("b", "id"), "id", "left_anti").select(*rows.columns), "kept")
 
 
 def resolve(features: DataFrame, kinds: DataFrame) -> DataFrame:
     """``features`` (contig, id, kind, s, e, score) without those that lose a conflict, with kinds as in ``kinds``.
 
-    Kinds that take no part pass. RNAs: in order of priority, score and id, one that conflicts with a kept RNA goes. CDS: one that
-    conflicts with a kept RNA goes; CDS never conflict with each other.
+    Kinds that take no part pass. RNAs: in order of priority, score and appearance (``ord``, else id), one that conflicts with a kept RNA goes.
+    CDS: one that conflicts with a kept RNA goes; CDS never conflict with each other.
     """
     known = features.join(F.broadcast(kinds.select("kind", "priority", "resolvable")), "kind")  # the vocabulary has 14 rows
     rna = known.where("resolvable and kind <> 'Cds'")
     rest = known.where("not resolvable")
-    kept = greedy_keep(rna, [F.col("priority").desc(), F.col("score").desc(), F.col("id")])
+    kept = greedy_keep(rna, [-F.col("priority"), -F.col("score"), _appearance(features)])
     cds = overlap_join(known.where("kind = 'Cds'"), kept, conflict(), how="left_anti")
     return kept.unionByName(cds.select(*kept.columns)).unionByName(rest.select(*kept.columns)).select(*features.columns)
 
 
+def _appearance(rows: DataFrame) -> Column:
+    return F.col("ord" if "ord" in rows.columns else "id")
+
+
 def final_sort(features: DataFrame) -> DataFrame:
-    return features.orderBy("contig", "s", "e", "id")
+    """By contig and place; features of one place as they appeared."""
+    return features.orderBy("contig", "s", "e", _appearance(features))
 
 
 def split_numbered(rows: DataFrame, *order: str) -> DataFrame:
@@ -187,13 +200,13 @@ def colocated(sites: DataFrame, relaxases: DataFrame, window: int = C.ORIT_WINDO
 
 def gate_orit(hits: DataFrame) -> DataFrame:
     """Hits (evalue, pident, tcov, alnlen, near, bits, ...) that pass the base bar near a relaxase or the stricter one alone; of
-    overlapping ones the higher bits stay."""
+    overlapping ones the higher bits stay, of equal ones the first."""
 
     def bar(g: dict) -> Column:
         return (F.col("evalue") <= g["evalue"]) & (F.col("pident") >= g["pident"]) & (F.col("tcov") >= g["tcov"]) & (F.col("alnlen") >= g["alnlen"])
 
     passing = hits.where(bar(C.ORIT_BASE) & (F.col("near") | bar(C.ORIT_ALONE)))
-    return greedy_keep(passing, [F.col("bits").desc(), F.col("s"), F.col("id")], fraction=None)
+    return greedy_keep(passing, [-F.col("bits"), _appearance(hits)], fraction=None)
 
 
 def adjacent_pairs(features: DataFrame) -> DataFrame:
@@ -204,5 +217,5 @@ def adjacent_pairs(features: DataFrame) -> DataFrame:
 
 def running_cursor(features: DataFrame) -> DataFrame:
     """With ``cursor``: the first position of the contig that no earlier feature reaches."""
-    w = Window.partitionBy("contig").orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, -1)
-    return features.withColumn("cursor", F.greatest(F.coalesce(F.max("e").over(w) + 1, F.lit(1)), F.lit(1)))
+    got = running(features, ["contig"], "s", ["s", "e", "id"], F.col("e"), "max", "__hi", before=True)
+    return got.withColumn("cursor", F.greatest(F.coalesce(F.col("__hi") + 1, F.lit(1)), F.lit(1))).drop("__hi")

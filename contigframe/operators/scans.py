@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contigframe import constants as C
 from contigframe.functions import sequence as S
+from contigframe.operators import sequences as Q
 
 
 def chunk_contigs(contigs: DataFrame, size: int = 1_000_000, overlap: int = 0) -> DataFrame:
@@ -34,25 +39,64 @@ def assembly_gaps(contigs: DataFrame, size: int = 1_000_000) -> DataFrame:
     return inside.unionByName(joined.groupBy("contig", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("contig", "start", "end"))
 
 
-def short_orfs(contigs: DataFrame, min_aa: int = C.SORF_MIN_AA, max_aa: int = C.SORF_MAX_AA, strands: tuple[int, ...] = (1, -1)) -> DataFrame:
+def short_orfs(contigs: DataFrame, min_aa: int = C.SORF_MIN_AA, max_aa: int = C.SORF_MAX_AA, strands: tuple[int, ...] = (1, -1), size: int = 1_000_000) -> DataFrame:
     """(contig, strand, start, end, aa_len) of short open reading frames in all frames: for each stop, the first start after the stop
     before it with ``min_aa <= length < max_aa``, counted without the stop.
 
-    Codons are cut in one pass for each frame; only starts and stops leave the row, and each start looks at the next stop of its frame.
+    A frame is shorter than ``max_aa`` codons, so contigs are scanned in chunks with a halo of that length on both sides, both strands in one pass; a frame
+    belongs to the chunk that has the lowest base of its stop. Codons are compared as whole arrays of numbers.
     """
-    both = None
-    for strand in strands:
-        one = contigs.select("contig", F.length("seq").alias("len"), F.lit(strand).alias("strand"), (F.upper("seq") if strand == 1 else S.revcomp_n("seq")).alias("seq"))
-        both = one if both is None else both.unionByName(one)
-    frames = both.withColumn("frame", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select("contig", "len", "strand", "frame", F.posexplode(S.codons(F.expr("substring(seq, frame + 1)"))).alias("k", "codon"))
-    marks = frames.where(F.col("codon").isin(*C.STARTS, *C.STOPS)).select("contig", "len", "strand", "frame", (F.col("k") * 3 + F.col("frame")).cast("long").alias("pos"), F.col("codon").isin(*C.STOPS).alias("stop"))
-    ahead = Window.partitionBy("contig", "strand", "frame").orderBy("pos").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    starts = marks.withColumn("next", F.min(F.when(F.col("stop"), F.col("pos"))).over(ahead)).where("not stop and next is not null").withColumn("aa_len", ((F.col("next") - F.col("pos")) / 3).cast("long"))
-    fit = starts.where(F.col("aa_len") < max_aa).groupBy("contig", "len", "strand", "frame", "next").agg(F.min("pos").alias("pos")).withColumn("aa_len", ((F.col("next") - F.col("pos")) / 3).cast("long")).where(F.col("aa_len") >= min_aa)
-    fwd = F.col("strand") == 1
-    return fit.select(
-        "contig", "strand", F.when(fwd, F.col("pos") + 1).otherwise(F.col("len") - F.col("next") - 2).alias("start"), F.when(fwd, F.col("next") + 3).otherwise(F.col("len") - F.col("pos")).alias("end"), "aa_len"
-    )
+    halo = 3 * max_aa + 3
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for contig, offset, bases in zip(*(batch.column(c).to_pylist() for c in ("contig", "offset", "bases")), strict=True):
+                low = max(offset - halo, 0)  # place of the first base that is here
+                for strand in strands:
+                    s, e, aa = _frames(np.frombuffer(bases.encode(), np.uint8), strand, min_aa, max_aa)
+                    stop = low + (e - 3 if strand == 1 else s - 1)
+                    own = (stop >= offset) & (stop < offset + size)
+                    n = int(own.sum())
+                    if n:
+                        yield pa.RecordBatch.from_arrays([pa.array([contig] * n), pa.array(np.full(n, strand, np.int32)), pa.array(s[own] + low), pa.array(e[own] + low), pa.array(aa[own])], names=["contig", "strand", "start", "end", "aa_len"])
+
+    n = F.length("seq")
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(size))).otherwise(F.array().cast("array<int>"))
+    chunks = contigs.select("contig", "seq", F.explode(starts).alias("offset"))
+    low = F.greatest(F.col("offset") - halo, F.lit(0))
+    chunks = chunks.select("contig", F.col("offset").cast("long").alias("offset"), F.upper(F.substring("seq", low + 1, F.col("offset") + size + halo - low)).alias("bases"))
+    return chunks.mapInArrow(work, "contig string, strand int, start long, end long, aa_len long")
+
+
+#: Codons as numbers in base 4; anything with another letter is beyond 64.
+_DIGIT = np.full(256, 64, np.int16)
+_DIGIT[[ord(b) for b in "ACGT"]] = range(4)
+
+
+def _codon(text: str) -> int:
+    a, b, c = (int(_DIGIT[ord(x)]) for x in text)
+    return 16 * a + 4 * b + c
+
+
+def _frames(bases: np.ndarray, strand: int, min_aa: int, max_aa: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, aa_len) in all three frames of one strand, with the stop, from 1, in places of the forward strand."""
+    d = _DIGIT[bases if strand == 1 else bases[::-1]]
+    if strand == -1:
+        d = np.where(d < 4, 3 - d, d)
+    codes = 16 * d[:-2] + 4 * d[1:-1] + d[2:]
+    starts, stops = np.flatnonzero(np.isin(codes, [_codon(x) for x in C.STARTS])), np.flatnonzero(np.isin(codes, [_codon(x) for x in C.STOPS]))
+    found = [np.zeros((3, 0), np.int64)]
+    for frame in range(3):
+        a, z = starts[starts % 3 == frame], stops[stops % 3 == frame]
+        at = np.searchsorted(z, a)
+        a, at = a[at < len(z)], at[at < len(z)]
+        aa = (z[at] - a) // 3
+        a, at, aa = a[aa < max_aa], at[aa < max_aa], aa[aa < max_aa]
+        first = np.concatenate([[True], at[1:] != at[:-1]]) if len(at) else np.zeros(0, bool)  # ascending, so the first one is the longest
+        first &= aa >= min_aa
+        found.append(np.stack([a[first], z[at[first]], aa[first]]))
+    a, z, aa = np.concatenate(found, axis=1)
+    return (a + 1, z + 3, aa) if strand == 1 else (len(bases) - z - 2, len(bases) - a, aa)
 
 
 def gc_skew(contigs: DataFrame, window: int = 1000) -> DataFrame:
@@ -64,11 +108,10 @@ def gc_skew(contigs: DataFrame, window: int = 1000) -> DataFrame:
 
 
 def feature_seq(features: DataFrame, contigs: DataFrame) -> DataFrame:
-    """``features`` (contig, s, e, strand, ...) with ``sub``: its bases in its own direction; null outside the contig."""
-    got = features.join(contigs.select("contig", F.col("seq").alias("__seq")), "contig", "left")
-    ok = (F.col("s") >= 1) & (F.col("e") >= F.col("s")) & (F.col("e") <= F.length("__seq"))
-    sub = F.expr("substring(__seq, cast(s as int), cast(e - s + 1 as int))")
-    return got.withColumn("sub", F.when(ok, F.when(F.col("strand") == -1, S.revcomp_keep(sub)).otherwise(sub))).drop("__seq")
+    """``features`` (contig, s, e, strand, ...) with ``sub``: its bases in its own direction; null outside the contig. A feature meets the chunks that it lies in."""
+    got = Q.slices(features, Q.sequence_chunks(contigs))
+    sub = F.col("sub")
+    return got.withColumn("sub", F.when(Q.inside(sub), F.when(F.col("strand") == -1, S.revcomp_keep(sub)).otherwise(sub)))
 
 
 def genetic_code(candidates: DataFrame) -> DataFrame:

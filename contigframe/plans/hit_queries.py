@@ -11,7 +11,7 @@ from contigframe.operators import hits as H
 from contigframe.operators import landing as L
 from contigframe.plans import relations as R
 from contigframe.plans.registry import query
-from contigframe.plans.scalar_queries import MARKS, QC_PRODUCTS, cases
+from contigframe.plans.scalar_queries import MARKS, QC_PRODUCTS, varied
 
 
 def rel(name: str):
@@ -180,7 +180,7 @@ def kofam_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.land_kofam(features, assigned, table).select("id", "ko", F.array_join("ec", " ").alias("ec"), F.array_join(L.note_values(), "|").alias("notes"))
 
 
-@query("virulence_landing", R.duck("""with b as (select distinct q, t from {hits} where qcov >= 0.8), e as (select b.q, acc, min(ord) as ord, min_by(product, ord) as product from b join (select q, t, min(ord) as ord from {hits} where qcov >= 0.8 group by 1, 2) h using (q, t) join {proteins} on pid = t group by 1, 2)
+@query("virulence_landing", R.duck("""with b as (select distinct q, t from {hits} where qcov >= 0.8), e as (select b.q, acc, min(ord) as ord, arg_min_null(product, ord) as product from b join (select q, t, min(ord) as ord from {hits} where qcov >= 0.8 group by 1, 2) h using (q, t) join {proteins} on pid = t group by 1, 2)
 select o_orderkey as id, coalesce(string_agg('virulence factor: '||coalesce(product, acc), '|' order by ord), '') as notes, coalesce(string_agg('similar to AA sequence:VFDB:'||acc, '|' order by ord), '') as inference from orders left join e on e.q = o_orderkey group by 1"""))
 def virulence_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = R.relation(spark, sf_dir, "hits").where("qcov >= 0.8").select(F.col("q").alias("id"), "ord", "t")
@@ -350,8 +350,9 @@ def species_identify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 over("plasmid_detect", HITS, lambda h: H.plasmid_replicons(h.withColumn("type", F.concat(F.lit("Inc"), (F.col("t") % 5).cast("string")))).select("q", "type", "t").orderBy("q", "type"), "select q, 'Inc'||cast(t % 5 as varchar) as type, t from {hits} where pident >= 80 and tcov >= 0.6 qualify row_number() over (partition by q, t % 5 order by bits desc, ord) = 1")
-over("is_16s", cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc"), lambda d: d.select("label", L.is_16s("kind", "label", "acc").alias("is16s")),
-     "select label, kind = 'Rrna' and (contains(lower(label), '16s') or contains(lower(label), 'ssu') or split_part(acc, '.', 1) in ('RF00177', 'RF01959', 'RF01960', 'RF02542')) as is16s from " + cases(("Rrna", "16S ribosomal RNA", "-"), ("Rrna", "SSU_rRNA", ""), ("Rrna", "x", "RF00177.4"), ("Rrna", "23S", "RF02541"), ("Cds", "16S methylase", ""), cols="kind, label, acc") + " x")
+_LABELS = varied(("'Rrna'", "p_brand||' 16S ribosomal RNA'", "'-'"), ("'Rrna'", "'SSU_rRNA_'||p_type", "''"), ("'Rrna'", "p_name", "'RF00177.'||cast(p_size as varchar(5))"), ("'Rrna'", "'23S '||p_name", "'RF02541'"), ("'Cds'", "'16S methylase'", "''"), ("p_type", "'ssu'", "'RF01959'"), cols="kind, label, acc")
+over("is_16s", _LABELS, lambda d: d.select("k", "label", L.is_16s("kind", "label", "acc").alias("is16s")),
+     "select k, label, kind = 'Rrna' and (contains(lower(label), '16s') or contains(lower(label), 'ssu') or split_part(acc, '.', 1) in ('RF00177', 'RF01959', 'RF01960', 'RF02542')) as is16s from " + _LABELS + " x")
 
 _LEGACY = "(select distinct contig, id, s, e, strand, cast(s%4 as int) as ref, cast(e-s as bigint) aa_len, cast(s%400 as bigint) ref_len from {features} where kind in ('Cds', 'Trna'))"
 over("fragment_runs", _LEGACY, lambda d: H.fragment_runs(d), f"""with a as (select *, lag(ref) over w = ref and s - lag(e) over w - 1 between -30 and 60 as same from {_LEGACY} x window w as (partition by contig, strand order by s, e, id)),

@@ -9,7 +9,6 @@ from contigframe.functions import sequence as S
 from contigframe.operators import scans
 from contigframe.plans import relations as R
 from contigframe.plans.registry import query
-from contigframe.plans.scalar_queries import cases
 
 _RC = "reverse(translate(regexp_replace(seq, '[^ACGT]', 'N', 'g'), 'ACGT', 'TGCA'))"
 
@@ -103,7 +102,8 @@ def genetic_code_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.genetic_code(candidates)
 
 
-_ALN = cases((1, 10, "ACD-FG", "ACDEFG"), (2, 1, "AC--FG", "A-DEFG"), (3, 5, "MKV", "MKV"), (4, 3, "A---E", "ACDFE"), cols="hit, tstart, qaln, taln")
+#: Gapped alignments out of names: some letters are gaps of the query, others of the target, never both.
+_ALN = "(select cast(p_partkey as bigint) hit, cast(p_size as int) tstart, translate(upper(replace(p_name, ' ', '')), 'AEHL', '----') qaln, translate(upper(replace(p_name, ' ', '')), 'OIT', '---') taln from part)"
 _COLS = f"c as (select hit, tstart, unnest(string_split(qaln, '')) as q, unnest(string_split(taln, '')) as t, unnest(range(0, length(qaln))) as col from {_ALN} a), r as (select hit, cast(col as int) as col, q, t, cast(tstart - 1 + sum(case when t <> '-' then 1 else 0 end) over (partition by hit order by col) as bigint) as ref_pos from c)"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contigframe.plans import relations as R
 from contigframe.plans.registry import query
-from contigframe.plans.scalar_queries import _MASK, cases
+from contigframe.plans.scalar_queries import _MASK
 from contigframe.sources import parsers as P
 
 TAB = "||chr(9)||"
@@ -101,4 +101,5 @@ def concat_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.concat_profiles(P.hal_list(lines), R.select(spark, sf_dir, "select cast(c_custkey as varchar(10)) name, 'profile '||cast(c_custkey as varchar(10)) content from customer"))
 
 
-over("discover_models", cases(("b.hmm", "HMMER3\nGA   25 25\n"), ("a.hmm", "HMMER3\nNOGA\n"), ("c.txt", "GA "), cols="path, content"), P.discover_models, "select * from (values ('a.hmm', false), ('b.hmm', true)) v(path, has_ga)")
+_MODELS = "(select 'm'||lpad(cast(p_partkey as varchar(10)), 9, '0')||case p_partkey%3 when 0 then '.hmm' when 1 then '.HMM' else '.txt' end path, 'HMMER3'||chr(10)||case when p_size%2=0 then 'GA   '||cast(p_size as varchar(5))||' 25' else 'NOGA' end||chr(10) content from part)"
+over("discover_models", _MODELS, P.discover_models, f"select path, contains(content, 'GA   ') as has_ga from {_MODELS} m where path like '%.hmm'")

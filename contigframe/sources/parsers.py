@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contigframe.functions import text as T
+from contigframe.operators.intervals import running
 
 M8 = {
     "psc": "query target pident evalue bits qlen tlen qcov tcov",
@@ -231,5 +232,4 @@ def discover_models(files: DataFrame) -> DataFrame:
 
 def carry_forward(lines: DataFrame, head: Column, name: str) -> DataFrame:
     """``lines`` (file, line_no, ...) with the latest value of ``head`` up to each line of its file as ``name``; null before the first one."""
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return lines.withColumn(name, F.last(head, ignorenulls=True).over(w))
+    return running(lines, ["file"], "line_no", ["line_no"], head, "last", name)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from contigframe.functions import sequence as S
 from contigframe.functions import text as T
+from contigframe.operators import sequences as Q
 
 SOURCE = "contigframe"
 WRAP, INDENT = 58, " " * 21
@@ -112,16 +113,23 @@ def crispr_gff(arrays: DataFrame) -> DataFrame:
     return arrays.select("contig", "s", F.concat_ws("\t", "contig", F.lit("minced:0.4.2"), F.lit("repeat_region"), F.col("s").cast("string"), F.col("e").cast("string"), F.col("repeats").cast("string"), F.lit("."), F.lit("."), F.concat(F.lit("ID="), "id", F.lit(";rpt_family=CRISPR;rpt_type=direct"))).alias("line"))
 
 
-def query_fasta(cds: DataFrame, contigs: DataFrame, up: int, down: int, least: int) -> DataFrame:
-    """(name, sub) of CDS (idx, contig, s, e, strand) with their surroundings in reading direction; name idx|start|end|strand|edge."""
-    sized = cds.join(contigs.select("contig", "seq", F.length("seq").alias("length")), "contig")
+def query_regions(cds: DataFrame, contigs: DataFrame, up: int, down: int, least: int) -> DataFrame:
+    """``cds`` (contig, s, e, strand, ...) with their surroundings in reading direction: ``lo``, ``hi``, ``edge`` (0 or 1) and the bases, ``sub``."""
+    sized = cds.join(contigs.select("contig", F.length("seq").alias("length")), "contig")
     plus = F.col("strand") == 1
     lo = F.greatest(F.when(plus, F.col("s") - up).otherwise(F.col("s") - down), F.lit(1))
     hi = F.least(F.when(plus, F.col("e") + down).otherwise(F.col("e") + up), F.col("length"))
-    cut = sized.withColumns({"lo": lo, "hi": hi}).where(F.col("hi") - F.col("lo") + 1 >= least)
-    sub = F.expr("substring(seq, cast(lo as int), cast(hi - lo + 1 as int))")
-    edge = S.contig_edge("s", "e", "length").cast("int").cast("string")
-    return cut.select(F.concat_ws("|", F.col("idx").cast("string"), F.col("lo").cast("string"), F.col("hi").cast("string"), F.col("strand").cast("string"), edge).alias("name"), F.when(plus, sub).otherwise(S.revcomp_n(sub)).alias("sub"))
+    cut = sized.withColumns({"lo": lo.cast("long"), "hi": hi.cast("long"), "edge": S.contig_edge("s", "e", "length").cast("int")}).where(F.col("hi") - F.col("lo") + 1 >= least)
+    own = [c for c in cds.columns if c not in ("contig", "s", "e")]
+    spans = cut.select("contig", F.col("lo").alias("s"), F.col("hi").alias("e"), *own, "edge", F.col("s").alias("__s"), F.col("e").alias("__e"))
+    got = Q.slices(spans, Q.sequence_chunks(contigs))
+    return got.select("contig", F.col("__s").alias("s"), F.col("__e").alias("e"), *own, "edge", F.col("s").alias("lo"), F.col("e").alias("hi"), F.when(plus, F.col("sub")).otherwise(S.revcomp_n("sub")).alias("sub"))
+
+
+def query_fasta(cds: DataFrame, contigs: DataFrame, up: int, down: int, least: int) -> DataFrame:
+    """(name, sub) of CDS (idx, contig, s, e, strand) with their surroundings in reading direction; name idx|start|end|strand|edge."""
+    got = query_regions(cds.select("contig", "s", "e", "idx", "strand"), contigs, up, down, least)
+    return got.select(F.concat_ws("|", *[F.col(c).cast("string") for c in ("idx", "lo", "hi", "strand", "edge")]).alias("name"), "sub")
 
 
 def gbff_location() -> Column:
