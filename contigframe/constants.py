@@ -30,6 +30,9 @@ QUERY_UP, QUERY_DOWN, QUERY_MIN = 60, 450, 30
 LEGACY_GAP, LEGACY_OVERLAP, LEGACY_RATIO, LEGACY_SHORTFALL, LEGACY_MIN_REF, LEGACY_SHORT = 60, 30, 0.8, 25, 50, 150
 FRAMESHIFT_OVERLAP, READTHROUGH_CODONS, READTHROUGH_CAP = (1, 8), 80, 5000
 
+#: Search settings: highest E-value, most targets a query, letters of a seed where it isn't the default.
+SEARCH = {"psc": (1e-6, 25, None), "vfdb": (1e-10, 25, None), "disruption": (1e-5, 300, None), "plasmid": (1e-10, 300, None), "species": (1e-20, 50, None), "orit": (1e-4, 500, 9), "amr_variants": (1e-10, 300, None)}
+
 # sequence
 STARTS, STOPS = ("ATG", "GTG", "TTG"), ("TAA", "TAG", "TGA")
 AMINO_ACIDS = "ARNDCQEGHILKMFPSTWYV"

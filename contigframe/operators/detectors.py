@@ -18,9 +18,9 @@ FEATURE = ["contig", "id", "kind", "s", "e", "strand", "name", "accession", "sco
 
 
 class SearchProvider(Protocol):
-    """Gives hits for queries, as a table; a missing program gives None, and its tier is skipped."""
+    """Gives hits for queries (q, seq) in references, as a table in the m8 layout; without references None, and its tier is skipped."""
 
-    def search(self, queries: DataFrame, database: str, **settings: str) -> DataFrame | None: ...
+    def search(self, queries: DataFrame, database: object, **settings: object) -> DataFrame | None: ...
 
 
 def _features(calls: DataFrame, kind: Column | str, tag: str, name: Column, accession: Column, score: Column, evalue: Column | None = None, order: tuple[str, ...] = ("s", "e", "ord")) -> DataFrame:
