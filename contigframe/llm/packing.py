@@ -5,6 +5,9 @@ at most ``LENGTH / UNIT`` classes; it alone reaches the driver. There a linear p
 that fit a sequence) is solved by column generation: a simplex step prices classes, and an unbounded-knapsack dynamic program
 finds the best new pattern for those prices. Counts of patterns are rounded down; what is then left (less than one pattern for
 each class) is packed best fit. Pieces, ranked within their class, are then assigned to the patterns' places by arithmetic.
+
+Rounding to a step would waste most of a short piece, so those of up to ``SHORT`` ids are strung together first, in lots, and the
+strings are cut, through pieces where need be, into whole sequences; only the rest of each lot is an item of the program.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from contigframe.llm import tokens, util
 
 LENGTH = 2048
 UNIT = 16
+#: Ids of a short piece, as a part of a sequence, and ids of a lot of short ones.
+SHORT, STRING = 16, 1 << 20
 END = 1
 #: Column generation ends when the bound on what is left to gain is below this share.
 GAP = 5e-4
@@ -28,6 +33,7 @@ STEPS = 4_000
 #: Parts that a class is ranked in; fixed, so that sequences don't depend on the session.
 LOTS = 1_024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_OWN = [c.split()[0] for c in PIECES.split(", ")]
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -77,17 +83,18 @@ def solve_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float
 
 
 def best_fit(left: dict[int, int], room: int) -> list[dict[int, int]]:
-    """Bins for the few pieces (class: count) that rounding leaves; longest first, into the fullest bin that has room."""
-    bins: list[tuple[int, dict[int, int]]] = []
+    """Bins for the few pieces (class: count) that rounding leaves; longest first, into the fullest bin that has room. Equal pieces go together."""
+    bins: list[list] = []
     for size in sorted(left, reverse=True):
-        for _ in range(left[size]):
-            fits = [k for k, (free, _) in enumerate(bins) if free >= size]
-            k = min(fits, key=lambda b: bins[b][0]) if fits else len(bins)
-            if not fits:
-                bins.append((room, {}))
-            free, held = bins[k]
-            held[size] = held.get(size, 0) + 1
-            bins[k] = (free - size, held)
+        n = left[size]
+        for held in sorted(bins, key=lambda b: b[0]):
+            if n and held[0] >= size:
+                take = min(n, held[0] // size)
+                held[0], held[1][size], n = held[0] - take * size, take, n - take
+        while n:
+            take = min(n, room // size)
+            bins.append([room - take * size, {size: take}])
+            n -= take
     return [held for _, held in bins]
 
 
@@ -122,7 +129,7 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[int, int, int, int,
 
 
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length: int, end: int) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids, cut into whole sequences and a remainder."""
+    """(doc_id, start, length, ids_crc32, doc_tokens, ids): each document's ids, cut into whole sequences and a remainder; ``ids`` of short pieces only."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokens.loaded(path)
@@ -133,10 +140,11 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length:
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                     for s in range(a, b, length):
                         e = min(s + length, b)
-                        rows.append((doc, s - a, e - s, tokens.crc(ids[s:e]), b - a))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                        rows.append((doc, s - a, e - s, tokens.crc(ids[s:e]), b - a, ids[s:e].astype("<u4").tobytes() if (e - s) * SHORT <= length else None))
+                *numbers, short = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(short, pa.binary())], names=[*_OWN, "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tokens.tidy(cut), PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tokens.tidy(cut), PIECES + ", ids binary")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, length: int = LENGTH, unit: int = UNIT, end: int = END) -> DataFrame:
@@ -146,17 +154,49 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     gives an empty result. A text of any length is cut into sequences of its own and one remainder. Other columns are not read.
     """
     with util.Scratch(docs.sparkSession) as tmp:
-        return util.written(_packed(tmp.written(token_pieces(docs, id_col, text_col, tokenizer or tokens.default_path(), length, end), "pieces"), length, unit), "packed")
-
-
-def _packed(pieces: DataFrame, length: int, unit: int) -> DataFrame:
+        pieces = tmp.written(token_pieces(docs, id_col, text_col, tokenizer or tokens.default_path(), length, end), "pieces")
+        return util.written(_packed(pieces, length, unit, tmp), "packed")
+
+
+def strung(pieces: DataFrame, length: int) -> DataFrame:
+    """Short pieces (with ``ids``) in lots, one after the other and cut at whole sequences: their columns and (lot, block, inner), the block of ``length`` ids in
+    the lot's string and the place in it."""
+    total = pieces.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    lot = F.pmod(F.xxhash64("doc_id", "start"), F.lit(total // STRING + 1)).cast("long")
+    before = Window.partitionBy("lot").orderBy(*_OWN).rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn("lot", lot).withColumn("at", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    cut = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / length).cast("long"), F.floor((F.col("at") + F.col("length") - 1) / length).cast("long"))))
+    low, high = F.greatest("at", F.col("block") * length), F.least(F.col("at") + F.col("length"), (F.col("block") + 1) * length)
+    part = F.substring("ids", ((low - F.col("at")) * 4 + 1).cast("int"), ((high - low) * 4).cast("int"))
+    return cut.select("doc_id", (F.col("start") + low - F.col("at")).alias("start"), (high - low).alias("length"), F.crc32(part).alias("ids_crc32"), "doc_tokens", "lot", "block", (low - F.col("block") * length).alias("inner"))
+
+
+def _packed(pieces: DataFrame, length: int, unit: int, tmp: util.Scratch) -> DataFrame:
+    short = tmp.written(strung(pieces.where("ids is not null"), length), "strung")
+    blocks = tmp.written(short.groupBy("lot", "block").agg(F.sum("length").alias("filled")), "blocks")
+    rests = blocks.where(F.col("filled") < length).select(F.col("lot").alias("doc_id"), F.col("block").alias("start"), F.col("filled").alias("length"), *[F.lit(None).cast("long").alias(c) for c in ("ids_crc32", "doc_tokens")], F.lit(True).alias("rest"))
+    items = pieces.where("ids is null").select(*_OWN, F.lit(False).alias("rest")).unionByName(rests)
+    items, sequences = _assigned(items, length, unit)
+    items = tmp.written(items, "items")
+    # whole blocks are sequences of their own, numbered by a row for each lot
+    full = blocks.where(F.col("filled") == length).groupBy("lot").agg(F.count("*").alias("n"))
+    first = full.select("lot", (F.coalesce(F.sum("n").over(Window.orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + sequences).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    numbered = blocks.where(F.col("filled") == length).select("lot", "block").join(first, "lot").withColumn("sequence_id", F.col("sequence_id") + F.col("block"))
+    ends = items.where("rest").select(F.col("doc_id").alias("lot"), F.col("start").alias("block"), "sequence_id", "offset")
+    members = short.join(numbered.unionByName(ends), ["lot", "block"]).withColumn("offset", F.col("offset") + F.col("inner"))
+    return items.where("not rest").select(*_OWN, "sequence_id", "offset").unionByName(members.select(*_OWN, "sequence_id", "offset"))
+
+
+def _assigned(pieces: DataFrame, length: int, unit: int) -> tuple[DataFrame, int]:
+    """(``pieces`` with sequence_id and offset, the number of sequences)."""
     pieces = pieces.withColumn("class", F.ceil(F.col("length") / unit).cast("int")).withColumn("lot", F.pmod(F.xxhash64("doc_id", "start"), F.lit(LOTS)).cast("int"))
     per_lot = pieces.groupBy("class", "lot").agg(F.count("*").alias("n"))
     room = -(-length // unit)
     histogram = {r["class"]: r["n"] for r in per_lot.groupBy("class").agg(F.sum("n").alias("n")).collect()}  # at most ``room`` rows
     rows = plan(histogram, room)
+    sequences = max((base + (end - first) // n for _, first, end, base, n, _ in rows), default=0)
     per_lot = per_lot.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("class").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = Window.partitionBy("class", "lot").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    inside = Window.partitionBy("class", "lot").orderBy("rest", *_OWN)
     ranked = pieces.withColumn("in_lot", F.row_number().over(inside) - 1).join(per_lot.select("class", "lot", "before"), ["class", "lot"])
     by_class: dict[int, list[tuple]] = {}
     for c, *rest in rows:
@@ -178,11 +218,9 @@ def _packed(pieces: DataFrame, length: int, unit: int) -> DataFrame:
             names = [x for x in batch.schema.names if x not in ("class", "rank")]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(seq), pa.array(place)], names=[*names, "sequence_id", "place"])
 
-    placed = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", (F.col("before") + F.col("in_lot")).cast("long").alias("rank")).mapInArrow(
-        assign, PIECES + ", sequence_id long, place long"
-    )
+    placed = ranked.select(*_OWN, "rest", "class", (F.col("before") + F.col("in_lot")).cast("long").alias("rank")).mapInArrow(assign, PIECES + ", rest boolean, sequence_id long, place long")
     before = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(*_OWN, "rest", "sequence_id", "offset"), sequences
 
 
 def padding(lengths: list[int], length: int = LENGTH) -> int:
