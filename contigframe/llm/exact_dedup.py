@@ -1,8 +1,9 @@
 """Exact deduplication by skew-safe combining (DataFrame functions only).
 
 Equal rows are combined three times, and each time the whole text is part of the grouping key next to its
-digest: within a task (the map side of the first aggregation), within a salted digest group (its reduce side), and
-globally over the winners of the salts. A group of copies, however large, so reaches the last step as one row per salt.
+digest: within a task (the map side of the first aggregation; all rows of a task have the same salt, so one row of each text leaves
+it), within a salted digest group (its reduce side), and globally over the winners of the salts. A group of copies, however
+large, so reaches the last step as one row per salt, of which there are ``SALTS`` at any size.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql.window import Window
 from contigframe.llm import util
 
 
+SALTS = 32
+
+
 def normalised(text: Column | str) -> Column:
     """Runs of ASCII white space become one space; null becomes the empty text."""
     return F.coalesce(F.regexp_replace(text, util.SPACE, " "), F.lit(""))
@@ -25,7 +29,7 @@ def sha256(norm: Column | str) -> Column:
     return F.sha2(norm, 256)
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Defined cases: null text equals the empty text. ``keep_id`` is the smallest non-null id of the group, and null only if
@@ -33,15 +37,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives an empty result. Other columns of ``docs`` are not read, whatever their names.
     ``digest`` may collide: texts that share a digest but differ are told apart by their content.
     """
-    spark = docs.sparkSession
-    salts = salts or util.salt_count(spark)
-    with util.Scratch(spark) as tmp:
-        base = (
-            docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
-            .withColumn("text_sha256", digest(F.col("norm")))
-            .withColumn("salt", F.pmod(util.mix(F.col("doc_id")), F.lit(salts)).cast("int"))
-        )
-        salted = base.groupBy("text_sha256", "salt", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
+    with util.Scratch(docs.sparkSession) as tmp:
+        base = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm")).withColumn("text_sha256", digest(F.col("norm")))
+        by_task = base.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        salted = by_task.groupBy("text_sha256", "salt", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
         whole = salted.groupBy("text_sha256", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
         winners = tmp.written(
             whole.groupBy("text_sha256").agg(F.count("*").alias("variants"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")), "winners"
@@ -59,14 +58,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
         out = joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).select(*columns)
         if winners.where("variants > 1").limit(1).count():
-            out = out.unionByName(_by_content(base, whole, winners).select(*columns))
+            out = out.unionByName(_by_content(base, whole, winners, salts).select(*columns))
         return util.written(out, "exact-dedup")
 
 
-def _by_content(base: DataFrame, whole: DataFrame, winners: DataFrame) -> DataFrame:
+def _by_content(base: DataFrame, whole: DataFrame, winners: DataFrame, salts: int) -> DataFrame:
     """The digests that collide: rows meet their winner by (digest, salt, text)."""
     collided = winners.where("variants > 1").select("text_sha256")
-    rows = base.join(collided, "text_sha256", "left_semi")
+    rows = base.join(collided, "text_sha256", "left_semi").withColumn("salt", F.pmod(util.mix(F.col("doc_id")), F.lit(salts)))
     spread = rows.select("text_sha256", "salt", "norm").distinct().join(whole, ["text_sha256", "norm"])
     again = F.row_number().over(Window.partitionBy("text_sha256", "norm", "salt", "doc_id").orderBy("doc_id"))
     return rows.join(spread, ["text_sha256", "salt", "norm"]).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (again == 1))
