@@ -1,6 +1,6 @@
 """Mixing sources to target weights (DataFrame functions only).
 
-Every source is one stream of words, cut into blocks of ``BLOCK`` words. The mix has as many slots as the targets need
+Every source is one stream of words, cut into blocks of ``BLOCK`` words, or of fewer where the source would have less than ``LEAST`` blocks. The mix has as many slots as the targets need
 blocks; slots are dealt to output shards, and in each shard the sources' counts are a multinomial draw (one weighted draw per
 slot). What the draws miss a source's quota by is settled in one last shard: surplus slots are void, missing ones are
 appended. The i-th slot of a source takes block ``pi(i mod n)`` of its n blocks in epoch ``i div n``, with ``pi`` a pseudorandom
@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from contigframe.llm import util
 
-BLOCK = 64
+BLOCK, LEAST = 64, 1_024
 SHARD = 65_536
 CELLS = 4_096
 #: Parts that each source's stream is ordered in; fixed, as the order of the stream must not depend on the session.
@@ -65,6 +65,11 @@ def permuted(i: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), i, turn)
 
 
+def block_size(source_size: Column, most: int) -> Column:
+    """Words of a source's blocks: quotas are whole blocks, so a small source has small ones, to come near its target."""
+    return F.greatest(F.least(F.floor(source_size / LEAST), F.lit(most)), F.lit(1)).cast("long")
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken.
 
@@ -78,7 +83,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
         sizes = tmp.written(sizes.withColumn("source_key", key), "sizes")
         targets = source_targets(sizes)
-        blocks = F.ceil(F.col("source_size") / block).cast("long")
+        blocks = F.ceil(F.col("source_size") / block_size(F.col("source_size"), block)).cast("long")
         per_block = F.col("source_size") / F.col("blocks")
         targets = (
             targets.withColumn("blocks", blocks)
@@ -133,15 +138,16 @@ def _document_takes(sizes: DataFrame, takes: DataFrame, block: int) -> DataFrame
     worded = sizes.where("size > 0").withColumn("lot", F.pmod(util.mix(SEED + 3, F.col("doc_id")), F.lit(LOTS)).cast("int"))
     per_lot = worded.groupBy("source_key", "lot").agg(F.sum("size").alias("lot_size"))
     before = Window.partitionBy("source_key").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)  # at most LOTS rows
-    per_lot = per_lot.withColumn("lot_start", F.coalesce(F.sum("lot_size").over(before), F.lit(0))).drop("lot_size")
+    whole = F.sum("lot_size").over(Window.partitionBy("source_key"))
+    per_lot = per_lot.withColumns({"lot_start": F.coalesce(F.sum("lot_size").over(before), F.lit(0)), "words": block_size(whole, block)}).drop("lot_size")
     inside = Window.partitionBy("source_key", "lot").orderBy("doc_id", "size")
     placed = (
         worded.withColumn("row", F.row_number().over(inside))
         .withColumn("in_lot", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .join(per_lot, ["source_key", "lot"]).withColumn("start", F.col("lot_start") + F.col("in_lot"))
     )
-    cut = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / block).cast("long"))))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
+    cut = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("words")).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / F.col("words")).cast("long"))))
+    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("words")) - F.greatest(F.col("start"), F.col("block") * F.col("words"))
     cut = cut.withColumn("overlap", overlap).join(takes, ["source_key", "block"], "left")
     taken = cut.groupBy("source_key", "lot", "row", "doc_id", "size").agg(F.coalesce(F.sum(F.col("overlap") * F.col("times")), F.lit(0)).alias("taken"))
     columns = ["source_key", "doc_id", "size", "taken"]

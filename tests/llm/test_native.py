@@ -171,6 +171,17 @@ def test_mix_of_odd_rows(spark):
     assert sorted(map(str, first)) == sorted(map(str, mixing.mix_sources(docs.repartition(7), block=2).collect()))
 
 
+def test_small_sources_come_near_their_targets(spark):
+    rows = [(10 * k + i, "w " * 10, "en", f"s{k}") for k in range(7) for i in range(2)]
+    check_mix(rows, mixing.mix_sources(spark.createDataFrame(rows, SCHEMA.split(", n_chars")[0])).collect(), 1)
+
+
+def test_a_hot_text_leaves_each_task_once(spark):
+    rows = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit("the same text").alias("text")).repartition(6)
+    got = exact_dedup.exact_dedup(rows).agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept"), F.max("group_size").alias("size")).first()
+    assert (got.n, got.kept, got.size) == (50_000, 1, 50_000)
+
+
 def test_mix_of_the_test_table(spark):
     docs = util.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang", "source")
     check_mix([tuple(r) for r in docs.collect()], mixing.mix_sources(docs).collect(), mixing.BLOCK)
