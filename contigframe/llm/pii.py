@@ -10,6 +10,7 @@ shape and top-level domain.
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
 from bisect import bisect_left
@@ -119,6 +120,14 @@ def phone(s: str, key: bytes, back: bool) -> str | None:
     return head + _refill(s[len(head) :], _permute_digits(d, key, f"phone{head}", back))
 
 
+def domestic(s: str, key: bytes, back: bool) -> str | None:
+    """A number with its leading nought, which stays."""
+    d = _digits(s)
+    if not 10 <= len(d) <= 12:
+        return None
+    return "0" + _refill(s[1:], _permute_digits(d[1:], key, "domestic", back))
+
+
 def national(s: str, key: bytes, back: bool) -> str | None:
     """Three groups 3-2-4: area not 000, 666 or 9xx, no group all zero."""
     a, b, c = s.split("-")
@@ -147,31 +156,36 @@ def address(s: str, key: bytes, back: bool) -> str | None:
     return ".".join(str(v >> k & 255) for k in (24, 16, 8, 0))
 
 
+def _day_kind(day: datetime.date) -> tuple[bool, bool, bool]:
+    """What the forms of a day depend on: whether it can't be a month, and whether day and month have one digit."""
+    return day.day > 12, day.day < 10, day.month < 10
+
+
+@functools.cache
+def _days(kind: tuple[bool, bool, bool]) -> list[int]:
+    """All days of a kind, ascending."""
+    return [n for n in range(FIRST_DAY, LAST_DAY + 1) if _day_kind(datetime.date.fromordinal(n)) == kind]
+
+
 def date(s: str, key: bytes, back: bool) -> str | None:
-    """Year-month-day with hyphens or slashes; day.month.year with full stops; month/day/year or, where only that is valid, day/month/year."""
+    """Year-month-day with hyphens or slashes; day.month.year with full stops; month/day/year or, where only that is valid, day/month/year.
+
+    A day becomes a day of its kind, which reads back in the same order and has as many digits in every form; the permutation within a kind is
+    one for all forms, so equal days stay linked.
+    """
     sep = re.search(r"\D", s)[0]
-    x, y, z = s.split(sep)
-    order = "ymd" if len(x) == 4 else "dmy" if sep == "." or int(x) > 12 else "mdy"
-    part = dict(zip(order, map(int, (x, y, z)), strict=True))
+    parts = s.split(sep)
+    order = "ymd" if len(parts[0]) == 4 else "dmy" if sep == "." or int(parts[0]) > 12 else "mdy"
+    given = dict(zip(order, parts, strict=True))
     try:
-        day = datetime.date(part["y"], part["m"], part["d"]).toordinal()
+        day = datetime.date(int(given["y"]), int(given["m"]), int(given["d"]))
     except ValueError:
         return None
-    if not FIRST_DAY <= day <= LAST_DAY:
+    if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
         return None
-
-    def readable(n: int) -> bool:  # a pseudonym must read back in the same order
-        if sep == "." or order == "ymd":
-            return True
-        got = datetime.date.fromordinal(n + FIRST_DAY)
-        return order == "mdy" or got.day > 12
-
-    n, size = day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1
-    n = feistel(n, size, key, "date", back)  # one permutation for all forms, so equal days stay linked
-    while not readable(n):
-        n = feistel(n, size, key, "date", back)
-    new = datetime.date.fromordinal(n + FIRST_DAY)
-    value = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+    days = _days(kind := _day_kind(day))
+    new = datetime.date.fromordinal(days[feistel(bisect_left(days, day.toordinal()), len(days), key, f"date{kind}", back)])
+    value = {"y": f"{new.year:04d}", "m": str(new.month).zfill(len(given["m"])), "d": str(new.day).zfill(len(given["d"]))}
     return sep.join(value[k] for k in order)
 
 
@@ -239,11 +253,12 @@ def iban_windows(s: str) -> Iterator[tuple[int, int]]:
 WINDOWS = {"iban": iban_windows, "card": card_windows}
 #: (kind, pattern, pseudonym). The first pattern that matches at a place and whose value is valid wins.
 KINDS = [
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9.-]{0,250}\.[A-Za-z]{2,24}(?![A-Za-z0-9])", email),
+    ("email", r"[^\W_][\w.%+-]{0,63}@[^\W_][\w.-]{0,250}\.[A-Za-z]{2,24}(?![A-Za-z0-9])", email),
     ("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}\d\d[A-Z0-9]{0,30}(?![A-Za-z0-9])(?: [A-Z0-9]{1,30}(?![A-Za-z0-9])){0,30}))[A-Z]{2}\d\d", iban),
     ("card", r"(?<![\d.-])\d+(?:[ -]\d+)*(?![\d-])", card),
     ("number16", r"(?<![\d.-])(?:\d{16}|\d{4}(?:[ -]\d{4}){3})(?![\d-])", long_number),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])", phone),
+    ("domestic", r"(?<![\d.+/-])0[1-9]\d{1,3}[ /-]\d{3,8}(?:[ -]\d{3,6}){0,2}(?![\d/-]|\.\d)", domestic),
     ("national", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", national),
     ("address", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", address),
     ("date", r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)", date),
