@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from contigframe.llm import tokens, util
 
-#: Bounds of what is learnt from: texts of each label, bytes of a text.
+#: Bounds of what is learnt from: texts of each label, and their bytes; of texts of any length, one is learnt from at least.
 SAMPLE = 1_500
-SAMPLE_BYTES = 32_768
+SAMPLE_BYTES = 8_000_000
 PREFIXES = (4, 5, 6, 7, 8)
 #: A feature marks tokens of toxic texts from this log ratio of shares on, and from this share of the toxic texts on.
 MARK_RATIO, MARK_SHARE, MARK_LEAST = 2.0, 0.01, 3
@@ -163,11 +163,10 @@ def _marks(rows: list[tuple[str, int]]) -> set[str]:
 
 
 def _different(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
-    """Leaves out texts whose smallest hash of five words was there before: copies would lend weight to their own words."""
+    """Each text once (but for case and white space): copies would lend weight to their own words."""
     seen, out = set(), []
     for text, y in rows:
-        w = text.lower().split()
-        key = min((xxhash.xxh64_intdigest(" ".join(w[i : i + 5])) for i in range(max(1, len(w) - 4))))
+        key = xxhash.xxh3_128_intdigest(" ".join(text.lower().split()))
         if key not in seen:
             seen.add(key)
             out.append((text, y))
@@ -179,8 +178,9 @@ def fit(rows: list[tuple[str, int]], share: float | None = None) -> Model:
     a corpus in which ``share`` of the texts have label 1 (default: as in ``rows``)."""
     rows = _different(rows)
     moves, document = np.zeros((2, 2)), np.zeros(3)
-    if len({y for _, y in rows}) < 2:
-        share = (sum(y for _, y in rows) + 0.5) / (len(rows) + 1) if rows else 0.0  # nothing to tell apart
+    if len({y for _, y in rows}) < 2:  # nothing to tell apart
+        if share is None:
+            share = (sum(y for _, y in rows) + 0.5) / (len(rows) + 1) if rows else 0.0
         document[0] = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
         return Model({}, 0.0, moves, document)
     marks = _marks(rows)
@@ -235,13 +235,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     draw = F.pmod(util.mix(F.col("doc_id"), 78), F.lit(1 << 40)) / float(1 << 40)
     rate = F.when(F.col("y") == 1, min(1.0, 2.0 * sample / max(1, have.get(1, 0)))).otherwise(min(1.0, 2.0 * sample / max(1, have.get(0, 0))))
     chosen = marked.withColumn("u", draw).where(F.col("u") < rate)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    texts = texts.where(~util.held_out("doc_id"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where((F.octet_length("text") > 0) & ~util.held_out("doc_id"))
+    # sizes first, so that only texts within the bounds are fetched
+    drawn = texts.select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("mark")).join(F.broadcast(chosen), "doc_id")  # about 4 x sample rows at most are broadcast
+    wanted, used = [], {0: [0, 0], 1: [0, 0]}
+    for r in sorted(drawn.collect(), key=lambda r: (r["u"], r["doc_id"], r["size"], r["mark"])):
+        n, held = used[r["y"]]
+        if n < sample and (n == 0 or held + r["size"] <= SAMPLE_BYTES):
+            used[r["y"]] = [n + 1, held + r["size"]]
+            wanted.append((r["doc_id"], r["mark"], r["y"], r["u"]))
+    marks = docs.sparkSession.createDataFrame(wanted, "doc_id long, mark long, y int, u double").distinct()
+    rows = texts.withColumn("mark", F.xxhash64("text")).join(F.broadcast(marks), ["doc_id", "mark"])  # 2 x sample rows at most
     kept: dict[int, list] = {0: [], 1: []}
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("u", "doc_id", "text", "y")  # about 4 x sample rows at most are broadcast
     for r in sorted(rows.toLocalIterator(), key=lambda r: (r["u"], r["doc_id"], r["text"])):
-        if len(own := kept[r["y"]]) < sample:
-            own.append((r["text"], r["y"]))
+        kept[r["y"]].append((r["text"], r["y"]))
     return fit(kept[0] + kept[1], have.get(1, 0) / sum(have.values()) if have else None)
 
 

@@ -241,6 +241,17 @@ def test_scores_and_spans_equal_the_definition(spark):
     assert toxic > 0
 
 
+def test_toxicity_learns_from_long_texts_and_keeps_the_share(spark):
+    filler = " ".join(f"word{k % 211} goes on." for k in range(3000))
+    rows = [(i, f"{filler} text {i} " + ("you vile idiot." if i % 2 else "good day.") + " " + filler, i % 2) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert docs.selectExpr("min(octet_length(text))").first()[0] > 40_000
+    model = toxicity.learn(docs, docs.select("doc_id", "toxic"))
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, model).collect()}
+    assert all((got[i] > 0.5) == (i % 2 == 1) for i, *_ in rows)
+    assert toxicity.toxicity(docs.limit(1), toxicity.fit([], 0.25)).first().score == pytest.approx(0.25)
+
+
 def test_toxicity_of_no_rows_and_clashing_names(spark):
     model = toxicity.fit([("you idiot", 1), ("good day", 0)])
     odd = spark.createDataFrame([(1, "you idiot", 0.5, 7)], "doc_id long, text string, score double, predicted int")
