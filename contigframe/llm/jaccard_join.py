@@ -118,8 +118,8 @@ def embedding(s: np.ndarray) -> np.ndarray:
 
 #: What names a row's text next to its id: ids may be null or repeated.
 MARK = "mark"
-#: Buckets of marks: what is broadcast of the candidates has at most so many numbers (4 MB).
-BUCKETS = 1 << 20
+#: Bits for each candidate in the map of candidates' marks that is broadcast, and the most that it has in all (128 MB).
+MARK_BITS, MOST_BITS = 32, 1 << 30
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -301,15 +301,32 @@ def _verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, s
             yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(reps[label]), pa.array(near.sum(axis=1).astype(np.int64))], names=["rep", "root", "links"])
 
     named = members.select(F.col("row.doc_id").alias("__id"), F.col(f"row.{MARK}").alias(MARK), "digest", "rep", "component", "n", "weight")
-    # texts of which nothing is a candidate stay where they are: their mark's bucket is in no row of a table of at most BUCKETS rows
-    bucket = F.pmod(F.col(MARK), F.lit(BUCKETS)).cast("int").alias("__bucket")
-    texts = _texts(docs, id_col, text_col).select("*", bucket).join(F.broadcast(named.select(bucket).distinct()), "__bucket", "left_semi").drop("__bucket")
+    # texts of which nothing is a candidate stay where they are: their mark's bit isn't set
+    texts = _marked(_texts(docs, id_col, text_col), named)
     named = named.hint("merge")  # dealt by key at any size, so that what is moved grows in proportion
     text = texts.join(named, (texts[MARK] == named[MARK]) & F.col("doc_id").eqNullSafe(F.col("__id")))
     sets = text.select("rep", "component", "n", "weight", "digest", "text").mapInArrow(tokens.tidy(shingles), "rep long, component long, n long, weight long, shingles binary")
     return in_tiles(sets, "component", "weight", "n", compare, "rep long, root long, links long")
 
 
+def map_bits(candidates: int) -> int:
+    """Bits of the map, a power of two: the share of other texts that it lets pass is the same however many candidates there are, up to ``MOST_BITS``."""
+    return min(max(1 << 15, 1 << (MARK_BITS * max(candidates, 1) - 1).bit_length()), MOST_BITS)
+
+
+def _marked(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose mark's bit is set in a map with a bit for each mark of ``named`` (a written table's rows). The map is built where the
+    rows are and broadcast in pieces of 4 KB, its size known before."""
+    bits = map_bits(named.count())
+    place = F.pmod(F.col(MARK), F.lit(bits))
+    pieces = named.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("__piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__bits"))
+    # pieces of the map have 32,768 bits each, from place 1 of the first one on; place 0 has one of its own
+    own = texts.withColumns({"__piece": F.bitmap_bucket_number(place), "__at": F.bitmap_bit_position(place)})
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(F.col("__at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftright(__byte, cast(__at % 8 as int)) & 1") == 1
+    return own.join(F.broadcast(pieces), "__piece").withColumn("__byte", byte).where(is_set).select(*texts.columns)
+
+
 def similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     """Which pairs reach the Jaccard similarity, exactly; the diagonal is false."""
     n = len(sets)

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from contigframe.llm import jaccard_join as J
@@ -164,3 +165,15 @@ def test_pipeline_stages(spark):
     mixed = [r.doc_id for r in steps["mixing sources to target weights"].collect()]
     packed = steps["packing"].where("start = 0").collect()
     assert sorted(mixed) == sorted(r.doc_id for r in packed)
+
+
+def test_the_share_of_texts_moved_does_not_grow(spark):
+    shares = []
+    for n in (2_000, 20_000):
+        texts = spark.range(60 * n).select(F.xxhash64("id").alias(J.MARK), "id")
+        named = texts.where("id % 60 = 7").select(J.MARK)
+        got = J._marked(texts, named)
+        assert got.columns == texts.columns and got.where("id % 60 = 7").count() == n
+        shares.append((got.count() - n) / (59 * n))
+    assert shares[0] < 0.05 and abs(shares[0] - shares[1]) < 0.02
+    assert J._marked(texts, named.limit(0)).count() == 0 and J.map_bits(10**12) == J.MOST_BITS
