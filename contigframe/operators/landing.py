@@ -193,3 +193,10 @@ def note_values() -> Column:
         F.when(F.col("signal").isNotNull(), F.concat(F.lit("predicted signal peptide ("), F.col("signal"), F.lit(")"))),
     ]
     return F.filter(F.concat(F.array(*parts), "notes"), lambda n: F.coalesce(n, F.lit("")) != "")
+
+
+def for_output(features: DataFrame) -> DataFrame:
+    """``features`` with what the flat files print: product and gene tidied, cross references, evidence and notes as values."""
+    values = {"product": output_product(), "gene": output_gene(), "xrefs": dbxref_values(), "inferences": inference_values(), "notes": note_values()}
+    shown = features.select(*[c for c in features.columns if c not in values], *[v.alias(k) for k, v in values.items()])
+    return shown if "go" in shown.columns else shown.withColumn("go", F.array().cast("array<string>"))

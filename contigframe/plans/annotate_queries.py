@@ -54,17 +54,24 @@ def ref_dbs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf_dir: str):
-    f = R.relation(spark, sf_dir, "features").withColumn("product", F.when(F.col("s") % 9 == 0, "50S ribosomal protein L2"))
-    calls = {k: f.where(F.col("kind") == k) for k in ("Cds", "Rrna", "Trna", "Tmrna", "Ncrna", "IsElement")}
+    f = R.relation(spark, sf_dir, "features").withColumn("product", F.when(F.col("s") % 9 == 0, F.concat(F.lit("50S ribosomal protein L"), (F.col("s") % 7).cast("string"))))
+    of = lambda kind: f.where(F.col("kind") == kind)
+    calls = {"cds": of("Cds"), "trna": of("Trna"), "tmrna": of("Tmrna"), "is": of("IsElement"), "ncrna": f.where("kind in ('Rrna', 'Ncrna')")}
     markers = spark.createDataFrame([(m,) for m in C.MARKERS], "marker string")
     return annotate(Config(gaps=True), R.relation(spark, sf_dir, "contigs"), calls, {"markers": markers}, kind_dimension(spark))
 
 
 @query("annotate")  # resolving is order-dependent: held against a literal sweep in the tests
 def annotate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir).features.select("contig", "id", "kind", "s", "e")
+    return _run(spark, sf_dir).features.select("contig", "id", "kind", "s", "e", "locus_tag")
 
 
-@query("annotate_qc", R.duck("select 45 as expected, 1 as present, 'L2' as duplicated from (select 1)"))
+_MARK = "select kind, case when s % 9 = 0 then 'L'||(s % 7) end as marker from {features}"
+_LISTED = "', '".join(C.MARKERS)
+
+
+@query("annotate_qc", R.duck(f"""with m as (select unnest(['{_LISTED}']) as marker), n as (select marker, count(*) as n from ({_MARK}) f where kind = 'Cds' and marker is not null group by 1), j as (select m.marker, coalesce(n, 0) as n from m left join n using (marker))
+select count(*) as expected, sum(case when n > 0 then 1 else 0 end)::bigint as present, coalesce(string_agg(marker, ',' order by marker) filter (n >= 2), '') as duplicated, '' as disrupted, coalesce(string_agg(marker, ',' order by marker) filter (n = 0), '') as missing,
+round(100.0 * sum(case when n > 0 then 1 else 0 end) / count(*), 4) as completeness, round(100.0 * sum(case when n >= 2 then 1 else 0 end) / count(*), 4) as contamination from j"""))
 def annotate_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir).qc.select("expected", "present", "duplicated")
+    return _run(spark, sf_dir).qc

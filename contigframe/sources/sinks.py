@@ -14,6 +14,11 @@ from contigframe.operators import sequences as Q
 
 SOURCE = "contigframe"
 WRAP, INDENT = 58, " " * 21
+# Fixed values of the flat files.
+UNQUOTED = ("codon_start", "transl_table", "estimated_length", "rpt_type")
+ELEMENTS = {"IsElement": "insertion sequence", "Integron": "integron"}
+REPEATS = {"Crispr": [("rpt_type", "direct"), ("rpt_family", "CRISPR")], "TandemRepeat": [("rpt_type", "tandem")]}
+ORGANISM = "Bacteria"
 
 
 def write_ordered(lines: DataFrame, path: str, *order: str) -> None:
@@ -140,14 +145,16 @@ def gbff_location() -> Column:
 
 def wrap_qualifier(text: str, head: int = 0, width: int = WRAP) -> list[str]:
     """Lines of at most ``width`` bytes, the first one ``head`` shorter; no character is split."""
-    out, line, room = [], "", max(width - head, 1)
-    for c in text:
-        n = len(c.encode())
-        if line and len(line.encode()) + n > room:
-            out.append(line)
-            line, room = "", width
-        line += c
-    return [*out, line]
+    raw, out, at, room = text.encode(), [], 0, max(width - head, 1)
+    while len(raw) - at > room:
+        end = at + room
+        while end > at and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        if end == at:  # a character that is wider than the line
+            end = next((k for k in range(at + 1, len(raw)) if raw[k] & 0xC0 != 0x80), len(raw))
+        out.append(raw[at:end].decode())
+        at, room = end, width
+    return [*out, raw[at:].decode()]
 
 
 def gbff_origin(contigs: DataFrame) -> DataFrame:
@@ -161,13 +168,20 @@ def gbff_features(features: DataFrame, kinds: DataFrame) -> DataFrame:
     """(contig, ord, part, line): the feature table's lines. Wrapping counts bytes, so it runs in Arrow batches, row by row in order, without
     gathering a contig in one task."""
     known = features.join(F.broadcast(kinds.select("kind", "gene_assoc")), "kind")
-    rows = known.select("contig", F.col("s").cast("long").alias("ord"), "id", "kind", "so_type", "gene_assoc", "locus_tag", "product", "gene", "pseudogene", F.array_join(F.filter("notes", lambda x: x != ""), "; ").alias("note"), gbff_location().alias("location"), S.len_nt("s", "e").alias("length"))
+    full = lambda c: F.filter(c, lambda x: x != "")
+    aa = F.regexp_replace(F.regexp_replace("aa", r"\*$", ""), r"\.$", "") if "aa" in features.columns else F.lit(None).cast("string")
+    rows = known.select(
+        "contig", F.col("s").cast("long").alias("ord"), "id", "kind", "so_type", "gene_assoc", "locus_tag", "product", "gene", "pseudogene", F.array_join(full("notes"), "; ").alias("note"), gbff_location().alias("location"),
+        S.len_nt("s", "e").alias("length"), F.coalesce("regulatory_class", F.lit("other")).alias("regulatory"), full("ec").alias("ec"), "inferences", F.concat("xrefs", full("go")).alias("xrefs"), aa.alias("aa"),
+    )
 
     def block(key: str, location: str, quals: list[tuple[str, str | None]]) -> list[str]:
         out = ["     " + key.ljust(16) + location]
         for name, value in quals:
             if value is None:
                 out.append(f"{INDENT}/{name}")
+            elif value and name in UNQUOTED:
+                out.append(f"{INDENT}/{name}={value}")
             elif value:
                 head = f'/{name}="'
                 lines = wrap_qualifier(value.replace('"', '""') + '"', len(head))
@@ -178,12 +192,19 @@ def gbff_features(features: DataFrame, kinds: DataFrame) -> DataFrame:
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
-                own = [("locus_tag", "" if r.kind == "AssemblyGap" else r.locus_tag), ("gene", r.gene or "")]
+                gap = r.kind == "AssemblyGap"
+                tag, gene = ("locus_tag", "" if gap else r.locus_tag), ("gene", r.gene or "")
                 flag = [("pseudo", None)] if r.pseudogene else []
-                lines = block("gene", r.location, own + flag) if r.gene_assoc else []
-                quals = [*own, ("product", r.product or ""), *([("codon_start", "1"), ("transl_table", "11")] if r.kind == "Cds" else []), ("note", r.note or ""), *flag]
-                if r.kind == "AssemblyGap":
+                lines = block("gene", r.location, [tag, gene, *flag]) if r.gene_assoc else []
+                quals = [tag]
+                if gap:
                     quals += [("estimated_length", str(r.length)), ("gap_type", "within scaffold"), ("linkage_evidence", "paired-ends")]
+                quals += [("mobile_element_type", ELEMENTS[r.kind])] if r.kind in ELEMENTS else REPEATS.get(r.kind, [])
+                quals += [gene, ("product", r.product or "")]
+                quals += [("regulatory_class", r.regulatory)] if r.kind == "RegulatoryRegion" else []
+                quals += [("EC_number", x) for x in r.ec] + [("inference", x) for x in r.inferences] + [("db_xref", x) for x in r.xrefs] + [("note", r.note or "")]
+                quals += [("codon_start", "1"), ("transl_table", "11")] if r.kind == "Cds" else []
+                quals += flag or [("translation", r.aa or "")]
                 lines += block(r.so_type, r.location, quals)
                 out += [(r.contig, r.ord, r.id, k, x) for k, x in enumerate(lines)]
             yield pd.DataFrame(out, columns=["contig", "ord", "id", "part", "line"])
@@ -195,8 +216,8 @@ def gbff(features: DataFrame, contigs: DataFrame, kinds: DataFrame) -> DataFrame
     """(contig, section, ord, id, part, line): one flat-file entry per contig; sort by all but ``line`` to write it."""
     size = F.length("seq").cast("string")
     heads = contigs.select("contig", F.lit(0).alias("section"), F.lit(0).cast("long").alias("ord"), F.lit("").alias("id"), F.posexplode(F.array(
-        F.concat(F.lit("LOCUS       "), F.rpad(F.substring("contig", 1, 16), 16, " "), F.lit(" "), F.lpad(size, 11, " "), F.lit(" bp    DNA     linear   BCT")), F.concat(F.lit("DEFINITION  "), "contig", F.lit(".")), F.concat(F.lit("ACCESSION   "), "contig"),
-        F.lit("FEATURES             Location/Qualifiers"), F.concat(F.lit("     source          1.."), size), F.lit(INDENT + '/mol_type="genomic DNA"'),
+        F.concat(F.lit("LOCUS       "), F.rpad(F.substring("contig", 1, 16), 16, " "), F.lit(" "), F.lpad(size, 11, " "), F.lit(" bp    DNA     linear   BCT")), F.concat(F.lit("DEFINITION  "), "contig", F.lit(".")), F.concat(F.lit("ACCESSION   "), "contig"), F.lit("SOURCE      ."),
+        F.lit("FEATURES             Location/Qualifiers"), F.concat(F.lit("     source          1.."), size), F.lit(f'{INDENT}/organism="{ORGANISM}"'), F.lit(INDENT + '/mol_type="genomic DNA"'),
     )).alias("part", "line"))
     body = gbff_features(features, kinds).withColumn("section", F.lit(1))
     origin = contigs.select("contig", F.lit(2).alias("section"), F.lit(0).cast("long").alias("ord"), F.lit("").alias("id"), F.lit(0).alias("part"), F.lit("ORIGIN").alias("line"))
