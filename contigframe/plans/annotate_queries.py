@@ -43,14 +43,36 @@ def orit_relaxase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.relaxases(hits).select("fid", "family", "ord")
 
 
-#: Reference databases: key, folder, whether profiles, size in MB. Fixed values.
-DATABASES = [("ncbifams", "hmm", True, 1900), ("antifam", "hmm", True, 10), ("amr", "hmm", True, 60), ("pfam", "hmm", True, 1600), ("rfam", "ncrna", True, 350), ("kofam", "kofam", False, 6000), ("psc", "psc", False, 32000), ("vfdb", "vfdb", False, 10), ("plasmid", "plasmid", False, 1), ("species", "species", False, 300)]
+#: What a database is to the run: its kinds of references. Fixed values.
+_OF = {
+    "profiles": "pfam ncbifams antifam amr phage integron orit_pfam", "covariance models": "rfam trna", "proteins": "vfdb amr_variant psc", "nucleotides": "plasmidfinder gtdb_ssu",
+    "tables": "meta kofam",
+}
+DATABASES = {key: kind for kind, keys in _OF.items() for key in keys.split()}
 
 
-@query("ref_dbs", "select folder, profiles, count(*) as n, cast(sum(mb) as bigint) as mb from (values " + ", ".join(f"('{k}', '{d}', {str(p).lower()}, {mb})" for k, d, p, mb in DATABASES) + ") v(key, folder, profiles, mb) group by 1, 2")
+def validate_selection(keys: list[str]) -> list[str]:
+    """The databases that were asked for, each once and in order; "all" is all of them. One that isn't known is an error that names it."""
+    wanted = [k for key in keys for k in (DATABASES if key == "all" else [key])]
+    unknown = [k for k in wanted if k not in DATABASES]
+    if unknown:
+        raise ValueError(f"unknown database: {', '.join(unknown)}; known are {', '.join(DATABASES)}")
+    return list(dict.fromkeys(wanted))
+
+
+def database_sizes(files: DataFrame) -> DataFrame:
+    """(kind, databases, files, mb) of ``files`` (database, mb); files of unknown databases go."""
+    known = files.sparkSession.createDataFrame(list(DATABASES.items()), "database string, kind string")
+    rows = files.join(F.broadcast(known), "database")  # as many rows as databases
+    return rows.groupBy("kind").agg(F.countDistinct("database").alias("databases"), F.count("*").alias("files"), F.sum("mb").cast("long").alias("mb"))
+
+
+_FILES = "(select case " + " ".join(f"when p_partkey%{len(DATABASES) + 1} = {k} then '{key}'" for k, key in enumerate(DATABASES)) + " else 'other' end as database, p_size mb from part)"
+
+
+@query("ref_dbs", f"select kind, count(distinct f.database) as databases, count(*) as files, cast(sum(mb) as bigint) as mb from {_FILES} f join (values " + ", ".join(f"('{k}', '{v}')" for k, v in DATABASES.items()) + ") v(database, kind) on v.database = f.database group by 1")
 def ref_dbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.createDataFrame(DATABASES, "key string, folder string, profiles boolean, mb long")
-    return table.groupBy("folder", "profiles").agg(F.count("*").alias("n"), F.sum("mb").alias("mb"))
+    return database_sizes(R.select(spark, sf_dir, f"select * from {_FILES} f"))
 
 
 def _run(spark: SparkSession, sf_dir: str):

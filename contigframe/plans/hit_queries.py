@@ -149,11 +149,13 @@ _BEST = "b as (select fid, accession, source, score from {annotations} qualify r
 
 
 @query("output_values", R.duck(f"""with {_BEST}, f as (select o_orderkey as id, case o_custkey%4 when 1 then 'Rrna' when 2 then 'Trna' when 3 then 'Ncrna' else 'Cds' end as kind, case when o_custkey%4=0 then o_orderpriority end as product, case when o_custkey%3=0 then 'gen'||cast(o_custkey%100 as varchar) end as gene from orders),
-j as (select f.*, b.accession, source, coalesce(product, 'name of '||b.accession) as shown from f left join b on b.fid = f.id)
+j as (select f.*, b.accession, b.accession as b_acc, source, coalesce(product, 'name of '||b.accession) as shown from f left join b on b.fid = f.id)
 select id, case when kind = 'Trna' and shown is not null then 'tRNA-Xxx' when kind = 'Cds' then coalesce(shown, 'hypothetical protein') else shown end as product, case when kind = 'Cds' and shown is null then null else gene end as gene,
-case when source = 'hmm:pfam' then 'protein motif:HMM:Pfam:'||accession when source = 'hmm:ncbifams' then 'protein motif:HMM:NCBIfam:'||accession else '' end as inference, '' as dbxref from j"""))
+case when source = 'hmm:pfam' then 'protein motif:HMM:Pfam:'||accession when source = 'hmm:ncbifams' then 'protein motif:HMM:NCBIfam:'||accession else '' end as inference, case when source = 'cm' then 'RFAM:RF'||substr(b_acc, 3) else '' end as dbxref from j"""))
 def output_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = annotated(spark, sf_dir, "case o_custkey%4 when 1 then 'Rrna' when 2 then 'Trna' when 3 then 'Ncrna' else 'Cds' end")
+    family = lambda a: a.withField("accession", F.when(a["source"] == "cm", F.concat(F.lit("RF"), F.substring(a["accession"], F.lit(3), F.length(a["accession"])))).otherwise(a["accession"]))
+    rows = rows.withColumn("annotations", F.transform("annotations", family))  # hits of covariance models are families of RNA
     return rows.select("id", L.output_product().alias("product"), L.output_gene().alias("gene"), F.array_join(L.inference_values(), "|").alias("inference"), F.array_join(L.dbxref_values(), "|").alias("dbxref"))
 
 

@@ -34,19 +34,30 @@ _VALUES = {"query": "l_orderkey", "target": "l_partkey", "pident": "case when l_
            "qstart": "l_partkey+l_linenumber%3*10", "qend": "l_partkey+10", "tstart": "case when l_suppkey%11=0 then 'x' else cast(l_linenumber as varchar(3)) end", "tend": "l_linenumber+5", "qaln": "'AC-'", "taln": "'A-C'", "alnlen": "l_linenumber", "strand": "'+'"}
 
 
+def _m8_oracle(kind: str) -> str:
+    """Every column of a layout as its reader should give it."""
+    pid = "case when l_suppkey % 2 = 0 then l_linenumber / 10 else l_linenumber * 10.0 end"
+    value = {c: f"cast({v} as double)" for c, v in _VALUES.items()} | {c: f"cast({_VALUES[c]} as varchar)" for c in ("query", "target", "qaln", "taln", "strand")}
+    value["pident"] = f"round({pid}, 6)" if kind == "translated" else f"round(case when {pid} <= 1 then 100 * ({pid}) else {pid} end, 6)"
+    value["evalue"] = "case when l_suppkey % 7 = 0 then -1 else cast('1e-' || l_linenumber as double) end"
+    value["tstart"] = f"try_cast({_VALUES['tstart']} as double)"
+    if kind == "plasmid":
+        value |= {"qstart": "cast(least(l_partkey + l_linenumber % 3 * 10, l_partkey + 10) as double)", "qend": "cast(greatest(l_partkey + l_linenumber % 3 * 10, l_partkey + 10) as double)"}
+    keep = "where l_suppkey % 11 <> 0" if kind == "alignment" else ""
+    return "select " + ", ".join(f"{value[c]} as {c}" for c in P.M8[kind].split()) + f", count(*) as n from lineitem {keep} group by all"
+
+
 def m8_query(kind: str, name: str) -> None:
     cols = P.M8[kind].split()
     short = kind == "psc"
     line = f"(select cast(row_number() over (order by l_orderkey,l_partkey,l_suppkey,l_linenumber,l_extendedprice,l_shipdate) as bigint) line_no, {tabbed(*[_VALUES[c] for c in cols])} line from lineitem" + (f" union all select cast(0 as bigint), 'only'{TAB}'three'{TAB}'90')" if short else ")")
-    pid = "case when l_suppkey % 2 = 0 then l_linenumber / 10 else l_linenumber * 10.0 end"
-    if kind != "translated":
-        pid = f"round(case when {pid} <= 1 then 100 * ({pid}) else {pid} end, 6)"
-    keep = "where l_suppkey % 11 <> 0" if kind == "alignment" else ""
 
-    @query(name, f"select l_orderkey as q, l_partkey as t, {pid} as pident, count(*) as n from lineitem {keep} group by all")
+    @query(name, _m8_oracle(kind))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         hits = P.m8(R.select(spark, sf_dir, f"select * from {line} x"), kind)
-        return hits.groupBy(F.col("query").try_cast("long").alias("q"), F.col("target").try_cast("long").alias("t"), F.round("pident", 6).alias("pident")).agg(F.count("*").alias("n"))
+        if "evalue" in cols:  # an infinite one, for what can't be read, as a number that every engine prints alike
+            hits = hits.withColumn("evalue", F.when(F.col("evalue") == float("inf"), -1.0).otherwise(F.col("evalue")))
+        return hits.withColumn("pident", F.round("pident", 6)).groupBy(*cols).agg(F.count("*").alias("n"))
 
 
 for _kind, _name in (("psc", "scan_m8_psc"), ("vfdb", "scan_m8_vfdb"), ("plasmid", "scan_m8_plasmid"), ("species", "scan_m8_species"), ("alignment", "scan_m8_aln"), ("orit", "scan_m8_orit"), ("translated", "scan_m8_translated")):
@@ -77,10 +88,10 @@ _UNI = "(select 'UniRef90_'||cast(p_partkey as varchar(10))||case when p_size%9=
 over("uniref_header", _UNI, P.uniref_headers, "select 'UniRef90_'||p_partkey as id, p_partkey%100 as taxid, case when p_size%9=0 then 'uncharacterized protein' else p_name end as product from part")
 
 
-@query("scan_uniref", "select 'UniRef90_'||p_partkey as id from part where p_partkey%100 in (select n_nationkey from nation)")
+@query("scan_uniref", "select 'UniRef90_'||p_partkey as id, cast(p_partkey%100 as bigint) as taxid, case when p_size%9=0 then 'uncharacterized protein' else p_name end as product from part where p_partkey%100 in (select n_nationkey from nation)")
 def scan_uniref(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = P.uniref_headers(R.select(spark, sf_dir, f"select * from {_UNI} x"))
-    return P.uniref_filter(records, R.select(spark, sf_dir, "select cast(n_nationkey as bigint) taxid from nation")).select("id")
+    return P.uniref_filter(records, R.select(spark, sf_dir, "select cast(n_nationkey as bigint) taxid from nation")).select("id", "taxid", "product")
 
 
 @query("ref_fasta_subset", "select p_partkey||'|x' as header from part where p_partkey in (select l_partkey from lineitem where l_linenumber = 7)")

@@ -68,7 +68,7 @@ def wide(q, refs, s):
 def test_recall_against_all_alignments(spark):
     r = random.Random(6)
     rows = [(x["contig"], x["seq"]) for x in P.contigs(spark, D).where(F.length("seq").between(100, 2500)).orderBy(F.length("seq").desc(), "contig").limit(8).collect()]
-    for x in P.genes(spark, D).collect():  # reference genes, changed here and there, on either strand of other bases
+    for x in P.references(spark, D).collect():  # reference genes, changed here and there, on either strand of other bases
         for part in (0.02, 0.06, 0.1):
             q = "".join(r.choice("ACGT") if r.random() < part else r.choice(("", b + "A")) if r.random() < part / 20 else b for b in x["seq"])
             q = "".join(r.choice("ACGT") for _ in range(70)) + q + "".join(r.choice("ACGT") for _ in range(50))
