@@ -58,9 +58,10 @@ PROTEIN = _protein()
 DNA = Scoring(BASES, np.where(np.eye(4, dtype=bool), MATCH, MISMATCH), np.ones(4), np.arange(4), 5, 2, 0.4, "dna")
 
 
-def align(queries: list[np.ndarray], targets: list[np.ndarray], centre: np.ndarray, scoring: Scoring, width: int = WIDTH) -> dict[str, np.ndarray]:
+def align(queries: list[np.ndarray], targets: list[np.ndarray], centre: np.ndarray, scoring: Scoring, width: int = WIDTH, steps: list | None = None) -> dict[str, np.ndarray]:
     """The best local alignment of each pair within ``width`` diagonals (query place less target place) round ``centre``: score, first and last
-    places from 0 (qs, qe, ts, te), columns (length) and equal letters (same). A score of 0 is no alignment."""
+    places from 0 (qs, qe, ts, te), columns (length) and equal letters (same). A score of 0 is no alignment. ``steps`` gets the way back: arrays of
+    (pair, kind, columns), kind 1 for two letters, 2 for one of the target alone, 3 for one of the query alone."""
     pairs, rows = len(queries), max((len(t) for t in targets), default=0)
     out = {k: np.zeros(pairs, np.int64) for k in ("score", "qs", "qe", "ts", "te", "length", "same")}
     if not pairs or not rows:
@@ -107,6 +108,8 @@ def align(queries: list[np.ndarray], targets: list[np.ndarray], centre: np.ndarr
         k = np.flatnonzero(going)
         src, n = came[row[k], k, at[k]], run[row[k], k, at[k]].astype(np.int64)
         diagonal, up, side = k[src == 1], src == 2, src == 3
+        if steps is not None:
+            steps.append(np.stack([k, src, np.where(src == 1, 1, n)])[:, src > 0])
         t, q = target[diagonal, row[diagonal]], window[diagonal, row[diagonal] + at[diagonal]]
         out["same"][diagonal] += (t == q) & (t < scoring.unknown)
         out["ts"][diagonal], out["qs"][diagonal] = row[diagonal], row[diagonal] + left[diagonal] + at[diagonal]
@@ -120,3 +123,20 @@ def align(queries: list[np.ndarray], targets: list[np.ndarray], centre: np.ndarr
         going[k[src == 0]] = False
         going &= (row >= 0) & (at >= 0) & (at < width)
     return out
+
+
+def columns(queries: list[str], targets: list[str], got: dict[str, np.ndarray], steps: list[np.ndarray]) -> tuple[list[str], list[str]]:
+    """The alignments as two rows of letters, with hyphens where the other one's letter stands alone."""
+    rows = np.concatenate(steps, axis=1)[:, ::-1] if steps else np.zeros((3, 0), np.int64)
+    rows = rows[:, np.argsort(rows[0], kind="stable")]
+    bounds = np.searchsorted(rows[0], np.arange(len(queries) + 1))
+    out: tuple[list[str], list[str]] = ([], [])
+    for k, (q, t) in enumerate(zip(queries, targets, strict=True)):
+        j, i, above, below = int(got["qs"][k]), int(got["ts"][k]), [], []
+        for kind, n in rows[1:, bounds[k] : bounds[k + 1]].T.tolist():
+            above.append("-" * n if kind == 2 else q[j : j + n])
+            below.append("-" * n if kind == 3 else t[i : i + n])
+            j, i = j + (n if kind != 2 else 0), i + (n if kind != 3 else 0)
+        out[0].append("".join(above))
+        out[1].append("".join(below))
+    return out

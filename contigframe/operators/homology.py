@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contigframe import constants as C
@@ -74,6 +74,45 @@ def psc_search(proteins: DataFrame, database: Database, names: DataFrame, provid
     return best.join(names, "t").select("q", "t", T.clean_product("product").alias("product"), "bits", "evalue", "qcov", "tcov")
 
 
+def residue_at(qaln: Column, taln: Column, tstart: Column, pos: Column) -> Column:
+    """The query's letter at a place of the target, "-" where it is deleted, null outside of the alignment. The column is found by summing up the runs of
+    letters and gaps of the target, not column by column."""
+    runs = F.regexp_extract_all(taln, F.lit("(-+|[^-]+)"), 1)
+    start = F.struct((tstart.cast("long") - 1).alias("ref"), F.lit(0).cast("long").alias("col"), F.lit(0).cast("long").alias("at"))
+
+    def step(x: Column, run: Column) -> Column:
+        n, gap = F.length(run).cast("long"), run.startswith("-")
+        here = ~gap & (pos > x["ref"]) & (pos <= x["ref"] + n)
+        return F.struct((x["ref"] + F.when(gap, 0).otherwise(n)).alias("ref"), (x["col"] + n).alias("col"), F.when(here, x["col"] + pos - x["ref"]).otherwise(x["at"]).alias("at"))
+
+    at = F.aggregate(runs, start, step, lambda x: x["at"])
+    return F.when(at > 0, F.substring(qaln, at.cast("int"), F.lit(1)))
+
+
+def mutation_calls(hits: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(id, ord, symbol, class, gene, spec): changes of ``catalog`` (accession, symbol, class, gene, ref, pos, effect, alt, span) that alignments ``hits`` (q, t, ord, pident, tstart,
+    qaln, taln) of close references show. A deletion needs every residue of its span deleted, a nonsense change a stop in the query."""
+    sites = hits.where(H.amr_gate()).join(catalog.withColumnRenamed("accession", "t"), "t")
+    at = lambda pos: residue_at(F.col("qaln"), F.col("taln"), F.col("tstart"), pos)
+    deleted = F.forall(F.sequence(F.col("pos"), F.col("pos") + F.coalesce("span", F.lit(1)) - 1), lambda p: F.coalesce(at(p) == "-", F.lit(False)))
+    shown = F.when(F.col("effect") == "substitution", at(F.col("pos")) == F.col("alt")).when(F.col("effect") == "nonsense", at(F.col("pos")) == "*").otherwise(deleted)
+    change = F.when(F.col("effect") == "substitution", F.col("alt")).when(F.col("effect") == "nonsense", "Ter").otherwise("del")
+    spec = F.concat(F.expr("repeat(ref, coalesce(span, 1))"), F.col("pos").cast("string"), change)
+    return sites.where(F.coalesce(shown, F.lit(False))).select(F.col("q").alias("id"), "ord", "symbol", "class", "gene", spec.alias("spec"))
+
+
+def variant_search(proteins: DataFrame, database: Database, catalog: DataFrame, provider: Provider = SeedSearch) -> DataFrame | None:
+    """Resistance by point mutation: ``mutation_calls`` of proteins (q, seq) against those references (t, seq) that ``catalog`` knows changes of."""
+    if database is None:
+        return None
+    evalue, most, k = C.SEARCH["amr_variants"]
+    wanted = database.join(catalog.select(F.col("accession").alias("t")).distinct(), "t", "left_semi") if isinstance(database, DataFrame) else database
+    hits = provider(PROTEIN, evalue=evalue, max_seqs=most, k=k, letters=True).search(proteins.where(F.trim("seq") != ""), wanted)
+    if hits is None:
+        return None
+    return mutation_calls(hits.select(F.col("query").alias("q"), F.col("target").alias("t"), F.col("hit_ord").alias("ord"), "pident", "tstart", "qaln", "taln"), catalog)
+
+
 def virulence_search(proteins: DataFrame, database: Database, provider: Provider = SeedSearch) -> DataFrame | None:
     """(q, t, ord, bits, evalue): of proteins (q, seq) the best virulence factor that passes the gate."""
     hits = _search("vfdb", PROTEIN, proteins.where(F.trim("seq") != ""), database, provider)

@@ -169,8 +169,10 @@ def candidates(units: DataFrame, references: References, kind: str, salted: bool
     return found.select("unit", "t", "centre").distinct()
 
 
-def aligned(found: DataFrame, units: DataFrame, references: References, kind: str, most_evalue: float) -> DataFrame:
-    """Hits (query, target, pident, evalue, bits, qstart, qend, tstart, tend, qlen, tlen, qcov, tcov, alnlen): the best local alignment of each candidate, equal ones once."""
+def aligned(found: DataFrame, units: DataFrame, references: References, kind: str, most_evalue: float, letters: bool = False) -> DataFrame:
+    """Hits (query, target, pident, evalue, bits, qstart, qend, tstart, tend, qlen, tlen, qcov, tcov, alnlen): the best local alignment of each candidate, equal ones once; with
+    ``letters`` its rows too (qaln, taln)."""
+    schema = f"{HIT}, qaln string, taln string" if letters else HIT
     score, total, step = scoring(kind), float(max(references.total, 1)), 3 if kind == TRANSLATED else 1
     both = tables.written(tables.salted_join(found, units.withColumnRenamed("letters", "text"), ["unit"]), "pairs")
     both = tables.salted_join(both, references.letters, ["t"])
@@ -181,7 +183,9 @@ def aligned(found: DataFrame, units: DataFrame, references: References, kind: st
                 b = whole.slice(a, BATCH)
                 col = lambda c, b=b: b.column(c).to_numpy(zero_copy_only=False)
                 texts, refs = b.column("text").to_pylist(), b.column("letters").to_pylist()
-                got = A.align([score.codes(x) for x in texts], [score.codes(x) for x in refs], col("centre"), score)
+                steps: list[np.ndarray] | None = [] if letters else None
+                got = A.align([score.codes(x) for x in texts], [score.codes(x) for x in refs], col("centre"), score, steps=steps)
+                drawn = [pa.array(x, pa.string()) for x in A.columns(texts, refs, got, steps)] if letters else []
                 qlen, tlen = col("qlen"), np.array([len(x) for x in refs])
                 evalue = score.evalue(got["score"], qlen / step, total)
                 ok = np.flatnonzero((got["score"] > 0) & (evalue <= most_evalue))
@@ -195,11 +199,12 @@ def aligned(found: DataFrame, units: DataFrame, references: References, kind: st
                     [
                         b.column("q").take(pa.array(ok)), b.column("t").take(pa.array(ok)), pa.array(100.0 * got["same"] / np.maximum(got["length"], 1)), pa.array(evalue[ok]), pa.array(score.bits(got["score"])),
                         pa.array(start), pa.array(end), pa.array(got["ts"] + 1), pa.array(got["te"] + 1), pa.array(qlen), pa.array(tlen), pa.array((np.abs(end - start) + 1) / qlen), pa.array((got["te"] - got["ts"] + 1) / tlen), pa.array(got["length"]),
+                        *(x.take(pa.array(ok)) for x in drawn),
                     ],
-                    names=[x.split()[0] for x in HIT.split(", ")],
+                    names=[x.split()[0] for x in schema.split(", ")],
                 )
 
-    return both.mapInArrow(work, HIT).distinct()
+    return both.mapInArrow(work, schema).distinct()
 
 
 HIT = "query string, target string, pident double, evalue double, bits double, qstart long, qend long, tstart long, tend long, qlen long, tlen long, qcov double, tcov double, alnlen long"
@@ -217,8 +222,8 @@ def ranked(hits: DataFrame, most: int) -> DataFrame:
 class SeedSearch:
     """A search provider: ``search`` gives the hits of queries (q, seq) in references, at most ``max_seqs`` targets a query."""
 
-    def __init__(self, kind: str, evalue: float = 1e-3, max_seqs: int = 300, k: int | None = None):
-        self.kind, self.evalue, self.max_seqs, self.k = kind, evalue, max_seqs, k
+    def __init__(self, kind: str, evalue: float = 1e-3, max_seqs: int = 300, k: int | None = None, letters: bool = False):
+        self.kind, self.evalue, self.max_seqs, self.k, self.letters = kind, evalue, max_seqs, k, letters
 
     def search(self, queries: DataFrame, database: References | DataFrame | None, indexed: bool = False) -> DataFrame | None:
         """Without references, nothing: the tier that asked is skipped. Repeated queries (of one name and sequence) are searched once; null sequences have no hits."""
@@ -228,4 +233,4 @@ class SeedSearch:
         units = query_units(queries, self.kind).withColumn("unit", F.monotonically_increasing_id())
         units = tables.written(units, "units")
         found = tables.written(candidates(units, references, self.kind, salted=not indexed), "candidates")
-        return ranked(tables.written(aligned(found, units, references, self.kind, self.evalue), "hits"), self.max_seqs)
+        return ranked(tables.written(aligned(found, units, references, self.kind, self.evalue, self.letters), "hits"), self.max_seqs)

@@ -55,7 +55,7 @@ def called(calls: DataFrame, source: str) -> DataFrame:
 
 def annotate(config: Config, contigs: DataFrame, calls: Mapping[str, DataFrame], given: Mapping[str, DataFrame], kinds: DataFrame, provider: homology.Provider = SeedSearch) -> Run:
     """``calls``: features by detector ("cds" and those of ``CALLS``). ``given``, each as the rule that takes it says: "annotations" (id, ord, source,
-    accession, name, score), "anchors", "xref", "kofam_hits" with "ko_list" and "ko_table", "psc" with "psc_names", "amr_calls", "vfdb" with
+    accession, name, score), "anchors", "xref", "kofam_hits" with "ko_list" and "ko_table", "psc" with "psc_names", "amr" with "amr_catalog" (or ready "amr_calls"), "vfdb" with
     "vfdb_entries", "integrases" and "attc", "hallmarks", "orit" with "relaxases", "rfam_types", "sorf_hits", "signals", "places", "gene_scores", "families",
     "ref_lens" (id, ref_len), "plasmids", "ssu", "lineages", "markers".
 
@@ -95,6 +95,10 @@ def annotate(config: Config, contigs: DataFrame, calls: Mapping[str, DataFrame],
         best = homology.virulence_search(proteins(f), given.get("vfdb"), provider)
         return None if best is None else landing.land_virulence(f, best.select(F.col("q").alias("id"), "ord", "t"), given["vfdb_entries"])
 
+    def variants(f: DataFrame) -> DataFrame | None:
+        found = given["amr_calls"] if has("amr_calls") else homology.variant_search(proteins(f), given.get("amr"), given["amr_catalog"], provider)
+        return None if found is None else landing.land_mutations(f, found)
+
     def integrons(f: DataFrame) -> DataFrame:
         found = I.integrons(given["integrases"], given["attc"])
         place = F.concat_ws("_", "contig", F.lit("integron"), F.col("s").cast("string"))
@@ -144,7 +148,7 @@ def annotate(config: Config, contigs: DataFrame, calls: Mapping[str, DataFrame],
     run.optional("xref", has("annotations", "xref"), from_xref)
     run.optional("kofam", has("kofam_hits"), lambda f: landing.land_kofam(f, H.kofam_assign(given["kofam_hits"], given["ko_list"]).select(F.col("fid").alias("id"), "ko"), given["ko_table"]))
     run.optional("psc", has("psc_names"), from_psc)
-    run.optional("amr variants", has("amr_calls"), lambda f: landing.land_mutations(f, given["amr_calls"]))
+    run.optional("amr variants", has("amr_calls") or has("amr_catalog"), variants)
     run.optional("vfdb", has("vfdb_entries"), from_vfdb)
     for name in (n for n in CALLS if n in calls and n not in LATE):
         run.required(lambda f, name=name: run.added(f, called(calls[name], CALLS[name])))

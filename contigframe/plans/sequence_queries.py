@@ -125,6 +125,24 @@ def deletion_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.deletion_calls(hits, sites)
 
 
+#: Each alignment's target has changes of three forms at places round it.
+_SITES = f"(select hit, tstart, qaln, taln, tstart + o as pos, case o%4 when 0 then 'nonsense' when 1 then 'deletion' else 'substitution' end effect, case when o%4 = 1 then cast(o%3+1 as int) end span, substr('ACDEFGHIKLMNPQRSTVWY', cast((hit+o)%20+1 as int), 1) alt from {_ALN} a, (select distinct cast(l_linenumber*2-3 as bigint) o from lineitem) o)"
+
+
+@query("amr_variant_calls", f"""with {_COLS}, s as (select * from {_SITES} s where pos > 0)
+select s.hit, s.pos, s.effect, case effect when 'substitution' then (select max(q) from r where r.hit = s.hit and t <> '-' and ref_pos = s.pos) = alt when 'nonsense' then (select max(q) from r where r.hit = s.hit and t <> '-' and ref_pos = s.pos) = '*'
+ else (select count(*) from r where r.hit = s.hit and t <> '-' and q = '-' and ref_pos between s.pos and s.pos + span - 1) = span end is true as called from s""")
+def amr_variant_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which changes the alignments show, place by place."""
+    from contigframe.operators import homology
+
+    rows = R.select(spark, sf_dir, f"select * from {_SITES} s where pos > 0").withColumn("key", F.concat_ws("|", F.col("hit").cast("string"), F.col("pos").cast("string")))
+    hits = rows.select(F.col("key").alias("q"), F.col("key").alias("t"), F.lit(1).alias("ord"), F.lit(100.0).alias("pident"), "tstart", "qaln", "taln")
+    catalog = rows.select(F.col("key").alias("accession"), F.lit("s").alias("symbol"), F.lit("c").alias("class"), F.lit("g").alias("gene"), F.lit("A").alias("ref"), F.col("pos").cast("long").alias("pos"), "effect", "alt", "span")
+    calls = homology.mutation_calls(hits, catalog).select(F.col("id").alias("key"), F.lit(True).alias("found"))
+    return rows.join(calls, "key", "left").select("hit", F.col("pos").cast("long").alias("pos"), "effect", F.coalesce("found", F.lit(False)).alias("called"))
+
+
 _TRIM = "(select cast(l_orderkey as bigint) id, cast(l_partkey%60+1 as int) k, cast(max(l_orderkey%49+12) as int) overhang, max(case l_suppkey%5 when 0 then 'ATG' when 1 then 'GTG' when 2 then 'TTG' else 'AAA' end) codon from lineitem group by 1, 2)"
 
 

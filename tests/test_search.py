@@ -191,3 +191,23 @@ def test_a_stored_index_stays_where_it_is(spark, tmp_path, broken):
             spark.sql(f"drop table test_refs_{part}")
     scan = plan.split("SortMergeJoin")[1]
     assert scan.count("Exchange hashpartitioning(seed") == 1 and "Bucketed: true" in plan  # the queries' side alone
+
+
+def test_resistance_from_alignments(spark):
+    """Four forms of change on proteins, from sequences to notes."""
+    from contigframe.operators import landing
+
+    r = random.Random(4)
+    ref = _gene(r, 120)
+    other = "A" if ref[79] != "A" else "V"
+    queries = {"same": ref, "sub": ref[:79] + other + ref[80:], "del1": ref[:59] + ref[60:], "del2": ref[:89] + ref[91:], "stop": ref[:99] + "*" + ref[100:], "far": "".join(r.choice(A.RESIDUES) for _ in range(120))}
+    catalog = [("WP_1", f"g_{k}", "DRUG", "gen", ref[p - 1], p, e, alt, span) for k, p, e, alt, span in (("s", 80, "substitution", other, None), ("d", 60, "deletion", None, 1), ("e", 90, "deletion", None, 2), ("n", 100, "nonsense", None, None))]
+    table = spark.createDataFrame(catalog, "accession string, symbol string, class string, gene string, ref string, pos long, effect string, alt string, span int")
+    refs = spark.createDataFrame([("WP_1", ref), ("WP_2", ref)], "t string, seq string")
+    calls = homology.variant_search(spark.createDataFrame(list(queries.items()), "q string, seq string"), refs, table)
+    features = landing.functional(spark.createDataFrame([(k, "Cds") for k in queries], "id string, kind string"))
+    got = {x["id"]: x["notes"] for x in landing.land_mutations(features, calls).collect()}
+    assert got["same"] == got["far"] == [] and got["sub"] == [f"DRUG resistance: point mutation gen {ref[79]}80{other}"] and got["stop"] == [f"DRUG resistance: nonsense gen {ref[99]}100Ter"]
+    # a residue beside an equal one may be called deleted in its place: the alignment decides
+    assert got["del1"] in ([f"DRUG resistance: deletion gen {ref[59]}60del"], []) and got["del2"] in ([f"DRUG resistance: deletion gen {ref[89]}90del (2 residues)"], [])
+    assert got["del1"] or ref[59] in (ref[58], ref[60])
