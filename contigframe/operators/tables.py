@@ -11,14 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Folders of applications that have no setting.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, ``spark.checkpoint.dir``; where it is unset and all run on one machine, a fresh local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    own = getattr(spark.sparkContext, "applicationId", "")
+    found = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(own)
     if not found:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='contigframe-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _OWN[own] = f"file://{tempfile.mkdtemp(prefix='contigframe-')}"
     return found.rstrip("/")
 
 
