@@ -13,7 +13,8 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def put(uri: str, parts: list[bytes]) -> None:
-    """Writes a file under another name and then moves it to its own: a task that is lost or runs twice leaves no half file."""
+    """Writes a file under another name and then moves it to its own: a task that is lost or runs twice leaves no half file. A name stands for its content, so one
+    that is there already stays, as some file systems refuse to move onto it."""
     where, path = opened(uri)
     folder, name = os.path.split(path)
     where.create_dir(folder, recursive=True)
@@ -21,7 +22,14 @@ def put(uri: str, parts: list[bytes]) -> None:
     with where.open_output_stream(own, compression=None) as out:
         for p in parts:
             out.write(p)
-    where.move(own, path)
+    if where.get_file_info(path).type != fs.FileType.File:
+        try:
+            where.move(own, path)
+            return
+        except OSError:  # another attempt may have been first
+            if where.get_file_info(path).type != fs.FileType.File:
+                raise
+    where.delete_file(own)
 
 
 def exists(uri: str) -> bool:

@@ -12,7 +12,10 @@ that a text is coded by looking up its numbers.
 
 from __future__ import annotations
 
+import functools
 import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +33,14 @@ SAMPLE_BYTES = 16_000_000
 #: Texts of so many bytes are learnt from first, then shorter ones; only a language without either learns from its shortest longer one.
 WINDOW = (100, 32_768)
 UNKNOWN = "und"
-#: A text of at least so many bytes is foreign if its code takes more than so many bits a byte (plain bytes and a bit for escapes) and
-#: than so many times the learnt texts'.
-JUDGED, PLAIN, FOREIGN = 64, 9.0, 4.0
+#: A text of at least so many letters is foreign if more than this part of them belong to scripts that no language was learnt in, and a script is
+#: learnt from this part of the letters on.
+JUDGED, FOREIGN, LEARNT = 16, 0.5, 0.01
+#: Bits a byte of a text that no learnt language helps to code: plain bytes and a bit for escapes.
+PLAIN = 9.0
 #: Bytes of costs that a worker remembers.
 MEMO_BYTES = 48_000_000
-_ASCII_LETTER = re.compile("[A-Za-z]")
+_ASCII_LETTER, _BEYOND = re.compile("[A-Za-z]"), re.compile(r"[^\x00-\x7f]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,6 +48,27 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and (bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text))
 
 
+@functools.cache
+def _script(letter: str) -> str:
+    return unicodedata.name(letter, "?").split(" ", 1)[0]
+
+
+def scripts(text: str) -> Counter[str]:
+    """Letters of each script, by the first word of their names."""
+    out = Counter({"LATIN": len(_ASCII_LETTER.findall(text))})
+    for c, n in Counter(_BEYOND.findall(text)).items():
+        if c.isalpha():
+            out[_script(c)] += n
+    return out
+
+
+def is_foreign(text: str, known: set[str]) -> bool:
+    """Whether most letters are of scripts that aren't ``known``. New words of a known script prove nothing: they may be names, terms or code."""
+    found = scripts(text)
+    total = sum(found.values())
+    return total >= JUDGED and sum(n for k, n in found.items() if k not in known) > FOREIGN * total
+
+
 def _grams(data: np.ndarray, depth: np.ndarray, order: int) -> np.ndarray:
     """Each byte with the bytes before it as one number: ``depth`` of them, at most ``order`` (up to 6), which the number's top byte tells."""
     wide = np.zeros(len(data) + 8, np.uint8)
@@ -157,9 +183,13 @@ class Model:
                 escapes.append(-np.log2(q / (n + q)))
             self.seen.append(_Sparse(grams, costs))
             self.escape.append(_Sparse(heads, escapes))
-        #: bits per byte of the learnt texts, and those from which a text isn't in the language
+        #: bits per byte of the learnt texts
         self.rate = np.array([_rate(self, data, depth, j) for j, (data, depth) in enumerate(streams)])
-        self.foreign = np.maximum(PLAIN, FOREIGN * self.rate)
+        found: Counter[str] = Counter()
+        for texts in samples.values():
+            for t in texts:
+                found.update(scripts(t))
+        self.scripts = {k for k, n in found.items() if n >= LEARNT * sum(found.values())}
 
     def costs(self, keys: np.ndarray) -> np.ndarray:
         """Cost (rows by languages) of each number's byte in its context."""
@@ -304,26 +334,26 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def identified_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in a known language, with their columns. Nothing is shuffled: rows are dropped where they are read.
+    """The rows of ``docs`` that may be in a known language, with their columns. Nothing is shuffled: rows are dropped where they are read.
 
-    Texts without a letter go, and those of ``JUDGED`` bytes or more that the best language codes worse than ``Model.foreign``.
-    How far other languages lie behind doesn't count: a short text may be good in several. If nothing was learnt, no text can be
-    judged, and all with a letter stay.
+    Texts without a letter go, and those that no learnt language codes better than plain bytes and that are mostly written in scripts that no language was
+    learnt in. What is written in a known script stays: a long code there tells new words from old ones, not a new language from an old one.
+    If nothing was learnt, all with a letter stay. Null texts go; repeated rows are each judged, alike; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept: dict[str, Scorer] = {}
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kept.setdefault("scorer", Scorer(sent.value))
-        limit = dict(zip(scorer.model.langs, scorer.model.foreign.tolist(), strict=True))
         for batch in batches:
             for part in tokens.slices(batch, text_col):
-                pred, _, rate = _predictions(scorer, part.column(text_col))
-                size = pc.fill_null(pc.binary_length(part.column(text_col)), 0).to_pylist()
-                if not limit:
-                    yield part.filter(pa.array([has_letter(t) for t in part.column(text_col).to_pylist()], pa.bool_()))
+                texts = part.column(text_col).to_pylist()
+                if not scorer.model.langs:
+                    yield part.filter(pa.array([has_letter(t) for t in texts], pa.bool_()))
                     continue
-                yield part.filter(pa.array([p != UNKNOWN and (n < JUDGED or r <= limit[p]) for p, n, r in zip(pred, size, rate.tolist(), strict=True)], pa.bool_()))
+                pred, _, rate = _predictions(scorer, part.column(text_col))
+                stays = [p != UNKNOWN and not (r > PLAIN and is_foreign(t, scorer.model.scripts)) for t, p, r in zip(texts, pred, rate.tolist(), strict=True)]
+                yield part.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(tokens.tidy(keep), docs.schema)
 

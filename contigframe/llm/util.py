@@ -18,17 +18,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Folders of applications that have no setting.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, a fresh local one if all run on one
     machine; on a cluster that is an error, as executors wouldn't see each other's files."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    own = getattr(spark.sparkContext, "applicationId", "")
+    found = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(own)
     if not found:
         master = spark.sparkContext.master
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
-        found = f"file://{tempfile.mkdtemp(prefix='contigframe-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        found = _OWN[own] = f"file://{tempfile.mkdtemp(prefix='contigframe-')}"
+    if "://" not in found:  # the default file system's, as Spark reads it; tasks would take it for a local one
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+        found = str(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString())
+    return re.sub("^file:/(?!/)", "file:///", found.rstrip("/"))
 
 
 def new_folder(spark: SparkSession, what: str) -> str:

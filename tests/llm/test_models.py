@@ -120,15 +120,21 @@ def test_language_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in found) > 0.97 * len(found) > 0 and all(0 <= r.score <= 1 for r in found)
 
 
-def test_language_stage_keeps_shared_words_and_drops_foreign_texts(spark):
+def test_language_stage_keeps_what_may_be_known_and_drops_foreign_scripts(spark):
     docs = util.documents(spark, "/root/testdata/sf0.01")
     model = language_id.learn(docs)
     near = [("the cat sat on the mat and the dog sat by the door " * 4 + w, lang) for lang in ("aa", "bb", "cc") for w in ("one", "two")]
     alike = language_id.learn(spark.createDataFrame([(i, t, lang, None, 1) for i, (t, lang) in enumerate(near * 10)], SCHEMA))
     short = spark.createDataFrame([(1, "the cat", None, None, 1), (2, "mat", None, None, 1), (3, near[0][0], None, None, 1), (4, "1 2", None, None, 1)], SCHEMA)
     assert {r.doc_id for r in language_id.identified_documents(short, alike).collect()} == {1, 2, 3}
-    foreign = ["На следующее утро мальчик вышел из дома с собакой и пошёл вдоль реки к старой мельнице.", "翌朝、少年は犬を連れて家を出て、川沿いを歩いて古い水車小屋まで行った。友達はそこで一時間以上も彼を待っていた。", "La mattina dopo il ragazzo uscì di casa con il cane e camminò lungo il fiume fino al vecchio mulino, dove gli amici lo aspettavano."]
-    ours = ["Re.", "De.", "The next morning the boy left the house with his dog and walked along the river to the old mill."]
+    foreign = ["На следующее утро мальчик вышел из дома с собакой и пошёл вдоль реки к старой мельнице.", "翌朝、少年は犬を連れて家を出て、川沿いを歩いて古い水車小屋まで行った。友達はそこで一時間以上も彼を待っていた。"]
+    ours = [
+        "Re.", "De.", "The next morning the boy left the house with his dog and walked along the river to the old mill.", "日本", "x = 1 + α",
+        "Quantum chromodynamics describes how quarks interact via gluon exchange; asymptotic freedom weakens the coupling at high energies.",
+        "Die Rechtsschutzversicherungsgesellschaften verlangten Donaudampfschifffahrtskapitänsmützen für außergewöhnliche Vorführungen.",
+        "def keep(rows):\n    for r in rows:\n        if r.id % 2 == 0 and r.name is not None:\n            yield {k: v for k, v in r.items()}\n",
+        "La mattina dopo il ragazzo uscì di casa con il cane e camminò lungo il fiume fino al vecchio mulino, dove gli amici lo aspettavano.",  # a known script: may be names
+    ]
     rows = spark.createDataFrame([(i, t, None, None, 1) for i, t in enumerate(ours + foreign)], SCHEMA)
     assert {r.text for r in language_id.identified_documents(rows, model).collect()} == set(ours)
     lettered = docs.where("text rlike '[A-Za-z]'").count()

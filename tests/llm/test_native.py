@@ -104,7 +104,7 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         util.shared_dir(Session())
     Session.sparkContext.master = "local[8]"
-    assert util.shared_dir(Session()) == Session.conf["spark.checkpoint.dir"]
+    assert util.shared_dir(Session()) == util.shared_dir(Session()) != ""
 
 
 def test_mix_does_not_depend_on_the_session(spark):
@@ -201,3 +201,16 @@ def test_mixed_documents_repeat_in_proportion(spark):
     words = out.select(F.sum(mixing.word_count("text"))).first()[0]
     total = docs.select(F.sum(mixing.word_count("text"))).first()[0]
     assert abs(words - total) < 0.15 * total
+
+
+def test_a_folder_without_a_scheme_and_a_task_that_runs_again(spark, tmp_path):
+    from contigframe.llm import files
+
+    class Session:
+        conf, sparkContext = {"spark.checkpoint.dir": str(tmp_path)}, spark.sparkContext
+
+    where = util.shared_dir(Session())
+    assert where == f"file://{tmp_path}"
+    files.put(f"{where}/a/x.bin", [b"one", b"two"])
+    files.put(f"{where}/a/x.bin", [b"one", b"two"])
+    assert [p.name for p in (tmp_path / "a").iterdir()] == ["x.bin"] and (tmp_path / "a" / "x.bin").read_bytes() == b"onetwo"
