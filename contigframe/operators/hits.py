@@ -324,3 +324,34 @@ def internal_stop_readthrough(cds: DataFrame, contigs: DataFrame, least: int = C
 def run_counts(features: DataFrame) -> DataFrame:
     """Totals for the run's summary."""
     return features.agg(F.count("*").alias("total"), F.count("aa").alias("cds"), F.sum((F.col("n_annotations") > 0).cast("long")).alias("annotated"), F.sum(F.exists("notes", lambda x: x.startswith("virulence factor")).cast("long")).alias("virulence"))
+
+
+def least_value(rows: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
+    """The smallest ``value`` of each key that isn't null; null where none is."""
+    return rows.groupBy(*keys).agg(F.min(value).alias(name))
+
+
+def distinct_flags(rows: DataFrame, keys: list[str], note: str, flag: Column) -> DataFrame:
+    """(``keys``, notes, pseudogene): the different notes of each key in order, and whether any of its rows has the flag."""
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(note)).alias("notes"), F.coalesce(F.max(flag), F.lit(False)).alias("pseudogene"))
+
+
+def lineages(hits: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Hits with the lineage of their target, of those that ``taxonomy`` (id, lineage) knows."""
+    return hits.join(taxonomy.withColumnRenamed("id", "t"), "t")
+
+
+def union_features(*tables_: DataFrame) -> DataFrame:
+    """Features of several tiers, in order; columns that one lacks are null."""
+    out = tables_[0]
+    for more in tables_[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+def common_ids(first: DataFrame, *others: DataFrame, key: str = "q") -> DataFrame:
+    """The different ids that all tables have."""
+    out = first.select(key).distinct()
+    for other in others:
+        out = out.intersect(other.select(key))
+    return out

@@ -48,7 +48,7 @@ PHAGE = "(select fid, score, ord, case cast(substr(accession,3,5) as int)%9 when
 _PHAGE_CLASS = "case split_part(accession, '.', 1) when 'PF03354' then 'terminase' when 'PF05136' then 'portal' when 'PF05065' then 'capsid' when 'PF04586' then 'protease' when 'PF04865' then 'tail' when 'PF00589' then 'integrase' when 'PF00959' then 'lysis' end"
 over("best_hallmark", PHAGE, lambda a: H.best_by(a.withColumn("cls", T.hallmark_class(F.lit(""), "accession")).where("cls is not null"), ["fid"], -F.col("score"), F.col("ord")).select("fid", "cls"),
      f"select fid, cls from (select *, {_PHAGE_CLASS} as cls from {PHAGE}) where cls is not null qualify row_number() over (partition by fid order by score desc, ord) = 1")
-over("min_opt", HITS, lambda h: h.groupBy("t").agg(F.min(F.when(F.col("ex") % 4 == 0, F.col("bits"))).alias("least")), "select t, min(bits) filter (ex % 4 = 0) as least from {hits} group by t")
+over("min_opt", HITS, lambda h: H.least_value(h, ["t"], F.when(F.col("ex") % 4 == 0, F.col("bits")), "least"), "select t, min(bits) filter (ex % 4 = 0) as least from {hits} group by t")
 
 
 @query("attach_hits", R.duck("select o.o_orderkey as fid, count(a.fid) as n, string_agg(a.accession, ',' order by a.ord) as accessions from orders o left join {annotations} a on a.fid = o.o_orderkey group by 1"))
@@ -223,13 +223,13 @@ def union_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("intersect_ids", R.duck("select q from {hits} where ex >= 10 intersect select q from {hits} where bits > 80000"))
 def intersect_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = R.relation(spark, sf_dir, "hits")
-    return h.where("ex >= 10").select("q").intersect(h.where("bits > 80000").select("q"))
+    return H.common_ids(h.where("ex >= 10"), h.where("bits > 80000"))
 
 
 @query("union_features", R.duck("select id, kind from {features} where kind = 'Rrna' union all select id, kind from {features} where kind <> 'Rrna'"))
 def union_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = R.relation(spark, sf_dir, "features").select("id", "kind")
-    return f.where("kind = 'Rrna'").unionByName(f.where("kind <> 'Rrna'"), allowMissingColumns=True)
+    return H.union_features(f.where("kind = 'Rrna'"), f.where("kind <> 'Rrna'"))
 
 
 #: Alignments of a query to few targets, in both directions, some of them insignificant.
@@ -340,7 +340,7 @@ _LINEAGES = "(select cast(p_partkey as bigint) id, 'd__Bacteria;p__P'||cast(p_si
 
 @query("taxonomy_lookup", R.duck(f"select q, t, lineage from {{hits}} h join {_LINEAGES} l on l.id = h.t"))
 def taxonomy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.relation(spark, sf_dir, "hits").join(R.select(spark, sf_dir, f"select id t, lineage from {_LINEAGES} l"), "t").select("q", "t", "lineage")
+    return H.lineages(R.relation(spark, sf_dir, "hits"), R.select(spark, sf_dir, f"select id, lineage from {_LINEAGES} l")).select("q", "t", "lineage")
 
 
 @query("species_identify", R.duck(f"""with b as (select q, t, pident from {{hits}} h where t in (select id from {_LINEAGES} l) order by bits desc, ex desc, q, ord limit 1)
@@ -386,4 +386,4 @@ def internal_stop_readthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 over("run_counts", "(select pid, case when p_size%3=0 then null else 'MK' end aa, p_size%4 n_annotations, case when p_size%5=0 then 'virulence factor: x' else 'other' end note from {proteins})", lambda d: H.run_counts(d.withColumn("notes", F.array("note"))), "select count(*) as total, count(*) filter (p_size % 3 <> 0) as cds, count(*) filter (p_size % 4 > 0) as annotated, count(*) filter (p_size % 5 = 0) as virulence from {proteins}")
-over("distinct_flags", ANN, lambda a: a.groupBy("fid").agg(F.array_join(F.array_sort(F.array_distinct(F.collect_list("source"))), ",").alias("notes"), F.max(F.col("score") > 90000).alias("pseudogene")), "select fid, string_agg(distinct source, ',' order by source) as notes, bool_or(score > 90000) as pseudogene from {annotations} group by 1")
+over("distinct_flags", ANN, lambda a: H.distinct_flags(a, ["fid"], "source", F.col("score") > 90000).withColumn("notes", F.array_join("notes", ",")), "select fid, string_agg(distinct source, ',' order by source) as notes, bool_or(score > 90000) as pseudogene from {annotations} group by 1")

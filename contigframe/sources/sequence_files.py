@@ -17,7 +17,7 @@ from contigframe.sources.parsers import read_lines
 
 
 def record_lines(lines: DataFrame) -> DataFrame:
-    """(file, record, contig, line_no, bases) of FASTA and FASTQ lines (file, line_no, line), told apart by the first line of each file. ``record`` is the header's
+    """(file, record, contig, header, line_no, bases) of FASTA and FASTQ lines (file, line_no, line), told apart by the first line of each file. ``record`` is the header's
     line; what comes before a file's first header goes. A name is the header's first token; bases are upper case."""
     tidy = lines.withColumn("line", F.regexp_replace("line", r"\s+$", "")).where("line <> ''")
     first = tidy.groupBy("file").agg(F.min_by("line", "line_no").startswith("@").alias("fastq"))
@@ -25,28 +25,29 @@ def record_lines(lines: DataFrame) -> DataFrame:
     fasta = known.where("not fastq").drop("fastq")
     header = F.col("line").startswith(">")
     placed = running(fasta, ["file"], "line_no", ["line_no"], F.when(header, F.col("line_no")), "last", "record").where("record is not null")
-    names = placed.where(header).select("file", "record", T.first_token(F.trim(F.substring("line", F.lit(2), F.length("line")))).alias("contig"))
+    title = F.trim(F.substring("line", F.lit(2), F.length("line")))
+    names = placed.where(header).select("file", "record", T.first_token(title).alias("contig"), title.alias("header"))
     body = placed.where(~header).select("file", "record", "line_no", F.upper(F.regexp_replace("line", r"\s+", "")).alias("bases"))
     whole = names.join(body, ["file", "record"], "left")
     counted = running(known.where("fastq").drop("fastq"), ["file"], "line_no", ["line_no"], F.lit(1), "sum", "k", before=True).withColumn("k", F.coalesce("k", F.lit(0)))
     four = counted.withColumn("nth", F.floor(F.col("k") / 4))
-    heads = four.where("k % 4 = 0").select("file", "nth", F.col("line_no").alias("record"), T.first_token(F.substring("line", F.lit(2), F.length("line"))).alias("contig"))
+    heads = four.where("k % 4 = 0").select("file", "nth", F.col("line_no").alias("record"), T.first_token(title).alias("contig"), title.alias("header"))
     reads = heads.join(four.where("k % 4 = 1").select("file", "nth", "line_no", F.upper("line").alias("bases")), ["file", "nth"]).drop("nth")
-    columns = ["file", "record", "contig", "line_no", "bases"]
+    columns = ["file", "record", "contig", "header", "line_no", "bases"]
     return whole.select(*columns).unionByName(reads.select(*columns))
 
 
 def sequence_rows(lines: DataFrame, size: int = Q.SIZE) -> DataFrame:
-    """(file, record, contig, chunk, bases): each record's bases in chunks of ``size``; a record without bases has one empty chunk."""
+    """(file, record, contig, header, chunk, bases): each record's bases in chunks of ``size``; a record without bases has one empty chunk."""
     rows = tables.written(record_lines(lines).withColumn("n", F.coalesce(F.length("bases"), F.lit(0)).cast("long")), "lines")
     placed = running(rows, ["file", "record"], "line_no", ["line_no"], F.col("n"), "sum", "at", before=True).withColumn("at", F.coalesce("at", F.lit(0)).cast("long"))
     chunks = F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.greatest("n", F.lit(1)) - 1) / size))
     cut = placed.withColumn("chunk", F.explode(chunks))
     low, high = F.greatest("at", F.col("chunk") * size), F.least(F.col("at") + F.col("n"), (F.col("chunk") + 1) * size)
     piece = F.coalesce(F.substring("bases", (low - F.col("at") + 1).cast("int"), (high - low).cast("int")), F.lit(""))
-    parts = cut.select("file", "record", "contig", F.col("chunk").cast("long").alias("chunk"), F.coalesce("line_no", "record").alias("line_no"), piece.alias("piece"))
+    parts = cut.select("file", "record", "contig", "header", F.col("chunk").cast("long").alias("chunk"), F.coalesce("line_no", "record").alias("line_no"), piece.alias("piece"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "piece"))), lambda p: p["piece"]), "")
-    return parts.groupBy("file", "record", "contig", "chunk").agg(joined.alias("bases")).where((F.col("bases") != "") | (F.col("chunk") == 0))
+    return parts.groupBy("file", "record", "contig", "header", "chunk").agg(joined.alias("bases")).where((F.col("bases") != "") | (F.col("chunk") == 0))
 
 
 def with_halo(rows: DataFrame, halo: int = Q.HALO) -> DataFrame:
@@ -57,15 +58,19 @@ def with_halo(rows: DataFrame, halo: int = Q.HALO) -> DataFrame:
 
 
 def read_sequences(spark: SparkSession, path: str, size: int = Q.SIZE, **options: str) -> DataFrame:
-    """(file, record, contig, chunk, bases) of the FASTA and FASTQ files at a path, plain or gz."""
+    """(file, record, contig, header, chunk, bases) of the FASTA and FASTQ files at a path, plain or gz."""
     return sequence_rows(read_lines(spark, path, **options), size)
 
 
+def whole(rows: DataFrame) -> DataFrame:
+    """(contig, header, seq): the records of chunk rows in one piece each, for what needs them so."""
+    seq = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "bases"))), lambda p: p["bases"]), "")
+    return rows.groupBy("file", "record", "contig", "header").agg(seq.alias("seq")).select("contig", "header", "seq")
+
+
 def read_replicons(spark: SparkSession, folder: str) -> DataFrame:
     """(t, seq) of all ``*.fsa`` files below a folder, as references of a search."""
-    rows = read_sequences(spark, folder, pathGlobFilter="*.fsa", recursiveFileLookup="true")
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "bases"))), lambda p: p["bases"]), "")
-    return rows.groupBy("file", "record", "contig").agg(whole.alias("seq")).select(F.col("contig").alias("t"), "seq")
+    return whole(read_sequences(spark, folder, pathGlobFilter="*.fsa", recursiveFileLookup="true")).select(F.col("contig").alias("t"), "seq")
 
 
 def duplicates(rows: DataFrame) -> DataFrame:
