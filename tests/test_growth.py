@@ -1,6 +1,12 @@
 """Operators on larger tables: what is moved, what is held at once, and places where only exact arithmetic agrees with SQL."""
 
-from contigframe.operators import scans
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from contigframe.operators import alignment as A
+from contigframe.operators import scans, search
 
 
 def plan(df):
@@ -14,3 +20,34 @@ def test_deletions_without_rows_of_columns_or_broadcast(spark):
     assert "Broadcast" not in plan(found) and "Window" not in plan(found)
     want = [(1, 6, 1, False), (1, 7, 1, True), (1, 7, 2, True), (1, 8, 2, False), (2, 1, 2, True), (2, 1, 2, True), (2, 1, 3, False), (3, 1, 1, False)]
     assert sorted(map(tuple, found.collect())) == want
+
+
+def test_scores_without_the_way_back(spark):
+    r = np.random.default_rng(3)
+    for scoring, n in ((A.DNA, 5), (A.PROTEIN, 21)):
+        targets = [r.integers(0, n, r.integers(0, 90)).astype(np.uint8) for _ in range(300)]
+        queries = [np.concatenate([r.integers(0, n, 30), t[: len(t) // 2], r.integers(0, n, k % 4), t[len(t) // 2 :]]).astype(np.uint8) for k, t in enumerate(targets)]
+        centre = r.integers(-40, 80, 300)
+        got, want = A.best_scores(queries, targets, centre, scoring), A.align(queries, targets, centre, scoring)["score"]
+        assert got.tolist() == want.tolist() and (want > 60).any()
+
+
+def test_a_search_moves_windows_and_shared_seeds_only(spark, monkeypatch):
+    r = random.Random(8)
+    letters = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    gene = letters(150)
+    contigs = spark.createDataFrame([(f"c{k}", letters(9_000) + (gene if k == 1 else "") + letters(9_000)) for k in range(3)], "contig string, seq string")
+    seen = {}
+    whole = search.tables.written
+    monkeypatch.setattr(search.tables, "written", lambda df, what: seen.setdefault(what, whole(df, what)))
+    found = search.SeedSearch(search.NUCLEOTIDE).search(search.contig_queries(contigs), spark.createDataFrame([("g", gene)], "t string, seq string")).collect()
+    assert [(x["query"], x["qstart"], x["qend"], x["tstart"], x["tend"]) for x in found if x["pident"] == 100.0] == [("c1", 9_001, 9_150, 1, 150)]
+    assert seen["seeds"].count() < 2_000 and seen["pairs"].agg(F.max(F.length("text"))).first()[0] <= 150 + A.WIDTH
+
+
+def test_seeds_of_many_letters_come_in_parts(spark, monkeypatch):
+    r = random.Random(9)
+    rows = spark.createDataFrame([(k, "".join(r.choice("ACGTN") for _ in range(n))) for k, n in enumerate([0, 500, 3, 1, 700, 40, 0])], "unit long, letters string").coalesce(1)
+    whole = sorted(search.seeds(rows, ["unit"], "letters", search.NUCLEOTIDE, 5).collect())
+    monkeypatch.setattr(search, "LETTERS", 50)
+    assert sorted(search.seeds(rows, ["unit"], "letters", search.NUCLEOTIDE, 5).collect()) == whole != []
