@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from contigframe.operators import alignment as A
+from contigframe.operators import hits as H
 from contigframe.operators import scans, search
 
 
@@ -51,3 +52,8 @@ def test_seeds_of_many_letters_come_in_parts(spark, monkeypatch):
     whole = sorted(search.seeds(rows, ["unit"], "letters", search.NUCLEOTIDE, 5).collect())
     monkeypatch.setattr(search, "LETTERS", 50)
     assert sorted(search.seeds(rows, ["unit"], "letters", search.NUCLEOTIDE, 5).collect()) == whole != []
+
+
+def test_a_length_at_the_ratio_is_not_below_it(spark):
+    rows = spark.createDataFrame([(n, int(0.55 * n + 0.5) - d, [1, n], False, False) for n in (100, 140, 180) for d in (0, 1)], "fid long, aa_len long, ref_lens array<long>, partial boolean, pseudo boolean")
+    assert sorted(r.fid for r in H.reflen_truncation(rows).collect()) == [100, 140, 180]
