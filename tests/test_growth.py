@@ -54,6 +54,14 @@ def test_seeds_of_many_letters_come_in_parts(spark, monkeypatch):
     assert sorted(search.seeds(rows, ["unit"], "letters", search.NUCLEOTIDE, 5).collect()) == whole != []
 
 
+def test_go_terms_are_numbers_until_the_end(spark):
+    names = [f"GO:{k * 37 % 200:03}" for k in range(150)]
+    go = [("PF1", g) for g in names[:100]] * 3 + [("PF2", g) for g in names[90:]] + [("PF2", None), (None, "GO:x"), ("PF9", "GO:z")]
+    found = H.pfam_go_merge(spark.createDataFrame([(1, "PF1.3"), (1, "PF2"), (1, "PF2.1"), (2, "PF2.7"), (3, "PF5"), (4, "TIGR1")], "fid long, accession string"), spark.createDataFrame(go, "acc string, go string"))
+    assert "collect_set" not in plan(found)
+    assert {r.fid: r.go for r in found.collect()} == {1: sorted(names), 2: sorted(names[90:])}
+
+
 def test_a_length_at_the_ratio_is_not_below_it(spark):
     rows = spark.createDataFrame([(n, int(0.55 * n + 0.5) - d, [1, n], False, False) for n in (100, 140, 180) for d in (0, 1)], "fid long, aa_len long, ref_lens array<long>, partial boolean, pseudo boolean")
     assert sorted(r.fid for r in H.reflen_truncation(rows).collect()) == [100, 140, 180]
