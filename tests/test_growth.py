@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contigframe.operators import alignment as A
 from contigframe.operators import hits as H
+from contigframe.operators import intervals as I
 from contigframe.operators import scans, search
 
 
@@ -65,3 +66,10 @@ def test_go_terms_are_numbers_until_the_end(spark):
 def test_a_length_at_the_ratio_is_not_below_it(spark):
     rows = spark.createDataFrame([(n, int(0.55 * n + 0.5) - d, [1, n], False, False) for n in (100, 140, 180) for d in (0, 1)], "fid long, aa_len long, ref_lens array<long>, partial boolean, pseudo boolean")
     assert sorted(r.fid for r in H.reflen_truncation(rows).collect()) == [100, 140, 180]
+
+
+def test_sparse_groups_are_not_cut_into_a_block_for_each_row(spark):
+    rows = spark.range(600).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("c"), (F.col("id") % 3).cast("string"))).alias("contig"), (F.col("id") * 1_000_000).alias("s"), (F.col("id") * 1_000_000 + 5).alias("e"), F.lit(1).alias("cls"))
+    assert {(r["__block"]) for r in I._blocked(rows, ["contig"], "s", 200).collect()} == {0}
+    assert {(r["__block"]) for r in I._blocked(rows, ["contig"], "s", 50).collect()} == {1, 2, 3, 4}
+    assert I.sessions(rows, 300).select("contig", "run").distinct().count() == 600
