@@ -73,3 +73,14 @@ def test_sparse_groups_are_not_cut_into_a_block_for_each_row(spark):
     assert {(r["__block"]) for r in I._blocked(rows, ["contig"], "s", 200).collect()} == {0}
     assert {(r["__block"]) for r in I._blocked(rows, ["contig"], "s", 50).collect()} == {1, 2, 3, 4}
     assert I.sessions(rows, 300).select("contig", "run").distinct().count() == 600
+
+
+def test_regions_of_a_contig_in_blocks_are_those_of_one_window(spark, monkeypatch):
+    r = random.Random(5)
+    spots = [(s, s + r.randrange(400), r.randrange(1, 8)) for s in sorted(r.sample(range(60_000), 250))]
+    genes = spark.createDataFrame([("long", *x) for x in spots] + [("short", *x) for x in spots[:20]], "contig string, s long, e long, cls int")
+    whole = sorted(map(tuple, I.prophage_regions(genes, core=(1, 2, 3), gap=300).collect()))
+    monkeypatch.setattr(I, "BLOCK", 30)
+    blocks = {(x["contig"], x["__block"]) for x in I._blocked(genes, ["contig"], "s", 30).select("contig", "__block").collect()}
+    assert ("short", 0) in blocks and len(blocks) == 10
+    assert sorted(map(tuple, I.prophage_regions(genes, core=(1, 2, 3), gap=300).collect())) == whole != []
