@@ -229,3 +229,17 @@ def test_calls_of_proteins_are_scanned_once(spark, broken):
     rows = [("a", "o", 1, 15, 1), ("b", "o", 1, 6, 1), ("c", "o", 7, 15, -1), ("d", "n", 1, 6, 1), ("e", "n", 1, 2, 1), ("f", "n", 5, 9, 1)]
     got = homology.proteins_of(spark.createDataFrame(rows, "id string, contig string, s long, e long, strand int"), odd).collect()
     assert {r["q"]: r["seq"] for r in got} == {"a": "MXF", "b": "MX", "c": "GLK", "d": "XP"}
+
+
+def test_features_round_gaps_are_read_once(spark, broken):
+    """The search, its names and its blocks of positions all need them."""
+    contigs, cds, refs, _, _ = broken
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    got = homology.intergenic_search(cds.mapInArrow(counted, cds.schema), contigs, refs).collect()
+    assert any("family missed" in r["notes"][0] for r in got) and seen.value == 4
