@@ -90,28 +90,43 @@ def of_sequences(references: DataFrame, same: float = 0.8, indel: float = -6.0)
 
 def viterbi(emissions: np.ndarray, transitions: np.ndarray, proteins: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(score, last place from 1) of each protein's best path; ``emissions`` are nodes by residues, ``transitions`` nodes by seven."""
-    nodes, sizes = len(emissions), np.array([len(p) for p in proteins])
-    codes = np.full((len(proteins), max(sizes.max(initial=0), 1)), len(C.HMM_ALPHABET) + 1)
-    for k, p in enumerate(proteins):
-        codes[k, : len(p)] = _CODE[np.frombuffer(p.encode("latin-1", "replace"), np.uint8)]
-    table = np.concatenate([emissions, np.zeros((nodes, 1)), np.full((nodes, 1), FAR)], axis=1)  # an unknown residue, and the end of a shorter protein
+    nodes, sizes = len(emissions), np.array([len(p) for p in proteins], np.int64)
+    order = np.argsort(-sizes, kind="stable")  # the longest first, so that those that are not over are the first rows
+    going = np.searchsorted(-sizes[order], -np.arange(sizes.max(initial=0)), side="left")
+    codes = np.full((len(proteins), len(going)), len(C.HMM_ALPHABET))
+    for k, own in enumerate(order.tolist()):
+        codes[k, : sizes[own]] = _CODE[np.frombuffer(proteins[own].encode("latin-1", "replace"), np.uint8)]
+    table = np.concatenate([emissions, np.zeros((nodes, 1))], axis=1).T.copy()  # an unknown residue says nothing
     entry, t = -np.log2(nodes), transitions
-    along = np.concatenate([[0.0], np.cumsum(np.maximum(t[:, DD], FAR))])  # deletions up to each node
-    match = insert = np.full((len(proteins), nodes), FAR)
-    delete = match
+    mm, im, dm, md = (t[:-1, k].copy() for k in (MM, IM, DM, MD))
+    mi, ii = t[:, MI].copy(), t[:, II].copy()
+    along = np.concatenate([[0.0], np.cumsum(np.maximum(t[:, DD], FAR))])[1:-1]  # deletions up to each node
+    match, insert, delete, other, part = (np.full((len(proteins), nodes), FAR) for _ in range(5))
     best, place = np.full(len(proteins), FAR), np.zeros(len(proteins), np.int64)
-    for i in range(codes.shape[1]):
-        before = np.maximum(np.maximum(match[:, :-1] + t[:-1, MM], insert[:, :-1] + t[:-1, IM]), delete[:, :-1] + t[:-1, DM])
-        new = table[:, codes[:, i]].T + np.concatenate([np.full((len(proteins), 1), entry), np.maximum(before, entry)], axis=1)
-        insert = np.maximum(match + t[:, MI], insert + t[:, II])
-        match = new
+    for i, n in enumerate(going.tolist()):
+        old, new, ins, dele, x = match[:n], other[:n], insert[:n], delete[:n], part[:n]
+        np.add(old[:, :-1], mm, out=new[:, 1:])
+        for state, step in ((ins, im), (dele, dm)):
+            np.add(state[:, :-1], step, out=x[:, 1:])
+            np.maximum(new[:, 1:], x[:, 1:], out=new[:, 1:])
+        new[:, 0] = entry
+        np.maximum(new, entry, out=new)
+        new += table.take(codes[:n, i], axis=0)
+        ins += ii
+        np.add(old, mi, out=x)
+        np.maximum(x, ins, out=ins)
         # a run of deletions from node j + 1 on begins with a match at j
-        begun = np.maximum.accumulate(match[:, :-1] + t[:-1, MD] - along[1:-1], axis=1)
-        delete = np.concatenate([np.full((len(proteins), 1), FAR), begun + along[1:-1]], axis=1)
-        high = match.max(axis=1)
-        better = (high > best) & (i < sizes)
-        best, place = np.where(better, high, best), np.where(better, i + 1, place)
-    return best, place
+        np.add(new[:, :-1], md, out=x[:, 1:])
+        x[:, 1:] -= along
+        np.maximum.accumulate(x[:, 1:], axis=1, out=dele[:, 1:])
+        dele[:, 1:] += along
+        match, other = other, match
+        high = new.max(axis=1)
+        better = high > best[:n]
+        best[:n][better], place[:n][better] = high[better], i + 1
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    return best[back], place[back]
 
 
 def candidates(proteins: DataFrame, profiles: DataFrame) -> DataFrame:

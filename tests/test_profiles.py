@@ -68,3 +68,17 @@ def test_search_from_text(spark, tmp_path, monkeypatch):
     seqs = dict(proteins)
     assert all(abs(x["score"] - literal(*tables[x["model"]], seqs[x["q"]])) < 1e-6 for x in got if x["q"].endswith(("0", "5")))
     assert {x["model"] for x in M.hmm_search(spark.createDataFrame(proteins, "q string, seq string"), profiles).collect()} == {"one", "two"}
+
+
+def test_work_follows_the_letters_of_a_block():
+    """One long protein among short ones doesn't make them all as long."""
+    import time
+
+    r = random.Random(5)
+    e, t = model(r, 80)
+    proteins = ["".join(r.choice(AA) for _ in range(n)) for n in [30] * 200 + [12_000] + [45] * 55]
+    began = time.process_time()
+    got, last = M.viterbi(e, t, proteins)
+    assert time.process_time() - began < 5
+    alone = [M.viterbi(e, t, [p]) for p in (proteins[0], proteins[200], proteins[-1])]
+    assert [(got[k], last[k]) for k in (0, 200, 255)] == [(a[0][0], a[1][0]) for a in alone]
