@@ -40,6 +40,8 @@ JUDGED, FOREIGN, LEARNT = 16, 0.5, 0.01
 PLAIN = 9.0
 #: Bytes of costs that a worker remembers.
 MEMO_BYTES = 48_000_000
+#: Bytes that the arrays over a part of the text may take: about 64 for each byte of text and 4 more for each language.
+PART_BYTES = 40_000_000
 _ASCII_LETTER, _BEYOND = re.compile("[A-Za-z]"), re.compile(r"[^\x00-\x7f]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -245,7 +247,7 @@ class Scorer:
         """Code lengths (texts by languages); long texts are looked up part by part."""
         data, bounds = _bytes(texts)
         out = np.zeros((len(texts), len(self.model.langs)))
-        step = max(1, min(2_000_000, 16_000_000 // max(1, len(self.model.langs))))
+        step = max(1, min(2_000_000, PART_BYTES // (64 + 4 * len(self.model.langs))))
         for a in range(0, len(data), step):
             end, back = min(a + step, len(data)), max(0, a - self.model.order)
             first, last = np.searchsorted(bounds, [a, end - 1], side="right") - 1
