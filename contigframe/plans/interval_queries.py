@@ -61,7 +61,7 @@ def region_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("prophage_regions", R.duck(f"with {_RUNS}, g as (select contig, min(s) as s, max(e) as e, count(*) as n, cast(count(distinct cls) as int) as n_classes from r group by contig, run having count(distinct cls) >= 3 and bool_or(cls in (1, 2, 3))) select contig, cast(row_number() over (partition by contig order by s) as int) as num, s, e, n, n_classes, case when n_classes >= 6 then 'intact' else 'questionable' end as tier from g"))
 def prophage_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.prophage_regions(R.relation(spark, sf_dir, "intervals"), core=(1, 2, 3), gap=GAP)
+    return I.prophage_regions(R.repeated(spark, sf_dir, "intervals"), core=(1, 2, 3), gap=GAP, repeated=True)
 
 
 _LENGTHS = "(select contig, max(e)+cast(min(s)%400 as bigint) length from {intervals} group by contig union all select 'ctg_empty'||cast(n_nationkey as varchar(5)) contig, cast(n_nationkey*20 as bigint) length from nation)"

@@ -1,6 +1,7 @@
 """Operators on larger tables: what is moved, what is held at once, and places where only exact arithmetic agrees with SQL."""
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -84,3 +85,17 @@ def test_regions_of_a_contig_in_blocks_are_those_of_one_window(spark, monkeypatc
     blocks = {(x["contig"], x["__block"]) for x in I._blocked(genes, ["contig"], "s", 30).select("contig", "__block").collect()}
     assert ("short", 0) in blocks and len(blocks) == 10
     assert sorted(map(tuple, I.prophage_regions(genes, core=(1, 2, 3), gap=300).collect())) == whole != []
+
+
+def test_genes_of_regions_are_moved_once(spark, monkeypatch):
+    """Repeats go, and runs are summed up, where genes lie already; the plan had five exchanges of rows by other keys before."""
+    r = random.Random(6)
+    genes = [("long", s, s + r.randrange(400), r.randrange(1, 8)) for s in r.sample(range(60_000), 250)] + [("short", k * 100, k * 100 + 90, k % 8) for k in range(20)]
+    once, twice = (spark.createDataFrame(rows, "contig string, s long, e long, cls int") for rows in (genes, genes + genes[::3]))
+    want = sorted(map(tuple, I.prophage_regions(once, core=(1, 2, 3), gap=300).collect()))
+    got = lambda: I.prophage_regions(twice, core=(1, 2, 3), gap=300, repeated=True)
+    assert sorted(map(tuple, got().collect())) == want != []
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(got()))
+    assert not [k for k in keys if k.startswith(("contig", "s#")) and re.search(r"\b(cls|e)#", k)]  # repeats by all columns
+    monkeypatch.setattr(I, "BLOCK", 30)
+    assert sorted(map(tuple, got().collect())) == want
