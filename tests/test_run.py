@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from test_search import _coding, _gene, _reverse
 
 from contigframe import constants as C
+from contigframe.operators import tables
 from contigframe.plans.annotate import annotate, files
 from contigframe.plans.config import Config
 from contigframe.plans.scalar_queries import kind_dimension
@@ -110,3 +111,17 @@ def test_every_option_is_read():
     source = inspect.getsource(module)
     own = {"genome", "paths", "genetic_code", "tmrna", "crispr"}  # inputs and the callers' own switches
     assert all(f"config.{name}" in source for name in Config.__dataclass_fields__ if name not in own)
+
+
+def test_a_run_holds_its_features_once(spark, tmp_path, monkeypatch):
+    """Tiers that add write only what they add, and what nothing reads any more goes; seven tables of features were left before."""
+    monkeypatch.setattr(tables, "shared_dir", lambda _: f"file://{tmp_path}")
+    rows = spark.range(400).select(F.lit("c").alias("contig"), F.concat(F.lit("f"), "id").alias("id"), (F.col("id") * 50).alias("s"), (F.col("id") * 50 + 60).alias("e"), F.lit(1).alias("strand"), F.lit(1.0).alias("score"), (F.col("id") % 5).alias("k"))
+    kinds = ["Cds", "Trna", "Tmrna", "IsElement", "Ncrna"]
+    calls = {n: rows.where(F.col("k") == k).withColumn("kind", F.lit(kinds[k])).drop("k") for k, n in enumerate(["cds", "trna", "tmrna", "is", "ncrna"])}
+    contigs = spark.createDataFrame([("c", "ACGT" * 5_000 + "N" * 30 + "ACGT" * 10)], "contig string, seq string")
+    held = []
+    monkeypatch.setattr(tables, "placed", lambda df, what, f=tables.placed: (f(df, what), held.append(sum(spark.read.parquet(str(x)).count() for x in tmp_path.glob("features-*"))))[0])
+    got = annotate(Config(gaps=True), contigs, calls, {"markers": spark.createDataFrame([(m,) for m in C.MARKERS], "marker string")}, kind_dimension(spark))
+    assert not got.skipped and got.features.count() > 80 and got.qc.count() == 1
+    assert max(held) == 401 and not list(tmp_path.glob("features-*")) and len(list(tmp_path.glob("resolved-*"))) == 1
