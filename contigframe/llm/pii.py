@@ -121,11 +121,12 @@ def phone(s: str, key: bytes, back: bool) -> str | None:
 
 
 def domestic(s: str, key: bytes, back: bool) -> str | None:
-    """A number with its leading nought, which stays."""
+    """A number with its leading nought, which stays, and no second one: with that it would be none on the way back."""
     d = _digits(s)
-    if not 10 <= len(d) <= 12:
+    if not 10 <= len(d) <= 12 or d[1] == "0":
         return None
-    return "0" + _refill(s[1:], _permute_digits(d[1:], key, "domestic", back))
+    least = 10 ** (len(d) - 2)
+    return "0" + _refill(s[1:], str(least + feistel(int(d[1:]) - least, 9 * least, key, f"domestic{len(d) - 1}", back)))
 
 
 def national(s: str, key: bytes, back: bool) -> str | None:
