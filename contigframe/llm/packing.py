@@ -27,6 +27,8 @@ UNIT = 16
 #: Ids of a short piece, as a part of a sequence, and ids of a lot of short ones.
 SHORT, STRING = 16, 1 << 20
 END = 1
+#: Bytes of text that a worker tokenizes at once; arrays over their pieces take up to 20 times as much, and the pipeline's executor is full already.
+SLICE = 3_000_000
 #: Column generation ends when the bound on what is left to gain is below this share.
 GAP = 5e-4
 STEPS = 4_000
@@ -134,7 +136,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokens.loaded(path)
         for batch in batches:
-            for part in tokens.slices(batch, "text", tokens.TOKEN_SLICE):
+            for part in tokens.slices(batch, "text", SLICE):
                 ids, offsets = tokens.with_end(*tok.encode(part.column("text").fill_null("")), end)
                 rows: list[tuple] = []
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):

@@ -39,7 +39,7 @@ def test_a_worker_tokenizes_many_texts_in_bounded_memory(tok):
     """Six workers share an executor with its heap: arrays over the pieces of 8 MB of text held 110 MB before."""
     batch = pa.RecordBatch.from_arrays([pa.array(["the cat sat on a mat " * 100] * 4_000)], names=["text"])
     tracemalloc.start()
-    for part in tokens.slices(batch, "text", tokens.TOKEN_SLICE):
+    for part in tokens.slices(batch, "text", packing.SLICE):
         tok.encode(part.column("text"))
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
