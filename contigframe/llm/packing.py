@@ -27,8 +27,11 @@ UNIT = 16
 #: Ids of a short piece, as a part of a sequence, and ids of a lot of short ones.
 SHORT, STRING = 16, 1 << 20
 END = 1
-#: Bytes of text that a worker tokenizes at once; arrays over their pieces take up to 20 times as much, and the pipeline's executor is full already.
+#: Bytes of text that a worker tokenizes at once; arrays over their pieces take up to 20 times as much.
 SLICE = 3_000_000
+#: For an executor that earlier stages have filled: bytes of such a part, and of a generation of the tokenizer's memo. Looking up takes a table of
+#: up to three times a generation, so a worker stays below 200 MB, for a third more seconds.
+LOW_MEMORY = (1_500_000, 10_000_000)
 #: Column generation ends when the bound on what is left to gain is below this share.
 GAP = 5e-4
 STEPS = 4_000
@@ -130,13 +133,15 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[int, int, int, int,
     return rows
 
 
-def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length: int, end: int) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, ids): each document's ids, cut into whole sequences and a remainder; ``ids`` of short pieces only."""
+def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length: int, end: int, low_memory: bool = False) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, ids): each document's ids, cut into whole sequences and a remainder; ``ids`` of short pieces only.
+    With ``low_memory`` texts are tokenized in smaller parts with a smaller memo; the rows are the same."""
+    size, memo = LOW_MEMORY if low_memory else (SLICE, None)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokens.loaded(path)
+        tok = tokens.loaded(path, memo)
         for batch in batches:
-            for part in tokens.slices(batch, "text", SLICE):
+            for part in tokens.slices(batch, "text", size):
                 ids, offsets = tokens.with_end(*tok.encode(part.column("text").fill_null("")), end)
                 rows: list[tuple] = []
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
@@ -145,18 +150,21 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length:
                         rows.append((doc, s - a, e - s, tokens.crc(ids[s:e]), b - a, ids[s:e].astype("<u4").tobytes() if (e - s) * SHORT <= length else None))
                 *numbers, short = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(short, pa.binary())], names=[*_OWN, "ids"])
+                if low_memory:
+                    del ids, offsets, rows, numbers, short
+                    tokens.trim()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tokens.tidy(cut), PIECES + ", ids binary")
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, length: int = LENGTH, unit: int = UNIT, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, length: int = LENGTH, unit: int = UNIT, end: int = END, low_memory: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Defined cases: a null or empty text is the end id alone. Rows repeated with the same id are packed each. An empty table
-    gives an empty result. A text of any length is cut into sequences of its own and one remainder. Other columns are not read.
+    gives an empty result. A text of any length is cut into sequences of its own and one remainder. Other columns are not read. ``low_memory`` is for executors that are full already.
     """
     with util.Scratch(docs.sparkSession) as tmp:
-        pieces = tmp.written(token_pieces(docs, id_col, text_col, tokenizer or tokens.default_path(), length, end), "pieces")
+        pieces = tmp.written(token_pieces(docs, id_col, text_col, tokenizer or tokens.default_path(), length, end, low_memory), "pieces")
         return util.written(_packed(pieces, length, unit, tmp), "packed")
 
 

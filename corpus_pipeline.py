@@ -28,8 +28,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of fixed length."""
-    return packing.pack(docs)
+    """Token pieces in sequences of fixed length. Executors are full by then, of what the stages before have left in their heaps."""
+    return packing.pack(docs, low_memory=True)
 
 
 STAGES = [("language ID", language), ("exact dedup", exact), ("n-gram Jaccard join", near), ("mixing sources to target weights", mix), ("packing", pack)]

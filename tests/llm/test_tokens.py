@@ -1,5 +1,6 @@
 """Tokenization, packing and the token store against plain, literal forms."""
 
+import itertools
 import json
 import tracemalloc
 import zlib
@@ -46,6 +47,18 @@ def test_a_worker_tokenizes_many_texts_in_bounded_memory(tok):
     assert most < 45e6
 
 
+def test_a_full_executor_packs_alike_in_less_memory(spark, monkeypatch):
+    """The pipeline's packing was stopped for its executor's memory: the memo's 40 MB need up to 120 MB more to be looked up."""
+    size, memo = packing.LOW_MEMORY
+    t, words = tokens.MemoTokenizer(tokens.default_path(), memo), (f"w{k}" for k in range(900_000))
+    for _ in range(12):
+        t.encode(pa.array([" ".join(itertools.islice(words, 75_000))]))
+        assert t.young.bytes() + t.old.bytes() < 3.5 * memo
+    monkeypatch.setattr(packing, "LOW_MEMORY", (100, 100))
+    rows = lambda **how: sorted(map(tuple, packing.pack(spark.createDataFrame(ODD, SCHEMA), **how).collect()), key=str)
+    assert rows(low_memory=True) == rows()
+
+
 def test_memo_survives_its_bound(tok, monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_BYTES", 100)
     for k in range(4):
