@@ -243,3 +243,30 @@ def test_features_round_gaps_are_read_once(spark, broken):
 
     got = homology.intergenic_search(cds.mapInArrow(counted, cds.schema), contigs, refs).collect()
     assert any("family missed" in r["notes"][0] for r in got) and seen.value == 4
+
+
+def test_few_references_are_met_where_the_units_lie(spark, monkeypatch):
+    """Too slow at 6 GB before: all proteins were fetched by a join with contigs, and all their seeds met those of the references by one more."""
+    proteins = P.proteins(spark, D).orderBy("q").limit(400)
+    refs = P.families(spark, D)
+    repeat = [(r["t"], r["seq"]) for r in refs.limit(30).collect()] + [("poly", "ARNDARND" * 40), ("poly", "ARNDARND" * 40), ("short", "MK"), ("none", None)]
+    queries = proteins.unionByName(spark.createDataFrame(repeat, "q string, seq string"))
+    refs = refs.unionByName(spark.createDataFrame([("polyref", "ARNDARND" * 30), ("empty", "")], "t string, seq string"))
+    found = []
+    for small in (0, 1 << 21):
+        monkeypatch.setattr(search, "SMALL", small)
+        found.append(sorted(map(tuple, search.SeedSearch("protein", evalue=1e-3).search(queries, refs).collect())))
+    assert found[0] == found[1] and len(found[0]) > 30
+    # parts of 50 pairs, in this process
+    names, texts = zip(*sorted({(r["t"], r["seq"]) for r in refs.collect()}), strict=True)
+    index, own = search.Index(list(names), list(texts), "protein", 6), [x or "" for _, x in repeat]
+    met = lambda: sorted(zip(*(np.concatenate(x).tolist() for x in zip(*index.candidates(own))), strict=True))
+    whole = met()
+    monkeypatch.setattr(search, "PAIRS", 50)
+    assert whole == met() != []
+
+
+def test_proteins_of_calls_without_a_join(spark):
+    calls = P.calls(spark, D)
+    want = sorted(map(tuple, homology.proteins_of(calls, P.contigs(spark, D)).select("q", "seq").collect()))
+    assert sorted(map(tuple, P.proteins(spark, D).select("q", "seq").collect())) == want != []
