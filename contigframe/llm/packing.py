@@ -30,7 +30,7 @@ END = 1
 #: Bytes of text that a worker tokenizes at once; arrays over their pieces take up to 20 times as much.
 SLICE = 3_000_000
 #: For an executor that earlier stages have filled: bytes of such a part, and of a generation of the tokenizer's memo. Looking up takes a table of
-#: up to three times a generation, so a worker stays below 200 MB, for a third more seconds.
+#: up to three times a generation, so a worker stays below 200 MB, for about 40 % more seconds.
 LOW_MEMORY = (1_500_000, 10_000_000)
 #: Column generation ends when the bound on what is left to gain is below this share.
 GAP = 5e-4
